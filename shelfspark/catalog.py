@@ -41,3 +41,89 @@ def abc_full(w: Warehouse) -> DataFrame:
 def delivery_time(w: Warehouse) -> DataFrame:
     """Supplier x store delivery-time statistics over the trailing year of receipts."""
     return marts.delivery_time(w.receipts_fact, w.supplier_dim)
+
+
+# ---------------------------------------------------------------- facts
+
+from shelfspark.plans import calendar as cal  # noqa: E402
+from shelfspark.plans import dims, facts  # noqa: E402
+from shelfspark.sources import seeds  # noqa: E402
+
+
+def _no_stamp(df: DataFrame) -> DataFrame:
+    return df.drop("carregado_em")
+
+
+@register("sales_fact", oracle.SALES_FACT)
+def sales_fact(w: Warehouse) -> DataFrame:
+    """Sales fact: operation filter, document key, operator sentinel, net measures."""
+    return _no_stamp(w.sales_fact)
+
+
+@register("receipts_fact", oracle.RECEIPTS_FACT)
+def receipts_fact(w: Warehouse) -> DataFrame:
+    """Receipts fact with issue-to-receipt delivery days."""
+    return _no_stamp(w.receipts_fact)
+
+
+@register("stock_movement", oracle.STOCK_MOVEMENT)
+def stock_movement(w: Warehouse) -> DataFrame:
+    """Signed stock movements enriched with the store location."""
+    return _no_stamp(facts.stock_movement_fact(w.stock_ledger, w.locations))
+
+
+@register("stock_balance", oracle.STOCK_BALANCE)
+def stock_balance(w: Warehouse) -> DataFrame:
+    """Daily stock balance: closing = opening + in - out."""
+    return _no_stamp(facts.stock_balance_fact(w.stock_daily))
+
+
+@register("purchase_order", oracle.PURCHASE_ORDER)
+def purchase_order(w: Warehouse) -> DataFrame:
+    """Purchase-order items joined to headers; lead time; pending-reason precedence."""
+    return _no_stamp(facts.purchase_order_fact(w.order_headers, w.order_items))
+
+
+# ---------------------------------------------------------------- dimensions
+
+@register("store_dim", oracle.STORE_DIM)
+def store_dim(w: Warehouse) -> DataFrame:
+    """Store dimension: city-ordinal labels, active checkouts, closed-store override."""
+    return w.store_dim
+
+
+@register("product_dim", oracle.PRODUCT_DIM)
+def product_dim(w: Warehouse) -> DataFrame:
+    """Product dimension with defaults, category hierarchy, barcodes and main supplier."""
+    return w.product_dim
+
+
+@register("supplier_dim", oracle.SUPPLIER_DIM)
+def supplier_dim(w: Warehouse) -> DataFrame:
+    """Supplier dimension: first family link, preferred commercial terms, person data."""
+    return w.supplier_dim
+
+
+@register("barcode_list", oracle.BARCODE_LIST)
+def barcode_list(w: Warehouse) -> DataFrame:
+    """Ordered string aggregation of each product's EAN / scale codes."""
+    return dims.barcode_list(w.barcodes)
+
+
+@register("priority_dedup", oracle.PRIORITY_DEDUP)
+def priority_dedup(w: Warehouse) -> DataFrame:
+    """Category row per family by division priority (row_number = 1)."""
+    return w.categories.drop("carregado_em")
+
+
+@register("hours", oracle.HOURS)
+def hours(w: Warehouse) -> DataFrame:
+    """Hour-of-day dimension (24 rows) with day period and AM/PM."""
+    return cal.hour_dim(w.spark)
+
+
+@register("calendar", oracle.CALENDAR)
+def calendar(w: Warehouse) -> DataFrame:
+    """Day dimension over the sales data's years: holidays (fixed + Easter-based), ISO
+    week, business days, month bands and per-month open-day sequence / countdown."""
+    return cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))

@@ -28,6 +28,10 @@ _QTY = f"CAST(l_quantity AS {QTY})"
 _DISC = "CAST(l_discount AS DECIMAL(4,2))"
 _TAX = "CAST(l_tax AS DECIMAL(4,2))"
 
+# Unit price in cents, truncated; integer arithmetic so both engines agree exactly.
+_UNIT_CENTS = (f"CAST(floor(CAST({_PRICE} * 100 AS BIGINT) / CAST(l_quantity AS BIGINT)) AS BIGINT)")
+_UNIT = f"CAST(CAST({_UNIT_CENTS} AS DECIMAL(18,0)) * 0.01 AS {MONEY})"
+
 # Operation code of a sales line: R lines are returns (202), the others are
 # sales under three codes; line 7 carries a code outside the fact's list.
 _SALES_OP = ("CASE WHEN l_linenumber = 7 THEN 999 WHEN l_returnflag = 'R' THEN 202 "
@@ -116,14 +120,14 @@ RECEIPT_LINES = StandIn("receipt_lines", (_p("lineitem", [
     ("devolucao", "l_returnflag = 'R'"),
     ("quantidade", _QTY),
     ("vlritem", _PRICE),
-    ("vlripi", f"CAST(ROUND({_PRICE} * {_TAX} / 2, 2) AS {MONEY})"),
-    ("vlricmsst", f"CAST(ROUND({_PRICE} * {_TAX} / 4, 2) AS {MONEY})"),
+    ("vlripi", f"CAST(ROUND({_PRICE} * {_TAX} * 0.5, 2) AS {MONEY})"),
+    ("vlricmsst", f"CAST(ROUND({_PRICE} * {_TAX} * 0.25, 2) AS {MONEY})"),
     ("vlrdesconto", f"CAST(ROUND({_PRICE} * {_DISC}, 2) AS {MONEY})"),
     ("vlricms", f"CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(ROUND({_PRICE} * {_TAX}, 2) AS {MONEY}) END"),
     ("vlrcredicms", f"CAST(ROUND({_PRICE} * ({_TAX} - 0.04), 2) AS {MONEY})"),
     ("fatoracrescimo", "CAST(CASE WHEN l_suppkey % 5 = 0 THEN 1.02 ELSE 1.00 END AS DECIMAL(6,4))"),
-    ("custoliqult", f"CAST(ROUND({_PRICE} / {_QTY}, 6) AS DECIMAL(18,6))"),
-    ("descforanf", f"CAST(ROUND({_PRICE} / {_QTY} * {_DISC} * 2, 6) AS DECIMAL(18,6))"),
+    ("custoliqult", f"CAST({_UNIT} AS DECIMAL(18,6))"),
+    ("descforanf", f"CAST(ROUND({_UNIT} * {_DISC} * 2, 6) AS DECIMAL(18,6))"),
     ("prazo", f"CAST(l_linenumber * 7 + 14 AS {MONEY})"),
 ]),))
 
@@ -162,8 +166,8 @@ STOCK_DAILY = StandIn("mrl_custodia", (_p("lineitem", [
     ("qtddevol", f"CAST(0 AS {QTY})"),
     ("vlrtotaldevol", f"CAST(0 AS {MONEY})"),
     ("vlrcusliquidodevol", f"CAST(0 AS {MONEY})"),
-    ("cmdiavlrnf", f"CAST(ROUND({_PRICE} / {_QTY}, 2) AS {MONEY})"),
-    ("cmdiacusliquidoemp", f"CAST(ROUND({_PRICE} * 0.65 / {_QTY}, 2) AS {MONEY})"),
+    ("cmdiavlrnf", _UNIT),
+    ("cmdiacusliquidoemp", f"CAST(ROUND({_UNIT} * 0.65, 2) AS {MONEY})"),
 ]),))
 
 ORDER_HEADERS = StandIn("msu_pedidosuprim", (_p("orders", [
@@ -203,8 +207,8 @@ ORDER_ITEMS = StandIn("msu_psitemreceber", (_p("lineitem", [
     ("qtdtotcancelada", f"CAST(0 AS {QTY})"),
     ("qtdtottransito", f"CAST(0 AS {QTY})"),
     ("dtarecebtoitem", "CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(l_shipdate AS DATE) END"),
-    ("vlrunitario", f"CAST(ROUND({_PRICE} / {_QTY}, 2) AS {MONEY})"),
-    ("vlrembitem", f"CAST(ROUND({_PRICE} / {_QTY}, 2) AS {MONEY})"),
+    ("vlrunitario", _UNIT),
+    ("vlrembitem", _UNIT),
 ]),))
 
 # ---------------------------------------------------------------------------
