@@ -127,3 +127,51 @@ def calendar(w: Warehouse) -> DataFrame:
     """Day dimension over the sales data's years: holidays (fixed + Easter-based), ISO
     week, business days, month bands and per-month open-day sequence / countdown."""
     return cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))
+
+
+# ---------------------------------------------------------------- target planning
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shelfspark.plans import targets  # noqa: E402
+
+
+def _plan_month(w: Warehouse):
+    """Month being planned = month of the newest sale (stands in for today's month)."""
+    return w.sales_fact.agg(F.trunc(F.max("data_venda"), "MM").alias("m")).first()["m"]
+
+
+def _shares(w: Warehouse) -> DataFrame:
+    return targets.participation(w.sales_fact, w.product_category, w.store_dim, _plan_month(w))
+
+
+def _params(w: Warehouse) -> DataFrame:
+    return targets.target_params(w.raw("meta_parametros"))
+
+
+def _allocation(w: Warehouse) -> DataFrame:
+    return targets.allocation(_shares(w), _params(w), targets.store_adjustments(w.raw("meta_ajustes_loja")))
+
+
+@register("participation", oracle.PARTICIPATION)
+def participation(w: Warehouse) -> DataFrame:
+    """Historical store and category shares per target month and history depth."""
+    return _shares(w)
+
+
+@register("target_allocation", oracle.ALLOCATION)
+def target_allocation(w: Warehouse) -> DataFrame:
+    """Group target allocated to store x category (standard and challenge)."""
+    return _allocation(w)
+
+
+@register("target_writeback", oracle.WRITEBACK)
+def target_writeback(w: Warehouse) -> DataFrame:
+    """Adjustments table after updating calculated columns and inserting missing stores."""
+    return targets.writeback(_allocation(w), _params(w), w.raw("meta_ajustes_loja"))
+
+
+@register("group_reference", oracle.GROUP_REFERENCE)
+def group_reference(w: Warehouse) -> DataFrame:
+    """Monthly like-for-like revenue, YoY growth, 6-month mean, suggestion and market context."""
+    return targets.group_reference(w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo"))

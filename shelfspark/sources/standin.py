@@ -44,6 +44,7 @@ class Part:
     table: str
     columns: tuple[tuple[str, str], ...]
     where: str | None = None
+    distinct: bool = False
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,8 @@ class StandIn:
     parts: tuple[Part, ...] = field(default_factory=tuple)
 
 
-def _p(table: str, cols: list[tuple[str, str]], where: str | None = None) -> Part:
-    return Part(table, tuple(cols), where)
+def _p(table: str, cols: list[tuple[str, str]], where: str | None = None, distinct: bool = False) -> Part:
+    return Part(table, tuple(cols), where, distinct)
 
 
 # ---------------------------------------------------------------------------
@@ -349,10 +350,49 @@ LOCATIONS = StandIn("mrl_local", (
                   ("nroempresa", "n_nationkey + 1"), ("seqlocal", "2")], "n_nationkey < 10"),
 ))
 
+# ---------------------------------------------------------------------------
+# Planning inputs typed in by people, keyed by month (one row per month of the
+# data, shifted a year ahead so they cover the months being planned)
+# ---------------------------------------------------------------------------
+
+_PLAN_MONTH = "CAST(CAST(date_trunc('month', l_shipdate) AS DATE) + INTERVAL 12 MONTH AS DATE)"
+_M = f"month({_PLAN_MONTH})"
+
+TARGET_PARAMS = StandIn("meta_parametros", (_p("lineitem", [
+    ("mes", _PLAN_MONTH),
+    ("meta_grupo_padrao_valor", f"CAST(1000000 + {_M} * 25000 AS {MONEY})"),
+    ("meta_grupo_desafio_valor", f"CASE WHEN {_M} % 4 = 0 THEN NULL ELSE CAST(1100000 + {_M} * 27500 AS {MONEY}) END"),
+    ("anos_historico", f"CASE WHEN {_M} % 4 = 0 THEN NULL ELSE {_M} % 4 END"),
+], distinct=True),))
+
+# Manual store adjustments: stores 2, 5 and 6 per month, summing to zero.
+STORE_ADJUSTMENTS = StandIn("meta_ajustes_loja", (_p("lineitem", [
+    ("id", f"CAST(year({_PLAN_MONTH}) * 10000 + month({_PLAN_MONTH}) * 100 + l_orderkey % 10 + 1 AS BIGINT)"),
+    ("mes", _PLAN_MONTH),
+    ("empresa_id", "CAST(l_orderkey % 10 + 1 AS INT)"),
+    ("ajuste_padrao_valor", f"CAST(CASE l_orderkey % 10 + 1 WHEN 2 THEN 5000 WHEN 5 THEN -5000 ELSE 0 END AS {MONEY})"),
+    ("ajuste_desafio_valor", f"CAST(CASE l_orderkey % 10 + 1 WHEN 2 THEN 7000 WHEN 5 THEN -7000 ELSE 0 END AS {MONEY})"),
+    ("participacao_loja_calculada", "CAST(NULL AS DOUBLE)"),
+    ("meta_padrao_sem_ajuste", f"CAST(NULL AS DECIMAL(28,2))"),
+    ("meta_desafio_sem_ajuste", f"CAST(NULL AS DECIMAL(28,2))"),
+], "l_orderkey % 10 + 1 IN (2, 5, 6)", distinct=True),))
+
+_DATA_MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
+# Market indicators (monthly): food inflation with a gap every June, and the
+# sector's yearly sales change.
+INDICATORS = StandIn("indicadores_mercado_externo", (
+    _p("lineitem", [("data_referencia", _DATA_MONTH), ("indicador", "'IPCA_ALIMENTOS_BEBIDAS'"),
+                    ("valor", f"CAST((month({_DATA_MONTH}) * 7 + year({_DATA_MONTH})) % 15 * 0.1 - 0.4 AS DECIMAL(18,4))"),
+                    ("fonte", "'BCB'")], f"month(l_shipdate) <> 6", distinct=True),
+    _p("lineitem", [("data_referencia", _DATA_MONTH), ("indicador", "'PMC_HIPER_SUPER_VAR_ANUAL'"),
+                    ("valor", f"CAST((month({_DATA_MONTH}) * 5 + year({_DATA_MONTH})) % 11 * 0.5 - 1 AS DECIMAL(18,4))"),
+                    ("fonte", "'IBGE'")], distinct=True),
+))
+
 ALL = {t.name: t for t in [SALES, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
-                           LOCATIONS]}
+                           LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -368,6 +408,8 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if part.where:
             df = df.where(part.where)
         df = df.selectExpr(*[f"{expr} AS {alias}" for alias, expr in part.columns])
+        if part.distinct:
+            df = df.distinct()
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -379,7 +421,8 @@ def duckdb_sql(name: str) -> str:
     for part in spec.parts:
         cols = ", ".join(f"{expr} AS {alias}" for alias, expr in part.columns)
         where = f" WHERE {part.where}" if part.where else ""
-        selects.append(f"SELECT {cols} FROM {part.table}{where}")
+        dist = "DISTINCT " if part.distinct else ""
+        selects.append(f"SELECT {dist}{cols} FROM {part.table}{where}")
     return " UNION ALL ".join(selects)
 
 
