@@ -175,3 +175,81 @@ def target_writeback(w: Warehouse) -> DataFrame:
 def group_reference(w: Warehouse) -> DataFrame:
     """Monthly like-for-like revenue, YoY growth, 6-month mean, suggestion and market context."""
     return targets.group_reference(w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo"))
+
+
+# ---------------------------------------------------------------- incremental loads
+
+from shelfspark.operators import checks, incremental  # noqa: E402
+from shelfspark.plans import silver  # noqa: E402
+
+WINDOW_DAYS = 90       # re-extracted window of the batch
+HISTORY_LAG_DAYS = 30  # the stored history ends this many days before the newest sale
+
+
+def _incremental_inputs(w: Warehouse):
+    as_of = w.sales_fact.agg(F.max("data_venda").alias("m")).first()["m"]
+    target = w.sales_fact.where(F.col("data_venda") <= F.date_sub(F.lit(as_of), HISTORY_LAG_DAYS))
+    batch_lines = silver.sales_lines(
+        w.raw("maxv_abcdistribbase_corrigida")
+         .where(F.col("datahora") >= F.date_sub(F.lit(as_of), WINDOW_DAYS).cast("timestamp_ntz")))
+    batch = facts.sales_fact(batch_lines)
+    return _no_stamp(target), _no_stamp(batch)
+
+
+@register("delete_insert", oracle.DELETE_INSERT)
+def delete_insert(w: Warehouse) -> DataFrame:
+    """Sales history merged with a corrected, re-sent window (delete+insert on the fact key,
+    new column appended)."""
+    target, batch = _incremental_inputs(w)
+    return incremental.delete_insert(target, batch, facts.SALES_KEY)
+
+
+@register("delete_insert_twice", oracle.DELETE_INSERT)
+def delete_insert_twice(w: Warehouse) -> DataFrame:
+    """The same batch applied twice gives the same table as once (idempotent load)."""
+    target, batch = _incremental_inputs(w)
+    once = incremental.delete_insert(target, batch, facts.SALES_KEY)
+    return incremental.delete_insert(once, batch, facts.SALES_KEY)
+
+
+# ---------------------------------------------------------------- data-quality checks
+
+@register("dq_not_null", oracle.DQ_NOT_NULL)
+def dq_not_null(w: Warehouse) -> DataFrame:
+    """NULL count of every sales-fact column (single aggregate pass)."""
+    return checks.null_counts(_no_stamp(w.sales_fact))
+
+
+@register("dq_unique", oracle.DQ_UNIQUE)
+def dq_unique(w: Warehouse) -> DataFrame:
+    """Purchase-order grain (order x store x product) keys that occur more than once."""
+    return checks.unique(facts.purchase_order_fact(w.order_headers, w.order_items), facts.PURCHASE_ORDER_KEY)
+
+
+@register("dq_accepted", oracle.DQ_ACCEPTED)
+def dq_accepted(w: Warehouse) -> DataFrame:
+    """Purchase-order states outside the decoded labels (NULL passes)."""
+    po = facts.purchase_order_fact(w.order_headers, w.order_items)
+    return checks.accepted_values(po, "situacao_ped", list(silver.PURCHASE_ORDER_STATES.values()),
+                                  ["pedido_id", "empresa_id", "produto_id", "item_seq"])
+
+
+@register("dq_reconcile", oracle.DQ_RECONCILE)
+def dq_reconcile(w: Warehouse) -> DataFrame:
+    """Months whose allocated targets do not add up to the group target (+-1.0)."""
+    return checks.reconciles(_allocation(w), _params(w), ["mes"],
+                             [("meta_padrao_valor", "meta_grupo_padrao_valor"),
+                              ("meta_desafio_valor", "meta_grupo_desafio_valor")])
+
+
+@register("dq_zero_sum", oracle.DQ_ZERO_SUM)
+def dq_zero_sum(w: Warehouse) -> DataFrame:
+    """Months whose manual store adjustments do not sum to zero (+-0.01)."""
+    return checks.sums_to_zero(targets.store_adjustments(w.raw("meta_ajustes_loja")), ["mes"],
+                               "ajuste_padrao_valor")
+
+
+@register("abc_grain_unique", oracle.ABC_GRAIN)
+def abc_grain_unique(w: Warehouse) -> DataFrame:
+    """ABC mart grain (store x product) duplicates: must be empty."""
+    return checks.unique(marts.abc_curve(w.sales_fact, w.product_category), ["empresa_id", "produto_id"])

@@ -38,8 +38,9 @@ def since(df: DataFrame, date_col: str, min_date) -> DataFrame:
 
 def sales_fact(sales_silver: DataFrame, min_date=None) -> DataFrame:
     """Sales and returns under the five operation codes of the fact."""
+    extra = [c for c in sales_silver.columns if c not in SALES_COLUMNS]
     return since(sales_silver, "data_venda", min_date).where(
-        F.col("cod_operacao").isin(SALES_OPERATIONS)).select(*SALES_COLUMNS)
+        F.col("cod_operacao").isin(SALES_OPERATIONS)).select(*SALES_COLUMNS, *extra)
 
 
 def receipts_fact(receipts_silver: DataFrame, min_date=None) -> DataFrame:

@@ -43,6 +43,12 @@ def _loaded(df: DataFrame):
 
 # --------------------------------------------------------------------------- facts' sources
 
+_SALES_SOURCE_COLUMNS = {"datahora", "nroempresa", "nrodocto", "seriedocto", "checkout", "nroformapagto",
+                         "nrosegmento", "codgeraloper", "seqproduto", "seqoperador", "qtditem", "qtddevolitem",
+                         "vlritem", "vlrdevolitem", "vlrdescitem", "vlrvendapromoc", "vlrlucro", "ctobrutovda",
+                         "vlrctoliqvda", "_loaded_at"}
+
+
 def sales_lines(src: DataFrame) -> DataFrame:
     """Hourly sales lines with the document key, the operator sentinel and net measures."""
     ts = F.col("datahora").cast("timestamp_ntz")
@@ -75,6 +81,8 @@ def sales_lines(src: DataFrame) -> DataFrame:
         opt(src, "ctobrutovda", MONEY).alias("valor_custo_bruto"),
         opt(src, "vlrctoliqvda", MONEY).alias("valor_custo_liquido"),
         _loaded(src),
+        # columns added to the source later are carried through as they are
+        *[F.col(c) for c in src.columns if c not in _SALES_SOURCE_COLUMNS],
     )
 
 

@@ -83,6 +83,13 @@ SALES = StandIn("maxv_abcdistribbase", (_p("lineitem", [
     ("vlrctoliqvda", f"CAST(ROUND({_PRICE} * (0.70 - {_TAX}), 2) AS {MONEY})"),
 ]),))
 
+# A re-sent sales window with corrected discounts and one new column.
+SALES_CORRECTED = StandIn("maxv_abcdistribbase_corrigida", (Part(
+    "lineitem",
+    tuple((a, e) if a != "vlrdescitem" else (a, f"CAST(ROUND({_PRICE} * {_DISC} * 1.5, 2) AS {MONEY})")
+          for a, e in SALES.parts[0].columns)
+    + (("vlrembalagem", f"CAST(l_linenumber AS {MONEY})"),)),),)
+
 _RECEIPT_OP = ("CASE l_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 11 WHEN 2 THEN 105 WHEN 3 THEN 107 "
                "WHEN 4 THEN 200 WHEN 5 THEN 205 ELSE 999 END")
 
@@ -389,7 +396,7 @@ INDICATORS = StandIn("indicadores_mercado_externo", (
                     ("fonte", "'IBGE'")], distinct=True),
 ))
 
-ALL = {t.name: t for t in [SALES, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
+ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS]}
