@@ -253,3 +253,58 @@ def dq_zero_sum(w: Warehouse) -> DataFrame:
 def abc_grain_unique(w: Warehouse) -> DataFrame:
     """ABC mart grain (store x product) duplicates: must be empty."""
     return checks.unique(marts.abc_curve(w.sales_fact, w.product_category), ["empresa_id", "produto_id"])
+
+
+# ---------------------------------------------------------------- extracts
+
+import datetime as _dt  # noqa: E402
+
+from shelfspark.plans import extracts  # noqa: E402
+
+
+def _max_date(df: DataFrame, col: str):
+    return df.agg(F.max(F.col(col).cast("date")).alias("m")).first()["m"]
+
+
+@register("windowed_extract", oracle.WINDOWED_EXTRACT)
+def windowed_extract(w: Warehouse) -> DataFrame:
+    """Stock-ledger extract of the last 90 days, flag filter 'S' or NULL-safe kind, load stamp."""
+    src = w.raw("mrl_lanctoestoque")
+    as_of = _max_date(src, "dtaentradasaida")
+    run_ts = _dt.datetime.combine(as_of + _dt.timedelta(days=1), _dt.time(1, 0))
+    return extracts.stamp(extracts.window_extract(src, "dtaentradasaida", as_of, 90), run_ts)
+
+
+@register("range_extract", oracle.RANGE_EXTRACT)
+def range_extract(w: Warehouse) -> DataFrame:
+    """Backfill of sales lines in an inclusive date range on a timestamp column."""
+    src = w.raw("maxv_abcdistribbase")
+    as_of = _max_date(src, "datahora")
+    return extracts.range_extract(src, "datahora", as_of - _dt.timedelta(days=60), as_of - _dt.timedelta(days=30))
+
+
+@register("item_by_header_window", oracle.ITEM_BY_HEADER)
+def item_by_header_window(w: Warehouse) -> DataFrame:
+    """Purchase-order items whose header was issued in the last 180 days (semi join)."""
+    headers = w.raw("msu_pedidosuprim")
+    as_of = _max_date(headers, "dtaemissao")
+    return extracts.items_in_header_window(w.raw("msu_psitemreceber"), headers, ["nropedidosuprim", "nroempresa"],
+                                           "dtaemissao", as_of, 180)
+
+
+@register("checkout_main_segment", oracle.CHECKOUT_SEGMENT)
+def checkout_main_segment(w: Warehouse) -> DataFrame:
+    """Checkouts restricted to the store's main segment."""
+    return extracts.checkouts_of_main_segment(w.raw("vw_pdv"), w.raw("max_empresa"))
+
+
+@register("hourly_sales_preagg", oracle.HOURLY_SALES)
+def hourly_sales_preagg(w: Warehouse) -> DataFrame:
+    """Sales lines summed per hour over ten keys, fact operations only."""
+    return extracts.hourly_sales(w.raw("maxv_abcdistribbase"))
+
+
+@register("receipt_costs_net_of_returns", oracle.RECEIPT_COSTS)
+def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
+    """Receipt gross / net / fiscal cost, invoice total, discounts and weighted term, net of returns."""
+    return extracts.receipt_costs(w.raw("receipt_lines"))
