@@ -308,3 +308,31 @@ def hourly_sales_preagg(w: Warehouse) -> DataFrame:
 def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
     """Receipt gross / net / fiscal cost, invoice total, discounts and weighted term, net of returns."""
     return extracts.receipt_costs(w.raw("receipt_lines"))
+
+
+# ---------------------------------------------------------------- intraday stream
+
+import uuid as _uuid  # noqa: E402
+
+from shelfspark.operators.incremental import read_table  # noqa: E402
+from shelfspark.session import scratch_path  # noqa: E402
+from shelfspark.streaming import hot  # noqa: E402
+
+
+def land_runs(w: Warehouse, landing: str) -> None:
+    """Land the intraday extract runs one after the other (one write per run, in run order),
+    as the scheduled extractions would."""
+    runs = w.raw("vendas_intradia")
+    for (run,) in sorted(tuple(r) for r in runs.select("lote").distinct().collect()):
+        runs.where(F.col("lote") == run).write.mode("append").parquet(landing)
+
+
+@register("hot_microbatch", oracle.HOT_MICROBATCH)
+def hot_microbatch(w: Warehouse) -> DataFrame:
+    """Structured Streaming over landed intraday runs (availableNow), each micro-batch merged
+    into the month-partitioned sales fact with keyed delete+insert; returns the final fact."""
+    base = scratch_path(w.spark, f"hot-{_uuid.uuid4().hex}")
+    landing, target, ckpt = f"{base}/landing", f"{base}/fato_venda", f"{base}/_checkpoint"
+    land_runs(w, landing)
+    hot.run_hot_path(w.spark, landing, target, ckpt, files_per_trigger=8)
+    return _no_stamp(read_table(w.spark, target).drop(hot.PARTITION_COL))

@@ -77,14 +77,19 @@ def full_refresh(spark: SparkSession, path: str, df: DataFrame, partition_col: s
 
 
 def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
-                       partition_col: str) -> None:
-    """Merge ``batch`` into the parquet table at ``path`` (partitioned by ``partition_col``)."""
+                       partition_col: str, partition_from_key: bool = False) -> None:
+    """Merge ``batch`` into the parquet table at ``path`` (partitioned by ``partition_col``).
+
+    ``partition_from_key`` declares that the partition value is a function of
+    the key (e.g. the month of a date in the key), so a key never moves
+    between partitions and only the batch's own partitions are touched.
+    """
     if not table_exists(spark, path):
         batch.write.partitionBy(partition_col).parquet(path)
         return
     target = read_table(spark, path)
     batch_parts = batch.select(partition_col).distinct()
-    if partition_col in key:
+    if partition_from_key or partition_col in key:
         affected = batch_parts
     else:
         holding = target.join(batch.select(*key).distinct(), list(key), "left_semi").select(partition_col)

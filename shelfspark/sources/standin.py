@@ -396,10 +396,43 @@ INDICATORS = StandIn("indicadores_mercado_externo", (
                     ("fonte", "'IBGE'")], distinct=True),
 ))
 
+# ---------------------------------------------------------------------------
+# Intraday extract runs from the events stream: every event lands in the run
+# of its day; a third of them are re-sent, corrected, in the next day's run.
+# ---------------------------------------------------------------------------
+
+_EVENT_DAY = "CAST(year(ts) * 1000 + dayofyear(ts) AS INT)"
+_EVENT_COLS = [
+    ("datahora", "ts"),
+    ("nroempresa", "CAST(user_id % 10 + 1 AS INT)"),
+    ("nrodocto", "event_id"),
+    ("seriedocto", "'H'"),
+    ("checkout", "CAST(user_id % 7 + 1 AS INT)"),
+    ("nroformapagto", "1"),
+    ("nrosegmento", "1"),
+    ("codgeraloper", "CASE event_type WHEN 'error' THEN 999 WHEN 'click' THEN 202 ELSE 800 END"),
+    ("seqproduto", "CAST(user_id AS INT)"),
+    ("seqoperador", "CAST(NULL AS INT)"),
+    ("qtditem", f"CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS {QTY})"),
+    ("qtddevolitem", f"CAST(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS {QTY})"),
+]
+
+
+def _event_value(factor: str) -> list[tuple[str, str]]:
+    v = f"CAST(ROUND(CAST(value AS {MONEY}) * {factor}, 2) AS {MONEY})"
+    return [("vlritem", f"CASE WHEN event_type = 'click' THEN CAST(0 AS {MONEY}) ELSE {v} END"),
+            ("vlrdevolitem", f"CASE WHEN event_type = 'click' THEN {v} ELSE CAST(0 AS {MONEY}) END")]
+
+
+EVENT_SALES = StandIn("vendas_intradia", (
+    _p("events", _EVENT_COLS + _event_value("1.00") + [("lote", _EVENT_DAY)]),
+    _p("events", _EVENT_COLS + _event_value("1.10") + [("lote", f"{_EVENT_DAY} + 1")], "event_id % 3 = 0"),
+))
+
 ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
-                           LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS]}
+                           LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
