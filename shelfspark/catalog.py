@@ -336,3 +336,47 @@ def hot_microbatch(w: Warehouse) -> DataFrame:
     land_runs(w, landing)
     hot.run_hot_path(w.spark, landing, target, ckpt, files_per_trigger=8)
     return _no_stamp(read_table(w.spark, target).drop(hot.PARTITION_COL))
+
+
+# ---------------------------------------------------------------- run logs and enrichment
+
+from shelfspark.plans import enrich, logs  # noqa: E402
+
+WORKFLOW = "workflow_consinco_cold"
+
+
+@register("pipeline_timing", oracle.PIPELINE_TIMING)
+def pipeline_timing(w: Warehouse) -> DataFrame:
+    """Per-pipeline durations parsed from run logs (regex capture, lag per log file)."""
+    return logs.pipeline_timing(w.raw("hop_log"), WORKFLOW)
+
+
+@register("pipeline_timing_top5", oracle.PIPELINE_TOP5)
+def pipeline_timing_top5(w: Warehouse) -> DataFrame:
+    """The five slowest pipelines of the latest execution and their one-line summary."""
+    return logs.slowest_of_latest(logs.pipeline_timing(w.raw("hop_log"), WORKFLOW))
+
+
+@register("pending_registry", oracle.PENDING_REGISTRY)
+def pending_registry(w: Warehouse) -> DataFrame:
+    """14-digit legal-entity supplier ids not yet in the registry table (anti join)."""
+    return enrich.pending_registry(w.supplier_dim, w.raw("cnpj_dados_receita"))
+
+
+@register("upsert_registry", oracle.UPSERT_REGISTRY)
+def upsert_registry(w: Warehouse) -> DataFrame:
+    """Registry table after parsing landed answers (source precedence, last re-send wins) and upsert."""
+    return enrich.refresh_registry(w.raw("cnpj_dados_receita"), w.raw("cnpj_respostas"))
+
+
+@register("supplier_tax_dim", oracle.SUPPLIER_TAX_DIM)
+def supplier_tax_dim(w: Warehouse) -> DataFrame:
+    """Legal-entity suppliers with registry data and tax regime by precedence."""
+    registry = enrich.refresh_registry(w.raw("cnpj_dados_receita"), w.raw("cnpj_respostas"))
+    return enrich.supplier_tax_dim(w.supplier_dim, registry)
+
+
+@register("indicator_long", oracle.INDICATOR_LONG)
+def indicator_long(w: Warehouse) -> DataFrame:
+    """Indicator table after parsing central-bank and nested statistics-office payloads and upsert."""
+    return enrich.refresh_indicators(w.raw("indicadores_mercado_externo"), w.raw("indicadores_payload"))

@@ -57,6 +57,11 @@ def _p(table: str, cols: list[tuple[str, str]], where: str | None = None, distin
     return Part(table, tuple(cols), where, distinct)
 
 
+def _dialect(expr, which: int) -> str:
+    """An expression is one string for both engines, or a (spark, duckdb) pair."""
+    return expr[which] if isinstance(expr, tuple) else expr
+
+
 # ---------------------------------------------------------------------------
 # Transactional sources (grow with lineitem / orders)
 # ---------------------------------------------------------------------------
@@ -429,10 +434,98 @@ EVENT_SALES = StandIn("vendas_intradia", (
     _p("events", _EVENT_COLS + _event_value("1.10") + [("lote", f"{_EVENT_DAY} + 1")], "event_id % 3 = 0"),
 ))
 
+# ---------------------------------------------------------------------------
+# Landed text and JSON: a run log per day of events, registry API answers per
+# supplier, and monthly indicator payloads.
+# ---------------------------------------------------------------------------
+
+_LOG_TS = ("date_format(ts, 'yyyy/MM/dd HH:mm:ss')", "strftime(ts, '%Y/%m/%d %H:%M:%S')")
+_LOG_DAY = ("date_format(ts, 'yyyy/MM/dd')", "strftime(ts, '%Y/%m/%d')")
+
+
+def _cat(*parts) -> tuple[str, str]:
+    return tuple(" || ".join(_dialect(p, i) for p in parts) for i in (0, 1))
+
+
+RUN_LOG = StandIn("hop_log", (
+    _p("events", [("arquivo", _LOG_DAY), ("seq", "CAST(0 AS BIGINT)"),
+                  ("linha", _cat(_LOG_DAY, "' 00:00:00 - workflow_consinco_cold - Start of workflow execution'"))],
+       distinct=True),
+    _p("events", [("arquivo", _LOG_DAY), ("seq", "event_id + 1"),
+                  ("linha", _cat(_LOG_TS, "' - '", "CASE WHEN user_id % 9 = 0 THEN 'mrl_lanctoestoque' "
+                                 "ELSE 'pipe_' || CAST(user_id % 25 AS STRING) END",
+                                 "' - Execution finished on a local pipeline engine'"))],
+       "event_type IN ('view', 'click', 'purchase')"),
+    _p("events", [("arquivo", _LOG_DAY), ("seq", "event_id + 1"),
+                  ("linha", _cat(_LOG_TS, "' - pipe_x - Pipeline started'"))],
+       "event_type NOT IN ('view', 'click', 'purchase')"),
+))
+
+_CNPJ = "lpad(CAST(s_suppkey * 1000 + 7 AS STRING), 12, '0') || lpad(CAST(s_suppkey % 100 AS STRING), 2, '0')"
+
+
+def _registry_payload(capital: str) -> str:
+    return ("'{\"situacao_cadastral\": ' || CAST(s_suppkey % 3 + 2 AS STRING) || "
+            "', \"descricao_situacao_cadastral\": \"' || CASE WHEN s_suppkey % 3 = 0 THEN 'ativa' ELSE 'baixada' END || '\"' || "
+            "', \"opcao_pelo_simples\": ' || CASE s_suppkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN 'null' ELSE 'true' END || "
+            "', \"opcao_pelo_mei\": ' || CASE WHEN s_suppkey % 4 = 3 THEN 'true' ELSE 'false' END || "
+            "', \"porte\": \"' || CASE WHEN s_suppkey % 2 = 0 THEN 'demais' ELSE 'micro empresa' END || '\"' || "
+            f"', \"capital_social\": ' || CAST({capital} AS STRING) || "
+            "', \"data_inicio_atividade\": \"' || CAST(DATE '1990-01-01' + CAST(s_suppkey * 37 AS INT) AS STRING) || '\"' || "
+            "', \"cnae_fiscal\": ' || CAST(4711301 + s_suppkey % 3 AS STRING) || "
+            "', \"cnae_fiscal_descricao\": \"comercio varejista\"}'")
+
+
+REGISTRY_ANSWERS = StandIn("cnpj_respostas", (
+    _p("supplier", [("cnpj", _CNPJ), ("fonte_api", "'minha_receita'"), ("status_http", "200"),
+                    ("seq", "s_suppkey * 10 + 1"), ("payload", _registry_payload("s_suppkey * 1000"))],
+       "s_suppkey % 10 NOT IN (8, 9) AND s_suppkey % 4 <> 1"),
+    _p("supplier", [("cnpj", _CNPJ), ("fonte_api", "'minha_receita'"), ("status_http", "503"),
+                    ("seq", "s_suppkey * 10 + 1"), ("payload", "CAST(NULL AS STRING)")],
+       "s_suppkey % 10 NOT IN (8, 9) AND s_suppkey % 4 = 1"),
+    _p("supplier", [("cnpj", _CNPJ), ("fonte_api", "'brasilapi'"), ("status_http", "200"),
+                    ("seq", "s_suppkey * 10 + 2"), ("payload", _registry_payload("s_suppkey * 1000 + 1"))],
+       "s_suppkey % 10 NOT IN (8, 9)"),
+    _p("supplier", [("cnpj", _CNPJ), ("fonte_api", "'minha_receita'"), ("status_http", "200"),
+                    ("seq", "s_suppkey * 10 + 5"), ("payload", _registry_payload("s_suppkey * 2000"))],
+       "s_suppkey % 10 NOT IN (8, 9) AND s_suppkey % 7 = 0 AND s_suppkey % 4 <> 1"),
+))
+
+# Registry rows already stored from an earlier run (some suppliers).
+REGISTRY_STORED = StandIn("cnpj_dados_receita", (_p("supplier", [
+    ("cnpj", _CNPJ), ("situacao_cadastral", "'2'"), ("descricao_situacao_cadastral", "'antiga'"),
+    ("opcao_pelo_simples", "CAST(NULL AS BOOLEAN)"), ("opcao_pelo_mei", "CAST(NULL AS BOOLEAN)"),
+    ("porte", "'demais'"), ("capital_social", "CAST(1 AS DECIMAL(18,2))"),
+    ("data_inicio_atividade", "DATE '1980-01-01'"), ("cnae_fiscal", "'0000000'"),
+    ("cnae_fiscal_descricao", "'antiga'"), ("fonte_api", "'brasilapi'"),
+], "s_suppkey % 5 = 0"),))
+
+_IND_MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
+_BCB_DATE = ("date_format(date_trunc('month', l_shipdate), 'dd/MM/yyyy')",
+             "strftime(date_trunc('month', l_shipdate), '%d/%m/%Y')")
+_IBGE_PERIOD = ("date_format(date_trunc('month', l_shipdate), 'yyyyMM')",
+                "strftime(date_trunc('month', l_shipdate), '%Y%m')")
+_IND_V = f"(month({_IND_MONTH}) * 7 + year({_IND_MONTH})) % 15"
+
+INDICATOR_PAYLOADS = StandIn("indicadores_payload", (
+    _p("lineitem", [("fonte", "'BCB'"), ("serie", "'1635'"),
+                    ("payload", _cat("'{\"data\": \"'", _BCB_DATE, "'\", \"valor\": \"'",
+                                     f"CAST(CAST({_IND_V} * 0.1 - 0.4 AS DECIMAL(6,2)) AS STRING)", "'\"}'"))],
+       "month(l_shipdate) <> 6", distinct=True),
+    _p("lineitem", [("fonte", "'IBGE'"), ("serie", "'8880'"),
+                    ("payload", _cat("'{\"id\": \"7170\", \"resultados\": [{\"series\": [{\"serie\": {\"'",
+                                     _IBGE_PERIOD, "'\": \"'",
+                                     f"CASE WHEN month(l_shipdate) = 2 THEN '..' WHEN month(l_shipdate) = 3 THEN '-' "
+                                     f"WHEN month(l_shipdate) = 4 THEN '' ELSE CAST(CAST({_IND_V} * 0.5 - 1 AS DECIMAL(6,2)) AS STRING) END",
+                                     "'\"}}]}]}'"))],
+       distinct=True),
+))
+
 ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
-                           LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES]}
+                           LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
+                           INDICATOR_PAYLOADS]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -447,7 +540,7 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = driver_table(spark, sf_dir, part.table)
         if part.where:
             df = df.where(part.where)
-        df = df.selectExpr(*[f"{expr} AS {alias}" for alias, expr in part.columns])
+        df = df.selectExpr(*[f"{_dialect(expr, 0)} AS {alias}" for alias, expr in part.columns])
         if part.distinct:
             df = df.distinct()
         out = df if out is None else out.unionByName(df)
@@ -459,7 +552,7 @@ def duckdb_sql(name: str) -> str:
     spec = ALL[name]
     selects = []
     for part in spec.parts:
-        cols = ", ".join(f"{expr} AS {alias}" for alias, expr in part.columns)
+        cols = ", ".join(f"{_dialect(expr, 1)} AS {alias}" for alias, expr in part.columns)
         where = f" WHERE {part.where}" if part.where else ""
         dist = "DISTINCT " if part.distinct else ""
         selects.append(f"SELECT {dist}{cols} FROM {part.table}{where}")
