@@ -33,9 +33,32 @@ def running_sum(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Co
     return out
 
 
+# Up to this many rows a single-partition window is cheaper than the
+# range-partitioned version; the row count is checked, not assumed.
+SINGLE_TASK_ROWS = 1_000_000
+
+
 def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
+                       total_col: str | None = None, partitions: int | None = None,
+                       single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Running sum over the whole table in ``order`` (which must be a total order).
+
+    ``df`` should be materialised (checkpointed) by the caller: its row count
+    decides between a one-task window (at most ``single_task_rows`` rows) and
+    the range-partitioned prefix sum.
+    """
+    if single_task_rows and df.count() <= single_task_rows:
+        w = Window.orderBy(*order)
+        out = df.withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        if total_col:
+            out = out.withColumn(total_col, F.sum(value).over(Window.partitionBy()))
+        return out
+    return ranged_running_sum(df, order, value, cum_col, total_col, partitions)
+
+
+def ranged_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
                        total_col: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Running sum over the whole table in ``order`` (which must be a total order)."""
+    """Range-partitioned prefix sum: every step runs in parallel."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import abc_class, half_even_int, safe_div, share_pct
 from shelfspark.operators.running_total import global_running_sum, running_sum
+from shelfspark.session import checkpoint_dir
 
 PURCHASE_OPERATIONS = [1, 11, 105, 107, 200, 205]  # fixed: receipt codes that are purchases
 MAX_DELIVERY_DAYS = 180
@@ -42,12 +43,18 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
                  .agg(F.sum("valor_venda_liquido").alias("receita_liq"),
                       F.sum("qtd_venda_liquida").alias("quantidade_liq"))
                  .where(F.col("receita_liq") > 0))
+    # store x product rows feed four windows and the network curve: materialise
+    # them once (reliable checkpoint in the shared folder) instead of
+    # re-aggregating the fact for every branch
+    checkpoint_dir(sales.sparkSession)
+    per_store = per_store.checkpoint(eager=True)
 
     # network totals per product are aggregated from the store rows first, so a
     # product enters the network curve once
     network = (per_store.groupBy("produto_id")
                .agg(F.sum("receita_liq").alias("receita_liq_rede"),
                     F.sum("quantidade_liq").alias("quantidade_liq_rede")))
+    network = network.checkpoint(eager=True)
     network = global_running_sum(network, [F.col("receita_liq_rede").desc(), F.col("produto_id").asc()],
                                  "receita_liq_rede", "receita_acum_rede", "receita_total_rede")
     network = global_running_sum(network, [F.col("quantidade_liq_rede").desc(), F.col("produto_id").asc()],

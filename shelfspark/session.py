@@ -31,7 +31,7 @@ BASE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "shelfspark") -> SparkSession:
+                  app_name: str = "shelfspark", checkpoint: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the warehouse defaults.
 
     On a cluster ``master`` stays None so spark-submit decides; tests pass
@@ -45,6 +45,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_conf(spark)
@@ -74,10 +76,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    # only reached without a configured shared folder, i.e. a local session
     local = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
