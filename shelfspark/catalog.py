@@ -380,3 +380,44 @@ def supplier_tax_dim(w: Warehouse) -> DataFrame:
 def indicator_long(w: Warehouse) -> DataFrame:
     """Indicator table after parsing central-bank and nested statistics-office payloads and upsert."""
     return enrich.refresh_indicators(w.raw("indicadores_mercado_externo"), w.raw("indicadores_payload"))
+
+
+# ---------------------------------------------------------------- product x store snapshot
+
+from shelfspark.plans.marts import PURCHASE_OPERATIONS  # noqa: E402
+
+
+def _as_of(w: Warehouse):
+    """The run's "today": the newest sale date."""
+    return w.sales_fact.agg(F.max("data_venda").alias("d")).first()["d"]
+
+
+@register("days_since", oracle.DAYS_SINCE)
+def days_since(w: Warehouse) -> DataFrame:
+    """Product x store staging: days of stock (safe ratio) and days since last purchase / sale / entry."""
+    return silver.product_store(w.raw("mrl_produtoempresa"), _as_of(w)).drop("carregado_em")
+
+
+@register("active_promotion", oracle.ACTIVE_PROMOTION)
+def active_promotion(w: Warehouse) -> DataFrame:
+    """Promotion in force per product x store x segment (item dates override header, soonest end wins)."""
+    return dims.active_promotion(silver.promotion_items(w.raw("mrl_promocaoitem")),
+                                 silver.promotions(w.raw("mrl_promocao")), _as_of(w))
+
+
+@register("last_receipt_supplier", oracle.LAST_RECEIPT_SUPPLIER)
+def last_receipt_supplier(w: Warehouse) -> DataFrame:
+    """Supplier of the newest purchase receipt per product x store (first row per key)."""
+    return dims.last_receipt_supplier(w.receipts_fact, PURCHASE_OPERATIONS)
+
+
+@register("product_store_snapshot", oracle.PRODUCT_STORE_SNAPSHOT)
+def product_store_snapshot(w: Warehouse) -> DataFrame:
+    """Product x store snapshot joining stock, prices, promotion, supplier delivery and ABC."""
+    as_of = _as_of(w)
+    return dims.product_store_snapshot(
+        silver.product_store(w.raw("mrl_produtoempresa"), as_of), w.store_dim, silver.prices(w.raw("mrl_prodempseg")),
+        w.product_dim, dims.last_receipt_supplier(w.receipts_fact, PURCHASE_OPERATIONS),
+        marts.delivery_time(w.receipts_fact), marts.abc_curve(w.sales_fact, w.product_category),
+        dims.active_promotion(silver.promotion_items(w.raw("mrl_promocaoitem")),
+                              silver.promotions(w.raw("mrl_promocao")), as_of), as_of)

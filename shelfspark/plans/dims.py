@@ -143,3 +143,73 @@ def supplier_dim(family_suppliers: DataFrame, divisions: DataFrame, persons: Dat
         "fd.prazo_med_entrega", "fd.prazo_med_atraso", "fd.prazo_pagamento",
         F.col("fd.divisao_id").alias("divisao_id"),
     )
+
+
+# --------------------------------------------------------------------------- product x store snapshot
+
+def active_promotion(items: DataFrame, headers: DataFrame, as_of) -> DataFrame:
+    """Promotion in force per product x store x segment: the active item whose
+    validity (item dates override the header's) contains ``as_of``; the one
+    ending soonest wins, ties by promotion id."""
+    today = F.lit(as_of).cast("date")
+    h = headers.select("promocao_id", "empresa_id", "segmento_id", "central_loja",
+                       F.col("dta_inicio").alias("_hi"), F.col("dta_fim").alias("_hf"))
+    j = (items.where(F.col("status") == "ATIVO")
+              .join(h, ["promocao_id", "empresa_id", "segmento_id", "central_loja"])
+              .withColumn("dta_inicio_promoc", F.coalesce("dta_inicio_item", "_hi"))
+              .withColumn("dta_fim_promoc", F.coalesce("dta_fim_item", "_hf"))
+              .where((F.col("dta_inicio_promoc") <= today) & (F.col("dta_fim_promoc") >= today)))
+    first = first_per_key(j, ["produto_id", "empresa_id", "segmento_id"],
+                          [F.col("dta_fim_promoc").asc(), F.col("promocao_id").asc()])
+    return first.select("produto_id", "empresa_id", "segmento_id", "promocao_id", "preco_promocional",
+                        "perc_desconto", "dta_inicio_promoc", "dta_fim_promoc")
+
+
+def last_receipt_supplier(receipts: DataFrame, purchase_operations) -> DataFrame:
+    """Supplier of the newest purchase receipt per product x store (ties: lowest supplier id)."""
+    r = receipts.where(F.col("cod_geral_oper").isin(list(purchase_operations)))
+    first = first_per_key(r, ["produto_id", "empresa_id"],
+                          [F.col("dta_entrada").desc(), F.col("fornecedor_id").asc()])
+    return first.select("produto_id", "empresa_id", F.col("fornecedor_id").alias("fornecedor_ultima_entrada_id"))
+
+
+def product_store_snapshot(product_store: DataFrame, store_dimension: DataFrame, prices: DataFrame,
+                           product_dimension: DataFrame, last_supplier: DataFrame, delivery: DataFrame,
+                           abc: DataFrame, promo: DataFrame, as_of) -> DataFrame:
+    """Product x store snapshot: stock, main-segment pack-1 prices, promotion in force,
+    last-receipt supplier with its delivery statistics, and ABC classes.
+
+    Every lookup is keyed on (product, store) or smaller, so each left join
+    keeps the snapshot's grain (one row per product x store)."""
+    today = F.lit(as_of).cast("date")
+    e = store_dimension.select("empresa_id", "status_empresa", F.col("segmento_principal").alias("_seg"))
+    pr = prices.where(F.col("qtd_embalagem") == 1).withColumnRenamed("segmento_id", "_seg")
+    fp = product_dimension.select("produto_id", "fornecedor_principal_id").distinct()
+    te = delivery.select(F.col("fornecedor_id").alias("fornecedor_ultima_entrada_id"), "empresa_id",
+                         "media_tempo_entrega", "desvio_padrao_tempo_entrega")
+    a = abc.select("produto_id", "empresa_id", "curva_abc_valor_empresa", "curva_abc_valor_categoria",
+                   "curva_abc_valor_rede")
+    pv = promo.withColumnRenamed("segmento_id", "_seg")
+    out = (product_store.join(fp, "produto_id", "left")
+           .join(last_supplier, ["produto_id", "empresa_id"], "left")
+           .join(te, ["fornecedor_ultima_entrada_id", "empresa_id"], "left")
+           .join(e, "empresa_id", "left")
+           .join(pr, ["produto_id", "empresa_id", "_seg"], "left")
+           .join(pv, ["produto_id", "empresa_id", "_seg"], "left")
+           .join(a, ["produto_id", "empresa_id"], "left"))
+    days_left = F.datediff(F.col("dta_fim_promoc"), today)
+    return out.select(
+        "produto_id", "empresa_id", "status_empresa", "fornecedor_principal_id", "fornecedor_ultima_entrada_id",
+        "media_tempo_entrega", "desvio_padrao_tempo_entrega", "curva_abc_valor_empresa",
+        "curva_abc_valor_categoria", "curva_abc_valor_rede", "status_compra", "status_venda", "gera_ruptura",
+        F.when(F.col("promocao_id").isNull(), "NÃO").otherwise("SIM").alias("ind_em_promoc"),
+        F.col("promocao_id").alias("promocao_vigente_id"), F.col("preco_promocional").alias("preco_promoc_vigente"),
+        F.col("perc_desconto").alias("perc_desconto_promoc"), "dta_inicio_promoc", "dta_fim_promoc",
+        days_left.alias("dias_restantes_promoc"),
+        (F.col("preco_valido_normal") - F.col("preco_promocional")).alias("desconto_absoluto"),
+        F.when(F.col("promocao_id").isNotNull() & (days_left <= 3), "SIM").otherwise("NÃO")
+         .alias("ind_promoc_encerrando_3dias"),
+        "estoque_loja", "estoque_empresa", "media_venda_diaria", "dias_estoque", "preco_base_normal",
+        "preco_valido_normal", "margem_lucro", "ind_revisao_preco", "ultimo_custo_liquido", "dta_ultima_venda",
+        "dias_sem_compra", "dias_sem_venda", "dias_sem_venda_desde_ultima_entrada",
+    )

@@ -399,3 +399,84 @@ def supplier_divisions(src: DataFrame) -> DataFrame:
         F.when(st == "A", "ATIVO").when(st == "I", "INATIVO").otherwise("OUTRO").alias("status_fornecedor"),
         _loaded(src),
     )
+
+
+# --------------------------------------------------------------------------- product x store
+
+ACTIVE_INACTIVE = {"A": "ATIVO", "I": "INATIVO"}
+
+
+def _status(c):
+    return decode(c, ACTIVE_INACTIVE, default="NÃO INFORMADO")
+
+
+def product_store(src: DataFrame, as_of) -> DataFrame:
+    """Stock and movement dates per product x store, with days of stock and days since.
+
+    ``as_of`` stands for the current date of the run.
+    """
+    today = F.lit(as_of).cast("date")
+    mean = opt(src, "medvdiageral", QTY)
+    last_sale, last_in = opt(src, "dtaultvenda", "date"), opt(src, "dtaultmoventrada", "date")
+    floor = F.lit("1900-01-01").cast("date")
+    return src.select(
+        F.col("seqproduto").cast("int").alias("produto_id"),
+        F.col("nroempresa").cast("int").alias("empresa_id"),
+        _status(opt(src, "statuscompra", "string")).alias("status_compra"),
+        F.when(F.upper(opt(src, "indgeraruptura", "string")) == "S", YES)
+         .when(F.upper(opt(src, "indgeraruptura", "string")) == "N", NO).otherwise("NÃO INFORMADO").alias("gera_ruptura"),
+        opt(src, "locentrada", "int").alias("local_entrada_id"),
+        opt(src, "locsaida", "int").alias("local_saida_id"),
+        opt(src, "estqloja", QTY).alias("estoque_loja"),
+        opt(src, "estqdeposito", QTY).alias("estoque_deposito"),
+        opt(src, "estqempresa", QTY).alias("estoque_empresa"),
+        mean.alias("media_venda_diaria"),
+        F.when(mean.isNull() | (mean == 0), F.lit(None))
+         .otherwise(F.round(opt(src, "estqloja", QTY) / mean, 1)).cast("decimal(18,1)").alias("dias_estoque"),
+        opt(src, "cmultcusliquidoemp", MONEY).alias("ultimo_custo_liquido"),
+        last_in.alias("dta_ultima_movimentacao_entrada"),
+        opt(src, "dtaultcompra", "date").alias("dta_ultima_compra"),
+        F.datediff(today, opt(src, "dtaultcompra", "date")).alias("dias_sem_compra"),
+        last_sale.alias("dta_ultima_venda"),
+        opt(src, "qtdultvenda", QTY).alias("qtd_ultima_venda"),
+        F.datediff(today, last_sale).alias("dias_sem_venda"),
+        F.when(last_sale.isNull() & last_in.isNull(), F.lit(None))
+         .otherwise(F.datediff(today, F.greatest(F.coalesce(last_sale, floor), F.coalesce(last_in, floor))))
+         .alias("dias_sem_venda_desde_ultima_entrada"),
+        _loaded(src),
+    )
+
+
+def prices(src: DataFrame) -> DataFrame:
+    rev = F.upper(opt(src, "indrevisaopreco", "string"))
+    return src.select(
+        F.col("seqproduto").cast("int").alias("produto_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
+        F.col("nrosegmento").cast("int").alias("segmento_id"), F.col("qtdembalagem").cast(QTY).alias("qtd_embalagem"),
+        _status(opt(src, "statusvenda", "string")).alias("status_venda"),
+        opt(src, "precobasenormal", MONEY).alias("preco_base_normal"),
+        opt(src, "precovalidnormal", MONEY).alias("preco_valido_normal"),
+        opt(src, "margemlucroprodempseg", MONEY).alias("margem_lucro"),
+        F.when(rev == "S", YES).when(rev == "N", NO).otherwise("NÃO INFORMADO").alias("ind_revisao_preco"),
+    )
+
+
+def promotions(src: DataFrame) -> DataFrame:
+    return src.select(
+        F.col("seqpromocao").cast("int").alias("promocao_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
+        F.col("nrosegmento").cast("int").alias("segmento_id"), F.upper("centralloja").alias("central_loja"),
+        F.upper(opt(src, "promocao", "string")).alias("promocao"),
+        F.col("dtainicio").cast("date").alias("dta_inicio"), F.col("dtafim").cast("date").alias("dta_fim"),
+    )
+
+
+def promotion_items(src: DataFrame) -> DataFrame:
+    return src.select(
+        F.col("seqproduto").cast("int").alias("produto_id"), F.col("qtdembalagem").cast(QTY).alias("qtd_embalagem"),
+        F.col("seqpromocao").cast("int").alias("promocao_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
+        F.col("nrosegmento").cast("int").alias("segmento_id"), F.upper("centralloja").alias("central_loja"),
+        _status(F.col("status")).alias("status"),
+        opt(src, "precopromocional", MONEY).alias("preco_promocional"),
+        opt(src, "percdescpromoc", MONEY).alias("perc_desconto"),
+        opt(src, "dtainicioprom", "date").alias("dta_inicio_item"),
+        opt(src, "dtafimprom", "date").alias("dta_fim_item"),
+    )

@@ -521,11 +521,77 @@ INDICATOR_PAYLOADS = StandIn("indicadores_payload", (
        distinct=True),
 ))
 
+# ---------------------------------------------------------------------------
+# Product x store snapshot inputs: one row per (product, store) seen in the
+# sales lines, prices per segment and pack, promotions (headers and items).
+# ---------------------------------------------------------------------------
+
+_PS_KEY = [("seqproduto", "CAST(l_partkey AS INT)"), ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)")]
+
+PRODUCT_STORE = StandIn("mrl_produtoempresa", (_p("lineitem", _PS_KEY + [
+    ("statuscompra", "CASE WHEN l_partkey % 9 = 0 THEN 'I' WHEN l_partkey % 9 = 1 THEN NULL ELSE 'A' END"),
+    ("indgeraruptura", "CASE WHEN l_partkey % 4 = 0 THEN 'S' WHEN l_partkey % 4 = 1 THEN 'N' END"),
+    ("locentrada", "1"), ("locsaida", "2"),
+    ("estqloja", f"CAST(l_partkey % 50 AS {QTY})"),
+    ("estqdeposito", f"CAST(l_partkey % 13 AS {QTY})"),
+    ("estqempresa", f"CAST(l_partkey % 50 + l_partkey % 13 AS {QTY})"),
+    ("medvdiageral", f"CASE WHEN l_partkey % 11 = 0 THEN CAST(0 AS {QTY}) WHEN l_partkey % 11 = 1 THEN NULL "
+                     f"ELSE CAST((l_partkey % 7 + 1) * 0.75 AS {QTY}) END"),
+    ("cmultcusliquidoemp", f"CAST(l_partkey % 90 + 0.5 AS {MONEY})"),
+    ("dtaultmoventrada", "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE DATE '2001-01-01' + CAST(l_partkey % 290 AS INT) END"),
+    ("dtaultcompra", "CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE DATE '2000-06-01' + CAST(l_partkey % 400 AS INT) END"),
+    ("dtaultvenda", "CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE DATE '2001-03-01' + CAST(l_partkey % 240 AS INT) END"),
+    ("qtdultvenda", f"CAST(l_partkey % 5 + 1 AS {QTY})"),
+], distinct=True),))
+
+
+def _price_part(segment: int, pack: int) -> Part:
+    return _p("lineitem", _PS_KEY + [
+        ("nrosegmento", str(segment)), ("qtdembalagem", f"CAST({pack} AS {QTY})"),
+        ("statusvenda", "CASE WHEN l_partkey % 10 = 0 THEN 'I' ELSE 'A' END"),
+        ("precobasenormal", f"CAST(l_partkey % 100 + {segment} + {pack} - 0.01 AS {MONEY})"),
+        ("precovalidnormal", f"CAST(l_partkey % 100 + {segment} + {pack} + 0.99 AS {MONEY})"),
+        ("margemlucroprodempseg", f"CAST(l_partkey % 30 AS {MONEY})"),
+        ("indrevisaopreco", "CASE WHEN l_partkey % 3 = 0 THEN 'S' ELSE 'N' END"),
+    ], distinct=True)
+
+
+PRICES = StandIn("mrl_prodempseg", (_price_part(1, 1), _price_part(2, 1), _price_part(1, 6)))
+
+_PROMO = "CAST(l_partkey % 40 AS INT)"
+_PROMO2 = "CAST((l_partkey % 40 + 2) % 40 AS INT)"
+_PROMO_SEG = "CAST(l_partkey % 2 + 1 AS INT)"
+
+PROMO_HEADERS = StandIn("mrl_promocao", (_p("lineitem", [
+    ("seqpromocao", _PROMO), ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"), ("nrosegmento", _PROMO_SEG),
+    ("centralloja", "'L'"), ("promocao", "'promo ' || CAST(l_partkey % 40 AS STRING)"),
+    ("dtainicio", "DATE '2001-10-01' + CAST(l_partkey % 40 % 5 AS INT)"),
+    ("dtafim", "DATE '2001-11-01' + CAST(l_partkey % 40 % 7 * 2 AS INT)"),
+], distinct=True),))
+
+
+def _promo_item(promo: str, end_shift: str, where: str | None) -> Part:
+    return _p("lineitem", [
+        ("seqproduto", "CAST(l_partkey AS INT)"), ("qtdembalagem", f"CAST(1 AS {QTY})"), ("seqpromocao", promo),
+        ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"), ("nrosegmento", _PROMO_SEG), ("centralloja", "'L'"),
+        ("status", "CASE WHEN l_partkey % 8 = 0 THEN 'I' ELSE 'A' END"),
+        ("precopromocional", f"CAST(l_partkey % 100 + 0.49 AS {MONEY})"),
+        ("percdescpromoc", f"CAST(l_partkey % 25 AS {MONEY})"),
+        ("dtainicioprom", "CASE WHEN l_partkey % 3 = 0 THEN DATE '2001-10-20' END"),
+        ("dtafimprom", f"CASE WHEN l_partkey % 3 = 0 THEN DATE '2001-11-04' + {end_shift} END"),
+    ], where, distinct=True)
+
+
+PROMO_ITEMS = StandIn("mrl_promocaoitem", (
+    _promo_item(_PROMO, "CAST(l_partkey % 5 AS INT)", None),
+    _promo_item(_PROMO2, "CAST(l_partkey % 4 AS INT)", "l_partkey % 5 = 0"),
+))
+
 ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
-                           INDICATOR_PAYLOADS]}
+                           INDICATOR_PAYLOADS, PRODUCT_STORE, PRICES, PROMO_HEADERS, PROMO_ITEMS]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
