@@ -421,3 +421,34 @@ def product_store_snapshot(w: Warehouse) -> DataFrame:
         marts.delivery_time(w.receipts_fact), marts.abc_curve(w.sales_fact, w.product_category),
         dims.active_promotion(silver.promotion_items(w.raw("mrl_promocaoitem")),
                               silver.promotions(w.raw("mrl_promocao")), as_of), as_of)
+
+
+# ---------------------------------------------------------------- label backfill and code tables
+
+BACKFILL_WINDOW_DAYS = 180
+
+
+@register("label_backfill", oracle.PURCHASE_ORDER)
+def label_backfill(w: Warehouse) -> DataFrame:
+    """Stored purchase-order fact whose rows outside the 180-day window still hold raw codes,
+    re-decoded in place (idempotent)."""
+    as_of = _max_date(w.raw("msu_pedidosuprim"), "dtaemissao")
+    cut = F.date_sub(F.lit(as_of), BACKFILL_WINDOW_DAYS)
+    legacy = facts.purchase_order_fact(silver.order_headers(w.raw("msu_pedidosuprim"), humanize=False),
+                                       silver.order_items(w.raw("msu_psitemreceber"), humanize=False))
+    current = facts.purchase_order_fact(w.order_headers, w.order_items)
+    stored = legacy.where(F.col("dta_emissao") < cut).unionByName(current.where(F.col("dta_emissao") >= cut))
+    return _no_stamp(facts.label_backfill(stored))
+
+
+@register("order_code_tables", oracle.ORDER_CODE_TABLES)
+def order_code_tables(w: Warehouse) -> DataFrame:
+    """Order state, type and origin code tables (code -> upper-cased description)."""
+    parts = [("situacao", "madv_situacaoped", "situacaoped", "descsituacaoped"),
+             ("tipo", "madv_tippedido", "tippedido", "desctippedido"),
+             ("origem", "madv_origempedido", "origempedido", "descorigempedido")]
+    out = None
+    for tabela, raw, code, desc in parts:
+        df = silver.code_table(w.raw(raw), code, desc, "codigo", "descricao").withColumn("tabela", F.lit(tabela))
+        out = df if out is None else out.unionByName(df)
+    return out

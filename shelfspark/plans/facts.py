@@ -112,3 +112,17 @@ def purchase_order_fact(headers: DataFrame, items: DataFrame, min_date=None) ->
         F.col("h.observacao").alias("observacao"),
         F.col("i.carregado_em").alias("carregado_em"),
     )
+
+
+def label_backfill(stored: DataFrame) -> DataFrame:
+    """Re-decode the code columns of stored purchase-order rows.
+
+    Rows loaded outside the current extract window may still hold raw source
+    codes; decoding again turns them into labels and leaves labels as they are
+    (a label is not a code and is already upper case), so it can be re-run.
+    """
+    from shelfspark.plans.silver import ITEM_STATES, PURCHASE_ORDER_STATES, PURCHASE_ORDER_TYPES, STORE_OR_HQ
+    from shelfspark.functions.columns import decode
+    maps = {"central_loja": STORE_OR_HQ, "tip_pedido_suprim": PURCHASE_ORDER_TYPES,
+            "situacao_ped": PURCHASE_ORDER_STATES, "status_item": ITEM_STATES}
+    return stored.select(*[decode(F.col(c), maps[c]).alias(c) if c in maps else F.col(c) for c in stored.columns])

@@ -177,15 +177,21 @@ def locations(src: DataFrame) -> DataFrame:
     )
 
 
-def order_headers(src: DataFrame) -> DataFrame:
+def _label(c, mapping, humanize: bool):
+    return decode(c, mapping) if humanize else F.upper(c)
+
+
+def order_headers(src: DataFrame, humanize: bool = True) -> DataFrame:
+    """Purchase-order headers. ``humanize=False`` keeps the raw upper-cased codes,
+    which is what rows loaded before the code labels existed hold."""
     return src.select(
         F.col("nropedidosuprim").cast("bigint").alias("pedido_id"),
         F.col("nroempresa").cast("int").alias("empresa_id"),
-        decode(F.col("centralloja"), STORE_OR_HQ).alias("central_loja"),
+        _label(F.col("centralloja"), STORE_OR_HQ, humanize).alias("central_loja"),
         opt(src, "seqcomprador", "int").alias("comprador_id"),
         opt(src, "seqfornecedor", "int").alias("fornecedor_id"),
-        decode(F.col("tippedidosuprim"), PURCHASE_ORDER_TYPES).alias("tip_pedido_suprim"),
-        decode(F.col("situacaoped"), PURCHASE_ORDER_STATES).alias("situacao_ped"),
+        _label(F.col("tippedidosuprim"), PURCHASE_ORDER_TYPES, humanize).alias("tip_pedido_suprim"),
+        _label(F.col("situacaoped"), PURCHASE_ORDER_STATES, humanize).alias("situacao_ped"),
         F.col("dtaemissao").cast("date").alias("dta_emissao"),
         opt(src, "dtarecebto", "date").alias("dta_recebto"),
         opt(src, "dtalimiterecebto", "date").alias("dta_limite_recebto"),
@@ -201,11 +207,11 @@ def order_headers(src: DataFrame) -> DataFrame:
     )
 
 
-def order_items(src: DataFrame) -> DataFrame:
+def order_items(src: DataFrame, humanize: bool = True) -> DataFrame:
     return src.select(
         F.col("nropedidosuprim").cast("bigint").alias("pedido_id"),
         F.col("nroempresa").cast("int").alias("empresa_id"),
-        decode(F.col("centralloja"), STORE_OR_HQ).alias("central_loja"),
+        _label(F.col("centralloja"), STORE_OR_HQ, humanize).alias("central_loja"),
         F.col("seqproduto").cast("int").alias("produto_id"),
         F.col("seqitem").cast("int").alias("item_seq"),
         opt(src, "qtdsolicitada", QTY).alias("qtd_solicitada"),
@@ -214,7 +220,7 @@ def order_items(src: DataFrame) -> DataFrame:
         opt(src, "qtdtotrecebida", QTY).alias("qtd_tot_recebida"),
         opt(src, "qtdtotcancelada", QTY).alias("qtd_tot_cancelada"),
         opt(src, "qtdtottransito", QTY).alias("qtd_tot_transito"),
-        decode(F.col("statusitem"), ITEM_STATES).alias("status_item"),
+        _label(F.col("statusitem"), ITEM_STATES, humanize).alias("status_item"),
         opt(src, "dtarecebtoitem", "date").alias("dta_recebto_item"),
         opt(src, "vlrunitario", MONEY).alias("vlr_unitario"),
         opt(src, "vlrembitem", MONEY).alias("vlr_emb_item"),
@@ -480,3 +486,9 @@ def promotion_items(src: DataFrame) -> DataFrame:
         opt(src, "dtainicioprom", "date").alias("dta_inicio_item"),
         opt(src, "dtafimprom", "date").alias("dta_fim_item"),
     )
+
+
+def code_table(src: DataFrame, code_col: str, desc_col: str, id_name: str, label_name: str) -> DataFrame:
+    """Small code -> description tables of the order module."""
+    return src.select(F.col(code_col).cast("string").alias(id_name),
+                      F.upper(F.col(desc_col).cast("string")).alias(label_name))

@@ -587,11 +587,24 @@ PROMO_ITEMS = StandIn("mrl_promocaoitem", (
     _promo_item(_PROMO2, "CAST(l_partkey % 4 AS INT)", "l_partkey % 5 = 0"),
 ))
 
+# Order-module code tables.
+ORDER_STATES = StandIn("madv_situacaoped", (_p("orders", [
+    ("situacaoped", "CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'L' ELSE 'q' END"),
+    ("descsituacaoped", "'situacao ' || lower(o_orderstatus)"),
+], distinct=True),))
+ORDER_TYPES = StandIn("madv_tippedido", (_p("orders", [
+    ("tippedido", "substr(o_orderpriority, 1, 1)"), ("desctippedido", "lower(o_orderpriority)"),
+], distinct=True),))
+ORDER_ORIGINS = StandIn("madv_origempedido", (_p("customer", [
+    ("origempedido", "substr(c_mktsegment, 1, 2)"), ("descorigempedido", "lower(c_mktsegment)"),
+], distinct=True),))
+
 ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
-                           INDICATOR_PAYLOADS, PRODUCT_STORE, PRICES, PROMO_HEADERS, PROMO_ITEMS]}
+                           INDICATOR_PAYLOADS, PRODUCT_STORE, PRICES, PROMO_HEADERS, PROMO_ITEMS,
+                           ORDER_STATES, ORDER_TYPES, ORDER_ORIGINS]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
