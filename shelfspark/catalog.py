@@ -268,11 +268,11 @@ def _max_date(df: DataFrame, col: str):
 
 @register("windowed_extract", oracle.WINDOWED_EXTRACT)
 def windowed_extract(w: Warehouse) -> DataFrame:
-    """Stock-ledger extract of the last 90 days, flag filter 'S' or NULL-safe kind, load stamp."""
+    """Stock-ledger extract of the last 90 days, stock-changing flag ('S' or NULL), load stamp."""
     src = w.raw("mrl_lanctoestoque")
     as_of = _max_date(src, "dtaentradasaida")
     run_ts = _dt.datetime.combine(as_of + _dt.timedelta(days=1), _dt.time(1, 0))
-    return extracts.stamp(extracts.window_extract(src, "dtaentradasaida", as_of, 90), run_ts)
+    return extracts.stamp(extracts.stock_ledger_extract(src, as_of, 90), run_ts)
 
 
 @register("range_extract", oracle.RANGE_EXTRACT)
@@ -452,3 +452,24 @@ def order_code_tables(w: Warehouse) -> DataFrame:
         df = silver.code_table(w.raw(raw), code, desc, "codigo", "descricao").withColumn("tabela", F.lit(tabela))
         out = df if out is None else out.unionByName(df)
     return out
+
+
+@register("abc_network", oracle.ABC_NETWORK)
+def abc_network(w: Warehouse) -> DataFrame:
+    """Network-wide ABC classes per product (distributed running sum without a partition key)."""
+    return marts.abc_network(w.sales_fact)
+
+
+@register("holidays", oracle.HOLIDAYS)
+def holidays(w: Warehouse) -> DataFrame:
+    """Holiday table over the data's years: fixed dates x years plus Easter-based feasts, names merged."""
+    years = w.sales_fact.select(F.year("data_venda").alias("ano")).distinct()
+    return cal.holidays(w.spark, years, seeds.fixed_holidays(w.spark))
+
+
+@register("labels_and_keys", oracle.LABELS_AND_KEYS)
+def labels_and_keys(w: Warehouse) -> DataFrame:
+    """Person/company staging: 'id - name' labels, address with S/N default, taxpayer id
+    assembly (9/12-digit root + check digits, NULL when a part is missing), flag decodes."""
+    return w.persons.select("pessoa_id", "nome_razao", "nome_razao_id_nome", "nome_fantasia", "status", "pessoa_tipo",
+                            "cidade", "uf", "endereco", "cnpj_cpf", "contribuinte_icms")

@@ -27,19 +27,29 @@ MOVABLE_FEASTS = [("Carnaval", -47), ("Sexta-feira da Paixão", -2), ("Corpus Ch
 HOUR_PERIODS = [(6, "MADRUGADA"), (12, "MANHÃ"), (18, "TARDE"), (24, "NOITE")]
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter Sunday of ``year`` (Tøndering's formulation of the computus)."""
-    g = year % 19
-    c = year.cast("int") / 100
-    c = F.floor(c).cast("int")
-    h = (c - F.floor(c / 4) - F.floor((8 * c + 13) / 25) + 19 * g + 15) % 30
-    h = h.cast("int")
-    i = h - F.floor(h / 28) * (1 - F.floor(29 / (h + 1)) * F.floor((21 - g) / 11))
-    j = (year + F.floor(year / 4) + i + 2 - c + F.floor(c / 4)) % 7
-    ell = i - j
-    month = 3 + F.floor((ell + 40) / 44)
-    day = ell + 28 - 31 * F.floor(month / 4)
-    return F.make_date(year.cast("int"), month.cast("int"), day.cast("int"))
+def _idiv(a: Column, b) -> Column:
+    """Integer division of non-negative values."""
+    return F.floor(a / b).cast("int")
+
+
+def with_easter(years: DataFrame, year_col: str = "ano", out_col: str = "pascoa") -> DataFrame:
+    """Add the Gregorian Easter Sunday of each year (Tøndering's formulation).
+
+    Each intermediate is its own projection, so Catalyst keeps them as
+    columns instead of inlining the nested formula several times.
+    """
+    y = F.col(year_col).cast("int")
+    df = years.withColumn("_g", y % 19).withColumn("_c", _idiv(y, 100))
+    c, g = F.col("_c"), F.col("_g")
+    df = df.withColumn("_h", ((c - _idiv(c, 4) - _idiv(8 * c + 13, 25) + 19 * g + 15) % 30).cast("int"))
+    h = F.col("_h")
+    df = df.withColumn("_i", h - _idiv(h, 28) * (1 - _idiv(F.lit(29), h + 1) * _idiv(21 - g, 11)))
+    i = F.col("_i")
+    df = df.withColumn("_j", ((y + _idiv(y, 4) + i + 2 - c + _idiv(c, 4)) % 7).cast("int"))
+    df = df.withColumn("_l", i - F.col("_j"))
+    df = df.withColumn("_m", 3 + _idiv(F.col("_l") + 40, 44))
+    df = df.withColumn(out_col, F.make_date(y, F.col("_m"), F.col("_l") + 28 - 31 * _idiv(F.col("_m"), 4)))
+    return df.drop("_g", "_c", "_h", "_i", "_j", "_l", "_m")
 
 
 def day_spine(spark: SparkSession, start: Column, end: Column) -> DataFrame:
@@ -50,10 +60,9 @@ def holidays(spark: SparkSession, years: DataFrame, fixed: DataFrame) -> DataFra
     """One row per holiday date; names of coinciding holidays joined with ' / ' in name order."""
     fixed_days = years.crossJoin(F.broadcast(fixed)).select(
         F.make_date("ano", "mes", "dia").alias("data"), "nome")
-    easter = easter_sunday(F.col("ano"))
-    feasts = F.array(*[F.struct(F.date_add(easter, off).alias("data"), F.lit(name).alias("nome"))
+    feasts = F.array(*[F.struct(F.date_add("pascoa", off).alias("data"), F.lit(name).alias("nome"))
                        for name, off in MOVABLE_FEASTS])
-    movable = years.select(F.inline(feasts))
+    movable = with_easter(years).select(F.inline(feasts))
     both = fixed_days.unionByName(movable)
     return (both.groupBy("data")
             .agg(F.array_join(F.array_sort(F.collect_list("nome")), " / ").alias("nome")))

@@ -27,6 +27,14 @@ def window_extract(df: DataFrame, date_col: str, as_of: dt.date, days: int) -> D
     return df.where(F.col(date_col) >= F.lit(as_of - dt.timedelta(days=days)))
 
 
+def stock_ledger_extract(df: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """Stock-ledger window keeping only movements that change stock: flag 'S' or
+    NULL (a NULL flag counts as changing). The flag itself is not extracted."""
+    flag = F.col("geralteracaoestq")
+    changes = df.where((flag == "S") | flag.isNull())
+    return window_extract(changes, "dtaentradasaida", as_of, days).drop("geralteracaoestq")
+
+
 def range_extract(df: DataFrame, date_col: str, start, end) -> DataFrame:
     """Inclusive range ``BETWEEN start AND end``. With a date ``end`` and a
     timestamp column, times after midnight of the last day fall outside, as in

@@ -28,14 +28,10 @@ def within(df: DataFrame, period: DataFrame, date_col: str) -> DataFrame:
                    F.col(date_col).between(F.col("periodo_inicio"), F.col("periodo_fim")))
 
 
-def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
-    """ABC classes per store, per store x category and network-wide, by value and by quantity.
-
-    Net revenue and quantity per store x product over the trailing year (all
-    operations, returns negative); products with net revenue <= 0 are left
-    out. A <= 80 %, B <= 95 %, else C, on the running share in descending
-    order with the product id as tie-break.
-    """
+def abc_store_product(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Net revenue and quantity per store x product over the trailing year (all
+    operations, returns negative), products with net revenue <= 0 left out;
+    materialised, plus the one-row period."""
     period = trailing_year(sales, "data_venda")
     per_store = (within(sales.select("empresa_id", "produto_id", "data_venda", "valor_venda_liquido",
                                      "qtd_venda_liquida"), period, "data_venda")
@@ -47,18 +43,52 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
     # them once (reliable checkpoint in the shared folder) instead of
     # re-aggregating the fact for every branch
     checkpoint_dir(sales.sparkSession)
-    per_store = per_store.checkpoint(eager=True)
+    return per_store.checkpoint(eager=True), period
+
+
+def abc_network_running(per_store: DataFrame) -> DataFrame:
+    """Network-wide running totals per product, by value and by quantity.
 
-    # network totals per product are aggregated from the store rows first, so a
-    # product enters the network curve once
+    Network totals per product are aggregated from the store rows first, so a
+    product enters the network curve once.
+    """
     network = (per_store.groupBy("produto_id")
                .agg(F.sum("receita_liq").alias("receita_liq_rede"),
                     F.sum("quantidade_liq").alias("quantidade_liq_rede")))
     network = network.checkpoint(eager=True)
     network = global_running_sum(network, [F.col("receita_liq_rede").desc(), F.col("produto_id").asc()],
                                  "receita_liq_rede", "receita_acum_rede", "receita_total_rede")
-    network = global_running_sum(network, [F.col("quantidade_liq_rede").desc(), F.col("produto_id").asc()],
-                                 "quantidade_liq_rede", "qtd_acum_rede", "qtd_total_rede")
+    return global_running_sum(network, [F.col("quantidade_liq_rede").desc(), F.col("produto_id").asc()],
+                              "quantidade_liq_rede", "qtd_acum_rede", "qtd_total_rede")
+
+
+def _curve(acum: str, total: str, name: str):
+    return [share_pct(F.col(acum), F.col(total)).alias(f"pct_acum_{name}"),
+            abc_class(F.col(acum), F.col(total)).alias(f"curva_abc_{name}")]
+
+
+def abc_network(sales: DataFrame) -> DataFrame:
+    """Network ABC classes per product (one row per product with positive store revenue)."""
+    per_store, period = abc_store_product(sales)
+    net = abc_network_running(per_store).crossJoin(F.broadcast(period))
+    return net.select("produto_id",
+                      F.col("receita_liq_rede").cast("decimal(28,2)").alias("receita_liq_rede"),
+                      F.col("quantidade_liq_rede").cast("decimal(28,3)").alias("quantidade_liq_rede"),
+                      *_curve("receita_acum_rede", "receita_total_rede", "valor_rede"),
+                      *_curve("qtd_acum_rede", "qtd_total_rede", "qtd_rede"),
+                      "periodo_inicio", "periodo_fim")
+
+
+def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
+    """ABC classes per store, per store x category and network-wide, by value and by quantity.
+
+    Net revenue and quantity per store x product over the trailing year (all
+    operations, returns negative); products with net revenue <= 0 are left
+    out. A <= 80 %, B <= 95 %, else C, on the running share in descending
+    order with the product id as tie-break.
+    """
+    per_store, period = abc_store_product(sales)
+    network = abc_network_running(per_store)
 
     enriched = per_store.join(product_category.select("produto_id", "familia_id", "categoria_id"),
                               "produto_id", "left")
@@ -74,10 +104,7 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
 
     out = s.join(network, "produto_id").crossJoin(F.broadcast(period))
 
-    def curve(acum, total, name):
-        return [share_pct(F.col(acum), F.col(total)).alias(f"pct_acum_{name}"),
-                abc_class(F.col(acum), F.col(total)).alias(f"curva_abc_{name}")]
-
+    curve = _curve
     return out.select(
         "empresa_id", "produto_id", "familia_id", "categoria_id",
         F.col("receita_liq").cast("decimal(28,2)").alias("receita_liq"),

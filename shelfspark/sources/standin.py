@@ -161,6 +161,7 @@ STOCK_LEDGER = StandIn("mrl_lanctoestoque", (_p("lineitem", [
     ("nrodocumento", "CAST(l_orderkey AS STRING)"),
     ("seqloteestoque", "CAST(NULL AS INT)"),
     ("historico", "'LINHA ' || CAST(l_linenumber AS STRING)"),
+    ("geralteracaoestq", "CASE WHEN l_linenumber = 3 THEN 'N' WHEN l_linenumber = 6 THEN NULL ELSE 'S' END"),
 ]),))
 
 STOCK_DAILY = StandIn("mrl_custodia", (_p("lineitem", [

@@ -11,11 +11,11 @@ def test_easter_known_years(spark):
     expected = {1954: dt.date(1954, 4, 18), 1981: dt.date(1981, 4, 19), 2024: dt.date(2024, 3, 31),
                 2025: dt.date(2025, 4, 20), 2038: dt.date(2038, 4, 25), 2049: dt.date(2049, 4, 18),
                 2076: dt.date(2076, 4, 19), 2285: dt.date(2285, 3, 22)}
-    df = spark.createDataFrame([(y,) for y in years], "y int")
-    got = {r[0]: r[1] for r in df.select("y", cal.easter_sunday(F.col("y"))).collect()}
+    df = spark.createDataFrame([(y,) for y in years], "ano int")
+    got = {r["ano"]: r["pascoa"] for r in cal.with_easter(df).collect()}
     assert got == expected
     # always a Sunday between 22 March and 25 April
-    many = spark.range(1900, 2400).select(cal.easter_sunday(F.col("id")).alias("d"))
+    many = cal.with_easter(spark.range(1900, 2400).withColumnRenamed("id", "ano")).select(F.col("pascoa").alias("d"))
     bad = many.where((F.dayofweek("d") != 1) | (F.date_format("d", "MMdd") < "0322")
                      | (F.date_format("d", "MMdd") > "0425"))
     assert bad.count() == 0
