@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfspark import oracle
 from shelfspark.plans import marts
 from shelfspark.plans.warehouse import Warehouse
-from shelfspark.session import apply_conf
+from shelfspark.session import apply_conf, checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -149,8 +149,15 @@ def _params(w: Warehouse) -> DataFrame:
     return targets.target_params(w.raw("meta_parametros"))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Materialise a mart that later steps read more than once (as the stored table
+    they read in production), via a reliable checkpoint in the shared folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _allocation(w: Warehouse) -> DataFrame:
-    return targets.allocation(_shares(w), _params(w), targets.store_adjustments(w.raw("meta_ajustes_loja")))
+    return targets.allocation(_stored(_shares(w)), _params(w), targets.store_adjustments(w.raw("meta_ajustes_loja")))
 
 
 @register("participation", oracle.PARTICIPATION)
@@ -168,7 +175,7 @@ def target_allocation(w: Warehouse) -> DataFrame:
 @register("target_writeback", oracle.WRITEBACK)
 def target_writeback(w: Warehouse) -> DataFrame:
     """Adjustments table after updating calculated columns and inserting missing stores."""
-    return targets.writeback(_allocation(w), _params(w), w.raw("meta_ajustes_loja"))
+    return targets.writeback(_stored(_allocation(w)), _params(w), w.raw("meta_ajustes_loja"))
 
 
 @register("group_reference", oracle.GROUP_REFERENCE)
