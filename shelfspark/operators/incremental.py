@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +70,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None when nothing readable is there yet (no folder,
+    or a folder left by a load that had no rows)."""
+    if not table_exists(spark, path):
+        return None
+    try:
+        return read_table(spark, path)
+    except AnalysisException:
+        return None
+
+
 def full_refresh(spark: SparkSession, path: str, df: DataFrame, partition_col: str, window_only_source: bool) -> None:
     """Rebuild a table from scratch; refused for facts whose source only holds a window."""
     if window_only_source and table_exists(spark, path):
@@ -84,10 +96,10 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     the key (e.g. the month of a date in the key), so a key never moves
     between partitions and only the batch's own partitions are touched.
     """
-    if not table_exists(spark, path):
-        batch.write.partitionBy(partition_col).parquet(path)
+    target = _existing(spark, path)
+    if target is None:
+        batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
-    target = read_table(spark, path)
     batch_parts = batch.select(partition_col).distinct()
     if partition_from_key or partition_col in key:
         affected = batch_parts

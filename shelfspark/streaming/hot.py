@@ -45,6 +45,8 @@ def latest_run_per_key(fact_rows: DataFrame, key: list[str]) -> DataFrame:
 def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key: list[str]):
     """``foreachBatch`` function: one delete+insert per micro-batch, newest run per key."""
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # a micro-batch of empty files changes nothing
+            return
         rows = latest_run_per_key(to_fact(batch), key)
         load_delete_insert(batch.sparkSession, target_path, rows, key, PARTITION_COL, partition_from_key=True)
     return apply
