@@ -24,8 +24,21 @@ from shelfspark.session import checkpoint_dir
 
 
 def running_sum(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], value: str,
-                cum_col: str, total_col: str | None = None) -> DataFrame:
-    """Add ``cum_col`` (rows up to and including this one) and optionally the partition total."""
+                cum_col: str, total_col: str | None = None, max_group_rows: int | None = None,
+                biggest_group: int | None = None) -> DataFrame:
+    """Add ``cum_col`` (rows up to and including this one) and optionally the partition total.
+
+    With ``max_group_rows`` set, the largest group is measured first (one
+    aggregate); a plain window is used only when no group exceeds it,
+    otherwise the range-partitioned version splits hot groups across tasks.
+    ``biggest_group`` passes a size the caller has already measured.
+    """
+    if max_group_rows is not None:
+        biggest = biggest_group
+        if biggest is None:
+            biggest = df.groupBy(*partition_cols).count().agg(F.max("count")).first()[0] or 0
+        if biggest > max_group_rows:
+            return ranged_running_sum(df, order, value, cum_col, total_col, group_cols=partition_cols)
     w = Window.partitionBy(*partition_cols).orderBy(*order)
     out = df.withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if total_col:
@@ -57,30 +70,48 @@ def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_c
 
 
 def ranged_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
-                       total_col: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Range-partitioned prefix sum: every step runs in parallel."""
+                       total_col: str | None = None, partitions: int | None = None,
+                       group_cols: Sequence[str] = ()) -> DataFrame:
+    """Range-partitioned prefix sum; every step runs in parallel.
+
+    Rows are range-partitioned on (group, order), so each range holds a
+    contiguous slice of every group it touches and a hot group is spread over
+    many ranges. Only groups that span several ranges need an offset (the sum
+    of their earlier ranges) and a total from outside the range; there are at
+    most about two per range, so that table is bounded by the number of
+    ranges and is broadcast.
+    """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    g = list(group_cols)
+    keys = [F.col(c).asc() for c in g] + list(order)
+    ranged = (df.repartitionByRange(n, *keys)
+                .sortWithinPartitions(*keys)
                 .withColumn("_range_id", F.spark_partition_id()))
     # Fix the range assignment: the bounds come from sampling, so recomputing
     # the lineage could move rows between ranges.
     ranged = ranged.checkpoint(eager=True)
-    per_range = ranged.groupBy("_range_id").agg(F.sum(value).alias("_range_sum"))
-    offsets = per_range.select(
-        "_range_id",
-        F.coalesce(F.sum("_range_sum").over(Window.orderBy("_range_id")
-                                             .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast(per_range.schema["_range_sum"].dataType)).alias("_offset"),
-        F.sum("_range_sum").over(Window.partitionBy()).alias("_grand_total"),
+    per_range = ranged.groupBy("_range_id", *g).agg(F.sum(value).alias("_range_sum"))
+    zero = F.lit(0).cast(per_range.schema["_range_sum"].dataType)
+    if g:
+        spanning = per_range.groupBy(*g).count().where(F.col("count") > 1).select(*g)
+        parts = per_range.join(spanning, g, "left_semi")
+    else:
+        parts = per_range
+    by_group = Window.partitionBy(*g)
+    offsets = parts.select(
+        "_range_id", *g,
+        F.coalesce(F.sum("_range_sum").over(by_group.orderBy("_range_id")
+                                             .rowsBetween(Window.unboundedPreceding, -1)), zero).alias("_offset"),
+        F.sum("_range_sum").over(by_group).alias("_group_total"),
     )
-    # one row per range partition: the broadcast is bounded by n
-    joined = ranged.join(F.broadcast(offsets), "_range_id")
-    local = Window.partitionBy("_range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)
-    out = joined.withColumn(cum_col, F.col("_offset") + F.sum(value).over(local))
+    # at most ~2 rows per range partition: the broadcast is bounded by n
+    joined = ranged.join(F.broadcast(offsets), ["_range_id", *g], "left")
+    local = Window.partitionBy("_range_id", *g)
+    out = joined.withColumn(cum_col, F.coalesce(F.col("_offset"), zero)
+                            + F.sum(value).over(local.orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                                   Window.currentRow)))
     if total_col:
-        out = out.withColumn(total_col, F.col("_grand_total"))
-    return out.drop("_range_id", "_offset", "_grand_total")
+        out = out.withColumn(total_col, F.coalesce(F.col("_group_total"), F.sum(value).over(local)))
+    return out.drop("_range_id", "_offset", "_group_total")

@@ -11,6 +11,7 @@ from shelfspark.session import checkpoint_dir
 
 PURCHASE_OPERATIONS = [1, 11, 105, 107, 200, 205]  # fixed: receipt codes that are purchases
 MAX_DELIVERY_DAYS = 180
+GROUP_ROWS = 1_000_000  # largest running-sum group kept in a single window task
 
 
 def trailing_year(df: DataFrame, date_col: str) -> DataFrame:
@@ -94,13 +95,21 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
                               "produto_id", "left")
     by_value = [F.col("receita_liq").desc(), F.col("produto_id").asc()]
     by_qty = [F.col("quantidade_liq").desc(), F.col("produto_id").asc()]
+    # a store's rows are bounded by the catalogue; still, a store (or store x
+    # category) above GROUP_ROWS rows is split over several tasks. Both group
+    # sizes come from one small aggregate.
+    sizes = (enriched.groupBy("empresa_id", "categoria_id").count()
+             .groupBy("empresa_id").agg(F.sum("count").alias("s"), F.max("count").alias("c"))
+             .agg(F.max("s"), F.max("c")).first())
+    store_rows, category_rows = sizes[0] or 0, sizes[1] or 0
     s = running_sum(enriched, ["empresa_id"], by_value, "receita_liq", "receita_acum_empresa",
-                    "receita_total_empresa")
-    s = running_sum(s, ["empresa_id"], by_qty, "quantidade_liq", "qtd_acum_empresa", "qtd_total_empresa")
+                    "receita_total_empresa", max_group_rows=GROUP_ROWS, biggest_group=store_rows)
+    s = running_sum(s, ["empresa_id"], by_qty, "quantidade_liq", "qtd_acum_empresa", "qtd_total_empresa",
+                    max_group_rows=GROUP_ROWS, biggest_group=store_rows)
     s = running_sum(s, ["empresa_id", "categoria_id"], by_value, "receita_liq", "receita_acum_categoria",
-                    "receita_total_categoria")
+                    "receita_total_categoria", max_group_rows=GROUP_ROWS, biggest_group=category_rows)
     s = running_sum(s, ["empresa_id", "categoria_id"], by_qty, "quantidade_liq", "qtd_acum_categoria",
-                    "qtd_total_categoria")
+                    "qtd_total_categoria", max_group_rows=GROUP_ROWS, biggest_group=category_rows)
 
     out = s.join(network, "produto_id").crossJoin(F.broadcast(period))
 
