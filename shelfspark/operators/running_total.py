@@ -115,3 +115,30 @@ def ranged_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_c
     if total_col:
         out = out.withColumn(total_col, F.coalesce(F.col("_group_total"), F.sum(value).over(local)))
     return out.drop("_range_id", "_offset", "_group_total")
+
+
+def ranged_lag(df: DataFrame, group_cols: Sequence[str], order_col: str, col: str, out_col: str,
+               partitions: int | None = None) -> DataFrame:
+    """``lag(col) over (partition by group order by order_col)`` without a
+    single task per group: rows are range-partitioned on (group, order); the
+    first row of a range takes the last value of the previous range of the
+    same group, looked up in a table of at most about two rows per range
+    (broadcast). ``order_col`` must be unique within a group."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    g = list(group_cols)
+    keys = [F.col(c).asc() for c in g] + [F.col(order_col).asc()]
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_range_id", F.spark_partition_id())).checkpoint(eager=True)
+    last = ranged.groupBy("_range_id", *g).agg(F.max_by(col, order_col).alias("_last"),
+                                              F.min(order_col).alias("_first_seq"))
+    spanning = last.groupBy(*g).count().where(F.col("count") > 1).select(*g)
+    carry = (last.join(spanning, g, "left_semi")
+                 .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*g).orderBy("_range_id")))
+                 .select("_range_id", *g, "_first_seq", "_carry"))
+    joined = ranged.join(F.broadcast(carry), ["_range_id", *g], "left")
+    local = F.lag(col).over(Window.partitionBy("_range_id", *g).orderBy(order_col))
+    first_in_range = F.col(order_col) == F.col("_first_seq")
+    out = joined.withColumn(out_col, F.when(first_in_range, F.col("_carry")).otherwise(local))
+    return out.drop("_range_id", "_first_seq", "_carry")

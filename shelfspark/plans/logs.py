@@ -3,8 +3,8 @@
 Log lines are read as rows (``spark.read.text`` on a cluster; here a
 stand-in with the file name and line number). Each run's duration per
 pipeline is the time since the previous pipeline finished (the first one:
-since the workflow started) -- a ``lag`` over one run's lines, so a window
-partition holds one log file.
+since the workflow started) -- a ``lag`` over one run's lines; an oversized
+log file is split over several tasks with a range-partitioned lag.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators.running_total import ranged_lag
+
 # The engine's log line formats.
 START_PATTERN = r"^(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) - (\S+) - Start of workflow execution"
 FINISH_PATTERN = r"^(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) - (\S+) - Execution finished on a local pipeline engine"
@@ -28,8 +30,17 @@ def _ts(c):
     return F.to_timestamp(c, TS_FORMAT).cast("timestamp_ntz")
 
 
-def pipeline_timing(lines: DataFrame, workflow: str) -> DataFrame:
-    """One row per finished pipeline: execution id, names, start, finish, seconds."""
+# A log file above this many finish lines is split over several tasks.
+FILE_ROWS = 1_000_000
+
+
+def pipeline_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_ROWS) -> DataFrame:
+    """One row per finished pipeline: execution id, names, start, finish, seconds.
+
+    The previous finish is a ``lag`` within the file; when the largest file
+    (measured with one aggregate) exceeds ``max_file_rows`` it is computed
+    with the range-partitioned lag so one huge log does not sit in one task.
+    """
     parsed = lines.select(
         "arquivo", "seq",
         F.regexp_extract("linha", START_PATTERN, 1).alias("start_ts"),
@@ -40,9 +51,13 @@ def pipeline_timing(lines: DataFrame, workflow: str) -> DataFrame:
                     .groupBy("arquivo").agg(F.max_by(_ts(F.col("start_ts")), F.col("seq")).alias("workflow_started")))
     finishes = parsed.where(F.col("finish_ts") != "").select("arquivo", "seq", "pipeline_name",
                                                               _ts(F.col("finish_ts")).alias("finished_at"))
-    w = Window.partitionBy("arquivo").orderBy("seq")
-    timed = (finishes.join(starts, "arquivo")
-                     .withColumn("started_at", F.coalesce(F.lag("finished_at").over(w), F.col("workflow_started"))))
+    biggest = finishes.groupBy("arquivo").count().agg(F.max("count")).first()[0] or 0
+    if biggest > max_file_rows:
+        prev = ranged_lag(finishes, ["arquivo"], "seq", "finished_at", "_prev")
+    else:
+        prev = finishes.withColumn("_prev", F.lag("finished_at").over(Window.partitionBy("arquivo").orderBy("seq")))
+    timed = (prev.join(starts, "arquivo")
+                 .withColumn("started_at", F.coalesce(F.col("_prev"), F.col("workflow_started"))))
     return timed.select(
         F.col("workflow_started").alias("execution_id"), F.lit(workflow).alias("workflow_name"), "pipeline_name",
         "started_at", "finished_at",

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.incremental import load_delete_insert
@@ -37,9 +37,16 @@ def sales_batch_to_fact(raw: DataFrame) -> DataFrame:
 
 def latest_run_per_key(fact_rows: DataFrame, key: list[str]) -> DataFrame:
     """Rows of the newest run (``lote``) per key: applying the runs of a micro-batch
-    one by one with delete+insert leaves exactly these rows."""
-    newest = F.max("lote").over(Window.partitionBy(*key))
-    return fact_rows.withColumn("_newest", newest).where(F.col("lote") == F.col("_newest")).drop("_newest", "lote")
+    one by one with delete+insert leaves exactly these rows.
+
+    The newest run per key is an aggregate (combined map-side, so a hot key
+    does not gather in one task) joined back null-safely on the key (NULL key
+    parts group together, as they would in a window)."""
+    newest = fact_rows.groupBy(*key).agg(F.max("lote").alias("_newest"))
+    newest = newest.select(*[F.col(k).alias(f"_k_{k}") for k in key], "_newest")
+    cond = [fact_rows[k].eqNullSafe(newest[f"_k_{k}"]) for k in key]
+    joined = fact_rows.join(newest, cond).where(F.col("lote") == F.col("_newest"))
+    return joined.drop("_newest", "lote", *[f"_k_{k}" for k in key])
 
 
 def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key: list[str]):
