@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfspark import oracle
-from shelfspark.plans import marts
+from shelfspark.operators import checks, incremental
+from shelfspark.operators.incremental import read_table
+from shelfspark.plans import calendar as cal
+from shelfspark.plans import dims, enrich, extracts, facts, logs, marts, silver, targets
+from shelfspark.plans.marts import PURCHASE_OPERATIONS
 from shelfspark.plans.warehouse import Warehouse
-from shelfspark.session import apply_conf, checkpoint_dir
+from shelfspark.session import apply_conf, checkpoint_dir, scratch_path
+from shelfspark.sources import seeds
+from shelfspark.streaming import hot
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -45,10 +54,6 @@ def delivery_time(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- facts
 
-from shelfspark.plans import calendar as cal  # noqa: E402
-from shelfspark.plans import dims, facts  # noqa: E402
-from shelfspark.sources import seeds  # noqa: E402
-
 
 def _no_stamp(df: DataFrame) -> DataFrame:
     return df.drop("carregado_em")
@@ -131,10 +136,6 @@ def calendar(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- target planning
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from shelfspark.plans import targets  # noqa: E402
-
 
 def _plan_month(w: Warehouse):
     """Month being planned = month of the newest sale (stands in for today's month)."""
@@ -186,8 +187,6 @@ def group_reference(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- incremental loads
 
-from shelfspark.operators import checks, incremental  # noqa: E402
-from shelfspark.plans import silver  # noqa: E402
 
 WINDOW_DAYS = 90       # re-extracted window of the batch
 HISTORY_LAG_DAYS = 30  # the stored history ends this many days before the newest sale
@@ -264,10 +263,6 @@ def abc_grain_unique(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- extracts
 
-import datetime as _dt  # noqa: E402
-
-from shelfspark.plans import extracts  # noqa: E402
-
 
 def _max_date(df: DataFrame, col: str):
     return df.agg(F.max(F.col(col).cast("date")).alias("m")).first()["m"]
@@ -319,12 +314,6 @@ def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- intraday stream
 
-import uuid as _uuid  # noqa: E402
-
-from shelfspark.operators.incremental import read_table  # noqa: E402
-from shelfspark.session import scratch_path  # noqa: E402
-from shelfspark.streaming import hot  # noqa: E402
-
 
 def land_runs(w: Warehouse, landing: str) -> None:
     """Land the intraday extract runs one after the other (one write per run, in run order),
@@ -347,7 +336,6 @@ def hot_microbatch(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- run logs and enrichment
 
-from shelfspark.plans import enrich, logs  # noqa: E402
 
 WORKFLOW = "workflow_consinco_cold"
 
@@ -391,8 +379,6 @@ def indicator_long(w: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- product x store snapshot
 
-from shelfspark.plans.marts import PURCHASE_OPERATIONS  # noqa: E402
-
 
 def _as_of(w: Warehouse):
     """The run's "today": the newest sale date."""

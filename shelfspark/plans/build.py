@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.operators.incremental import full_refresh, load_delete_insert, table_exists
 from shelfspark.plans import calendar as cal
-from shelfspark.plans import dims, facts, marts, silver, targets
+from shelfspark.plans import facts, marts, targets
 from shelfspark.plans.warehouse import Warehouse
 from shelfspark.sources import seeds
 

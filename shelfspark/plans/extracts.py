@@ -90,10 +90,7 @@ def icms_credit(st: Column, calc: Column, fallback: Column) -> Column:
     """ICMS credited on a line: none when tax substitution applies; otherwise the
     calculated ICMS (negative values kept as they are), or the plain ICMS
     value when no calculation exists."""
-    return (F.when(st != 0, F.lit(0))
-             .when(calc.isNull(), fallback)
-             .when(F.signum(calc) < 0, calc)
-             .otherwise(calc))
+    return F.when(st != 0, F.lit(0)).when(calc.isNull(), fallback).otherwise(calc)
 
 
 def receipt_costs(lines: DataFrame) -> DataFrame:
