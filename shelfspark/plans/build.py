@@ -31,6 +31,7 @@ from shelfspark.plans.warehouse import Warehouse
 from shelfspark.sources import seeds
 
 MONTH_COL = "mes_part"
+FACT_SORT = ("empresa_id", "produto_id")  # row-group statistics for store / product filters
 
 
 @dataclass(frozen=True)
@@ -108,9 +109,10 @@ def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | No
         if m.key:
             rows = _month(df.drop("carregado_em"), m.date_col)
             if m.name in refresh:
-                full_refresh(spark, path, rows, MONTH_COL, m.window_only_source)
+                full_refresh(spark, path, rows, MONTH_COL, m.window_only_source, FACT_SORT)
             else:
-                load_delete_insert(spark, path, rows, list(m.key), MONTH_COL, partition_from_key=m.partition_from_key)
+                load_delete_insert(spark, path, rows, list(m.key), MONTH_COL, partition_from_key=m.partition_from_key,
+                                   sort_cols=FACT_SORT)
         else:
             df.write.mode("overwrite").parquet(path)
         done.append(m.name)

@@ -55,7 +55,8 @@ def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key:
         if batch.isEmpty():  # a micro-batch of empty files changes nothing
             return
         rows = latest_run_per_key(to_fact(batch), key)
-        load_delete_insert(batch.sparkSession, target_path, rows, key, PARTITION_COL, partition_from_key=True)
+        load_delete_insert(batch.sparkSession, target_path, rows, key, PARTITION_COL, partition_from_key=True,
+                           sort_cols=("empresa_id", "produto_id"))
     return apply
 
 
