@@ -70,7 +70,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None when nothing readable is there yet (no folder,
     or a folder left by a load that had no rows)."""
     if not table_exists(spark, path):
@@ -107,7 +107,7 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     the key (e.g. the month of a date in the key), so a key never moves
     between partitions and only the batch's own partitions are touched.
     """
-    target = _existing(spark, path)
+    target = existing_table(spark, path)
     if target is None:
         laid_out(batch, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return

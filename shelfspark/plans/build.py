@@ -1,7 +1,8 @@
 """Build the warehouse into a folder, layer by layer (the nightly "cold" run).
 
-``MODELS`` lists the gold tables in dependency order with their tags; a run
-writes each selected table under ``<out>/gold/<name>``:
+``MODELS`` lists the gold tables in dependency order with their tags (facts
+first: the marts and the calendar read the stored facts); a run writes each
+selected table under ``<out>/gold/<name>``:
 
 * facts are merged into month-partitioned tables with the keyed
   delete+insert (first run: plain write), so history outside the extract
@@ -65,11 +66,6 @@ def _participation(w: Warehouse, out: str) -> DataFrame:
 
 
 MODELS: list[Model] = [
-    Model("dim_calendario", lambda w, o: cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))),
-    Model("dim_hora", lambda w, o: cal.hour_dim(w.spark)),
-    Model("dim_empresa_info", lambda w, o: w.store_dim),
-    Model("dim_produto_info", lambda w, o: w.product_dim),
-    Model("dim_fornecedor_info", lambda w, o: w.supplier_dim),
     Model("fato_venda", lambda w, o: w.sales_fact, key=tuple(facts.SALES_KEY), date_col="data_venda",
           partition_from_key=True),
     Model("fato_entrada", lambda w, o: w.receipts_fact, key=tuple(facts.RECEIPTS_KEY), date_col="dta_entrada",
@@ -80,6 +76,11 @@ MODELS: list[Model] = [
           key=tuple(facts.STOCK_BALANCE_KEY), date_col="dta_movimento", partition_from_key=True),
     Model("fato_pedido_compra", lambda w, o: facts.purchase_order_fact(w.order_headers, w.order_items),
           key=tuple(facts.PURCHASE_ORDER_KEY), date_col="dta_emissao", window_only_source=True),
+    Model("dim_calendario", lambda w, o: cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))),
+    Model("dim_hora", lambda w, o: cal.hour_dim(w.spark)),
+    Model("dim_empresa_info", lambda w, o: w.store_dim),
+    Model("dim_produto_info", lambda w, o: w.product_dim),
+    Model("dim_fornecedor_info", lambda w, o: w.supplier_dim),
     Model("mart_tempo_entrega_fornecedor", lambda w, o: marts.delivery_time(w.receipts_fact, w.supplier_dim),
           tags=("monthly",)),
     Model("mart_curva_abc", lambda w, o: marts.abc_curve(w.sales_fact, w.product_category), tags=("monthly",)),
@@ -99,11 +100,16 @@ def selected(select: Iterable[str] | None, exclude_tags: Iterable[str]) -> list[
 
 def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | None = None,
           exclude_tags: Iterable[str] = ("monthly",), full_refresh_models: Iterable[str] = ()) -> list[str]:
-    """Build the selected models into ``out``; returns the names written."""
-    w = Warehouse(spark, sf_dir)
+    """Build the selected models into ``out``; returns the names written.
+
+    Facts are built from the current extract; every later model reads the
+    stored facts (with their history) through a second, stored-backed view.
+    """
+    extract = Warehouse(spark, sf_dir)
     refresh = set(full_refresh_models)
     done = []
     for m in selected(select, exclude_tags):
+        w = extract if m.key else Warehouse(spark, sf_dir, stored=out)
         df = m.build(w, out)
         path = f"{out}/gold/{m.name}"
         if m.key:

@@ -18,9 +18,24 @@ from shelfspark.sources import seeds, standin
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazy plans for one data folder.
+
+    With ``stored`` set (the output folder of a build), the sales and
+    receipts facts are read from their stored, history-keeping tables
+    instead of being recomputed from the current extract.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stored = stored
+
+    def _stored_fact(self, name: str) -> DataFrame | None:
+        if not self.stored:
+            return None
+        from shelfspark.operators.incremental import existing_table
+        df = existing_table(self.spark, f"{self.stored}/gold/{name}")
+        return None if df is None else df.drop("mes_part")
 
     def raw(self, name: str) -> DataFrame:
         return standin.spark_table(self.spark, self.sf_dir, name)
@@ -104,11 +119,13 @@ class Warehouse:
     # ---- gold
     @cached_property
     def sales_fact(self) -> DataFrame:
-        return facts.sales_fact(self.sales_lines)
+        stored = self._stored_fact("fato_venda")
+        return stored if stored is not None else facts.sales_fact(self.sales_lines)
 
     @cached_property
     def receipts_fact(self) -> DataFrame:
-        return facts.receipts_fact(self.receipt_lines)
+        stored = self._stored_fact("fato_entrada")
+        return stored if stored is not None else facts.receipts_fact(self.receipt_lines)
 
     @cached_property
     def product_category(self) -> DataFrame:
