@@ -123,8 +123,11 @@ def priority_dedup(w: Warehouse) -> DataFrame:
 
 @register("hours", oracle.HOURS)
 def hours(w: Warehouse) -> DataFrame:
-    """Hour-of-day dimension (24 rows) with day period and AM/PM."""
-    return cal.hour_dim(w.spark)
+    """Hour-of-day dimension (24 rows, day period, AM/PM) with the number of sales-fact
+    lines in each hour (left join of the dimension to a partial aggregate of the fact)."""
+    per_hour = w.sales_fact.groupBy(F.col("hora_venda").alias("hora_num")).agg(F.count(F.lit(1)).alias("qtd_linhas"))
+    return cal.hour_dim(w.spark).join(per_hour, "hora_num", "left").select(
+        "hora_num", "hora_texto", "periodo", "am_pm", F.coalesce("qtd_linhas", F.lit(0)).alias("qtd_linhas"))
 
 
 @register("calendar", oracle.CALENDAR)

@@ -2,8 +2,8 @@
 
 The warehouse jobs expect ERP-shaped raw tables (sales lines, receipts, stock
 ledger, purchase orders, master data). The test data has lineitem / orders /
-part / supplier / nation instead, so each raw table here is a plain row-wise
-projection of one driver table: it only renames and re-types columns into the
+part / supplier / events instead, so each raw table here is a plain row-wise
+projection of one driver table (master data: a DISTINCT projection): it only renames and re-types columns into the
 schema the jobs read, and does none of the jobs' work (no grouping, no
 dedup, no joins between facts).
 
@@ -226,38 +226,41 @@ ORDER_ITEMS = StandIn("msu_psitemreceber", (_p("lineitem", [
 ]),))
 
 # ---------------------------------------------------------------------------
-# Master data (grows with part / supplier / nation)
+# Master data (grows with part / supplier / orders)
 # ---------------------------------------------------------------------------
 
-# Ten stores: store n+1 for nation n < 10 (the sales rule above yields 1..10).
-STORES = StandIn("max_empresa", (_p("nation", [
-    ("razaosocial", "'LOJA ' || n_name"),
-    ("endereco", "'RUA ' || CAST(n_nationkey AS STRING)"),
+# Store master data: one row per store id seen in the orders (the sales rule
+# above yields ids 1..10), attributes derived from the id.
+_K = "(o_orderkey % 10)"
+STORES = StandIn("max_empresa", (_p("orders", [
+    ("razaosocial", f"'LOJA ' || CAST({_K} + 1 AS STRING)"),
+    ("endereco", f"'RUA ' || CAST({_K} AS STRING)"),
     ("bairro", "'CENTRO'"),
-    ("cidade", "'CIDADE ' || CAST(n_nationkey % 6 AS STRING)"),
-    ("uf", "'U' || CAST(n_regionkey AS STRING)"),
-    ("cep", "lpad(CAST(n_nationkey * 1000 AS STRING), 8, '0')"),
-    ("status", "CASE WHEN n_nationkey = 8 THEN 'I' ELSE 'A' END"),
-    ("nroempresa", "n_nationkey + 1"),
+    ("cidade", f"'CIDADE ' || CAST({_K} % 6 AS STRING)"),
+    ("uf", f"'U' || CAST({_K} % 5 AS STRING)"),
+    ("cep", f"lpad(CAST({_K} * 1000 AS STRING), 8, '0')"),
+    ("status", f"CASE WHEN {_K} = 8 THEN 'I' ELSE 'A' END"),
+    ("nroempresa", f"CAST({_K} + 1 AS INT)"),
     ("nrodivisao", "1"),
-    ("nrocgc", "CAST(12345678 + n_nationkey AS STRING)"),
-    ("digcgc", "CAST(n_nationkey * 7 % 100 AS DECIMAL(18,0))"),
-    ("nrosegmentoprinc", "CAST(n_nationkey % 2 + 1 AS DECIMAL(18,0))"),
-], "n_nationkey < 10"),))
-
-CHECKOUTS = StandIn("vw_pdv", (_p("nation", [
-    ("ativo", "CASE WHEN n_regionkey = 4 THEN 'N' ELSE 'S' END"),
-    ("nroempresa", "n_nationkey % 10 + 1"),
-    ("nrocheckout", "n_nationkey"),
-    ("nrosegmento", "1"),
-]),))
+    ("nrocgc", f"CAST(12345678 + {_K} AS STRING)"),
+    ("digcgc", f"CAST({_K} * 7 % 100 AS DECIMAL(18,0))"),
+    ("nrosegmentoprinc", f"CAST({_K} % 2 + 1 AS DECIMAL(18,0))"),
+], distinct=True),))
+
+# Checkouts seen in the sales lines (checkout 7 inactive).
+CHECKOUTS = StandIn("vw_pdv", (_p("lineitem", [
+    ("ativo", "CASE WHEN l_linenumber = 7 THEN 'N' ELSE 'S' END"),
+    ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
+    ("nrocheckout", "l_linenumber"),
+    ("nrosegmento", "CAST(l_linenumber % 2 + 1 AS INT)"),
+], distinct=True),))
 
-SEGMENTS = StandIn("mad_segmento", (_p("region", [
-    ("descsegmento", "'segmento ' || r_name"),
-    ("status", "CASE WHEN r_regionkey < 3 THEN 'A' ELSE 'I' END"),
+SEGMENTS = StandIn("mad_segmento", (_p("orders", [
+    ("descsegmento", "'segmento ' || CAST(o_orderkey % 5 + 1 AS STRING)"),
+    ("status", "CASE WHEN o_orderkey % 5 < 3 THEN 'A' ELSE 'I' END"),
     ("nrodivisao", "1"),
-    ("nrosegmento", "r_regionkey + 1"),
-]),))
+    ("nrosegmento", "CAST(o_orderkey % 5 + 1 AS INT)"),
+], distinct=True),))
 
 PRODUCTS = StandIn("map_produto", (_p("part", [
     ("desccompleta", "p_name"),
@@ -356,12 +359,14 @@ SUPPLIER_DIVISIONS = StandIn("maf_fornecdivisao", (
                     ("pzopagamento", "'28'")], "s_suppkey % 5 <> 4"),
 ))
 
-LOCATIONS = StandIn("mrl_local", (
-    _p("nation", [("local", "'loja'"), ("tiplocal", "'L'"), ("status", "'A'"),
-                  ("nroempresa", "n_nationkey + 1"), ("seqlocal", "1")], "n_nationkey < 10"),
-    _p("nation", [("local", "'deposito'"), ("tiplocal", "'D'"), ("status", "'A'"),
-                  ("nroempresa", "n_nationkey + 1"), ("seqlocal", "2")], "n_nationkey < 10"),
-))
+# Stock locations per store: 1 (shop) and 2 (warehouse); location 3 is unknown.
+LOCATIONS = StandIn("mrl_local", (_p("lineitem", [
+    ("local", "CASE WHEN l_linenumber % 2 = 0 THEN 'loja' ELSE 'deposito' END"),
+    ("tiplocal", "CASE WHEN l_linenumber % 2 = 0 THEN 'L' ELSE 'D' END"),
+    ("status", "'A'"),
+    ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
+    ("seqlocal", "CAST(2 - l_linenumber % 2 AS INT)"),
+], distinct=True),))
 
 # ---------------------------------------------------------------------------
 # Planning inputs typed in by people, keyed by month (one row per month of the
