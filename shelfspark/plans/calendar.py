@@ -58,8 +58,11 @@ def day_spine(spark: SparkSession, start: Column, end: Column) -> DataFrame:
 
 def holidays(spark: SparkSession, years: DataFrame, fixed: DataFrame) -> DataFrame:
     """One row per holiday date; names of coinciding holidays joined with ' / ' in name order."""
-    fixed_days = years.crossJoin(F.broadcast(fixed)).select(
-        F.make_date("ano", "mes", "dia").alias("data"), "nome")
+    # the seed is a handful of rows: they become a literal array expanded per year
+    seed = [F.struct(F.lit(r["mes"]).alias("mes"), F.lit(r["dia"]).alias("dia"), F.lit(r["nome"]).alias("nome"))
+            for r in fixed.select("mes", "dia", "nome").collect()]
+    fixed_days = (years.select("ano", F.explode(F.array(*seed)).alias("f"))
+                       .select(F.make_date("ano", "f.mes", "f.dia").alias("data"), F.col("f.nome").alias("nome")))
     feasts = F.array(*[F.struct(F.date_add("pascoa", off).alias("data"), F.lit(name).alias("nome"))
                        for name, off in MOVABLE_FEASTS])
     movable = with_easter(years).select(F.inline(feasts))

@@ -14,25 +14,32 @@ MAX_DELIVERY_DAYS = 180
 GROUP_ROWS = 1_000_000  # largest running-sum group kept in a single window task
 
 
-def trailing_year(df: DataFrame, date_col: str) -> DataFrame:
-    """One-row period: newest date in ``df`` and the same day 12 months earlier.
+def trailing_year(df: DataFrame, date_col: str) -> tuple:
+    """(start, end): newest date in ``df`` and the same day 12 months earlier.
 
-    Both ends are inclusive, so the window spans 12 months and one day.
+    Both ends are inclusive, so the window spans 12 months and one day. The
+    two dates come back to the driver as scalars, so the period filter is a
+    literal predicate that reaches the scan (and prunes month partitions of
+    a stored fact).
     """
-    return df.agg(F.max(date_col).alias("periodo_fim")).select(
-        F.add_months("periodo_fim", -12).alias("periodo_inicio"), "periodo_fim")
+    row = df.agg(F.max(date_col).alias("fim")).select(F.add_months("fim", -12).alias("inicio"), "fim").first()
+    return row["inicio"], row["fim"]
 
 
-def within(df: DataFrame, period: DataFrame, date_col: str) -> DataFrame:
-    """Rows of ``df`` inside the one-row ``period`` (broadcast nested-loop join of one row)."""
-    return df.join(F.broadcast(period),
-                   F.col(date_col).between(F.col("periodo_inicio"), F.col("periodo_fim")))
+def within(df: DataFrame, period: tuple, date_col: str) -> DataFrame:
+    """Rows of ``df`` inside the inclusive ``period``."""
+    return df.where(F.col(date_col).between(F.lit(period[0]), F.lit(period[1])))
 
 
-def abc_store_product(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_period(df: DataFrame, period: tuple) -> DataFrame:
+    return df.withColumn("periodo_inicio", F.lit(period[0]).cast("date")) \
+             .withColumn("periodo_fim", F.lit(period[1]).cast("date"))
+
+
+def abc_store_product(sales: DataFrame) -> tuple[DataFrame, tuple]:
     """Net revenue and quantity per store x product over the trailing year (all
     operations, returns negative), products with net revenue <= 0 left out;
-    materialised, plus the one-row period."""
+    materialised, plus the period."""
     period = trailing_year(sales, "data_venda")
     per_store = (within(sales.select("empresa_id", "produto_id", "data_venda", "valor_venda_liquido",
                                      "qtd_venda_liquida"), period, "data_venda")
@@ -71,7 +78,7 @@ def _curve(acum: str, total: str, name: str):
 def abc_network(sales: DataFrame) -> DataFrame:
     """Network ABC classes per product (one row per product with positive store revenue)."""
     per_store, period = abc_store_product(sales)
-    net = abc_network_running(per_store).crossJoin(F.broadcast(period))
+    net = with_period(abc_network_running(per_store), period)
     return net.select("produto_id",
                       F.col("receita_liq_rede").cast("decimal(28,2)").alias("receita_liq_rede"),
                       F.col("quantidade_liq_rede").cast("decimal(28,3)").alias("quantidade_liq_rede"),
@@ -111,7 +118,7 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
     s = running_sum(s, ["empresa_id", "categoria_id"], by_qty, "quantidade_liq", "qtd_acum_categoria",
                     "qtd_total_categoria", max_group_rows=GROUP_ROWS, biggest_group=category_rows)
 
-    out = s.join(network, "produto_id").crossJoin(F.broadcast(period))
+    out = with_period(s.join(network, "produto_id"), period)
 
     curve = _curve
     return out.select(
@@ -155,7 +162,7 @@ def delivery_time(receipts: DataFrame, supplier_dimension: DataFrame | None = No
         F.round(safe_div(F.sum(days.cast("decimal(10,0)") * F.col("vlr_total_nf")), F.sum("vlr_total_nf")), 1)
          .cast("decimal(18,1)").alias("media_tempo_entrega_ponderado"),
     )
-    out = agg.crossJoin(F.broadcast(period))
+    out = with_period(agg, period)
     cols = ["fornecedor_id", "empresa_id", "qtd_notas", "media_tempo_entrega", "min_tempo_entrega",
             "max_tempo_entrega", "desvio_padrao_tempo_entrega", "mediana_tempo_entrega",
             "media_tempo_entrega_ponderado", "vlr_total_nf"]

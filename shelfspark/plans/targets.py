@@ -59,11 +59,14 @@ def store_adjustments(src: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- participation
 
+def _spine_pairs(first_month) -> list:
+    """(target month, history depth) pairs as literal structs: 13 x 3 values."""
+    return [F.struct(F.add_months(F.lit(first_month), m).alias("mes_meta"), F.lit(y).alias("anos_historico"))
+            for m in range(PLAN_MONTHS_AHEAD + 1) for y in HISTORY_YEARS]
+
+
 def _spine(spark, first_month) -> DataFrame:
-    months = spark.range(PLAN_MONTHS_AHEAD + 1).select(
-        F.add_months(F.lit(first_month), F.col("id").cast("int")).alias("mes_meta"))
-    years = spark.createDataFrame([(y,) for y in HISTORY_YEARS], "anos_historico INT")
-    return months.crossJoin(years)
+    return spark.range(1).select(F.inline(F.array(*_spine_pairs(first_month))))
 
 
 def participation(sales: DataFrame, product_category: DataFrame, store_dimension: DataFrame,
@@ -71,7 +74,7 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
     """Store and category shares per (target month, history depth, store, category)."""
     spark = sales.sparkSession
     stores = active_stores(store_dimension)
-    n_stores = stores.agg(F.count(F.lit(1)).alias("n_lojas"))
+    n_stores = stores.count()
     spine = _spine(spark, first_month)
     refs = spine.select("mes_meta", "anos_historico",
                         F.explode(F.sequence(F.lit(1), F.col("anos_historico"))).alias("k")) \
@@ -96,13 +99,13 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
     hl = hlc.groupBy("mes_meta", "anos_historico", "empresa_id").agg(F.sum("fat_lc").alias("fat_l"))
     hg = hl.groupBy("mes_meta", "anos_historico").agg(F.sum("fat_l").alias("fat_g"))
 
-    grid = spine.crossJoin(stores)
+    # every active store in every (month, depth): the 39 pairs are expanded per store
+    grid = stores.select("empresa_id", F.inline(F.array(*_spine_pairs(first_month))))
+    equal_share = F.lit(1.0 / n_stores) if n_stores else F.lit(None).cast("double")
     store_raw = (grid.join(hl, ["mes_meta", "anos_historico", "empresa_id"], "left")
                      .join(hg, ["mes_meta", "anos_historico"], "left")
-                     .crossJoin(n_stores)
                      .select("mes_meta", "anos_historico", "empresa_id",
-                             F.coalesce(_ratio(F.col("fat_l"), F.col("fat_g")),
-                                        1.0 / F.col("n_lojas").cast("double")).alias("p")))
+                             F.coalesce(_ratio(F.col("fat_l"), F.col("fat_g")), equal_share).alias("p")))
     store_share = store_raw.select(
         "mes_meta", "anos_historico", "empresa_id",
         (F.col("p") / F.sum("p").over(Window.partitionBy("mes_meta", "anos_historico")))
@@ -180,11 +183,10 @@ def writeback(alloc: DataFrame, params: DataFrame, adjustments_raw: DataFrame) -
                          .cast("decimal(28,2)").alias("meta_padrao_sem_ajuste"),
                         F.when(F.col("c.sp").isNotNull(), F.col("c.sd")).otherwise(F.col("t.meta_desafio_sem_ajuste"))
                          .cast("decimal(28,2)").alias("meta_desafio_sem_ajuste")))
-    max_id = adjustments_raw.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("_max"))
+    max_id = adjustments_raw.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).first()[0]
     new = calc.join(adjustments_raw.select("mes", "empresa_id"), ["mes", "empresa_id"], "left_anti")
     # new rows are at most months x stores: numbering them in one window is cheap
-    inserted = (new.crossJoin(F.broadcast(max_id))
-                   .select((F.col("_max") + F.row_number().over(Window.orderBy("mes", "empresa_id"))).alias("id"),
+    inserted = (new.select((F.lit(max_id) + F.row_number().over(Window.orderBy("mes", "empresa_id"))).alias("id"),
                            "mes", "empresa_id",
                            F.lit(0).cast("decimal(18,2)").alias("ajuste_padrao_valor"),
                            F.lit(0).cast("decimal(18,2)").alias("ajuste_desafio_valor"),
@@ -211,7 +213,8 @@ def group_reference(sales: DataFrame, store_dimension: DataFrame, indicators: Da
                     .groupBy(F.trunc("data_venda", "MM").alias("mes"))
                     .agg(F.sum("valor_venda_liquido").alias("faturamento")))
     by_month = Window.orderBy("mes")
-    base = (spine.join(monthly, "mes", "left").crossJoin(F.broadcast(bounds.select("incompleto")))
+    incompleto = bounds.select("incompleto").first()[0]
+    base = (spine.join(monthly, "mes", "left").withColumn("incompleto", F.lit(incompleto).cast("date"))
                  .withColumn("fat_aa", F.lag("faturamento", 12).over(by_month)))
     growth = F.when(F.col("mes") >= F.col("incompleto"), F.lit(None).cast("double")) \
               .when(F.col("faturamento").isNotNull() & (F.col("fat_aa") > 0),
