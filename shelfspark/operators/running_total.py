@@ -46,19 +46,14 @@ def running_sum(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Co
     return out
 
 
-# Up to this many rows a single-partition window is cheaper than the
-# range-partitioned version; the row count is checked, not assumed.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
                        total_col: str | None = None, partitions: int | None = None,
-                       single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                       single_task_rows: int = 0) -> DataFrame:
     """Running sum over the whole table in ``order`` (which must be a total order).
 
-    ``df`` should be materialised (checkpointed) by the caller: its row count
-    decides between a one-task window (at most ``single_task_rows`` rows) and
-    the range-partitioned prefix sum.
+    Always the range-partitioned prefix sum, so the table never sits in one
+    task. A caller may opt in to a one-task window for tables whose row count
+    (checked here) is at most ``single_task_rows``.
     """
     if single_task_rows and df.count() <= single_task_rows:
         w = Window.orderBy(*order)
