@@ -22,6 +22,21 @@ from pyspark.sql import functions as F
 
 from shelfspark.session import checkpoint_dir
 
+# Rows per range of the range-partitioned operators: every task holds at most
+# about this many rows, whatever the table or group size.
+ROWS_PER_RANGE = 250_000
+
+
+def _range_count(df: DataFrame, partitions: int | None) -> int:
+    """Number of ranges: enough for ROWS_PER_RANGE rows each, at most the
+    shuffle partitions (or ``partitions`` when given)."""
+    if partitions:
+        return partitions
+    spark = df.sparkSession
+    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = df.count()
+    return max(1, min(cap, -(-rows // ROWS_PER_RANGE)))
+
 
 def running_sum(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], value: str,
                 cum_col: str, total_col: str | None = None, max_group_rows: int | None = None,
@@ -78,7 +93,7 @@ def ranged_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_c
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = _range_count(df, partitions)
     g = list(group_cols)
     keys = [F.col(c).asc() for c in g] + list(order)
     ranged = (df.repartitionByRange(n, *keys)
@@ -121,7 +136,7 @@ def ranged_lag(df: DataFrame, group_cols: Sequence[str], order_col: str, col: st
     (broadcast). ``order_col`` must be unique within a group."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = _range_count(df, partitions)
     g = list(group_cols)
     keys = [F.col(c).asc() for c in g] + [F.col(order_col).asc()]
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
