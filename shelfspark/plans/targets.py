@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.plans.dims import active_stores
+from shelfspark.session import checkpoint_dir
 
 SHARE_DIGITS = 10
 HISTORY_YEARS = [1, 2, 3]
@@ -73,7 +74,9 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
                   first_month) -> DataFrame:
     """Store and category shares per (target month, history depth, store, category)."""
     spark = sales.sparkSession
-    stores = active_stores(store_dimension)
+    # one row per active store, read three times below: materialise it once
+    checkpoint_dir(spark)
+    stores = active_stores(store_dimension).checkpoint(eager=True)
     n_stores = stores.count()
     spine = _spine(spark, first_month)
     refs = spine.select("mes_meta", "anos_historico",
