@@ -319,11 +319,8 @@ def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
 
 
 def land_runs(w: Warehouse, landing: str) -> None:
-    """Land the intraday extract runs one after the other (one write per run, in run order),
-    as the scheduled extractions would."""
-    runs = w.raw("vendas_intradia")
-    for (run,) in sorted(tuple(r) for r in runs.select("lote").distinct().collect()):
-        runs.where(F.col("lote") == run).write.mode("append").parquet(landing)
+    """Land the intraday extract runs, one folder per run (``lote=<run>``), in one write."""
+    w.raw("vendas_intradia").write.partitionBy("lote").parquet(landing)
 
 
 @register("hot_microbatch", oracle.HOT_MICROBATCH)
@@ -333,7 +330,7 @@ def hot_microbatch(w: Warehouse) -> DataFrame:
     base = scratch_path(w.spark, f"hot-{_uuid.uuid4().hex}")
     landing, target, ckpt = f"{base}/landing", f"{base}/fato_venda", f"{base}/_checkpoint"
     land_runs(w, landing)
-    hot.run_hot_path(w.spark, landing, target, ckpt, files_per_trigger=8)
+    hot.run_hot_path(w.spark, landing, target, ckpt)
     return _no_stamp(read_table(w.spark, target).drop(hot.PARTITION_COL))
 
 

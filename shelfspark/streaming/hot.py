@@ -61,11 +61,19 @@ def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key:
 
 
 def run_hot_path(spark: SparkSession, landing_dir: str, target_path: str, checkpoint: str,
-                 files_per_trigger: int = 1) -> None:
-    """Process everything that has landed, then stop (``availableNow``)."""
+                 files_per_trigger: int | None = None) -> None:
+    """Process everything that has landed, then stop (``availableNow``).
+
+    Runs may land as plain files or as ``lote=<run>`` folders. Within a
+    micro-batch the newest run per key wins whatever the file order; with
+    ``files_per_trigger`` set, runs split over several micro-batches must
+    land in run order (as sequential extractions do).
+    """
     schema = spark.read.parquet(landing_dir).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-                   .parquet(landing_dir))
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    stream = reader.parquet(landing_dir)
     query = (stream.writeStream
                    .foreachBatch(merge_runs(target_path, sales_batch_to_fact, facts.SALES_KEY))
                    .option("checkpointLocation", checkpoint)
