@@ -51,8 +51,10 @@ def since_batch_start(stg: DataFrame, raw_batch: DataFrame, stg_date: str, raw_d
     """
     if first_load:
         return stg
-    lo = raw_batch.agg(F.min(raw_date).alias("_lo"))
-    return stg.join(F.broadcast(lo), F.col(stg_date) >= F.col("_lo")).drop("_lo")
+    lo = raw_batch.agg(F.min(raw_date)).first()[0]
+    if lo is None:  # empty batch: nothing passes, as in SQL
+        return stg.limit(0)
+    return stg.where(F.col(stg_date) >= F.lit(lo))
 
 
 def _fs(spark: SparkSession, path: str):

@@ -6,7 +6,8 @@ selected table under ``<out>/gold/<name>``:
 
 * facts are merged into month-partitioned tables with the keyed
   delete+insert (first run: plain write), so history outside the extract
-  window is kept;
+  window is kept; on later runs only rows dated on or after the earliest
+  date of the raw extract are taken;
 * dimensions and marts are rebuilt (overwrite);
 * models tagged ``monthly`` (ABC, delivery time) are skipped by default, as
   in the daily schedule, and built when selected;
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.incremental import full_refresh, load_delete_insert, table_exists
+from shelfspark.operators.incremental import full_refresh, load_delete_insert, since_batch_start, table_exists
 from shelfspark.plans import calendar as cal
 from shelfspark.plans import facts, marts, targets
 from shelfspark.plans.warehouse import Warehouse
@@ -44,6 +45,7 @@ class Model:
     date_col: str | None = None        # month partition source for facts
     window_only_source: bool = False   # refuse a full rebuild
     partition_from_key: bool = False   # the month is a function of the key
+    source_date: tuple[str, str] | None = None   # (raw table, raw date column) for the incremental filter
 
 
 def _month(df: DataFrame, date_col: str) -> DataFrame:
@@ -67,15 +69,18 @@ def _participation(w: Warehouse, out: str) -> DataFrame:
 
 MODELS: list[Model] = [
     Model("fato_venda", lambda w, o: w.sales_fact, key=tuple(facts.SALES_KEY), date_col="data_venda",
-          partition_from_key=True),
+          partition_from_key=True, source_date=("maxv_abcdistribbase", "datahora")),
     Model("fato_entrada", lambda w, o: w.receipts_fact, key=tuple(facts.RECEIPTS_KEY), date_col="dta_entrada",
-          partition_from_key=True),
+          partition_from_key=True, source_date=("maxv_abcentradabase", "dtaentrada")),
     Model("fato_estoque_movimento", lambda w, o: facts.stock_movement_fact(w.stock_ledger, w.locations),
-          key=tuple(facts.STOCK_MOVEMENT_KEY), date_col="dta_movimento"),
+          key=tuple(facts.STOCK_MOVEMENT_KEY), date_col="dta_movimento",
+          source_date=("mrl_lanctoestoque", "dtaentradasaida")),
     Model("fato_estoque_saldo_diario", lambda w, o: facts.stock_balance_fact(w.stock_daily),
-          key=tuple(facts.STOCK_BALANCE_KEY), date_col="dta_movimento", partition_from_key=True),
+          key=tuple(facts.STOCK_BALANCE_KEY), date_col="dta_movimento", partition_from_key=True,
+          source_date=("mrl_custodia", "dtaentradasaida")),
     Model("fato_pedido_compra", lambda w, o: facts.purchase_order_fact(w.order_headers, w.order_items),
-          key=tuple(facts.PURCHASE_ORDER_KEY), date_col="dta_emissao", window_only_source=True),
+          key=tuple(facts.PURCHASE_ORDER_KEY), date_col="dta_emissao", window_only_source=True,
+          source_date=("msu_pedidosuprim", "dtaemissao")),
     Model("dim_calendario", lambda w, o: cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))),
     Model("dim_hora", lambda w, o: cal.hour_dim(w.spark)),
     Model("dim_empresa_info", lambda w, o: w.store_dim),
@@ -113,6 +118,10 @@ def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | No
         df = m.build(w, out)
         path = f"{out}/gold/{m.name}"
         if m.key:
+            first_load = not exists(spark, out, m.name)
+            if m.source_date:
+                raw_table, raw_col = m.source_date
+                df = since_batch_start(df, w.raw(raw_table), m.date_col, F.to_date(raw_col), first_load)
             rows = _month(df.drop("carregado_em"), m.date_col)
             if m.name in refresh:
                 full_refresh(spark, path, rows, MONTH_COL, m.window_only_source, FACT_SORT)

@@ -68,11 +68,11 @@ def pipeline_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_R
 def slowest_of_latest(timing: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` slowest pipelines of the latest execution, with a one-line summary.
 
-    The latest execution is found with a one-row aggregate; its rows (one
-    run's pipelines) are ranked by duration, ties by name then start.
+    The latest execution is a one-row aggregate read back as a scalar; its
+    rows (one run's pipelines) are ranked by duration, ties by name then start.
     """
-    latest = timing.agg(F.max("execution_id").alias("_latest"))
-    run = timing.join(F.broadcast(latest), F.col("execution_id") == F.col("_latest")).drop("_latest")
+    latest = timing.agg(F.max("execution_id")).first()[0]
+    run = timing.where(F.col("execution_id") == F.lit(latest))
     w = Window.partitionBy("execution_id").orderBy(F.col("duration_seconds").desc(), "pipeline_name", "started_at")
     top = run.withColumn("posicao", F.row_number().over(w)).where(F.col("posicao") <= k)
     item = F.concat(F.col("pipeline_name"), F.lit(" "), F.col("duration_seconds").cast("string"), F.lit("s"))

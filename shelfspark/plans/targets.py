@@ -26,6 +26,7 @@ from shelfspark.plans.dims import active_stores
 from shelfspark.session import checkpoint_dir
 
 SHARE_DIGITS = 10
+BROADCAST_STORES = 100_000  # the measured active-store count is broadcast up to this many rows
 HISTORY_YEARS = [1, 2, 3]
 PLAN_MONTHS_AHEAD = 12
 IPCA = "IPCA_ALIMENTOS_BEBIDAS"
@@ -92,7 +93,7 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
               .where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.add_months(F.lit(hi), 1)))
               .withColumn("mes_historico", F.trunc("data_venda", "MM"))
               .join(F.broadcast(months), "mes_historico", "left_semi")
-              .join(F.broadcast(stores), "empresa_id", "left_semi")
+              .join(F.broadcast(stores) if n_stores <= BROADCAST_STORES else stores, "empresa_id", "left_semi")
               .join(product_category.select("produto_id", "categoria_id", "categoria_id_nome"), "produto_id"))
     per_month = (v.groupBy("mes_historico", "empresa_id", "categoria_id", "categoria_id_nome")
                   .agg(F.sum("valor_venda_liquido").alias("faturamento")))
@@ -212,7 +213,7 @@ def group_reference(sales: DataFrame, store_dimension: DataFrame, indicators: Da
     spine = bounds.select(F.explode(F.sequence("lo", F.add_months("incompleto", 1),
                                                F.expr("INTERVAL 1 MONTH"))).alias("mes"))
     monthly = (sales.select("data_venda", "empresa_id", "valor_venda_liquido")
-                    .join(F.broadcast(active_stores(store_dimension)), "empresa_id", "left_semi")
+                    .join(active_stores(store_dimension), "empresa_id", "left_semi")
                     .groupBy(F.trunc("data_venda", "MM").alias("mes"))
                     .agg(F.sum("valor_venda_liquido").alias("faturamento")))
     by_month = Window.orderBy("mes")

@@ -55,3 +55,13 @@ def test_load_delete_insert_on_disk(spark):
     assert _rows(read_table(spark, path)) == sorted([(1, 202403, "a2"), (2, 202402, "b2"), (3, 202402, "c2"),
                                                      (4, 202403, "d")], key=repr)
     assert not os.path.exists(os.path.join(path, "m=202401"))
+
+
+def test_since_batch_start_only_on_later_loads(spark):
+    import datetime as dt
+    from shelfspark.operators.incremental import since_batch_start
+    stg = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 2, 1)), (3, None)], "k int, d date")
+    raw = spark.createDataFrame([(dt.date(2024, 1, 15),), (dt.date(2024, 3, 1),)], "rd date")
+    assert since_batch_start(stg, raw, "d", F.col("rd"), first_load=True).count() == 3
+    later = since_batch_start(stg, raw, "d", F.col("rd"), first_load=False)
+    assert [r.k for r in later.collect()] == [2]          # NULL dates are dropped on later loads
