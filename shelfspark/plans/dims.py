@@ -169,7 +169,7 @@ def last_receipt_supplier(receipts: DataFrame, purchase_operations) -> DataFrame
     """Supplier of the newest purchase receipt per product x store (ties: lowest supplier id)."""
     r = receipts.where(F.col("cod_geral_oper").isin(list(purchase_operations)))
     first = first_per_key(r, ["produto_id", "empresa_id"],
-                          [F.col("dta_entrada").desc(), F.col("fornecedor_id").asc()])
+                          [F.col("dta_entrada").desc_nulls_first(), F.col("fornecedor_id").asc_nulls_last()])
     return first.select("produto_id", "empresa_id", F.col("fornecedor_id").alias("fornecedor_ultima_entrada_id"))
 
 
