@@ -26,9 +26,23 @@ def trailing_year(df: DataFrame, date_col: str) -> tuple:
     return row["inicio"], row["fim"]
 
 
+MONTH_PARTITION = "mes_part"
+
+
+def month_key(d) -> int:
+    return d.year * 100 + d.month
+
+
 def within(df: DataFrame, period: tuple, date_col: str) -> DataFrame:
-    """Rows of ``df`` inside the inclusive ``period``."""
-    return df.where(F.col(date_col).between(F.lit(period[0]), F.lit(period[1])))
+    """Rows of ``df`` inside the inclusive ``period``.
+
+    On a stored fact partitioned by month the same range is also stated on
+    the partition column, so only the months in the period are listed and read.
+    """
+    out = df.where(F.col(date_col).between(F.lit(period[0]), F.lit(period[1])))
+    if MONTH_PARTITION in df.columns:
+        out = out.where(F.col(MONTH_PARTITION).between(month_key(period[0]), month_key(period[1])))
+    return out
 
 
 def with_period(df: DataFrame, period: tuple) -> DataFrame:
@@ -41,8 +55,8 @@ def abc_store_product(sales: DataFrame) -> tuple[DataFrame, tuple]:
     operations, returns negative), products with net revenue <= 0 left out;
     materialised, plus the period."""
     period = trailing_year(sales, "data_venda")
-    per_store = (within(sales.select("empresa_id", "produto_id", "data_venda", "valor_venda_liquido",
-                                     "qtd_venda_liquida"), period, "data_venda")
+    per_store = (within(sales, period, "data_venda")
+                 .select("empresa_id", "produto_id", "valor_venda_liquido", "qtd_venda_liquida")
                  .groupBy("empresa_id", "produto_id")
                  .agg(F.sum("valor_venda_liquido").alias("receita_liq"),
                       F.sum("qtd_venda_liquida").alias("quantidade_liq"))
@@ -145,8 +159,9 @@ def delivery_time(receipts: DataFrame, supplier_dimension: DataFrame | None = No
     invoice total and invoice-value-weighted mean; plus the registered terms.
     """
     period = trailing_year(receipts, "dta_entrada")
-    base = (within(receipts.select("fornecedor_id", "empresa_id", "dta_entrada", "cod_geral_oper",
-                                   "tempo_entrega_dias", "vlr_total_nf"), period, "dta_entrada")
+    base = (within(receipts, period, "dta_entrada")
+            .select("fornecedor_id", "empresa_id", "dta_entrada", "cod_geral_oper", "tempo_entrega_dias",
+                    "vlr_total_nf")
             .where(F.col("cod_geral_oper").isin(PURCHASE_OPERATIONS)
                    & F.col("tempo_entrega_dias").between(0, MAX_DELIVERY_DAYS)))
     days = F.col("tempo_entrega_dias")

@@ -89,8 +89,10 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
     lo_hi = refs.agg(F.min("mes_historico").alias("lo"), F.max("mes_historico").alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     months = refs.select("mes_historico").distinct()
-    v = (sales.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
-              .where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.add_months(F.lit(hi), 1)))
+    ranged = sales.where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.add_months(F.lit(hi), 1)))
+    if "mes_part" in sales.columns:  # stored fact: prune month partitions too
+        ranged = ranged.where(F.col("mes_part").between(lo.year * 100 + lo.month, hi.year * 100 + hi.month))
+    v = (ranged.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
               .withColumn("mes_historico", F.trunc("data_venda", "MM"))
               .join(F.broadcast(months), "mes_historico", "left_semi")
               .join(F.broadcast(stores) if n_stores <= BROADCAST_STORES else stores, "empresa_id", "left_semi")

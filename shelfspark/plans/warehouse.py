@@ -22,7 +22,8 @@ class Warehouse:
 
     With ``stored`` set (the output folder of a build), the sales and
     receipts facts are read from their stored, history-keeping tables
-    instead of being recomputed from the current extract.
+    (with their ``mes_part`` partition column) instead of being recomputed
+    from the current extract.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None):
@@ -34,8 +35,8 @@ class Warehouse:
         if not self.stored:
             return None
         from shelfspark.operators.incremental import existing_table
-        df = existing_table(self.spark, f"{self.stored}/gold/{name}")
-        return None if df is None else df.drop("mes_part")
+        # the month partition column stays, so period filters can prune on it
+        return existing_table(self.spark, f"{self.stored}/gold/{name}")
 
     def raw(self, name: str) -> DataFrame:
         return standin.spark_table(self.spark, self.sf_dir, name)
