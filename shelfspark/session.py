@@ -47,6 +47,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if checkpoint:
         builder = builder.config("spark.checkpoint.dir", checkpoint)
+    # checkpoint files of DataFrames that are no longer referenced are removed
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_conf(spark)
