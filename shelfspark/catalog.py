@@ -466,3 +466,9 @@ def labels_and_keys(w: Warehouse) -> DataFrame:
     assembly (9/12-digit root + check digits, NULL when a part is missing), flag decodes."""
     return w.persons.select("pessoa_id", "nome_razao", "nome_razao_id_nome", "nome_fantasia", "status", "pessoa_tipo",
                             "cidade", "uf", "endereco", "cnpj_cpf", "contribuinte_icms")
+
+
+@register("sales_net_cost", oracle.SALES_NET_COST)
+def sales_net_cost(w: Warehouse) -> DataFrame:
+    """Net cost of goods sold per day x store x product from the day-cost components of each line."""
+    return extracts.sales_net_cost(w.raw("custo_venda_linhas"))

@@ -126,3 +126,52 @@ def receipt_costs(lines: DataFrame) -> DataFrame:
     )
     ratio = F.col("_vp").cast("double") / F.when(F.col("_v") != 0, F.col("_v")).cast("double")
     return out.withColumn("prazomediopag", F.round(ratio, 6)).drop("_vp", "_v")
+
+
+def _d(c) -> Column:
+    return F.col(c).cast("double")
+
+
+def _div0(num: Column, den: Column) -> Column:
+    """The ERP's safe divide, assumed to give 0 when the divisor is 0 or NULL."""
+    return F.when(den.isNull() | (den == 0), F.lit(0.0)).otherwise(num / den)
+
+
+def net_cogs(lines: DataFrame) -> Column:
+    """Net cost of goods sold of a sales line (double).
+
+    Unit day cost net of the accord discount per unit, plus IPI, ICMS-ST and
+    invoice / off-invoice expenses, minus the ICMS, PIS, COFINS and IPI credits
+    and the off-invoice discount; times the surcharge factor and the
+    base-product ratio (1 when missing); minus the allowance per unit (when an
+    allowance quantity exists) plus the accrued allowance per unit (for lines
+    that accrue it); all times the net quantity. Computed in double precision.
+    """
+    net_qty = _d("qtditem") - _d("qtddevolitem")
+    ratio = F.coalesce(_d("propqtdprodutobase"), F.lit(1.0))
+    accord = _div0(_div0(_d("vlrdescacordoverbapdv"), net_qty), _d("qtdembalitem"))
+    unit = ((_d("cmdiavlrnf") - accord) + _d("cmdiaipi") - _d("cmdiacredicms")
+            - F.coalesce(_d("cmdiacredpis"), F.lit(0.0)) - F.coalesce(_d("cmdiacredcofins"), F.lit(0.0))
+            - F.coalesce(_d("cmdiacredipi"), F.lit(0.0)) + _d("cmdiaicmsst") + _d("cmdiadespnf")
+            + _d("cmdiadespforanf") - _d("cmdiadctoforanf"))
+    qtdvda = F.coalesce(_d("qtdvda"), F.lit(0.0))
+    allowance = F.when(_d("qtdverbavda") == 0, F.lit(0.0)).otherwise(
+        _d("vlrverbavda") * ratio / F.when(qtdvda == 0, _d("qtdverbavda")).otherwise(qtdvda))
+    accr = F.coalesce(_d("vlrverbavdaacr"), F.lit(0.0))
+    accrued = F.when(F.col("acmcompravenda") == "N", F.lit(0.0)).otherwise(
+        F.when(accr == 0, F.lit(0.0)).otherwise(accr * ratio / F.when(qtdvda == 0, F.lit(1.0)).otherwise(qtdvda)))
+    return (unit * _d("fatoracrescimo") * ratio - allowance + accrued) * net_qty
+
+
+def round_cents(x: Column) -> Column:
+    """Round a double to cents, half away from zero, on its binary value."""
+    return F.signum(x) * F.floor(F.abs(x) * 100 + 0.5) / 100
+
+
+def sales_net_cost(lines: DataFrame) -> DataFrame:
+    """Net cost of goods sold (rounded to cents) and net quantity per day x store x product."""
+    return (lines.withColumn("_cogs", net_cogs(lines))
+                 .groupBy(F.col("dtavda").alias("data_venda"), F.col("nroempresa").alias("empresa_id"),
+                          F.col("seqproduto").alias("produto_id"))
+                 .agg(round_cents(F.sum("_cogs")).alias("vlrctoliqvda"),
+                      F.sum(F.col("qtditem") - F.col("qtddevolitem")).cast("decimal(28,3)").alias("qtd_liquida")))

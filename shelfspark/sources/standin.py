@@ -95,6 +95,35 @@ SALES_CORRECTED = StandIn("maxv_abcdistribbase_corrigida", (Part(
           for a, e in SALES.parts[0].columns)
     + (("vlrembalagem", f"CAST(l_linenumber AS {MONEY})"),)),),)
 
+# Sales lines with the day-cost components of the cost-of-goods rule (A11).
+_UC = f"CAST({_UNIT_CENTS} AS DECIMAL(18,0)) * 0.01"
+SALES_COST_LINES = StandIn("custo_venda_linhas", (_p("lineitem", [
+    ("dtavda", "CAST(l_shipdate AS DATE)"),
+    ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
+    ("seqproduto", "CAST(l_partkey AS INT)"),
+    ("qtditem", f"CASE WHEN l_returnflag = 'R' THEN CAST(0 AS {QTY}) ELSE {_QTY} END"),
+    ("qtddevolitem", f"CASE WHEN l_returnflag = 'R' THEN {_QTY} WHEN l_linenumber = 2 THEN {_QTY} ELSE CAST(0 AS {QTY}) END"),
+    ("qtdembalitem", f"CAST(CASE WHEN l_linenumber % 3 = 0 THEN 6 ELSE 1 END AS {QTY})"),
+    ("vlrdescacordoverbapdv", f"CAST(ROUND({_PRICE} * {_DISC} * 0.1, 2) AS {MONEY})"),
+    ("cmdiavlrnf", f"CAST(ROUND({_UC} * 0.6, 4) AS DECIMAL(18,4))"),
+    ("cmdiaipi", f"CAST(ROUND({_UC} * {_TAX} * 0.2, 4) AS DECIMAL(18,4))"),
+    ("cmdiacredicms", f"CAST(ROUND({_UC} * 0.07, 4) AS DECIMAL(18,4))"),
+    ("cmdiacredpis", f"CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(ROUND({_UC} * 0.0165, 4) AS DECIMAL(18,4)) END"),
+    ("cmdiacredcofins", f"CAST(ROUND({_UC} * 0.076, 4) AS DECIMAL(18,4))"),
+    ("cmdiacredipi", "CAST(NULL AS DECIMAL(18,4))"),
+    ("cmdiaicmsst", f"CAST(ROUND({_UC} * {_TAX}, 4) AS DECIMAL(18,4))"),
+    ("cmdiadespnf", "CAST(0.05 AS DECIMAL(18,4))"),
+    ("cmdiadespforanf", "CAST(0.02 AS DECIMAL(18,4))"),
+    ("cmdiadctoforanf", f"CAST(ROUND({_UC} * {_DISC}, 4) AS DECIMAL(18,4))"),
+    ("fatoracrescimo", "CAST(CASE WHEN l_suppkey % 5 = 0 THEN 1.02 ELSE 1.00 END AS DECIMAL(6,4))"),
+    ("propqtdprodutobase", "CASE WHEN l_partkey % 7 = 0 THEN CAST(0.5 AS DECIMAL(9,4)) END"),
+    ("qtdverbavda", f"CAST(CASE WHEN l_partkey % 4 = 0 THEN 10 ELSE 0 END AS {QTY})"),
+    ("vlrverbavda", f"CAST(l_partkey % 50 AS {MONEY})"),
+    ("qtdvda", f"CAST(CASE WHEN l_partkey % 8 = 0 THEN 0 ELSE l_partkey % 40 + 5 END AS {QTY})"),
+    ("acmcompravenda", "CASE WHEN l_suppkey % 2 = 0 THEN 'S' ELSE 'N' END"),
+    ("vlrverbavdaacr", f"CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE CAST(l_suppkey % 20 AS {MONEY}) END"),
+]),))
+
 _RECEIPT_OP = ("CASE l_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 11 WHEN 2 THEN 105 WHEN 3 THEN 107 "
                "WHEN 4 THEN 200 WHEN 5 THEN 205 ELSE 999 END")
 
@@ -605,7 +634,7 @@ ORDER_ORIGINS = StandIn("madv_origempedido", (_p("customer", [
     ("origempedido", "substr(c_mktsegment, 1, 2)"), ("descorigempedido", "lower(c_mktsegment)"),
 ], distinct=True),))
 
-ALL = {t.name: t for t in [SALES, SALES_CORRECTED, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
+ALL = {t.name: t for t in [SALES, SALES_CORRECTED, SALES_COST_LINES, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
