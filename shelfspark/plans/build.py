@@ -15,12 +15,14 @@ selected table under ``<out>/gold/<name>``:
   re-allocating a new target never scans the sales fact.
 
 This is a plain ordered list of Spark jobs, not a scheduler: each table is
-one Spark job planned by Catalyst/AQE.
+one Spark job planned by Catalyst/AQE; models of one wave may be submitted
+concurrently from a small thread pool.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,7 @@ class Model:
     window_only_source: bool = False   # refuse a full rebuild
     partition_from_key: bool = False   # the month is a function of the key
     source_date: tuple[str, str] | None = None   # (raw table, raw date column) for the incremental filter
+    wave: int = 0                      # models of one wave do not read each other (built concurrently)
 
 
 def _month(df: DataFrame, date_col: str) -> DataFrame:
@@ -81,18 +84,20 @@ MODELS: list[Model] = [
     Model("fato_pedido_compra", lambda w, o: facts.purchase_order_fact(w.order_headers, w.order_items),
           key=tuple(facts.PURCHASE_ORDER_KEY), date_col="dta_emissao", window_only_source=True,
           source_date=("msu_pedidosuprim", "dtaemissao")),
-    Model("dim_calendario", lambda w, o: cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark))),
-    Model("dim_hora", lambda w, o: cal.hour_dim(w.spark)),
-    Model("dim_empresa_info", lambda w, o: w.store_dim),
-    Model("dim_produto_info", lambda w, o: w.product_dim),
-    Model("dim_fornecedor_info", lambda w, o: w.supplier_dim),
+    Model("dim_calendario", lambda w, o: cal.calendar_from_facts(w.spark, w.sales_fact, seeds.fixed_holidays(w.spark)),
+          wave=1),
+    Model("dim_hora", lambda w, o: cal.hour_dim(w.spark), wave=1),
+    Model("dim_empresa_info", lambda w, o: w.store_dim, wave=1),
+    Model("dim_produto_info", lambda w, o: w.product_dim, wave=1),
+    Model("dim_fornecedor_info", lambda w, o: w.supplier_dim, wave=1),
     Model("mart_tempo_entrega_fornecedor", lambda w, o: marts.delivery_time(w.receipts_fact, w.supplier_dim),
-          tags=("monthly",)),
-    Model("mart_curva_abc", lambda w, o: marts.abc_curve(w.sales_fact, w.product_category), tags=("monthly",)),
-    Model("mart_meta_participacao_historica", _participation),
-    Model("mart_meta_comercial", _allocation),
+          tags=("monthly",), wave=2),
+    Model("mart_curva_abc", lambda w, o: marts.abc_curve(w.sales_fact, w.product_category), tags=("monthly",),
+          wave=2),
+    Model("mart_meta_participacao_historica", _participation, wave=2),
+    Model("mart_meta_comercial", _allocation, wave=3),
     Model("mart_meta_referencia_grupo", lambda w, o: targets.group_reference(
-        w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo"))),
+        w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo")), wave=2),
 ]
 
 
@@ -103,34 +108,46 @@ def selected(select: Iterable[str] | None, exclude_tags: Iterable[str]) -> list[
             if (names is not None and m.name in names) or (names is None and not (skip & set(m.tags)))]
 
 
+def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: set[str]) -> str:
+    # facts come from the current extract; every later model reads the stored facts
+    w = Warehouse(spark, sf_dir) if m.key else Warehouse(spark, sf_dir, stored=out)
+    df = m.build(w, out)
+    path = f"{out}/gold/{m.name}"
+    if m.key:
+        first_load = not exists(spark, out, m.name)
+        if m.source_date:
+            raw_table, raw_col = m.source_date
+            df = since_batch_start(df, w.raw(raw_table), m.date_col, F.to_date(raw_col), first_load)
+        rows = _month(df.drop("carregado_em"), m.date_col)
+        if m.name in refresh:
+            full_refresh(spark, path, rows, MONTH_COL, m.window_only_source, FACT_SORT)
+        else:
+            load_delete_insert(spark, path, rows, list(m.key), MONTH_COL, partition_from_key=m.partition_from_key,
+                               sort_cols=FACT_SORT)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return m.name
+
+
 def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | None = None,
-          exclude_tags: Iterable[str] = ("monthly",), full_refresh_models: Iterable[str] = ()) -> list[str]:
+          exclude_tags: Iterable[str] = ("monthly",), full_refresh_models: Iterable[str] = (),
+          parallelism: int = 1) -> list[str]:
     """Build the selected models into ``out``; returns the names written.
 
-    Facts are built from the current extract; every later model reads the
-    stored facts (with their history) through a second, stored-backed view.
+    Models run wave by wave (facts, dimensions, marts, allocation); inside a
+    wave up to ``parallelism`` models are submitted as concurrent Spark jobs
+    from a thread pool (the reference builds four models at a time).
     """
-    extract = Warehouse(spark, sf_dir)
     refresh = set(full_refresh_models)
-    done = []
-    for m in selected(select, exclude_tags):
-        w = extract if m.key else Warehouse(spark, sf_dir, stored=out)
-        df = m.build(w, out)
-        path = f"{out}/gold/{m.name}"
-        if m.key:
-            first_load = not exists(spark, out, m.name)
-            if m.source_date:
-                raw_table, raw_col = m.source_date
-                df = since_batch_start(df, w.raw(raw_table), m.date_col, F.to_date(raw_col), first_load)
-            rows = _month(df.drop("carregado_em"), m.date_col)
-            if m.name in refresh:
-                full_refresh(spark, path, rows, MONTH_COL, m.window_only_source, FACT_SORT)
-            else:
-                load_delete_insert(spark, path, rows, list(m.key), MONTH_COL, partition_from_key=m.partition_from_key,
-                                   sort_cols=FACT_SORT)
+    models = selected(select, exclude_tags)
+    done: list[str] = []
+    for wave in sorted({m.wave for m in models}):
+        batch = [m for m in models if m.wave == wave]
+        if parallelism > 1 and len(batch) > 1:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                done += list(pool.map(lambda m: _build_one(spark, sf_dir, out, m, refresh), batch))
         else:
-            df.write.mode("overwrite").parquet(path)
-        done.append(m.name)
+            done += [_build_one(spark, sf_dir, out, m, refresh) for m in batch]
     return done
 
 

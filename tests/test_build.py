@@ -53,3 +53,13 @@ def test_quality_run_after_build(spark):
     assert res[("meta_ajustes_loja", "zero_sum", "ajuste_padrao_valor")] == E.queries()["dq_zero_sum"](spark, SF).count()
     assert (res[("mart_meta_comercial", "reconciliation", "meta_padrao_valor,meta_desafio_valor")]
             == E.queries()["dq_reconcile"](spark, SF).count())
+
+
+def test_parallel_build_matches_serial(spark):
+    base = tempfile.mkdtemp(prefix="shelf-build4-")
+    a, b = os.path.join(base, "serial"), os.path.join(base, "parallel")
+    names = build.build(spark, SF, a)
+    assert sorted(build.build(spark, SF, b, parallelism=4)) == sorted(names)
+    for n in ["fato_venda", "dim_produto_info", "mart_meta_comercial", "mart_meta_referencia_grupo"]:
+        x, y = spark.read.parquet(f"{a}/gold/{n}"), spark.read.parquet(f"{b}/gold/{n}")
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
