@@ -90,7 +90,7 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     months = refs.select("mes_historico").distinct()
     ranged = sales.where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.add_months(F.lit(hi), 1)))
-    if "mes_part" in sales.columns:  # stored fact: prune month partitions too
+    if "mes_part" in sales.columns and lo is not None:  # stored fact: prune month partitions too
         ranged = ranged.where(F.col("mes_part").between(lo.year * 100 + lo.month, hi.year * 100 + hi.month))
     v = (ranged.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
               .withColumn("mes_historico", F.trunc("data_venda", "MM"))

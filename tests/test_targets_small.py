@@ -108,3 +108,19 @@ def test_checks_one_violation_each(spark):
     assert [(r.k, r.qtd) for r in checks.unique(df, ["k"]).collect()] == [(1, 2)]
     assert [r.s for r in checks.accepted_values(df, "s", ["A", "B"], ["k"]).collect()] == ["Z"]   # NULL passes
     assert checks.unique(df, ["k", "s"]).count() == 0
+
+
+def test_marts_on_empty_input(spark):
+    from shelfspark.plans import marts
+    empty_sales = spark.createDataFrame([], SALES + ", qtd_venda_liquida decimal(18,3)")
+    cats = spark.createDataFrame([], "produto_id int, familia_id int, categoria_id int")
+    assert marts.abc_curve(empty_sales, cats).count() == 0
+    assert marts.abc_network(empty_sales).count() == 0
+    receipts = spark.createDataFrame([], "fornecedor_id int, empresa_id int, dta_entrada date, cod_geral_oper int, "
+                                         "tempo_entrega_dias int, vlr_total_nf decimal(18,2)")
+    assert marts.delivery_time(receipts).count() == 0
+    stores = spark.createDataFrame([(2, "ATIVA")], STORES)
+    prods = spark.createDataFrame([], PRODUCTS)
+    assert targets.participation(spark.createDataFrame([], SALES), prods, stores, None).count() == 0
+    ind = spark.createDataFrame([], "data_referencia date, indicador string, valor decimal(18,4), fonte string")
+    assert targets.group_reference(spark.createDataFrame([], SALES), stores, ind).count() == 0
