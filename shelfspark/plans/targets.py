@@ -61,6 +61,19 @@ def store_adjustments(src: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- participation
 
+def _shift_months(d, n: int):
+    """First-of-month date ``n`` months after ``d`` (a first-of-month date)."""
+    y, m = divmod(d.year * 12 + d.month - 1 + n, 12)
+    return d.replace(year=y, month=m + 1, day=1)
+
+
+def reference_months(first_month) -> list:
+    """Every history month any (target month, depth) pair looks at: the same
+    calendar month 1..3 years before each of the 13 target months."""
+    return sorted({_shift_months(first_month, m - 12 * k)
+                   for m in range(PLAN_MONTHS_AHEAD + 1) for k in range(1, max(HISTORY_YEARS) + 1)})
+
+
 def _spine_pairs(first_month) -> list:
     """(target month, history depth) pairs as literal structs: 13 x 3 values."""
     return [F.struct(F.add_months(F.lit(first_month), m).alias("mes_meta"), F.lit(y).alias("anos_historico"))
@@ -84,17 +97,17 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
                         F.explode(F.sequence(F.lit(1), F.col("anos_historico"))).alias("k")) \
                 .select("mes_meta", "anos_historico",
                         F.add_months("mes_meta", -12 * F.col("k")).alias("mes_historico"))
-    # The bridge has at most 78 rows: read its range to the driver and filter the
-    # fact with literals, so a month-partitioned fact prunes partitions.
-    lo_hi = refs.agg(F.min("mes_historico").alias("lo"), F.max("mes_historico").alias("hi")).first()
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    months = refs.select("mes_historico").distinct()
-    ranged = sales.where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.add_months(F.lit(hi), 1)))
-    if "mes_part" in sales.columns and lo is not None:  # stored fact: prune month partitions too
-        ranged = ranged.where(F.col("mes_part").between(lo.year * 100 + lo.month, hi.year * 100 + hi.month))
+    # The history months follow from the plan month alone (at most 39): the fact
+    # is filtered with a literal range plus an IN list, which reach the scan,
+    # and a month-partitioned fact is pruned to exactly those months.
+    months = reference_months(first_month) if first_month is not None else []
+    lo, hi = (months[0], _shift_months(months[-1], 1)) if months else (None, None)
+    ranged = sales.where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.lit(hi)))
+    if "mes_part" in sales.columns and months:  # stored fact: prune month partitions too
+        ranged = ranged.where(F.col("mes_part").isin([d.year * 100 + d.month for d in months]))
     v = (ranged.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
               .withColumn("mes_historico", F.trunc("data_venda", "MM"))
-              .join(F.broadcast(months), "mes_historico", "left_semi")
+              .where(F.col("mes_historico").isin(months))
               .join(F.broadcast(stores) if n_stores <= BROADCAST_STORES else stores, "empresa_id", "left_semi")
               .join(product_category.select("produto_id", "categoria_id", "categoria_id_nome"), "produto_id"))
     per_month = (v.groupBy("mes_historico", "empresa_id", "categoria_id", "categoria_id_nome")
