@@ -57,3 +57,11 @@ def test_delete_insert_matches_model(spark, target, batch):
     again = delete_insert(got, spark.createDataFrame(batch, schema), ["k", "m"])
     null_rows = [r for r in batch if r[0] is None]
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(expected + null_rows, key=repr)
+
+
+def test_label_backfill_is_idempotent(spark):
+    from shelfspark.plans import facts
+    once = E.queries()["label_backfill"](spark, SF)
+    twice = facts.label_backfill(once)
+    assert once.count() > 0
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
