@@ -337,19 +337,19 @@ def hot_microbatch(w: Warehouse) -> DataFrame:
 # ---------------------------------------------------------------- run logs and enrichment
 
 
-WORKFLOW = "workflow_consinco_cold"
+WORKFLOW = "workflow_cold"
 
 
-@register("pipeline_timing", oracle.PIPELINE_TIMING)
-def pipeline_timing(w: Warehouse) -> DataFrame:
+@register("step_timing", oracle.STEP_TIMING)
+def step_timing(w: Warehouse) -> DataFrame:
     """Per-pipeline durations parsed from run logs (regex capture, lag per log file)."""
-    return logs.pipeline_timing(w.raw("hop_log"), WORKFLOW)
+    return logs.step_timing(w.raw("run_log"), WORKFLOW)
 
 
-@register("pipeline_timing_top5", oracle.PIPELINE_TOP5)
-def pipeline_timing_top5(w: Warehouse) -> DataFrame:
+@register("step_timing_top5", oracle.STEP_TOP5)
+def step_timing_top5(w: Warehouse) -> DataFrame:
     """The five slowest pipelines of the latest execution and their one-line summary."""
-    return logs.slowest_of_latest(logs.pipeline_timing(w.raw("hop_log"), WORKFLOW))
+    return logs.slowest_of_latest(logs.step_timing(w.raw("run_log"), WORKFLOW))
 
 
 @register("pending_registry", oracle.PENDING_REGISTRY)

@@ -34,7 +34,7 @@ def _ts(c):
 FILE_ROWS = 1_000_000
 
 
-def pipeline_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_ROWS) -> DataFrame:
+def step_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_ROWS) -> DataFrame:
     """One row per finished pipeline: execution id, names, start, finish, seconds.
 
     The previous finish is a ``lag`` within the file; when the largest file

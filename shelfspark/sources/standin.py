@@ -482,9 +482,9 @@ def _cat(*parts) -> tuple[str, str]:
     return tuple(" || ".join(_dialect(p, i) for p in parts) for i in (0, 1))
 
 
-RUN_LOG = StandIn("hop_log", (
+RUN_LOG = StandIn("run_log", (
     _p("events", [("arquivo", _LOG_DAY), ("seq", "CAST(0 AS BIGINT)"),
-                  ("linha", _cat(_LOG_DAY, "' 00:00:00 - workflow_consinco_cold - Start of workflow execution'"))],
+                  ("linha", _cat(_LOG_DAY, "' 00:00:00 - workflow_cold - Start of workflow execution'"))],
        distinct=True),
     _p("events", [("arquivo", _LOG_DAY), ("seq", "event_id + 1"),
                   ("linha", _cat(_LOG_TS, "' - '", "CASE WHEN user_id % 9 = 0 THEN 'mrl_lanctoestoque' "

@@ -26,10 +26,10 @@ def test_log_timing_from_text_files(spark):
                            _fin("01:02:40", "p3")]) + "\n")
     with open(os.path.join(d, "b.log"), "w") as f:   # finishes but no start: nothing
         f.write(_fin("02:00:00", "orphan") + "\n")
-    timing = logs.pipeline_timing(logs.read_log_lines(spark, d), "wf")
+    timing = logs.step_timing(logs.read_log_lines(spark, d), "wf")
     rows = sorted((r.pipeline_name, r.duration_seconds) for r in timing.collect())
     assert rows == [("p'2", 30), ("p1", 10), ("p3", 120)]
-    split = logs.pipeline_timing(logs.read_log_lines(spark, d), "wf", max_file_rows=1)  # ranged lag path
+    split = logs.step_timing(logs.read_log_lines(spark, d), "wf", max_file_rows=1)  # ranged lag path
     assert sorted((r.pipeline_name, r.duration_seconds) for r in split.collect()) == rows
     top = logs.slowest_of_latest(timing, k=2).orderBy("posicao").collect()
     assert [(r.posicao, r.pipeline_name) for r in top] == [(1, "p3"), (2, "p'2")]
