@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+# Default labels for missing attributes and the yes / no labels.
 NOT_DEFINED_F = "NÃO DEFINIDA"
 NOT_DEFINED_M = "NÃO DEFINIDO"
 YES, NO = "SIM", "NÃO"

@@ -27,6 +27,9 @@ from shelfspark.session import checkpoint_dir
 
 SHARE_DIGITS = 10
 BROADCAST_STORES = 100_000  # the measured active-store count is broadcast up to this many rows
+
+# History depths (years back), months planned ahead of the
+# current one, and the two market indicator codes.
 HISTORY_YEARS = [1, 2, 3]
 PLAN_MONTHS_AHEAD = 12
 IPCA = "IPCA_ALIMENTOS_BEBIDAS"
