@@ -472,3 +472,15 @@ def labels_and_keys(w: Warehouse) -> DataFrame:
 def sales_net_cost(w: Warehouse) -> DataFrame:
     """Net cost of goods sold per day x store x product from the day-cost components of each line."""
     return extracts.sales_net_cost(w.raw("custo_venda_linhas"))
+
+
+@register("schema_append", oracle.SCHEMA_APPEND)
+def schema_append(w: Warehouse) -> DataFrame:
+    """Two loads with evolving schemas: a corrected window that adds a column, then the last
+    10 days re-sent without the discount column (NULL for those rows, kept for the others)."""
+    target, batch = _incremental_inputs(w)
+    as_of = w.sales_fact.agg(F.max("data_venda")).first()[0]
+    late = (batch.where(F.col("data_venda") >= F.date_sub(F.lit(as_of), 10))
+                 .drop("valor_desconto", "vlrembalagem"))
+    merged = incremental.delete_insert(target, batch, facts.SALES_KEY)
+    return incremental.delete_insert(merged, late, facts.SALES_KEY)
