@@ -70,6 +70,23 @@ def _participation(w: Warehouse, out: str) -> DataFrame:
     return targets.participation(w.sales_fact, w.product_category, w.store_dim, first)
 
 
+def _writeback(w: Warehouse, out: str) -> DataFrame:
+    """Post-step of the allocation: update the planning adjustments table.
+
+    Reads the stored adjustments (the raw table on the first run), applies the
+    write-back with the stored allocation and materialises the result, so the
+    table can then be overwritten in place."""
+    from shelfspark.operators.incremental import existing_table
+    from shelfspark.session import checkpoint_dir
+    current = existing_table(w.spark, f"{out}/gold/meta_ajustes_loja")
+    if current is None:
+        current = w.raw("meta_ajustes_loja")
+    new = targets.writeback(_stored(w, out, "mart_meta_comercial"), targets.target_params(w.raw("meta_parametros")),
+                            current)
+    checkpoint_dir(w.spark)
+    return new.checkpoint(eager=True)
+
+
 MODELS: list[Model] = [
     Model("fato_venda", lambda w, o: w.sales_fact, key=tuple(facts.SALES_KEY), date_col="data_venda",
           partition_from_key=True, source_date=("maxv_abcdistribbase", "datahora")),
@@ -96,6 +113,7 @@ MODELS: list[Model] = [
           wave=2),
     Model("mart_meta_participacao_historica", _participation, wave=2),
     Model("mart_meta_comercial", _allocation, wave=3),
+    Model("meta_ajustes_loja", _writeback, wave=4),
     Model("mart_meta_referencia_grupo", lambda w, o: targets.group_reference(
         w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo")), wave=2),
 ]

@@ -63,3 +63,14 @@ def test_parallel_build_matches_serial(spark):
     for n in ["fato_venda", "dim_produto_info", "mart_meta_comercial", "mart_meta_referencia_grupo"]:
         x, y = spark.read.parquet(f"{a}/gold/{n}"), spark.read.parquet(f"{b}/gold/{n}")
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_writeback_step_persists_and_is_stable(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="shelf-build5-"), "wh")
+    build.build(spark, SF, out)
+    first = spark.read.parquet(f"{out}/gold/meta_ajustes_loja")
+    n, ids = first.count(), {r.id for r in first.select("id").collect()}
+    assert first.where("meta_padrao_sem_ajuste IS NOT NULL").count() > 0
+    build.build(spark, SF, out, select=["meta_ajustes_loja"])   # re-run: rows updated, none inserted again
+    again = spark.read.parquet(f"{out}/gold/meta_ajustes_loja")
+    assert again.count() == n and {r.id for r in again.select("id").collect()} == ids
