@@ -128,7 +128,10 @@ def selected(select: Iterable[str] | None, exclude_tags: Iterable[str]) -> list[
 
 def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: set[str]) -> str:
     # facts come from the current extract; every later model reads the stored facts
-    w = Warehouse(spark, sf_dir) if m.key else Warehouse(spark, sf_dir, stored=out)
+    if m.key:
+        w = Warehouse(spark, sf_dir)
+    else:  # dimensions are built from the sources; later waves read the stored dimensions
+        w = Warehouse(spark, sf_dir, stored=out, stored_dims=m.wave >= 2)
     df = m.build(w, out)
     path = f"{out}/gold/{m.name}"
     if m.key:

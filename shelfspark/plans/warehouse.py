@@ -23,13 +23,15 @@ class Warehouse:
     With ``stored`` set (the output folder of a build), the sales and
     receipts facts are read from their stored, history-keeping tables
     (with their ``mes_part`` partition column) instead of being recomputed
-    from the current extract.
+    from the current extract; with ``stored_dims`` the store dimension is
+    read from its stored table too (for models built after the dimensions).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None, stored_dims: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.stored = stored
+        self.stored_dims = stored_dims
 
     def _stored_fact(self, name: str) -> DataFrame | None:
         if not self.stored:
@@ -140,6 +142,9 @@ class Warehouse:
 
     @cached_property
     def store_dim(self) -> DataFrame:
+        stored = self._stored_fact("dim_empresa_info") if self.stored_dims else None
+        if stored is not None:
+            return stored
         return dims.store_dim(self.stores, self.checkouts, self.segments, seeds.closed_stores(self.spark))
 
     @cached_property

@@ -74,3 +74,12 @@ def test_writeback_step_persists_and_is_stable(spark):
     build.build(spark, SF, out, select=["meta_ajustes_loja"])   # re-run: rows updated, none inserted again
     again = spark.read.parquet(f"{out}/gold/meta_ajustes_loja")
     assert again.count() == n and {r.id for r in again.select("id").collect()} == ids
+
+
+def test_full_build_twice(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="shelf-build6-"), "wh")
+    build.build(spark, SF, out)
+    before = spark.read.parquet(f"{out}/gold/dim_empresa_info").count()
+    build.build(spark, SF, out)     # dimensions rebuilt from the sources, marts read the stored ones
+    assert spark.read.parquet(f"{out}/gold/dim_empresa_info").count() == before
+    assert spark.read.parquet(f"{out}/gold/mart_meta_comercial").count() > 0
