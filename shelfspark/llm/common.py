@@ -39,9 +39,10 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def row_key():
+def row_key(text=None):
     """Names a row by its doc_id and text, so that null or repeated doc_ids stay apart."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(text_or_empty(), 256))
+    text = text_or_empty() if text is None else text
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(text, 256))
 
 
 def one_per(df: DataFrame, keys: list, order: list) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import sharding, simhash
+from shelfspark.llm import exact_dedup, sharding, simhash
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,20 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which row of each group of equal texts stays, by the extendible-hash index, for every document."""
+    return exact_dedup.duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept, sha256(body) AS text_sha256
+FROM t
+"""
+
+
 @query
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot among 24 shards by a Feistel permutation (law: rows)."""
