@@ -1 +1,11 @@
-"""Operators of a training-data pipeline; nothing else in the library imports this package."""
+"""Operators of a training-data pipeline; nothing else in the library imports this package.
+
+Functions that run in Python workers are sent by value, so executors need no
+copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
