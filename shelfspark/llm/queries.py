@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import exact_dedup, sharding, simhash
+from shelfspark.llm import exact_dedup, sharding, simhash, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,14 @@ FROM t
 """
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written to Zstandard archives and read back."""
+    found = warc.archived(read(spark, sf_dir, "pages"))
+    return found.select("page_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type",
+                        warc.page_id("refers_to").alias("refers_to"))
+
+
 @query
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot among 24 shards by a Feistel permutation (law: rows)."""
