@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import exact_dedup, sharding, simhash, warc
+from shelfspark.llm import bpe, exact_dedup, sharding, simhash, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def tokenizer_path() -> str:
+    """The 50k byte-level vocabulary of the installed tokenizer files."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document, long texts by tree concatenation."""
+    return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of each group of equal texts stays, by the extendible-hash index, for every document."""
