@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, exact_dedup, sharding, simhash, warc
+from shelfspark.llm import bpe, decontaminate, exact_dedup, sharding, simhash, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that overlaps a benchmark item, with the item and the overlap, by spaced seeds."""
+    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path() -> str:
     """The 50k byte-level vocabulary of the installed tokenizer files."""
     import public_tokenizers
