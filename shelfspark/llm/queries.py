@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, exact_dedup, sharding, simhash, warc
+from shelfspark.llm import bpe, decontaminate, exact_dedup, sharding, simhash, toxicity, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from its nearest labelled examples, which are never held-out rows."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return found.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), F.col("toxicity.score").alias("score"),
+                        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                        F.col("toxicity.similarity").alias("similarity"), F.col("toxicity.evidence").alias("evidence"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that overlaps a benchmark item, with the item and the overlap, by spaced seeds."""
