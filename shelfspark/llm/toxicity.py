@@ -29,7 +29,7 @@ from shelfspark.llm.common import small_batches, stored
 EXAMPLES = 4000  # of each label, at most
 CALIBRATION = 4000  # at most
 VOCABULARY = 4096
-CHI_SQUARE = 10.83  # one chance in a thousand, one degree of freedom
+CHI_SQUARE = 25.3  # one chance in two million: among 100,000 terms about none passes by luck
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
@@ -211,14 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     if len(counts) < 2:
         return Scorer(None, prior)
-    # where labels are few, a third of them is left for the calibration
-    take = {y: min(examples, -(-2 * counts[y] // 3)) for y in (0, 1)}
-    parts = [usable.where(F.col("label") == y).orderBy("draw", "doc_id").limit(take[y]) for y in (0, 1)]
-    chosen = parts[0].unionByName(parts[1]).select("doc_id", "label", F.lit("example").alias("part"))
-    # the calibration sample keeps the labels' own proportions: the rest, drawn by another hash
-    names = chosen.select("doc_id")
-    rest = usable.join(F.broadcast(names), "doc_id", "left_anti").orderBy(F.xxhash64("draw", F.lit(1)), "doc_id") \
-                 .limit(calibration).select("doc_id", "label", F.lit("calibration").alias("part"))
+    # A third of the labels, by hash, is for calibration and keeps the labels' own proportions.
+    other = F.pmod(F.xxhash64("draw", F.lit(1)), F.lit(3)) == 0
+    parts = [usable.where(~other & (F.col("label") == y)).orderBy("draw", "doc_id").limit(examples)
+                   .select("doc_id", "label", F.lit("example").alias("part")) for y in (0, 1)]
+    chosen = parts[0].unionByName(parts[1])
+    rest = usable.where(other & F.col("label").isin(0, 1)).orderBy("draw", "doc_id").limit(calibration) \
+                 .select("doc_id", "label", F.lit("calibration").alias("part"))
     sample = stored(chosen.unionByName(rest), "toxic-sample")  # 2 * examples + calibration rows at most
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id") \
                 .groupBy("doc_id", "part", "label").agg(F.min("text").alias("text"))
