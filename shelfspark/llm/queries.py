@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, exact_dedup, html_text, sharding, simhash, toxicity, warc
+from shelfspark.llm import bpe, decontaminate, exact_dedup, html_text, licenses, sharding, simhash, toxicity, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("toxicity.similarity").alias("similarity"), F.col("toxicity.evidence").alias("evidence"))
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and signature detections in every document."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page after site templates are removed."""
