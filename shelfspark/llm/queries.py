@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, exact_dedup, html_text, licenses, sharding, simhash, toxicity, warc
+from shelfspark.llm import bpe, decontaminate, exact_dedup, html_text, licenses, sharding, simhash, toxicity, url_filters, warc
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         warc.page_id("refers_to").alias("refers_to"))
 
 
+@query
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page url by the base rules, else by mined association rules."""
+    return url_filters.verdicts(read(spark, sf_dir, "pages"))
+
+
 @query
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot among 24 shards by a Feistel permutation (law: rows)."""
