@@ -1,16 +1,13 @@
-"""Running totals in a fixed order, with and without a partition key.
-
-``running_sum`` with partition columns is a plain window: callers feed it
-pre-aggregated rows (one per store x product), so a partition holds at most
-one row per catalogue item however skewed the raw facts are.
-
-Without partition columns (a network-wide Pareto curve) a window would put
-every row in one task (``Exchange SinglePartition``). ``global_running_sum``
-instead range-partitions on the order, cuts lineage with a reliable
-checkpoint so partition ids and range bounds stay fixed, sums each range
-(one row per partition), turns those sums into exclusive offsets and adds
-them to a running sum local to each range. Every step is parallel, and the
-only broadcast holds one row per partition.
+"""Running totals and lags in a fixed order, with and without a partition key.
+
+A window would put all rows of a group in one task (and, without a key, the
+whole table). Here the rows are range-partitioned on (group, order) instead,
+so each range holds a contiguous slice of every group it touches and a hot
+group is spread over many ranges. A reliable checkpoint fixes the ranges, each
+range is summed (one row per range and group), those sums become exclusive
+offsets of the groups that span several ranges, and the offsets are added to a
+running sum local to each range. NULL group keys form a group of their own, as
+in a window. The same steps run at every size.
 """
 
 from __future__ import annotations
@@ -22,133 +19,81 @@ from pyspark.sql import functions as F
 
 from shelfspark.session import checkpoint_dir
 
-# Rows per range of the range-partitioned operators: every task holds at most
-# about this many rows, whatever the table or group size.
+# Rows per range, about: what one task holds, whatever the table or group size.
 ROWS_PER_RANGE = 250_000
 
 
-def _range_count(df: DataFrame, partitions: int | None) -> int:
-    """Number of ranges: enough for ROWS_PER_RANGE rows each, at most the
-    shuffle partitions (or ``partitions`` when given)."""
-    if partitions:
-        return partitions
-    spark = df.sparkSession
-    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = df.count()
-    return max(1, min(cap, -(-rows // ROWS_PER_RANGE)))
+def _ranged(df: DataFrame, keys: list[Column], partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``keys`` with a fixed ``_range_id``.
 
+    The range bounds come from sampling, so recomputing the lineage could move
+    rows between ranges; the checkpoint rules that out.
+    """
+    checkpoint_dir(df.sparkSession)
+    n = partitions or max(1, -(-df.count() // ROWS_PER_RANGE))
+    return (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_range_id", F.spark_partition_id()).checkpoint(eager=True))
 
-def running_sum(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], value: str,
-                cum_col: str, total_col: str | None = None, max_group_rows: int | None = None,
-                biggest_group: int | None = None) -> DataFrame:
-    """Add ``cum_col`` (rows up to and including this one) and optionally the partition total.
 
-    With ``max_group_rows`` set, the largest group is measured first (one
-    aggregate); a plain window is used only when no group exceeds it,
-    otherwise the range-partitioned version splits hot groups across tasks.
-    ``biggest_group`` passes a size the caller has already measured.
-    """
-    if max_group_rows is not None:
-        biggest = biggest_group
-        if biggest is None:
-            biggest = df.groupBy(*partition_cols).count().agg(F.max("count")).first()[0] or 0
-        if biggest > max_group_rows:
-            return ranged_running_sum(df, order, value, cum_col, total_col, group_cols=partition_cols)
-    w = Window.partitionBy(*partition_cols).orderBy(*order)
-    out = df.withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if total_col:
-        out = out.withColumn(total_col, F.sum(value).over(Window.partitionBy(*partition_cols)))
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str], suffix: str) -> Column:
+    cond = left["_range_id"] == right[f"_range_id{suffix}"]
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[f"{c}{suffix}"])
+    return cond
+
+
+def _spanning(per_range: DataFrame, g: list[str], suffix: str) -> DataFrame:
+    """Rows of the groups that span several ranges, keys renamed for a join; at most about two rows per range."""
+    ranges = F.count(F.lit(1)).over(Window.partitionBy(*g))
+    out = per_range.withColumn("_ranges", ranges).where(F.col("_ranges") > 1).drop("_ranges")
+    for c in ["_range_id", *g]:
+        out = out.withColumnRenamed(c, f"{c}{suffix}")
     return out
 
 
-def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
-                       total_col: str | None = None, partitions: int | None = None,
-                       single_task_rows: int = 0) -> DataFrame:
-    """Running sum over the whole table in ``order`` (which must be a total order).
+def running_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], value: str, cum_col: str,
+                total_col: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``cum_col`` (rows of the group up to and including this one) and optionally the group's total.
 
-    Always the range-partitioned prefix sum, so the table never sits in one
-    task. A caller may opt in to a one-task window for tables whose row count
-    (checked here) is at most ``single_task_rows``.
-    """
-    if single_task_rows and df.count() <= single_task_rows:
-        w = Window.orderBy(*order)
-        out = df.withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        if total_col:
-            out = out.withColumn(total_col, F.sum(value).over(Window.partitionBy()))
-        return out
-    return ranged_running_sum(df, order, value, cum_col, total_col, partitions)
-
-
-def ranged_running_sum(df: DataFrame, order: Sequence[Column], value: str, cum_col: str,
-                       total_col: str | None = None, partitions: int | None = None,
-                       group_cols: Sequence[str] = ()) -> DataFrame:
-    """Range-partitioned prefix sum; every step runs in parallel.
-
-    Rows are range-partitioned on (group, order), so each range holds a
-    contiguous slice of every group it touches and a hot group is spread over
-    many ranges. Only groups that span several ranges need an offset (the sum
-    of their earlier ranges) and a total from outside the range; there are at
-    most about two per range, so that table is bounded by the number of
-    ranges and is broadcast.
+    ``order`` must be a total order within a group; without ``group_cols`` the
+    whole table is one group. ``df`` should be materialised: it is counted.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = _range_count(df, partitions)
     g = list(group_cols)
-    keys = [F.col(c).asc() for c in g] + list(order)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_range_id", F.spark_partition_id()))
-    # Fix the range assignment: the bounds come from sampling, so recomputing
-    # the lineage could move rows between ranges.
-    ranged = ranged.checkpoint(eager=True)
+    ranged = _ranged(df, [F.col(c).asc() for c in g] + list(order), partitions)
     per_range = ranged.groupBy("_range_id", *g).agg(F.sum(value).alias("_range_sum"))
     zero = F.lit(0).cast(per_range.schema["_range_sum"].dataType)
-    if g:
-        spanning = per_range.groupBy(*g).count().where(F.col("count") > 1).select(*g)
-        parts = per_range.join(spanning, g, "left_semi")
-    else:
-        parts = per_range
-    by_group = Window.partitionBy(*g)
-    offsets = parts.select(
-        "_range_id", *g,
-        F.coalesce(F.sum("_range_sum").over(by_group.orderBy("_range_id")
-                                             .rowsBetween(Window.unboundedPreceding, -1)), zero).alias("_offset"),
-        F.sum("_range_sum").over(by_group).alias("_group_total"),
-    )
-    # at most ~2 rows per range partition: the broadcast is bounded by n
-    joined = ranged.join(F.broadcast(offsets), ["_range_id", *g], "left")
+    x = "_x"
+    by_group = Window.partitionBy(*[f"{c}{x}" for c in g])
+    before = by_group.orderBy(f"_range_id{x}").rowsBetween(Window.unboundedPreceding, -1)
+    parts = _spanning(per_range, g, x)
+    offsets = parts.select(f"_range_id{x}", *[f"{c}{x}" for c in g],
+                           F.coalesce(F.sum("_range_sum").over(before), zero).alias("_offset"),
+                           F.sum("_range_sum").over(by_group).alias("_group_total"))
+    joined = ranged.join(F.broadcast(offsets), _same(ranged, offsets, g, x), "left")  # about two rows per range
     local = Window.partitionBy("_range_id", *g)
-    out = joined.withColumn(cum_col, F.coalesce(F.col("_offset"), zero)
-                            + F.sum(value).over(local.orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                                   Window.currentRow)))
+    up_to = local.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = joined.withColumn(cum_col, F.coalesce(F.col("_offset"), zero) + F.sum(value).over(up_to))
     if total_col:
         out = out.withColumn(total_col, F.coalesce(F.col("_group_total"), F.sum(value).over(local)))
-    return out.drop("_range_id", "_offset", "_group_total")
+    return out.drop("_range_id", "_offset", "_group_total", f"_range_id{x}", *[f"{c}{x}" for c in g])
 
 
 def ranged_lag(df: DataFrame, group_cols: Sequence[str], order_col: str, col: str, out_col: str,
                partitions: int | None = None) -> DataFrame:
-    """``lag(col) over (partition by group order by order_col)`` without a
-    single task per group: rows are range-partitioned on (group, order); the
-    first row of a range takes the last value of the previous range of the
-    same group, looked up in a table of at most about two rows per range
-    (broadcast). ``order_col`` must be unique within a group."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = _range_count(df, partitions)
+    """``lag(col) over (partition by group order by order_col)`` without a task per group.
+
+    The first row of a range takes the last value of the previous range of the
+    same group. ``order_col`` must be unique within a group.
+    """
     g = list(group_cols)
-    keys = [F.col(c).asc() for c in g] + [F.col(order_col).asc()]
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_range_id", F.spark_partition_id())).checkpoint(eager=True)
+    ranged = _ranged(df, [F.col(c).asc() for c in g] + [F.col(order_col).asc()], partitions)
     last = ranged.groupBy("_range_id", *g).agg(F.max_by(col, order_col).alias("_last"),
-                                              F.min(order_col).alias("_first_seq"))
-    spanning = last.groupBy(*g).count().where(F.col("count") > 1).select(*g)
-    carry = (last.join(spanning, g, "left_semi")
-                 .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*g).orderBy("_range_id")))
-                 .select("_range_id", *g, "_first_seq", "_carry"))
-    joined = ranged.join(F.broadcast(carry), ["_range_id", *g], "left")
+                                               F.min(order_col).alias("_first_seq"))
+    x = "_x"
+    by_group = Window.partitionBy(*[f"{c}{x}" for c in g]).orderBy(f"_range_id{x}")
+    carry = _spanning(last, g, x).withColumn("_carry", F.lag("_last").over(by_group)).drop("_last")
+    joined = ranged.join(F.broadcast(carry), _same(ranged, carry, g, x), "left")  # about two rows per range
     local = F.lag(col).over(Window.partitionBy("_range_id", *g).orderBy(order_col))
     first_in_range = F.col(order_col) == F.col("_first_seq")
     out = joined.withColumn(out_col, F.when(first_in_range, F.col("_carry")).otherwise(local))
-    return out.drop("_range_id", "_first_seq", "_carry")
+    return out.drop("_range_id", "_first_seq", "_carry", f"_range_id{x}", *[f"{c}{x}" for c in g])

@@ -3,8 +3,7 @@
 Log lines are read as rows (``spark.read.text`` on a cluster; here a
 stand-in with the file name and line number). Each run's duration per
 pipeline is the time since the previous pipeline finished (the first one:
-since the workflow started) -- a ``lag`` over one run's lines; an oversized
-log file is split over several tasks with a range-partitioned lag.
+since the workflow started) -- a range-partitioned ``lag`` over one run's lines.
 """
 
 from __future__ import annotations
@@ -30,16 +29,11 @@ def _ts(c):
     return F.to_timestamp(c, TS_FORMAT).cast("timestamp_ntz")
 
 
-# A log file above this many finish lines is split over several tasks.
-FILE_ROWS = 1_000_000
-
-
-def step_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_ROWS) -> DataFrame:
+def step_timing(lines: DataFrame, workflow: str) -> DataFrame:
     """One row per finished pipeline: execution id, names, start, finish, seconds.
 
-    The previous finish is a ``lag`` within the file; when the largest file
-    (measured with one aggregate) exceeds ``max_file_rows`` it is computed
-    with the range-partitioned lag so one huge log does not sit in one task.
+    The previous finish is a range-partitioned lag within the file, so one
+    huge log does not sit in one task.
     """
     parsed = lines.select(
         "arquivo", "seq",
@@ -51,11 +45,7 @@ def step_timing(lines: DataFrame, workflow: str, max_file_rows: int = FILE_ROWS)
                     .groupBy("arquivo").agg(F.max_by(_ts(F.col("start_ts")), F.col("seq")).alias("workflow_started")))
     finishes = parsed.where(F.col("finish_ts") != "").select("arquivo", "seq", "pipeline_name",
                                                               _ts(F.col("finish_ts")).alias("finished_at"))
-    biggest = finishes.groupBy("arquivo").count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_file_rows:
-        prev = ranged_lag(finishes, ["arquivo"], "seq", "finished_at", "_prev")
-    else:
-        prev = finishes.withColumn("_prev", F.lag("finished_at").over(Window.partitionBy("arquivo").orderBy("seq")))
+    prev = ranged_lag(finishes, ["arquivo"], "seq", "finished_at", "_prev")
     timed = (prev.join(starts, "arquivo")
                  .withColumn("started_at", F.coalesce(F.col("_prev"), F.col("workflow_started"))))
     return timed.select(

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import abc_class, half_even_int, safe_div, share_pct
-from shelfspark.operators.running_total import global_running_sum, running_sum
+from shelfspark.operators.running_total import running_sum
 from shelfspark.session import checkpoint_dir
 
 PURCHASE_OPERATIONS = [1, 11, 105, 107, 200, 205]  # fixed: receipt codes that are purchases
 MAX_DELIVERY_DAYS = 180
-GROUP_ROWS = 1_000_000  # largest running-sum group kept in a single window task
 
 
 def trailing_year(df: DataFrame, date_col: str) -> tuple:
@@ -68,20 +67,49 @@ def abc_store_product(sales: DataFrame) -> tuple[DataFrame, tuple]:
     return per_store.checkpoint(eager=True), period
 
 
-def abc_network_running(per_store: DataFrame) -> DataFrame:
-    """Network-wide running totals per product, by value and by quantity.
+# Running sums of the curves: scope -> (group columns, measure).
+SCOPES = {"valor_empresa": (("empresa_id",), "receita_liq"), "qtd_empresa": (("empresa_id",), "quantidade_liq"),
+          "valor_categoria": (("empresa_id", "categoria_id"), "receita_liq"),
+          "qtd_categoria": (("empresa_id", "categoria_id"), "quantidade_liq"),
+          "valor_rede": ((), "receita_liq_rede"), "qtd_rede": ((), "quantidade_liq_rede")}
+
+
+def network_totals(per_store: DataFrame) -> DataFrame:
+    """Network totals per product: a product enters the network curve once."""
+    return per_store.groupBy("produto_id").agg(F.sum("receita_liq").alias("receita_liq_rede"),
+                                               F.sum("quantidade_liq").alias("quantidade_liq_rede"))
+
+
+def _scoped(rows: DataFrame, scopes: list[str]) -> DataFrame:
+    """A narrow row per scope: its group, the measure and the row's own store and product."""
+    present = set(rows.columns)
+
+    def of(scope: str):
+        group, measure = SCOPES[scope]
+        return F.struct(F.lit(scope).alias("escopo"),
+                        *[(F.col(c) if c in group else F.lit(None)).cast("int").alias(f"g_{c}")
+                          for c in ("empresa_id", "categoria_id")],
+                        F.col(measure).cast("decimal(38,3)").alias("medida"))
+
+    store = (F.col("empresa_id") if "empresa_id" in present else F.lit(None)).cast("int").alias("empresa_id")
+    return rows.select(store, "produto_id", F.explode(F.array(*[of(s) for s in scopes])).alias("e")) \
+               .select("empresa_id", "produto_id", "e.*")
+
+
+def running_curves(rows: DataFrame) -> DataFrame:
+    """Running sum and total of every scope in one range-partitioned pass over (scope, group, measure)."""
+    return running_sum(rows, ["escopo", "g_empresa_id", "g_categoria_id"],
+                       [F.col("medida").desc(), F.col("produto_id").asc()], "medida", "acum", "total")
 
-    Network totals per product are aggregated from the store rows first, so a
-    product enters the network curve once.
-    """
-    network = (per_store.groupBy("produto_id")
-               .agg(F.sum("receita_liq").alias("receita_liq_rede"),
-                    F.sum("quantidade_liq").alias("quantidade_liq_rede")))
-    network = network.checkpoint(eager=True)
-    network = global_running_sum(network, [F.col("receita_liq_rede").desc(), F.col("produto_id").asc()],
-                                 "receita_liq_rede", "receita_acum_rede", "receita_total_rede")
-    return global_running_sum(network, [F.col("quantidade_liq_rede").desc(), F.col("produto_id").asc()],
-                              "quantidade_liq_rede", "qtd_acum_rede", "qtd_total_rede")
+
+def _wide(curves: DataFrame, keys: list[str], scopes: list[str]) -> DataFrame:
+    """One row per ``keys`` with acum_<scope> and total_<scope>."""
+    pick = lambda c, s: F.max(F.when(F.col("escopo") == s, F.col(c))).alias(f"{c}_{s}")
+    return curves.where(F.col("escopo").isin(scopes)).groupBy(*keys).agg(*[pick(c, s) for s in scopes for c in ("acum", "total")])
+
+
+def _curves_of(names: list[str]) -> list:
+    return [c for s in names for c in _curve(f"acum_{s}", f"total_{s}", s)]
 
 
 def _curve(acum: str, total: str, name: str):
@@ -89,15 +117,21 @@ def _curve(acum: str, total: str, name: str):
             abc_class(F.col(acum), F.col(total)).alias(f"curva_abc_{name}")]
 
 
+NETWORK = ["valor_rede", "qtd_rede"]
+STORE = ["valor_empresa", "qtd_empresa", "valor_categoria", "qtd_categoria"]
+
+
+def _amounts(*names: str) -> list:
+    return [F.col(c).cast("decimal(28,2)" if c.startswith("receita") else "decimal(28,3)").alias(c) for c in names]
+
+
 def abc_network(sales: DataFrame) -> DataFrame:
     """Network ABC classes per product (one row per product with positive store revenue)."""
     per_store, period = abc_store_product(sales)
-    net = with_period(abc_network_running(per_store), period)
-    return net.select("produto_id",
-                      F.col("receita_liq_rede").cast("decimal(28,2)").alias("receita_liq_rede"),
-                      F.col("quantidade_liq_rede").cast("decimal(28,3)").alias("quantidade_liq_rede"),
-                      *_curve("receita_acum_rede", "receita_total_rede", "valor_rede"),
-                      *_curve("qtd_acum_rede", "qtd_total_rede", "qtd_rede"),
+    network = network_totals(per_store).checkpoint(eager=True)
+    curves = _wide(running_curves(_scoped(network, NETWORK)), ["produto_id"], NETWORK)
+    net = with_period(network.join(curves, "produto_id"), period)
+    return net.select("produto_id", *_amounts("receita_liq_rede", "quantidade_liq_rede"), *_curves_of(NETWORK),
                       "periodo_inicio", "periodo_fim")
 
 
@@ -107,48 +141,21 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
     Net revenue and quantity per store x product over the trailing year (all
     operations, returns negative); products with net revenue <= 0 are left
     out. A <= 80 %, B <= 95 %, else C, on the running share in descending
-    order with the product id as tie-break.
+    order with the product id as tie-break. Products without a category (or
+    missing from the dimension) form one group per store.
     """
     per_store, period = abc_store_product(sales)
-    network = abc_network_running(per_store)
-
-    enriched = per_store.join(product_category.select("produto_id", "familia_id", "categoria_id"),
-                              "produto_id", "left")
-    by_value = [F.col("receita_liq").desc(), F.col("produto_id").asc()]
-    by_qty = [F.col("quantidade_liq").desc(), F.col("produto_id").asc()]
-    # a store's rows are bounded by the catalogue; still, a store (or store x
-    # category) above GROUP_ROWS rows is split over several tasks. Both group
-    # sizes come from one small aggregate.
-    sizes = (enriched.groupBy("empresa_id", "categoria_id").count()
-             .groupBy("empresa_id").agg(F.sum("count").alias("s"), F.max("count").alias("c"))
-             .agg(F.max("s"), F.max("c")).first())
-    store_rows, category_rows = sizes[0] or 0, sizes[1] or 0
-    s = running_sum(enriched, ["empresa_id"], by_value, "receita_liq", "receita_acum_empresa",
-                    "receita_total_empresa", max_group_rows=GROUP_ROWS, biggest_group=store_rows)
-    s = running_sum(s, ["empresa_id"], by_qty, "quantidade_liq", "qtd_acum_empresa", "qtd_total_empresa",
-                    max_group_rows=GROUP_ROWS, biggest_group=store_rows)
-    s = running_sum(s, ["empresa_id", "categoria_id"], by_value, "receita_liq", "receita_acum_categoria",
-                    "receita_total_categoria", max_group_rows=GROUP_ROWS, biggest_group=category_rows)
-    s = running_sum(s, ["empresa_id", "categoria_id"], by_qty, "quantidade_liq", "qtd_acum_categoria",
-                    "qtd_total_categoria", max_group_rows=GROUP_ROWS, biggest_group=category_rows)
-
-    out = with_period(s.join(network, "produto_id"), period)
-
-    curve = _curve
-    return out.select(
-        "empresa_id", "produto_id", "familia_id", "categoria_id",
-        F.col("receita_liq").cast("decimal(28,2)").alias("receita_liq"),
-        F.col("quantidade_liq").cast("decimal(28,3)").alias("quantidade_liq"),
-        F.col("receita_liq_rede").cast("decimal(28,2)").alias("receita_liq_rede"),
-        F.col("quantidade_liq_rede").cast("decimal(28,3)").alias("quantidade_liq_rede"),
-        *curve("receita_acum_empresa", "receita_total_empresa", "valor_empresa"),
-        *curve("qtd_acum_empresa", "qtd_total_empresa", "qtd_empresa"),
-        *curve("receita_acum_categoria", "receita_total_categoria", "valor_categoria"),
-        *curve("qtd_acum_categoria", "qtd_total_categoria", "qtd_categoria"),
-        *curve("receita_acum_rede", "receita_total_rede", "valor_rede"),
-        *curve("qtd_acum_rede", "qtd_total_rede", "qtd_rede"),
-        "periodo_inicio", "periodo_fim",
-    )
+    network = network_totals(per_store).checkpoint(eager=True)
+    enriched = per_store.join(product_category.select("produto_id", "familia_id", "categoria_id"), "produto_id", "left") \
+                        .checkpoint(eager=True)
+    curves = running_curves(_scoped(enriched, STORE).unionByName(_scoped(network, NETWORK))).checkpoint(eager=True)
+    net = network.join(_wide(curves, ["produto_id"], NETWORK), "produto_id")
+    store = _wide(curves, ["empresa_id", "produto_id"], STORE).withColumnRenamed("empresa_id", "_e").withColumnRenamed("produto_id", "_p")
+    same = enriched["empresa_id"].eqNullSafe(store["_e"]) & enriched["produto_id"].eqNullSafe(store["_p"])
+    out = with_period(enriched.join(store, same).drop("_e", "_p").join(net, "produto_id"), period)
+    return out.select("empresa_id", "produto_id", "familia_id", "categoria_id",
+                      *_amounts("receita_liq", "quantidade_liq", "receita_liq_rede", "quantidade_liq_rede"),
+                      *_curves_of(STORE), *_curves_of(NETWORK), "periodo_inicio", "periodo_fim")
 
 
 def delivery_time(receipts: DataFrame, supplier_dimension: DataFrame | None = None) -> DataFrame:

@@ -26,7 +26,6 @@ from shelfspark.plans.dims import active_stores
 from shelfspark.session import checkpoint_dir
 
 SHARE_DIGITS = 10
-BROADCAST_STORES = 100_000  # the measured active-store count is broadcast up to this many rows
 
 # History depths (years back), months planned ahead of the
 # current one, and the two market indicator codes.
@@ -111,7 +110,7 @@ def participation(sales: DataFrame, product_category: DataFrame, store_dimension
     v = (ranged.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
               .withColumn("mes_historico", F.trunc("data_venda", "MM"))
               .where(F.col("mes_historico").isin(months))
-              .join(F.broadcast(stores) if n_stores <= BROADCAST_STORES else stores, "empresa_id", "left_semi")
+              .join(stores, "empresa_id", "left_semi")
               .join(product_category.select("produto_id", "categoria_id", "categoria_id_nome"), "produto_id"))
     per_month = (v.groupBy("mes_historico", "empresa_id", "categoria_id", "categoria_id_nome")
                   .agg(F.sum("valor_venda_liquido").alias("faturamento")))
