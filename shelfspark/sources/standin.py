@@ -223,7 +223,7 @@ ORDER_HEADERS = StandIn("msu_pedidosuprim", (_p("orders", [
     ("nropedidosuprim", "o_orderkey"),
     ("nroempresa", "CAST(o_orderkey % 10 + 1 AS INT)"),
     ("seqcomprador", "CAST(o_custkey % 7 AS INT)"),
-    ("seqfornecedor", "CAST(o_custkey % 100 AS INT)"),
+    ("seqfornecedor", "CAST(floor(o_custkey / 15) AS INT)"),
     ("seqtransportador", "CAST(o_custkey % 3 AS INT)"),
     ("dtaemissao", "CAST(o_orderdate AS DATE)"),
     ("dtaaprovacao", "CAST(o_orderdate AS DATE) + 1"),
@@ -294,7 +294,7 @@ SEGMENTS = StandIn("mad_segmento", (_p("orders", [
 PRODUCTS = StandIn("map_produto", (_p("part", [
     ("desccompleta", "p_name"),
     ("seqproduto", "CAST(p_partkey AS INT)"),
-    ("seqfamilia", "CASE WHEN p_partkey % 101 = 100 THEN NULL ELSE CAST(p_partkey % 500 AS INT) END"),
+    ("seqfamilia", "CASE WHEN p_partkey % 101 = 100 THEN NULL ELSE CAST(p_partkey - p_partkey % 3 AS INT) END"),
     ("dtahorinclusao", "DATE '2020-01-01' + CAST(p_partkey % 365 AS INT)"),
 ]),))
 
@@ -306,14 +306,14 @@ FAMILIES = StandIn("map_familia", (_p("part", [
     ("pmtdecimal", "CASE WHEN p_size < 5 THEN 'S' ELSE 'N' END"),
     ("seqfamilia", "CAST(p_partkey AS INT)"),
     ("seqmarca", f"CASE WHEN p_partkey % 17 = 3 THEN NULL ELSE {_BRAND_ID} END"),
-], "p_partkey < 500"),))
+]),))
 
-# 25 brands, one row each (ids match the numbers in p_brand)
+# one row per brand seen in the parts (ids are the numbers in p_brand)
 BRANDS = StandIn("map_marca", (_p("part", [
-    ("marca", "'marca ' || CAST(p_partkey AS STRING)"),
-    ("status", "CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'I' END"),
-    ("seqmarca", "CAST(p_partkey AS INT)"),
-], "p_partkey BETWEEN 1 AND 25"),))
+    ("marca", f"'marca ' || CAST({_BRAND_ID} AS STRING)"),
+    ("status", f"CASE WHEN {_BRAND_ID} % 2 = 0 THEN 'A' ELSE 'I' END"),
+    ("seqmarca", _BRAND_ID),
+], distinct=True),))
 
 _CAT_N1 = ("CASE p_type WHEN 'PROMO' THEN 1978 WHEN 'ECONOMY' THEN 2001 WHEN 'STANDARD' THEN 2002 "
            "WHEN 'LARGE' THEN 2003 WHEN 'MEDIUM' THEN 2685 WHEN 'SMALL' THEN 2004 ELSE 2999 END")
@@ -333,9 +333,9 @@ _CATEGORY_COLS = [
 # Category rows per family: a division-1 row for most families, an extra
 # division-2 row for some, and a division-3-only row for the rest.
 CATEGORIES = StandIn("etlv_categoria", (
-    _p("part", _CATEGORY_COLS + [("nrodivisao", "1")], "p_partkey < 500 AND p_partkey % 4 <> 3"),
-    _p("part", _CATEGORY_COLS + [("nrodivisao", "2")], "p_partkey < 500 AND p_partkey % 3 = 0"),
-    _p("part", _CATEGORY_COLS + [("nrodivisao", "3")], "p_partkey < 500 AND p_partkey % 4 = 3"),
+    _p("part", _CATEGORY_COLS + [("nrodivisao", "1")], "p_partkey % 4 <> 3"),
+    _p("part", _CATEGORY_COLS + [("nrodivisao", "2")], "p_partkey % 3 = 0"),
+    _p("part", _CATEGORY_COLS + [("nrodivisao", "3")], "p_partkey % 4 = 3"),
 ))
 
 _EAN = "lpad(CAST(p_partkey AS STRING), 13, '7')"
@@ -354,9 +354,9 @@ BARCODES = StandIn("map_prodcodigo", (
 
 FAMILY_SUPPLIERS = StandIn("map_famfornec", (
     _p("part", [("principal", "'S'"), ("indindenizavaria", "'N'"), ("seqfamilia", "CAST(p_partkey AS INT)"),
-                ("seqfornecedor", "CAST(p_partkey % 100 AS INT)")], "p_partkey < 500 AND p_partkey % 7 <> 6"),
+                ("seqfornecedor", "CAST(floor(p_partkey / 20) AS INT)")], "p_partkey % 7 <> 6"),
     _p("part", [("principal", "'N'"), ("indindenizavaria", "'S'"), ("seqfamilia", "CAST(p_partkey AS INT)"),
-                ("seqfornecedor", "CAST((p_partkey * 7 + 3) % 100 AS INT)")], "p_partkey < 500"),
+                ("seqfornecedor", "CAST(floor(p_partkey / 40) AS INT)")]),
 ))
 
 PERSONS = StandIn("ge_pessoa", (_p("supplier", [
