@@ -24,16 +24,17 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import small_batches, stored
+from shelfspark.llm.common import one_per, small_batches, stored
 
-EXAMPLES = 4000  # of each label, at most
-CALIBRATION = 4000  # at most
+EXAMPLES = 1000  # of each label, at most; different texts
+CALIBRATION = 3000  # at most
 VOCABULARY = 4096
 CHI_SQUARE = 25.3  # one chance in two million: among 100,000 terms about none passes by luck
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
 PREFIXES = (4, 5, 6)
+LEAST = min(PREFIXES)
 THRESHOLD = 0.3
 
 
@@ -41,7 +42,7 @@ def terms(text: str | None) -> dict[str, int]:
     """Counts of a text's words (``w:``) and of the beginnings of its longer words (``p:``)."""
     import re
     from collections import Counter
-    words = Counter(re.findall(r"[^\W\d_]+", (text or "").lower()))
+    words = Counter(re.findall(r"\w+", (text or "").lower()))
     out: Counter = Counter()
     for w, n in words.items():
         out["w:" + w] += n
@@ -124,21 +125,19 @@ class Scorer:
 
     def __init__(self, index: Index | None, prior: float):
         self.index, self.prior, self.curve = index, prior, None
-        self.known: dict[str, tuple] = {}
+        # first letters of the vocabulary's terms: most words are told apart by them alone
+        self.starts = {t[2:2 + LEAST] for t in index.vocabulary} if index else set()
 
     def counts(self, text: str | None) -> dict[int, float]:
         import re
         from collections import Counter
-        if len(self.known) > 500_000:  # the memory of words seen stays bounded
-            self.known.clear()
-        known, vocabulary, out = self.known, self.index.vocabulary, {}
-        for w, n in Counter(re.findall(r"[^\W\d_]+", (text or "").lower())).items():
-            hits = known.get(w)
-            if hits is None:
-                names = ["w:" + w, *("p:" + w[:k] for k in PREFIXES if len(w) > k)]
-                hits = known[w] = tuple(vocabulary[x] for x in names if x in vocabulary)
-            for t in hits:
-                out[t] = out.get(t, 0) + n
+        vocabulary, starts, out = self.index.vocabulary, self.starts, {}
+        for w, n in Counter(re.findall(r"\w+", (text or "").lower())).items():
+            if w[:LEAST] in starts:
+                for name in ("w:" + w, *("p:" + w[:k] for k in PREFIXES if len(w) > k)):
+                    t = vocabulary.get(name)
+                    if t is not None:
+                        out[t] = out.get(t, 0) + n
         return out
 
     def features(self, text: str | None):
@@ -223,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
                 .groupBy("doc_id", "part", "label").agg(F.min("text").alias("text"))
     rows = stored(_term_rows(texts), "toxic-terms")
 
-    ex = rows.where("part = 'example'")
+    ex = one_per(rows.where("part = 'example'"), ["label", "text"], ["doc_id"])  # a copied text is one example
     size = {r[0]: r[1] for r in ex.groupBy("label").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
     if not pos or not neg:
@@ -240,24 +239,45 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
     vocabulary = {r[0]: i for i, r in enumerate(picked)}
     idf = [math.log((1 + n) / (1 + r[1])) + 1 for r in picked]
     pairs = ex.select("doc_id", "label", F.explode(F.arrays_zip("terms", "counts")).alias("t")) \
-              .join(F.broadcast(spark.createDataFrame(list(vocabulary.items()), "term string, at long")),
+              .join(F.broadcast(spark.createDataFrame(list(vocabulary.items()), "term string, at int")),
                     F.col("t.terms") == F.col("term")) \
-              .groupBy("doc_id", "label").agg(F.collect_list(F.struct("at", "t.counts")).alias("v"))
-    known = pairs.collect()  # at most 2 * examples rows of VOCABULARY pairs
-    known = sorted(known, key=lambda r: r["doc_id"])
-    index = Index(vocabulary, idf, [{x[0]: x[1] for x in r["v"]} for r in known],
-                  [r["label"] for r in known], [r["doc_id"] for r in known])
-    scorer = Scorer(index, prior)
-    cal = rows.where("part = 'calibration'").select("label", "text").orderBy("doc_id").toLocalIterator()
-    inputs, truth = [], []
-    for r in cal:  # at most `calibration` rows
-        inputs.append(scorer.features(r["text"])[0])
-        truth.append(r["label"])
-    scorer.fit_curve(inputs, truth)
-    scorer.known = {}
+              .groupBy("doc_id", "label").agg(F.sort_array(F.collect_list(F.struct("at", "t.counts"))).alias("v")) \
+              .select("doc_id", "label", F.col("v.at").alias("at"), F.col("v.counts").alias("n")).orderBy("doc_id")
+    known = pairs.toArrow()  # at most 2 * examples rows of VOCABULARY pairs of small numbers
+    vectors = [dict(zip(t.as_py(), c.as_py())) for t, c in zip(known["at"], known["n"])]
+    scorer = Scorer(Index(vocabulary, idf, vectors, known["label"].to_pylist(), known["doc_id"].to_pylist()), prior)
+    del known, vectors
+    inputs = _features(rows.where("part = 'calibration'"), scorer).collect()  # at most `calibration` rows
+    scorer.fit_curve([list(r["x"]) for r in inputs], [r["label"] for r in inputs])
     return scorer
 
 
+def _shared(spark, scorer: Scorer):
+    """Loader of the scorer for Python workers: loaded once per task. Its size is bounded by the samples and the vocabulary."""
+    shared, held = spark.sparkContext.broadcast(cloudpickle.dumps(scorer)), []
+
+    def load() -> Scorer:
+        import pickle
+        if not held:
+            held.append(pickle.loads(shared.value))
+        return held[0]
+
+    return load
+
+
+def _features(rows: DataFrame, scorer: Scorer) -> DataFrame:
+    load = _shared(rows.sparkSession, scorer)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            found = [load().features(t)[0].tolist() for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.float64()))],
+                                             ["doc_id", "label", "x"])
+
+    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>").orderBy("doc_id")
+
+
 RESULT = "score double, similarity double, evidence array<long>"
 
 
@@ -267,20 +287,13 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     Null and empty texts have no neighbours and get the rate of such texts in
     the calibration sample. Every row is returned, with all its columns.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps(scorer))  # bounded by the samples and the vocabulary
-    held: list[Scorer] = []
+    small_batches(docs.sparkSession)
+    load = _shared(docs.sparkSession, scorer)
 
     @F.pandas_udf(RESULT)
     def run(texts):
-        import pickle
-
         import pandas as pd
-        if not held:  # once per task
-            held.append(pickle.loads(shared.value))
-        found = [held[0].score(t) for t in texts]
-        return pd.DataFrame(found, columns=["score", "similarity", "evidence"])
+        return pd.DataFrame([load().score(t) for t in texts], columns=["score", "similarity", "evidence"])
 
     return docs.withColumn("toxicity", run(F.col("text")))
 
