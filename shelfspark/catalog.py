@@ -324,6 +324,15 @@ def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
 # ---------------------------------------------------------------- intraday stream
 
 
+@register("merge_null_months", oracle.MERGE_NULL_MONTHS)
+def merge_null_months(w: Warehouse) -> DataFrame:
+    """On-disk keyed delete+insert where months and key parts may be NULL and keys move between months."""
+    path = scratch_path(w.spark, f"merge-{_uuid.uuid4().hex}/carga")
+    for name in ("carga_base", "carga_nova"):
+        incremental.load_delete_insert(w.spark, path, w.raw(name), ["documento", "linha"], "mes_part")
+    return read_table(w.spark, path)
+
+
 def land_runs(w: Warehouse, landing: str) -> None:
     """Land the intraday extract runs, one folder per run (``lote=<run>``), in one write."""
     w.raw("vendas_intradia").write.partitionBy("lote").parquet(landing)

@@ -12,7 +12,8 @@ column those are the batch's months; otherwise a corrected row may live in
 another month, so the months holding matching keys are found first with a
 key-only semi join. New partition contents are staged under the shared
 checkpoint folder (never overwriting a path the plan reads) and then swapped
-in with dynamic partition overwrite; a month left empty is removed. Applying
+in with dynamic partition overwrite; a month left empty is removed. Rows with a
+NULL partition value form a partition like any other. Applying
 the same batch again gives the same table, so a failed run can be retried.
 """
 
@@ -35,7 +36,7 @@ def delete_insert(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Da
 
 
 def upsert(target: DataFrame, rows: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Insert new keys, replace existing ones; inside ``rows`` the last by ``order`` wins."""
+    """Insert new keys, replace existing ones; inside ``rows`` the first in ``order`` wins."""
     w = Window.partitionBy(*key).orderBy(*[o for o in order])
     latest = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     kept = target.join(latest.select(*key), list(key), "left_anti")
@@ -63,6 +64,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+# Fixed value: the folder name of a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -109,9 +119,14 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     the key (e.g. the month of a date in the key), so a key never moves
     between partitions and only the batch's own partitions are touched.
     """
+    # the batch is used several times below: evaluate it once
+    arrived = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+    batch.write.parquet(arrived)
+    batch = spark.read.schema(batch.schema).parquet(arrived)
     target = existing_table(spark, path)
     if target is None:
         laid_out(batch, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        remove(spark, arrived)
         return
     batch_parts = batch.select(partition_col).distinct()
     if partition_from_key or partition_col in key:
@@ -119,11 +134,14 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     else:
         holding = target.join(batch.select(*key).distinct(), list(key), "left_semi").select(partition_col)
         affected = holding.union(batch_parts).distinct()
-    # one value per month: bounded by the calendar, safe to bring to the driver
+    # one value per month, NULL among them: bounded by the calendar, safe to bring to the driver
     months = [r[0] for r in affected.collect()]
     if not months:
+        remove(spark, arrived)
         return
-    current = target.where(F.col(partition_col).isin(months))
+    col = F.col(partition_col)
+    touched = col.isin([m for m in months if m is not None])
+    current = target.where(touched | col.isNull() if None in months else touched)
     new_content = delete_insert(current, batch, key)
     stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
     new_content.write.parquet(stage)
@@ -131,9 +149,8 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     present = {r[0] for r in staged.select(partition_col).distinct().collect()}
     (laid_out(staged, partition_col, sort_cols).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    fs, _ = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
     for m in months:
         if m not in present:  # every row of that month moved or was deleted
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={m}"), True)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
+            remove(spark, f"{path.rstrip('/')}/{partition_col}={NULL_PARTITION if m is None else m}")
+    remove(spark, stage)
+    remove(spark, arrived)

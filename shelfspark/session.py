@@ -68,8 +68,8 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset (a
-    local test session) do we pick a fresh scratch folder of our own.
+    A cluster names it in ``spark.checkpoint.dir``; without it only a local
+    session gets a fresh scratch folder, any other master is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -78,7 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    # only reached without a configured shared folder, i.e. a local session
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -443,12 +443,12 @@ INDICATORS = StandIn("indicadores_mercado_externo", (
 
 _EVENT_DAY = "CAST(year(ts) * 1000 + dayofyear(ts) AS INT)"
 _EVENT_COLS = [
-    ("datahora", "ts"),
+    ("datahora", "CASE WHEN event_id % 101 = 7 THEN NULL ELSE ts END"),
     ("nroempresa", "CAST(user_id % 10 + 1 AS INT)"),
     ("nrodocto", "event_id"),
     ("seriedocto", "'H'"),
     ("checkout", "CAST(user_id % 7 + 1 AS INT)"),
-    ("nroformapagto", "1"),
+    ("nroformapagto", "CASE WHEN event_id % 17 = 3 THEN NULL ELSE 1 END"),
     ("nrosegmento", "1"),
     ("codgeraloper", "CASE event_type WHEN 'error' THEN 999 WHEN 'click' THEN 202 ELSE 800 END"),
     ("seqproduto", "CAST(user_id AS INT)"),
@@ -469,6 +469,22 @@ EVENT_SALES = StandIn("vendas_intradia", (
     _p("events", _EVENT_COLS + _event_value("1.10") + [("lote", f"{_EVENT_DAY} + 1")], "event_id % 3 = 0"),
 ))
 
+# Two loads of one keyed table: lines 1..5, then lines 4..7 with other values and
+# months. Some key parts and some months are missing.
+def _load(value: str, month: str, where: str) -> Part:
+    return _p("lineitem", [
+        ("documento", "CASE WHEN l_partkey % 37 = 5 THEN NULL ELSE l_orderkey END"),
+        ("linha", "CAST(l_linenumber AS INT)"),
+        ("valor", f"CAST({value} AS {MONEY})"),
+        ("mes_part", f"CASE WHEN l_suppkey % 7 = 3 THEN NULL ELSE CAST({month} AS INT) END"),
+    ], where)
+
+
+_SHIP_MONTH = "year(l_shipdate) * 100 + month(l_shipdate)"
+FIRST_LOAD = StandIn("carga_base", (_load(_PRICE, _SHIP_MONTH, "l_linenumber <= 5"),))
+SECOND_LOAD = StandIn("carga_nova", (_load(f"{_PRICE} * 2", f"CASE WHEN l_returnflag = 'R' THEN NULL ELSE {_SHIP_MONTH} END",
+                                           "l_linenumber >= 4"),))
+
 # ---------------------------------------------------------------------------
 # Landed text and JSON: a run log per day of events, registry API answers per
 # supplier, and monthly indicator payloads.
@@ -639,7 +655,7 @@ ALL = {t.name: t for t in [SALES, SALES_CORRECTED, SALES_COST_LINES, RECEIPTS, R
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
                            INDICATOR_PAYLOADS, PRODUCT_STORE, PRICES, PROMO_HEADERS, PROMO_ITEMS,
-                           ORDER_STATES, ORDER_TYPES, ORDER_ORIGINS]}
+                           ORDER_STATES, ORDER_TYPES, ORDER_ORIGINS, FIRST_LOAD, SECOND_LOAD]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

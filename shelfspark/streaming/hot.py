@@ -39,14 +39,17 @@ def latest_run_per_key(fact_rows: DataFrame, key: list[str]) -> DataFrame:
     """Rows of the newest run (``lote``) per key: applying the runs of a micro-batch
     one by one with delete+insert leaves exactly these rows.
 
-    The newest run per key is an aggregate (combined map-side, so a hot key
-    does not gather in one task) joined back null-safely on the key (NULL key
-    parts group together, as they would in a window)."""
-    newest = fact_rows.groupBy(*key).agg(F.max("lote").alias("_newest"))
-    newest = newest.select(*[F.col(k).alias(f"_k_{k}") for k in key], "_newest")
-    cond = [fact_rows[k].eqNullSafe(newest[f"_k_{k}"]) for k in key]
-    joined = fact_rows.join(newest, cond).where(F.col("lote") == F.col("_newest"))
-    return joined.drop("_newest", "lote", *[f"_k_{k}" for k in key])
+    A key with a NULL part never matches in delete+insert, so such rows of
+    every run stay. For the others the newest run per key is an aggregate
+    (combined map-side, so a hot key does not gather in one task) joined back
+    on the key."""
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    keyed = fact_rows.where(whole)
+    newest = keyed.groupBy(*key).agg(F.max("lote").alias("_newest"))
+    latest = keyed.join(newest, list(key)).where(F.col("lote") == F.col("_newest")).drop("_newest")
+    return latest.unionByName(fact_rows.where(~whole)).drop("lote")
 
 
 def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key: list[str]):

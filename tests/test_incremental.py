@@ -57,6 +57,26 @@ def test_load_delete_insert_on_disk(spark):
     assert not os.path.exists(os.path.join(path, "m=202401"))
 
 
+def test_null_month_is_a_partition_like_any_other(spark):
+    first = [(1, 202401, "a"), (2, None, "old"), (3, None, "keep")]
+    for batch, want in (([(2, 202401, "new"), (4, None, "n")], [(1, 202401, "a"), (2, 202401, "new"), (3, None, "keep"), (4, None, "n")]),
+                        ([(2, 202401, "new")], [(1, 202401, "a"), (2, 202401, "new"), (3, None, "keep")]),
+                        ([(2, 202401, "x"), (3, 202402, "y")], [(1, 202401, "a"), (2, 202401, "x"), (3, 202402, "y")])):
+        path = os.path.join(tempfile.mkdtemp(prefix="shelf-null-"), "fact")
+        load_delete_insert(spark, path, spark.createDataFrame(first, SCHEMA), ["k"], "m")
+        for _ in range(2):  # applied again: the same table, but for the rows whose key never matches
+            load_delete_insert(spark, path, spark.createDataFrame(batch, SCHEMA), ["k"], "m")
+            assert _rows(read_table(spark, path)) == sorted(want, key=repr)
+        assert os.path.exists(os.path.join(path, "m=__HIVE_DEFAULT_PARTITION__")) == any(m is None for _, m, _ in want)
+
+
+def test_stream_keeps_rows_whose_key_has_a_null_part(spark):
+    from shelfspark.streaming.hot import latest_run_per_key
+    rows = spark.createDataFrame([(1, 1, "old", 1), (1, 1, "new", 2), (None, 1, "n1", 1), (None, 1, "n2", 2)],
+                                 "a int, b int, v string, lote int")
+    assert sorted(r.v for r in latest_run_per_key(rows, ["a", "b"]).collect()) == ["n1", "n2", "new"]
+
+
 def test_since_batch_start_only_on_later_loads(spark):
     import datetime as dt
     from shelfspark.operators.incremental import since_batch_start

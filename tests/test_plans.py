@@ -40,3 +40,24 @@ def test_fact_scan_reads_only_needed_columns(spark):
     # the receipts stand-in never uses the return flag or line status: they are not read
     assert scans and all("l_returnflag" not in s and "l_linestatus" not in s for s in scans)
     assert not any("CartesianProduct" in line or "BroadcastNestedLoopJoin" in line for line in plan.split("\n"))
+
+
+def test_no_machine_local_checkpoint_folder_on_a_cluster():
+    import pytest
+    from shelfspark.session import checkpoint_dir
+
+    class Session:
+        def __init__(self, master):
+            self.conf = self
+            self.sparkContext = self
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+        def getCheckpointDir(self):
+            return None
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,512]", ""):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_dir(Session(master))
