@@ -312,13 +312,16 @@ def checkout_main_segment(w: Warehouse) -> DataFrame:
 @register("hourly_sales_preagg", oracle.HOURLY_SALES)
 def hourly_sales_preagg(w: Warehouse) -> DataFrame:
     """Sales lines summed per hour over ten keys, fact operations only."""
-    return extracts.hourly_sales(w.raw("maxv_abcdistribbase"))
+    return extracts.hourly_sales(w.raw("vendas_linhas"))
 
 
 @register("receipt_costs_net_of_returns", oracle.RECEIPT_COSTS)
 def receipt_costs_net_of_returns(w: Warehouse) -> DataFrame:
     """Receipt gross / net / fiscal cost, invoice total, discounts and weighted term, net of returns."""
-    return extracts.receipt_costs(w.raw("receipt_lines"))
+    raw = w.raw
+    joined = extracts.receipt_lines(raw("receipt_lines"), raw("nf_produto"), raw("map_famdivisao"), raw("mad_famsegmento"),
+                                    raw("map_famembalagem"), raw("max_empresa"), raw("max_divisao"), raw("nf_custo_loja"))
+    return extracts.receipt_costs(joined)
 
 
 # ---------------------------------------------------------------- intraday stream

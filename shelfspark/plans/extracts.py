@@ -64,66 +64,117 @@ def hourly_sales(lines: DataFrame) -> DataFrame:
     """Sales lines pre-aggregated to the hour over the ten grouping keys of the extract.
 
     Only the fact's operation codes are kept. The discount is net of the
-    discount on returned items; the promotional value falls back to the sale
-    value minus discount when the line has no promotion price.
+    discount on returned items. A promotional value above zero is net of the
+    line's discount; a line without one counts its value less the returned
+    value when the product is in a promotion, else nothing.
     """
     hour = F.date_trunc("hour", F.col("datahora")).cast("timestamp_ntz")
-    is_return = F.col("codgeraloper") == 202
+    promoted = F.col("vlrvendapromoc")
+    discount = F.when(promoted > 0, F.coalesce(F.col("vlrdescitem"), F.lit(0))).otherwise(0)
+    in_promotion = F.coalesce(F.col("seqpromoc"), F.lit(0)) != 0
+    fallback = F.when(in_promotion, F.round("vlritem", 2) - F.col("vlrdevolitem")).otherwise(0)
     return (lines.where(F.col("codgeraloper").isin(SALES_OPERATIONS))
             .groupBy(hour.alias("datahora"), "nroempresa", "nrodocto", "seriedocto", "checkout", "nroformapagto",
                      "nrosegmento", "codgeraloper", "seqproduto", "seqoperador")
             .agg(F.sum("qtditem").alias("qtditem"), F.sum("qtddevolitem").alias("qtddevolitem"),
                  F.sum("vlritem").alias("vlritem"), F.sum("vlrdevolitem").alias("vlrdevolitem"),
-                 (F.sum("vlrdescitem") - F.sum(F.when(is_return, F.col("vlrdescitem")).otherwise(0)))
-                 .cast(MONEY).alias("vlrdescitem"),
-                 F.sum(F.coalesce(F.col("vlrvendapromoc"), F.col("vlritem") - F.col("vlrdescitem")))
-                 .cast(MONEY).alias("vlrvendapromoc"),
+                 F.sum(F.col("vlrdescitem") - F.col("vlrdescdevolitem")).cast(MONEY).alias("vlrdescitem"),
+                 F.sum(F.coalesce(promoted - discount, fallback)).cast(MONEY).alias("vlrvendapromoc"),
                  F.count(F.lit(1)).alias("qtdlinhas")))
 
 
-def _net(flag: Column, expr: Column) -> Column:
-    """Receipt part minus return part of a line measure."""
-    return F.sum(F.when(~flag, expr).otherwise(0)) - F.sum(F.when(flag, expr).otherwise(0))
+NO_ADVANCE = (23, 24, 27)  # fixed: fiscal calculation types without advance ICMS
 
 
-def icms_credit(st: Column, calc: Column, fallback: Column) -> Column:
-    """ICMS credited on a line: none when tax substitution applies; otherwise the
-    calculated ICMS (negative values kept as they are), or the plain ICMS
-    value when no calculation exists."""
-    return F.when(st != 0, F.lit(0)).when(calc.isNull(), fallback).otherwise(calc)
+def icms_credit(side: str) -> Column:
+    """ICMS credited on a line, ``side`` '' (received) or 'd' (returned part).
 
+    None with tax substitution or a booked ST (C, S). Otherwise the calculated
+    ICMS plus the presumed one; plus the advance ICMS unless the calculated
+    value is negative or the calculation type has none; without a calculated
+    value the invoice's ICMS, with the poverty-fund part where it counts.
+    """
+    v = lambda name: F.col(side + name)
+    advance = F.when(F.col("tipocalcicmsfisci").isin(*NO_ADVANCE), F.lit(0)).otherwise(v("vlricmsantecipado"))
+    fund = F.when((F.col("indsomafcpicmscusto") == "S") & (F.col("vlricms") > 0) & (F.col("vlricmsst") == 0),
+                  F.coalesce(v("vlrfcpicms"), F.lit(0))).otherwise(0)
+    tree = (F.when(v("vlricmscalc").isNull(), v("vlricms") + fund + advance + v("vlricmspresumido"))
+             .when(v("vlricmscalc") < 0, v("vlricmscalc") + v("vlricmspresumido"))
+             .otherwise(v("vlricmscalc") + advance + v("vlricmspresumido")))
+    booked = F.coalesce(F.col("lancamentost").isin("C", "S"), F.lit(False))
+    return F.when(v("vlricmsst") == 0, F.when(booked, F.lit(0)).otherwise(tree)).otherwise(0)
+
+
+def _sum_of(side: str, plus: str, minus: str = "") -> Column:
+    total = F.lit(0)
+    for n in plus.split():
+        total = total + F.col(side + n)
+    for n in minus.split():
+        total = total - F.col(side + n)
+    return total
+
+
+def receipt_lines(lines: DataFrame, products: DataFrame, family_divisions: DataFrame, family_segments: DataFrame,
+                  packs: DataFrame, stores: DataFrame, divisions: DataFrame, costs: DataFrame) -> DataFrame:
+    """Receipt lines joined to product, family division, main segment, default sales pack, store, division and last costs."""
+    default_pack = packs.where(F.col("padraovenda") == "S").select("seqfamilia", "qtdembalagem")
+    segments = family_segments.select("seqfamilia", F.col("nrosegmento").alias("nrosegmentoprinc"))
+    return (lines.join(products, "seqproduto")
+                 .join(family_divisions.select("seqfamilia", "nrodivisao"), ["seqfamilia", "nrodivisao"])
+                 .join(segments, ["seqfamilia", "nrosegmentoprinc"]).join(default_pack, "seqfamilia")
+                 .join(stores.select("nroempresa"), "nroempresa")
+                 .join(divisions, "nrodivisao").join(costs, ["seqproduto", "nroempresa"]))
 
-def receipt_costs(lines: DataFrame) -> DataFrame:
-    """Receipt measures net of returns, per document x product.
 
-    * gross cost = (item + IPI + ICMS-ST - discount), receipts minus returns,
-      times the surcharge factor of the group;
-    * net cost = gross parts minus the ICMS credit; as in the source, the
-      factor multiplies only the returns' sum;
+def receipt_costs(lines: DataFrame) -> DataFrame:
+    """Receipt measures net of returns, per the ten keys of the extract, of joined ``receipt_lines``.
+
+    * entry value = item + IPI + import duty + expenses + ST + fund - discount;
+    * gross cost = the same without ST where it is booked ('S') and less the
+      financial, transfer and free-zone discounts, times the surcharge factor;
+    * net cost = gross parts less presumed tax, the ICMS credit, PIS, COFINS and
+      IPI credits; as in the source, the factor multiplies only the returns'
+      sum, which takes import duty and ST fund from the received line;
     * fiscal cost = max(0, last net unit cost - off-invoice discount) x net qty;
     * payment term = invoice-value-weighted mean (NULL when the value is 0).
     """
-    ret = F.col("devolucao")
-    gross = F.col("vlritem") + F.col("vlripi") + F.col("vlricmsst") - F.col("vlrdesconto")
-    credit = icms_credit(F.col("vlricmsst"), F.col("vlricms"), F.col("vlrcredicms"))
-    net = gross - credit
-    invoice = F.col("vlritem") - F.col("vlrdesconto") + F.col("vlricmsst") + F.col("vlripi")
-    qty = F.when(ret, -F.col("quantidade")).otherwise(F.col("quantidade"))
-    factor = F.max("fatoracrescimo")
-    g = lines.groupBy("nroempresa", "dtaentrada", "seqproduto", "nrodocto", "seqfornecedor", "codgeraloper")
-    out = g.agg(
-        F.sum(qty).alias("quantidade"),
-        (_net(ret, gross) * factor).cast(MONEY).alias("vlrcustobruto"),
-        (F.sum(F.when(~ret, net).otherwise(0)) - F.sum(F.when(ret, net).otherwise(0)) * factor)
-        .cast(MONEY).alias("vlrcustoliquido"),
-        _net(ret, F.col("vlritem")).cast(MONEY).alias("vlrproduto"),
-        _net(ret, invoice).cast(MONEY).alias("vlrtotalnf"),
-        _net(ret, F.col("vlrdesconto")).cast(MONEY).alias("vlrdescontos"),
-        F.sum(F.greatest(F.lit(0), F.col("custoliqult") - F.coalesce(F.col("descforanf"), F.lit(0))) * qty)
-        .cast(MONEY).alias("custofiscaltotalentrada"),
-        F.sum(F.when(ret, -invoice).otherwise(invoice) * F.col("prazo")).alias("_vp"),
-        F.sum(F.when(ret, -invoice).otherwise(invoice)).alias("_v"),
-    )
+    charges = "vlritem vlripi vlricmsdi vlrdesptributitem vlrdespntributitem vlrdespforanf"
+    discounts = "vlrdescitem vlrdescfinanceiro vlrdesctransf vlrdescsuframa"
+    booked = F.coalesce(F.col("lancamentost") == "S", F.lit(False))
+
+    def st(st_col: str, fund_col: str) -> Column:
+        return F.when(booked, F.lit(0)).otherwise(F.col(st_col) + F.col(fund_col))
+
+    def entry(d: str) -> Column:
+        return _sum_of(d, charges + " vlricmsst vlrfcpst", "vlrdescitem")
+
+    def gross(d: str) -> Column:
+        return _sum_of(d, charges, discounts) + st(f"{d}vlricmsst", f"{d}vlrfcpst")
+
+    def net(d: str) -> Column:
+        parts = _sum_of(d, charges.replace("vlricmsdi ", ""), discounts + " vlrimpostopresumcusto vlrpis vlrcofins vlrcredipi")
+        return parts + F.col("vlricmsdi") + st(f"{d}vlricmsst", "vlrfcpst") - icms_credit(d)
+
+    invoice = (_sum_of("", "vlritem vlricmsstnf vlripi vlricmsdi vlrdesptributitem vlrdespntributitem vlrfcpst", "vlrdescitem")
+               - _sum_of("d", "vlritem vlricmsst vlripi vlrdesptributitem vlrdespntributitem vlrfcpst", "vlrdescitem"))
+    qty = F.col("qtditem") - F.col("dqtditem")
+    unit = F.greatest(F.lit(0), F.coalesce(F.col("cmultcusliquidoemp") - F.coalesce(F.col("cmultdctoforanfemp"), F.lit(0)), F.lit(0)))
+    factor = F.when(F.max("seqprodutobase").isNotNull() & (F.max("utilacresccustprodrelac") == "S"),
+                    F.coalesce(F.max("percacresccustorelacvig"), F.lit(1))).otherwise(1)
+    dated = lines.withColumn("nrodocumento", F.concat(F.col("nroempresa").cast("string"), F.col("nrodocto").cast("string"),
+                                                      F.col("seqpessoa").cast("string")))
+    money = lambda c: c.cast(MONEY)
+    out = dated.groupBy("nroempresa", "dtaentrada", "dtaemissao", "seqproduto", "nrodocto", F.col("seqpessoa").alias("seqfornecedor"),
+                        "nrodocumento", "codgeraloper", "operador", "qtdembalagem").agg(
+        F.sum(qty).cast("decimal(28,3)").alias("quantidade"),
+        money(F.sum(entry("")) - F.sum(entry("d"))).alias("vlrentrada"),
+        money((F.sum(gross("")) - F.sum(gross("d"))) * factor).alias("vlrcustobruto"),
+        money(F.sum(net("")) - F.sum(net("d")) * factor).alias("vlrcustoliquido"),
+        money(F.sum(F.col("vlritem") - F.col("dvlritem"))).alias("vlrproduto"),
+        money(F.sum(invoice)).alias("vlrtotalnf"),
+        money(F.sum(_sum_of("", discounts + " vlropcontratodesc") - _sum_of("d", discounts + " vlropcontratodesc"))).alias("vlrdescontos"),
+        money(F.sum(unit * qty)).alias("custofiscaltotalentrada"),
+        F.sum(invoice * F.col("prazomediopag")).alias("_vp"), F.sum(invoice).alias("_v"))
     ratio = F.col("_vp").cast("double") / F.when(F.col("_v") != 0, F.col("_v")).cast("double")
     return out.withColumn("prazomediopag", F.round(ratio, 6)).drop("_vp", "_v")
 

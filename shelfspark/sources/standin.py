@@ -88,6 +88,14 @@ SALES = StandIn("maxv_abcdistribbase", (_p("lineitem", [
     ("vlrctoliqvda", f"CAST(ROUND({_PRICE} * (0.70 - {_TAX}), 2) AS {MONEY})"),
 ]),))
 
+# Sales lines before the hourly aggregation: with the discount on returned items
+# and the promotion the product is in (NULL or 0: none).
+SALES_RAW = StandIn("vendas_linhas", (Part("lineitem", tuple(
+    (a, f"CASE WHEN l_discount < 0.02 THEN CAST(0 AS {MONEY}) WHEN l_discount >= 0.08 THEN CAST(ROUND({_PRICE} * (1 - {_DISC}), 2) AS {MONEY}) END")
+    if a == "vlrvendapromoc" else (a, e) for a, e in SALES.parts[0].columns) + (
+    ("vlrdescdevolitem", f"CASE WHEN l_returnflag = 'R' THEN CAST(ROUND({_PRICE} * {_DISC}, 2) AS {MONEY}) ELSE CAST(0 AS {MONEY}) END"),
+    ("seqpromoc", "CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 5 < 3 THEN 0 ELSE CAST(l_suppkey AS INT) END"))),))
+
 # A re-sent sales window with corrected discounts and one new column.
 SALES_CORRECTED = StandIn("maxv_abcdistribbase_corrigida", (Part(
     "lineitem",
@@ -150,28 +158,74 @@ RECEIPTS = StandIn("maxv_abcentradabase", (_p("lineitem", [
     ("prazomediopag", f"CAST(l_linenumber * 7 + 14 AS {MONEY})"),
 ]),))
 
-# Receipt lines before aggregation, with the tax columns the net-cost rules use
-# (for A12-A17). One row per line; returns are the R lines.
+# Receipt lines before aggregation (for A12-A17): every measure of the line and,
+# with the prefix d, the part of it that was returned (half of it on R lines).
+_NF_PARTS = {
+    "qtditem": _QTY, "vlritem": _PRICE, "vlripi": f"{_PRICE} * {_TAX} * 0.5", "vlricmsdi": f"{_PRICE} * 0.01",
+    "vlrdesptributitem": f"{_PRICE} * 0.02", "vlrdespntributitem": f"{_PRICE} * 0.005", "vlrdespforanf": f"{_PRICE} * 0.003",
+    "vlricmsst": f"CASE WHEN l_linenumber % 3 = 0 THEN {_PRICE} * {_TAX} * 0.25 ELSE 0 END",
+    "vlrfcpst": f"CASE WHEN l_linenumber % 3 = 0 THEN {_PRICE} * 0.01 ELSE 0 END", "vlrdescitem": f"{_PRICE} * {_DISC}",
+    "vlrdescfinanceiro": f"{_PRICE} * 0.011", "vlrdesctransf": f"{_PRICE} * 0.007", "vlrdescsuframa": f"{_PRICE} * 0.004",
+    "vlropcontratodesc": f"{_PRICE} * 0.002", "vlrimpostopresumcusto": f"{_PRICE} * 0.006",
+    "vlricmscalc": f"CASE l_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN -0.03 * {_PRICE} ELSE {_PRICE} * {_TAX} END",
+    "vlricms": f"CASE WHEN l_linenumber % 2 = 0 THEN {_PRICE} * 0.12 ELSE 0 END", "vlricmsantecipado": f"{_PRICE} * 0.015",
+    "vlricmspresumido": f"{_PRICE} * 0.008", "vlrfcpicms": f"CASE WHEN l_linenumber = 2 THEN NULL ELSE {_PRICE} * 0.02 END",
+    "vlrpis": f"{_PRICE} * 0.0165", "vlrcofins": f"{_PRICE} * 0.076", "vlrcredipi": f"{_PRICE} * {_TAX} * 0.1",
+}
+
+
+def _nf_part(name: str, returned: bool) -> tuple[str, str]:
+    kind = QTY if name.startswith("qtd") else MONEY
+    value = f"CAST(ROUND({_NF_PARTS[name]}, 2) AS {kind})"
+    if returned:
+        value = f"CASE WHEN l_returnflag = 'R' THEN CAST(ROUND({value} * 0.5, 2) AS {kind}) ELSE CAST(0 AS {kind}) END"
+    return ("d" if returned else "") + name, value
+
+
 RECEIPT_LINES = StandIn("receipt_lines", (_p("lineitem", [
     ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
     ("dtaentrada", "CAST(l_shipdate AS DATE)"),
+    ("dtaemissao", "CAST(l_shipdate AS DATE) - CAST(l_linenumber AS INT)"),
     ("seqproduto", "CAST(l_partkey AS INT)"),
-    ("seqfornecedor", "CAST(l_suppkey AS INT)"),
+    ("seqpessoa", "CAST(l_suppkey AS INT)"),
     ("nrodocto", "l_orderkey"),
     ("codgeraloper", _RECEIPT_OP),
-    ("devolucao", "l_returnflag = 'R'"),
-    ("quantidade", _QTY),
-    ("vlritem", _PRICE),
-    ("vlripi", f"CAST(ROUND({_PRICE} * {_TAX} * 0.5, 2) AS {MONEY})"),
-    ("vlricmsst", f"CAST(ROUND({_PRICE} * {_TAX} * 0.25, 2) AS {MONEY})"),
-    ("vlrdesconto", f"CAST(ROUND({_PRICE} * {_DISC}, 2) AS {MONEY})"),
-    ("vlricms", f"CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(ROUND({_PRICE} * {_TAX}, 2) AS {MONEY}) END"),
-    ("vlrcredicms", f"CAST(ROUND({_PRICE} * ({_TAX} - 0.04), 2) AS {MONEY})"),
-    ("fatoracrescimo", "CAST(CASE WHEN l_suppkey % 5 = 0 THEN 1.02 ELSE 1.00 END AS DECIMAL(6,4))"),
-    ("custoliqult", f"CAST({_UNIT} AS DECIMAL(18,6))"),
-    ("descforanf", f"CAST(ROUND({_UNIT} * {_DISC} * 2, 6) AS DECIMAL(18,6))"),
-    ("prazo", f"CAST(l_linenumber * 7 + 14 AS {MONEY})"),
+    ("operador", "CASE WHEN l_linenumber = 6 THEN NULL ELSE 'op' || CAST(l_suppkey % 9 AS STRING) END"),
+    ("nrosegmentoprinc", "CAST(l_orderkey % 2 + 1 AS INT)"),
+    ("nrodivisao", "CAST(l_orderkey % 3 + 1 AS INT)"),
+    ("lancamentost", "CASE l_partkey % 5 WHEN 0 THEN 'S' WHEN 1 THEN 'C' WHEN 2 THEN NULL ELSE 'N' END"),
+    ("tipocalcicmsfisci", "CASE l_partkey % 7 WHEN 0 THEN 23 WHEN 1 THEN 24 WHEN 2 THEN 27 WHEN 3 THEN NULL ELSE 25 END"),
+    ("indsomafcpicmscusto", "CASE WHEN l_partkey % 2 = 0 THEN 'S' ELSE 'N' END"),
+    ("prazomediopag", f"CAST(l_linenumber * 7 + 14 AS {MONEY})"),
+    ("vlricmsstnf", f"CAST(ROUND({_PRICE} * 0.013, 2) AS {MONEY})"),
+    *[_nf_part(n, False) for n in _NF_PARTS],
+    *[_nf_part(n, True) for n in _NF_PARTS],
+]),))
+
+# What the receipt lines are joined to: product, family x division, family x
+# segment, family packs (the default sales pack is marked), division, and the
+# last costs of a product in a store.
+RECEIPT_PRODUCTS = StandIn("nf_produto", (_p("part", [
+    ("seqproduto", "CAST(p_partkey AS INT)"), ("seqfamilia", "CAST(p_partkey - p_partkey % 3 AS INT)"),
+    ("seqprodutobase", "CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey + 1 AS INT) END"),
+    ("percacresccustorelacvig", "CASE WHEN p_partkey % 8 = 0 THEN CAST(1.02 AS DECIMAL(6,4)) END"),
 ]),))
+FAMILY_DIVISIONS = StandIn("map_famdivisao", tuple(
+    _p("part", [("seqfamilia", "CAST(p_partkey AS INT)"), ("nrodivisao", str(d))], None if d < 3 else "p_size > 10") for d in (1, 2, 3)))
+FAMILY_SEGMENTS = StandIn("mad_famsegmento", tuple(
+    _p("part", [("seqfamilia", "CAST(p_partkey AS INT)"), ("nrosegmento", str(g))]) for g in (1, 2)))
+FAMILY_PACKS = StandIn("map_famembalagem", (
+    _p("part", [("seqfamilia", "CAST(p_partkey AS INT)"), ("qtdembalagem", "1"), ("padraovenda", "CASE WHEN p_size % 2 = 0 THEN 'S' ELSE 'N' END")]),
+    _p("part", [("seqfamilia", "CAST(p_partkey AS INT)"), ("qtdembalagem", "6"), ("padraovenda", "CASE WHEN p_size % 2 = 0 THEN 'N' ELSE 'S' END")]),
+))
+DIVISIONS = StandIn("max_divisao", (_p("orders", [
+    ("nrodivisao", "CAST(o_orderkey % 3 + 1 AS INT)"), ("utilacresccustprodrelac", "CASE WHEN o_orderkey % 3 = 1 THEN 'N' ELSE 'S' END"),
+], distinct=True),))
+LAST_COSTS = StandIn("nf_custo_loja", (_p("lineitem", [
+    ("seqproduto", "CAST(l_partkey AS INT)"), ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
+    ("cmultcusliquidoemp", "CAST(l_partkey % 50 + 1 AS DECIMAL(18,6))"),
+    ("cmultdctoforanfemp", "CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE CAST(l_partkey % 13 * 3 AS DECIMAL(18,6)) END"),
+], distinct=True),))
 
 STOCK_LEDGER = StandIn("mrl_lanctoestoque", (_p("lineitem", [
     ("tipusocgo", "CASE WHEN l_linenumber % 2 = 0 THEN 'V' ELSE 'C' END"),
@@ -655,7 +709,8 @@ ALL = {t.name: t for t in [SALES, SALES_CORRECTED, SALES_COST_LINES, RECEIPTS, R
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
                            INDICATOR_PAYLOADS, PRODUCT_STORE, PRICES, PROMO_HEADERS, PROMO_ITEMS,
-                           ORDER_STATES, ORDER_TYPES, ORDER_ORIGINS, FIRST_LOAD, SECOND_LOAD]}
+                           ORDER_STATES, ORDER_TYPES, ORDER_ORIGINS, FIRST_LOAD, SECOND_LOAD, SALES_RAW,
+                           RECEIPT_PRODUCTS, FAMILY_DIVISIONS, FAMILY_SEGMENTS, FAMILY_PACKS, DIVISIONS, LAST_COSTS]}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
