@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from shelfspark import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,11 +29,12 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "curva_abc_valor_rede" in df.columns
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_warehouse_query_has_an_oracle():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE) and set(catalog.QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
