@@ -152,7 +152,7 @@ def _plan_month(w: Warehouse):
 
 
 def _shares(w: Warehouse) -> DataFrame:
-    return targets.participation(w.sales_fact, w.product_category, w.store_dim, _plan_month(w))
+    return targets.shares(w.sales_fact, w.product_category, w.store_dim, _plan_month(w))
 
 
 def _params(w: Warehouse) -> DataFrame:
@@ -172,8 +172,8 @@ def _allocation(w: Warehouse) -> DataFrame:
 
 @register("participation", oracle.PARTICIPATION)
 def participation(w: Warehouse) -> DataFrame:
-    """Historical store and category shares per target month and history depth."""
-    return _shares(w)
+    """Historical store and category shares per target month and history depth, to ten places."""
+    return targets.participation(w.sales_fact, w.product_category, w.store_dim, _plan_month(w))
 
 
 @register("target_allocation", oracle.ALLOCATION)
@@ -257,6 +257,27 @@ def dq_reconcile(w: Warehouse) -> DataFrame:
                               ("meta_desafio_valor", "meta_grupo_desafio_valor")])
 
 
+@register("dq_reconcile_exact", oracle.DQ_RECONCILE_EXACT)
+def dq_reconcile_exact(w: Warehouse) -> DataFrame:
+    """Months whose allocated targets miss the group target at all (the cents that rounding leaves)."""
+    return checks.reconciles(_allocation(w), _params(w), ["mes"],
+                             [("meta_padrao_valor", "meta_grupo_padrao_valor"),
+                              ("meta_desafio_valor", "meta_grupo_desafio_valor")], tol=0.0)
+
+
+@register("dq_zero_sum_part", oracle.DQ_ZERO_SUM_PART)
+def dq_zero_sum_part(w: Warehouse) -> DataFrame:
+    """The zero-sum check over all stores but the fifth, whose months do not cancel out."""
+    return checks.sums_to_zero(targets.store_adjustments(w.raw("meta_ajustes_loja")).where("empresa_id <> 5"), ["mes"],
+                               "ajuste_padrao_valor")
+
+
+@register("abc_grain_product", oracle.ABC_GRAIN_PRODUCT)
+def abc_grain_product(w: Warehouse) -> DataFrame:
+    """Duplicates of the ABC mart at the coarser product grain: products with rows in several stores."""
+    return checks.unique(marts.abc_curve(w.sales_fact, w.product_category), ["produto_id"])
+
+
 @register("dq_zero_sum", oracle.DQ_ZERO_SUM)
 def dq_zero_sum(w: Warehouse) -> DataFrame:
     """Months whose manual store adjustments do not sum to zero (+-0.01)."""

@@ -67,7 +67,7 @@ def _allocation(w: Warehouse, out: str) -> DataFrame:
 
 def _participation(w: Warehouse, out: str) -> DataFrame:
     first = w.sales_fact.agg(F.trunc(F.max("data_venda"), "MM").alias("m")).first()["m"]
-    return targets.participation(w.sales_fact, w.product_category, w.store_dim, first)
+    return targets.shares(w.sales_fact, w.product_category, w.store_dim, first)
 
 
 def _writeback(w: Warehouse, out: str) -> DataFrame:

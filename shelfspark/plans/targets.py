@@ -76,105 +76,106 @@ def reference_months(first_month) -> list:
                    for m in range(PLAN_MONTHS_AHEAD + 1) for k in range(1, max(HISTORY_YEARS) + 1)})
 
 
-def _spine_pairs(first_month) -> list:
-    """(target month, history depth) pairs as literal structs: 13 x 3 values."""
-    return [F.struct(F.add_months(F.lit(first_month), m).alias("mes_meta"), F.lit(y).alias("anos_historico"))
-            for m in range(PLAN_MONTHS_AHEAD + 1) for y in HISTORY_YEARS]
+SHARE = "decimal(20,18)"
 
 
-def _spine(spark, first_month) -> DataFrame:
-    return spark.range(1).select(F.inline(F.array(*_spine_pairs(first_month))))
+def _share(num: Column, den: Column) -> Column:
+    """``num / den`` of amounts, exact to 18 places; NULL when ``den`` is 0."""
+    den = F.when(den != 0, den)
+    return (num.cast("decimal(20,2)") / den.cast("decimal(20,2)")).cast(SHARE)
 
 
-def participation(sales: DataFrame, product_category: DataFrame, store_dimension: DataFrame,
-                  first_month) -> DataFrame:
-    """Store and category shares per (target month, history depth, store, category)."""
-    spark = sales.sparkSession
-    # one row per active store, read three times below: materialise it once
-    checkpoint_dir(spark)
-    stores = active_stores(store_dimension).checkpoint(eager=True)
-    n_stores = stores.count()
-    spine = _spine(spark, first_month)
-    refs = spine.select("mes_meta", "anos_historico",
-                        F.explode(F.sequence(F.lit(1), F.col("anos_historico"))).alias("k")) \
-                .select("mes_meta", "anos_historico",
-                        F.add_months("mes_meta", -12 * F.col("k")).alias("mes_historico"))
-    # The history months follow from the plan month alone (at most 39): the fact
-    # is filtered with a literal range plus an IN list, which reach the scan,
-    # and a month-partitioned fact is pruned to exactly those months.
-    months = reference_months(first_month) if first_month is not None else []
+def _normalised(part: Column, total: Column) -> Column:
+    return (part / total.cast("decimal(24,18)")).cast(SHARE)
+
+
+def monthly_revenue(sales: DataFrame, product_category: DataFrame, stores: DataFrame, months: list) -> DataFrame:
+    """Net revenue of active stores per reference month, store and category; materialised.
+
+    The fact is filtered with a literal range plus an IN list, which reach the
+    scan, and a month-partitioned fact is pruned to exactly those months. It is
+    read once here; everything after works on this table.
+    """
     lo, hi = (months[0], _shift_months(months[-1], 1)) if months else (None, None)
     ranged = sales.where((F.col("data_venda") >= F.lit(lo)) & (F.col("data_venda") < F.lit(hi)))
     if "mes_part" in sales.columns and months:  # stored fact: prune month partitions too
         ranged = ranged.where(F.col("mes_part").isin([d.year * 100 + d.month for d in months]))
-    v = (ranged.select("data_venda", "empresa_id", "produto_id", "valor_venda_liquido")
-              .withColumn("mes_historico", F.trunc("data_venda", "MM"))
-              .where(F.col("mes_historico").isin(months))
-              .join(stores, "empresa_id", "left_semi")
-              .join(product_category.select("produto_id", "categoria_id", "categoria_id_nome"), "produto_id"))
-    per_month = (v.groupBy("mes_historico", "empresa_id", "categoria_id", "categoria_id_nome")
-                  .agg(F.sum("valor_venda_liquido").alias("faturamento")))
-    hlc = (F.broadcast(refs).join(per_month, "mes_historico")
-           .groupBy("mes_meta", "anos_historico", "empresa_id", "categoria_id", "categoria_id_nome")
-           .agg(F.sum("faturamento").alias("fat_lc")))
-    hl = hlc.groupBy("mes_meta", "anos_historico", "empresa_id").agg(F.sum("fat_lc").alias("fat_l"))
-    hg = hl.groupBy("mes_meta", "anos_historico").agg(F.sum("fat_l").alias("fat_g"))
-
-    # every active store in every (month, depth): the 39 pairs are expanded per store
-    grid = stores.select("empresa_id", F.inline(F.array(*_spine_pairs(first_month))))
-    equal_share = F.lit(1.0 / n_stores) if n_stores else F.lit(None).cast("double")
-    store_raw = (grid.join(hl, ["mes_meta", "anos_historico", "empresa_id"], "left")
-                     .join(hg, ["mes_meta", "anos_historico"], "left")
-                     .select("mes_meta", "anos_historico", "empresa_id",
-                             F.coalesce(_ratio(F.col("fat_l"), F.col("fat_g")), equal_share).alias("p")))
-    store_share = store_raw.select(
-        "mes_meta", "anos_historico", "empresa_id",
-        (F.col("p") / F.sum("p").over(Window.partitionBy("mes_meta", "anos_historico")))
-        .alias("participacao_loja_normalizada"))
-
-    key3 = ["mes_meta", "anos_historico", "empresa_id"]
-    cat_in_store = (hlc.join(hl, key3).where(F.col("fat_l") > 0)
-                       .select(*key3, "categoria_id", _ratio(F.col("fat_lc"), F.col("fat_l")).alias("pc")))
-    existing = hlc.select("mes_meta", "anos_historico", "categoria_id", "categoria_id_nome").distinct()
-    network = (cat_in_store.groupBy("mes_meta", "anos_historico", "categoria_id")
-                           .agg(F.avg("pc").alias("pr")))
-    cat_raw = (grid.join(existing, ["mes_meta", "anos_historico"])
-                   .join(cat_in_store, key3 + ["categoria_id"], "left")
-                   .join(network, ["mes_meta", "anos_historico", "categoria_id"], "left")
-                   .select(*key3, "categoria_id", "categoria_id_nome",
-                           F.coalesce("pc", "pr", F.lit(0.0)).alias("c"))
-                   .where(F.col("c") > 0))
-    cat_share = cat_raw.select(*key3, "categoria_id", "categoria_id_nome",
-                               (F.col("c") / F.sum("c").over(Window.partitionBy(*key3)))
-                               .alias("participacao_categoria_normalizada"))
-    out = store_share.join(cat_share, key3)
-    return out.select(
-        F.col("mes_meta").alias("mes"), "anos_historico", "empresa_id", "categoria_id", "categoria_id_nome",
-        F.round("participacao_loja_normalizada", SHARE_DIGITS).alias("participacao_loja_normalizada"),
-        F.round("participacao_categoria_normalizada", SHARE_DIGITS).alias("participacao_categoria_normalizada"),
-    )
+    return (ranged.select(F.trunc("data_venda", "MM").alias("historico"), "empresa_id", "produto_id", "valor_venda_liquido")
+                  .where(F.col("historico").isin(months))
+                  .join(stores, "empresa_id", "left_semi")
+                  .join(product_category.select("produto_id", "categoria_id", "categoria_id_nome"), "produto_id")
+                  .groupBy("historico", "empresa_id", "categoria_id", "categoria_id_nome")
+                  .agg(F.sum("valor_venda_liquido").alias("valor")).checkpoint(eager=True))
+
+
+def shares(sales: DataFrame, product_category: DataFrame, store_dimension: DataFrame, first_month) -> DataFrame:
+    """Store and category shares (18 places) per (target month, history depth, store, category).
+
+    A month of history counts for the target months one to three years later,
+    at every depth that reaches back so far. The cells store x category of each
+    (target month, depth) are laid out once; every total, mean and
+    normalisation is a window over them.
+    """
+    checkpoint_dir(sales.sparkSession)
+    stores = active_stores(store_dimension).select("empresa_id").checkpoint(eager=True)
+    months = reference_months(first_month) if first_month is not None else []
+    monthly = monthly_revenue(sales, product_category, stores, months)
+    last = _shift_months(first_month, PLAN_MONTHS_AHEAD) if first_month is not None else None
+    reach = [F.struct(F.add_months("historico", 12 * k).alias("mes"), F.lit(y).alias("anos_historico"))
+             for k in HISTORY_YEARS for y in HISTORY_YEARS if y >= k]
+    period, category = ["mes", "anos_historico"], ["categoria_id", "categoria_id_nome"]
+    counted = (monthly.select("empresa_id", *category, "valor", F.inline(F.array(*reach)))
+                      .where(F.col("mes").between(F.lit(first_month), F.lit(last)))
+                      .groupBy(*period, "empresa_id", *category).agg(F.sum("valor").alias("valor")))
+    n_stores = stores.count()
+    known = counted.select(*period, *category).distinct()
+    every = stores.select("empresa_id", F.inline(F.array(*_plan(first_month))))
+    cells = every.join(known, period).join(counted, [*period, "empresa_id", *category], "left")
+
+    of_store = Window.partitionBy(*period, "empresa_id")
+    of_period = Window.partitionBy(*period)
+    of_category = Window.partitionBy(*period, *category)
+    sums = cells.select(*period, "empresa_id", *category, "valor", F.sum("valor").over(of_store).alias("da_loja"),
+                        F.row_number().over(of_store.orderBy(*category)).alias("n"))
+    equal = F.lit(1).cast("decimal(1,0)") / F.lit(n_stores or 1).cast("decimal(10,0)")
+    weights = sums.select(
+        *period, "empresa_id", *category, "n",
+        F.coalesce(_share(F.col("da_loja"), F.sum("valor").over(of_period)), equal.cast(SHARE)).alias("loja"),
+        F.when(F.col("da_loja") > 0, _share(F.col("valor"), F.col("da_loja"))).alias("propria"))
+    filled = weights.withColumn("parte", F.coalesce("propria", F.avg("propria").over(of_category).cast(SHARE), F.lit(0).cast(SHARE)))
+    filled = filled.withColumn("lojas", F.sum(F.when(F.col("n") == 1, F.col("loja"))).over(of_period)).where(F.col("parte") > 0)
+    return filled.select(*period, "empresa_id", *category,
+                         _normalised(F.col("loja"), F.col("lojas")).alias("participacao_loja_normalizada"),
+                         _normalised(F.col("parte"), F.sum("parte").over(of_store)).alias("participacao_categoria_normalizada"))
+
+
+def _plan(first_month) -> list:
+    """(target month, history depth) pairs as literal structs: 13 x 3 values."""
+    return [F.struct(F.add_months(F.lit(first_month), m).alias("mes"), F.lit(y).alias("anos_historico"))
+            for m in range(PLAN_MONTHS_AHEAD + 1) for y in HISTORY_YEARS]
+
+
+def participation(sales: DataFrame, product_category: DataFrame, store_dimension: DataFrame, first_month) -> DataFrame:
+    """The shares rounded to ten places."""
+    out = shares(sales, product_category, store_dimension, first_month)
+    names = ["participacao_loja_normalizada", "participacao_categoria_normalizada"]
+    return out.select(*[c for c in out.columns if c not in names],
+                      *[F.round(F.col(c).cast("double"), SHARE_DIGITS).alias(c) for c in names])
 
 
 # --------------------------------------------------------------------------- allocation
 
 def allocation(shares: DataFrame, params: DataFrame, adjustments: DataFrame) -> DataFrame:
-    """Store target = group target x store share + adjustment; x category share, to cents."""
-    store_level = shares.select("mes", "anos_historico", "empresa_id", "participacao_loja_normalizada").distinct()
-    meta_loja = (params.join(store_level, ["mes", "anos_historico"])
-                 .join(adjustments, ["mes", "empresa_id"], "left")
-                 .select("mes", "anos_historico", "empresa_id",
-                         (F.col("meta_grupo_padrao_valor").cast("double") * F.col("participacao_loja_normalizada")
-                          + F.coalesce(F.col("ajuste_padrao_valor"), F.lit(0)).cast("double")).alias("mp"),
-                         (F.col("meta_grupo_desafio_valor").cast("double") * F.col("participacao_loja_normalizada")
-                          + F.coalesce(F.col("ajuste_desafio_valor"), F.lit(0)).cast("double")).alias("md")))
-    out = meta_loja.join(shares, ["mes", "anos_historico", "empresa_id"])
-    return out.select(
-        "mes", "empresa_id", "categoria_id", "categoria_id_nome",
-        F.round(F.col("mp") * F.col("participacao_categoria_normalizada"), 2).cast("decimal(18,2)")
-         .alias("meta_padrao_valor"),
-        F.round(F.col("md") * F.col("participacao_categoria_normalizada"), 2).cast("decimal(18,2)")
-         .alias("meta_desafio_valor"),
-    )
+    """Store target = group target x store share + adjustment; x category share, to cents. All in decimals."""
+    def target(group: str, adjustment: str) -> Column:
+        store = (F.col(group) * F.col("participacao_loja_normalizada").cast(SHARE)
+                 + F.coalesce(F.col(adjustment), F.lit(0)).cast("decimal(18,2)")).cast("decimal(26,12)")
+        return F.round(store * F.col("participacao_categoria_normalizada").cast(SHARE), 2).cast("decimal(18,2)")
+
+    planned = shares.join(params, ["mes", "anos_historico"]).join(adjustments, ["mes", "empresa_id"], "left")
+    return planned.select("mes", "empresa_id", "categoria_id", "categoria_id_nome",
+                          target("meta_grupo_padrao_valor", "ajuste_padrao_valor").alias("meta_padrao_valor"),
+                          target("meta_grupo_desafio_valor", "ajuste_desafio_valor").alias("meta_desafio_valor"))
 
 
 def writeback(alloc: DataFrame, params: DataFrame, adjustments_raw: DataFrame) -> DataFrame:
@@ -224,19 +225,18 @@ def group_reference(sales: DataFrame, store_dimension: DataFrame, indicators: Da
     The monthly series has one row per month of data (a few hundred rows), so
     its lag / moving windows run in one small partition.
     """
-    spark = sales.sparkSession
-    bounds = sales.agg(F.trunc(F.min("data_venda"), "MM").alias("lo"),
-                       F.trunc(F.max("data_venda"), "MM").alias("incompleto"))
+    checkpoint_dir(sales.sparkSession)
+    active = active_stores(store_dimension).select("empresa_id", F.lit(True).alias("ativa"))
+    # the fact is read once: a row per month, with the revenue of active stores
+    monthly = (sales.select(F.trunc("data_venda", "MM").alias("mes"), "empresa_id", "valor_venda_liquido")
+                    .join(active, "empresa_id", "left").groupBy("mes")
+                    .agg(F.sum(F.when(F.col("ativa"), F.col("valor_venda_liquido"))).alias("faturamento"))
+                    .where(F.col("mes").isNotNull()).checkpoint(eager=True))
+    bounds = monthly.agg(F.min("mes").alias("lo"), F.max("mes").alias("incompleto"))
     spine = bounds.select(F.explode(F.sequence("lo", F.add_months("incompleto", 1),
-                                               F.expr("INTERVAL 1 MONTH"))).alias("mes"))
-    monthly = (sales.select("data_venda", "empresa_id", "valor_venda_liquido")
-                    .join(active_stores(store_dimension), "empresa_id", "left_semi")
-                    .groupBy(F.trunc("data_venda", "MM").alias("mes"))
-                    .agg(F.sum("valor_venda_liquido").alias("faturamento")))
+                                               F.expr("INTERVAL 1 MONTH"))).alias("mes"), "incompleto")
     by_month = Window.orderBy("mes")
-    incompleto = bounds.select("incompleto").first()[0]
-    base = (spine.join(monthly, "mes", "left").withColumn("incompleto", F.lit(incompleto).cast("date"))
-                 .withColumn("fat_aa", F.lag("faturamento", 12).over(by_month)))
+    base = spine.join(monthly, "mes", "left").withColumn("fat_aa", F.lag("faturamento", 12).over(by_month))
     growth = F.when(F.col("mes") >= F.col("incompleto"), F.lit(None).cast("double")) \
               .when(F.col("faturamento").isNotNull() & (F.col("fat_aa") > 0),
                     (_ratio(F.col("faturamento"), F.col("fat_aa")) - 1) * 100)
