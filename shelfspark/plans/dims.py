@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import NOT_DEFINED_F, NOT_DEFINED_M, padded
 from shelfspark.operators.dedup import first_per_key
+from shelfspark.plans.silver import STORE_OPERATION_CODES
 
 
 def barcode_list(barcodes: DataFrame) -> DataFrame:
@@ -105,12 +106,13 @@ def store_dim(stores: DataFrame, checkouts: DataFrame, segments: DataFrame, clos
                              F.col("rank_na_cidade").cast("string")))
               .otherwise(F.concat(padded(F.col("empresa_id"), 3), F.lit(" - "), F.col("cidade"))))
     return r.select(
-        "divisao_id", "empresa_id", label.alias("loja"), "razao_social", "cnpj", "logradouro", "bairro", "cep",
-        "cidade", "uf", "endereco", "segmento_principal", "segmento_id_nome", "aberto_sabado", "aberto_domingo",
+        "divisao_id", "empresa_id", label.alias("loja"), "razao_social", "pessoa_id_razao", "cnpj", "inscricao_estadual",
+        "logradouro", "bairro", "cep", "cidade", "uf", "endereco", "metro_quadrado", "pessoa_id", "segmento_principal",
+        "segmento_id_nome", "aberto_sabado", "aberto_domingo", "meta_margem_lucro", "meta_dia_estoque",
         F.when(F.col("_closed_id").isNotNull(), F.lit("INATIVA")).otherwise(F.col("status_empresa"))
          .alias("status_empresa"),
         F.coalesce(F.col("data_encerramento"), F.col("dta_fechamento_fiscal")).alias("dta_fechamento_fiscal"),
-        "total_pdv_ativo",
+        "inicio_estoque", "nsu_nf", "total_pdv_ativo", *STORE_OPERATION_CODES.values(),
     )
 
 

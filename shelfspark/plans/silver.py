@@ -231,12 +231,33 @@ def order_items(src: DataFrame, humanize: bool = True) -> DataFrame:
 
 # --------------------------------------------------------------------------- master data
 
+# A store's operation codes, source column -> name.
+STORE_OPERATION_CODES = {
+    "cgobaixasaidapdv": "cgo_baixa_saida_pdv",
+    "cgotransflocori": "cgo_transf_loc_ori",
+    "cgotransflocdest": "cgo_transf_loc_dest",
+    "cgobaixaproducao": "cgo_baixa_producao",
+    "cgoentrproducao": "cgo_entr_producao",
+    "cgobaixainventario": "cgo_baixa_inventario",
+    "cgoentrinventario": "cgo_entr_inventario",
+    "cgoemissnfvenda": "cgo_emiss_nf_venda",
+    "cgoenttransf": "cgo_entr_transf",
+    "cgodevfornec": "cgo_dev_fornec",
+    "cgoenttransfprod": "cgo_entr_transf_prod",
+    "cgosaitransfprod": "cgo_sai_transf_prod",
+    "cgobaixaperda": "cgo_baixa_perda",
+    "cgoajustecusto": "cgo_ajuste_custo",
+    "cgoajustecustoredu": "cgo_ajuste_custo_redu",
+}
+
+
 def stores(src: DataFrame) -> DataFrame:
     up = lambda c: F.upper(opt(src, c, "string"))
     return src.select(
         F.col("nroempresa").cast("int").alias("empresa_id"),
         opt(src, "nrodivisao", "int").alias("divisao_id"),
         up("razaosocial").alias("razao_social"),
+        F.concat(padded(opt(src, "seqpessoaemp", "string"), 5), F.lit(" - "), up("razaosocial")).alias("pessoa_id_razao"),
         up("endereco").alias("logradouro"),
         up("bairro").alias("bairro"),
         opt(src, "cep", "string").alias("cep"),
@@ -245,11 +266,19 @@ def stores(src: DataFrame) -> DataFrame:
         F.concat_ws(" - ", up("endereco"), up("bairro"), up("cep"), up("cidade"), up("uf")).alias("endereco"),
         F.concat(padded(opt(src, "nrocgc", "string"), 12), F.lit("-"),
                  padded(opt(src, "digcgc", "decimal(18,0)"), 2)).alias("cnpj"),
+        up("inscricaoestadual").alias("inscricao_estadual"),
+        opt(src, "nrometro2loja", "decimal(18,2)").alias("metro_quadrado"),
+        opt(src, "seqpessoaemp", "decimal(18,0)").alias("pessoa_id"),
         opt(src, "nrosegmentoprinc", "decimal(18,0)").cast("int").alias("segmento_principal"),
         yes_no(opt(src, "indabertsabado", "string")).alias("aberto_sabado"),
         yes_no(opt(src, "indabertdomingo", "string")).alias("aberto_domingo"),
         F.when(F.upper(F.col("status")) == "A", "ATIVA").otherwise("INATIVA").alias("status_empresa"),
+        opt(src, "metagermargemlucro", "decimal(18,2)").alias("meta_margem_lucro"),
+        opt(src, "metagerdiaestq", "decimal(18,2)").alias("meta_dia_estoque"),
         opt(src, "dtafechafiscal", "date").alias("dta_fechamento_fiscal"),
+        opt(src, "dtainiciomovestoque", "date").alias("inicio_estoque"),
+        opt(src, "nronsunf", "int").alias("nsu_nf"),
+        *[opt(src, c, "int").alias(name) for c, name in STORE_OPERATION_CODES.items()],
         _loaded(src),
     )
 

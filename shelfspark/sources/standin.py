@@ -328,6 +328,31 @@ STORES = StandIn("max_empresa", (_p("orders", [
     ("nrocgc", f"CAST(12345678 + {_K} AS STRING)"),
     ("digcgc", f"CAST({_K} * 7 % 100 AS DECIMAL(18,0))"),
     ("nrosegmentoprinc", f"CAST({_K} % 2 + 1 AS DECIMAL(18,0))"),
+    ("seqpessoaemp", f"CAST({_K} + 700 AS INT)"),
+    ("inscricaoestadual", f"CASE WHEN {_K} = 5 THEN NULL ELSE 'ie' || CAST({_K} * 31 AS STRING) END"),
+    ("nrometro2loja", f"CAST({_K} * 110.5 AS {MONEY})"),
+    ("indabertsabado", f"CASE WHEN {_K} % 3 = 0 THEN 's' WHEN {_K} % 3 = 1 THEN 'N' END"),
+    ("indabertdomingo", f"CASE WHEN {_K} % 4 = 0 THEN 'S' ELSE 'N' END"),
+    ("metagermargemlucro", f"CAST({_K} + 20.25 AS {MONEY})"),
+    ("metagerdiaestq", f"CAST({_K} + 30 AS {MONEY})"),
+    ("dtafechafiscal", f"CASE WHEN {_K} = 8 THEN DATE '2001-05-31' END"),
+    ("dtainiciomovestoque", f"DATE '1995-01-01' + CAST({_K} AS INT)"),
+    ("nronsunf", f"CAST({_K} * 1000 + 1 AS INT)"),
+    ("cgobaixasaidapdv", f"CAST({_K} * 10 + 0 AS INT)"),
+    ("cgotransflocori", f"CAST({_K} * 10 + 1 AS INT)"),
+    ("cgotransflocdest", f"CAST({_K} * 10 + 2 AS INT)"),
+    ("cgobaixaproducao", f"CAST({_K} * 10 + 3 AS INT)"),
+    ("cgoentrproducao", f"CAST({_K} * 10 + 4 AS INT)"),
+    ("cgobaixainventario", f"CAST({_K} * 10 + 5 AS INT)"),
+    ("cgoentrinventario", f"CAST({_K} * 10 + 6 AS INT)"),
+    ("cgoemissnfvenda", f"CAST({_K} * 10 + 7 AS INT)"),
+    ("cgoenttransf", f"CAST({_K} * 10 + 8 AS INT)"),
+    ("cgodevfornec", f"CAST({_K} * 10 + 9 AS INT)"),
+    ("cgoenttransfprod", f"CAST({_K} * 10 + 10 AS INT)"),
+    ("cgosaitransfprod", f"CAST({_K} * 10 + 11 AS INT)"),
+    ("cgobaixaperda", f"CAST({_K} * 10 + 12 AS INT)"),
+    ("cgoajustecusto", f"CAST({_K} * 10 + 13 AS INT)"),
+    ("cgoajustecustoredu", f"CAST({_K} * 10 + 14 AS INT)"),
 ], distinct=True),))
 
 # Checkouts seen in the sales lines (checkout 7 inactive).
