@@ -22,29 +22,30 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 # Every rule's matches contain one of these; a text without any is done after this look.
-FIRST_LOOK = ("licen", "gpl", "copyright", "copyleft", "public domain", "permission", "redistribut", "creativecommons",
-              "creative commons", "warrant", "rights reserved", "cc0", "cc by", "cc-by")
+FIRST_LOOK = ("licen", "gpl", "copyright", "copyleft", "domain", "permission", "redistribut", "commons", "warrant", "reserved",
+              "cc0", "cc by", "cc-by", "gfdl", "wtfpl", "endorse", "advertising", "evil", "perl", "nasa", "rail", "clause",
+              "attribution", "mozilla", "eclipse")
 
 CONFIDENCE = {1: 0.99, 2: 0.95, 3: 0.85, 4: 0.6}
 
 # label | tier | keyword | expression over lower-cased text. A blank in an expression stands for any
 # separators between words; expressions match at word boundaries.
 RULES = r"""
-mit | 3 | mit | (?:the )?(?:mit|x11|expat) licen[cs]e
+mit | 3 | mit | (?:the )?mit licen[cs]e
 mit | 3 | mit | licen[cs]ed under (?:the )?(?:terms of (?:the )?)?mit
-mit | 3 | mit | released under (?:the )?mit(?: licen[cs]e)?
-mit | 3 | mit | distributed under (?:the )?mit(?: licen[cs]e)?
+mit | 3 | mit | released under (?:the )?mit licen[cs]e
+mit | 3 | mit | distributed under (?:the )?mit licen[cs]e
 mit | 4 | mit | mit licen[cs]ed
 mit | 4 | mit | mit style licen[cs]e
 mit | 2 | permission | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit | 2 | permission | the above copyright notice and this permission notice shall be included in all copies
-mit | 2 | opensource.org | opensource org licenses mit
+mit | 2 | opensource | opensource org licenses mit
 x11 | 3 | x11 | x11 licen[cs]e
 expat | 3 | expat | expat licen[cs]e
 mit-0 | 3 | attribution | mit no attribution(?: licen[cs]e)?
 isc | 3 | isc | (?:the )?isc licen[cs]e
 isc | 2 | permission | permission to use copy modify and or distribute this software for any purpose with or without fee
-isc | 2 | opensource.org | opensource org licenses isc
+isc | 2 | opensource | opensource org licenses isc
 apache | 3 | apache | (?:the )?apache licen[cs]e
 apache | 3 | apache | apache software licen[cs]e
 apache-1.0 | 3 | apache | apache (?:software )?licen[cs]e (?:version |v )?v?1 0
@@ -53,7 +54,8 @@ apache-2.0 | 3 | apache | (?:the )?apache (?:software )?licen[cs]e (?:version |v
 apache-2.0 | 3 | apache | licen[cs]ed under (?:the )?apache (?:software )?licen[cs]e (?:version |v )?v?2(?: 0)?
 apache-2.0 | 2 | apache | licen[cs]ed to the apache software foundation
 apache-2.0 | 2 | apache | apache org licenses license 2 0
-apache-2.0 | 4 | apache | (?:asl|apache) v?2(?: 0)? licen[cs]e
+apache-2.0 | 4 | apache | apache v?2(?: 0)? licen[cs]e
+apache-2.0 | 4 | asl | asl v?2(?: 0)? licen[cs]e
 apache-2.0 | 2 | compliance | you may not use this file except in compliance with the licen[cs]e
 apache-2.0 | 2 | warrant | distributed on an as is basis without warranties or conditions of any kind
 bsd | 3 | bsd | (?:the )?bsd licen[cs]e
@@ -73,59 +75,59 @@ bsd-4-clause | 2 | advertising | all advertising materials mentioning features o
 bsd | 2 | redistribut | redistribution and use in source and binary forms with or without modification are permitted
 bsd | 2 | redistribut | redistributions of source code must retain the above copyright notice
 bsd | 2 | redistribut | redistributions in binary form must reproduce the above copyright notice
-gpl | 3 | general public | (?:the )?(?:gnu )?general public licen[cs]e
-gpl | 3 | general public | licen[cs]ed under (?:the )?(?:terms of (?:the )?)?(?:gnu )?general public licen[cs]e
-gpl-1.0 | 3 | general public | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?1(?: 0)?
-gpl-2.0 | 3 | general public | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?2(?: 0)?
-gpl-3.0 | 3 | general public | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?3(?: 0)?
+gpl | 3 | general | (?:the )?(?:gnu )?general public licen[cs]e
+gpl | 3 | general | licen[cs]ed under (?:the )?(?:terms of (?:the )?)?(?:gnu )?general public licen[cs]e
+gpl-1.0 | 3 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?1(?: 0)?
+gpl-2.0 | 3 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?2(?: 0)?
+gpl-3.0 | 3 | general | (?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? (?:version |v )v?3(?: 0)?
 gpl-2.0 | 3 | gpl | (?:gnu )?gpl ?v?(?:ersion )?2(?: 0)?(?: only)?
 gpl-3.0 | 3 | gpl | (?:gnu )?gpl ?v?(?:ersion )?3(?: 0)?(?: only)?
 gpl-2.0-or-later | 3 | gpl | (?:gnu )?gpl ?v?2(?: 0)? or (?:any )?later
 gpl-3.0-or-later | 3 | gpl | (?:gnu )?gpl ?v?3(?: 0)? or (?:any )?later
-gpl-2.0-or-later | 3 | general public | general public licen[cs]e(?: as published by the free software foundation)? either version 2 of the licen[cs]e or at your option any later version
-gpl-3.0-or-later | 3 | general public | general public licen[cs]e(?: as published by the free software foundation)? either version 3 of the licen[cs]e or at your option any later version
+gpl-2.0-or-later | 3 | general | general public licen[cs]e(?: as published by the free software foundation)? either version 2 of the licen[cs]e or at your option any later version
+gpl-3.0-or-later | 3 | general | general public licen[cs]e(?: as published by the free software foundation)? either version 3 of the licen[cs]e or at your option any later version
 gpl | 4 | gpl | (?:gnu )?gpl licen[cs]ed?
 gpl | 4 | gpl | under (?:the )?(?:gnu )?gpl
-gpl | 2 | gnu.org | gnu org (?:licenses|copyleft) gpl
+gpl | 2 | gnu | gnu org (?:licenses|copyleft) gpl
 gpl | 2 | redistribut | this program is free software you can redistribute it and or modify it
 gpl-with-classpath-exception | 3 | classpath | (?:gpl|general public licen[cs]e)(?: version| v)?(?: 2)? with (?:the )?classpath exception
-lgpl | 3 | lesser general | (?:the )?(?:gnu )?lesser general public licen[cs]e
-lgpl | 3 | library general | (?:the )?(?:gnu )?library general public licen[cs]e
-lgpl-2.0 | 3 | library general | (?:gnu )?library general public licen[cs]e (?:version |v )v?2(?: 0)?
-lgpl-2.1 | 3 | lesser general | (?:gnu )?lesser general public licen[cs]e (?:version |v )v?2 1
-lgpl-3.0 | 3 | lesser general | (?:gnu )?lesser general public licen[cs]e (?:version |v )v?3(?: 0)?
+lgpl | 3 | lesser | (?:the )?(?:gnu )?lesser general public licen[cs]e
+lgpl | 3 | library | (?:the )?(?:gnu )?library general public licen[cs]e
+lgpl-2.0 | 3 | library | (?:gnu )?library general public licen[cs]e (?:version |v )v?2(?: 0)?
+lgpl-2.1 | 3 | lesser | (?:gnu )?lesser general public licen[cs]e (?:version |v )v?2 1
+lgpl-3.0 | 3 | lesser | (?:gnu )?lesser general public licen[cs]e (?:version |v )v?3(?: 0)?
 lgpl-2.1 | 3 | lgpl | (?:gnu )?lgpl ?v?2 1
 lgpl-3.0 | 3 | lgpl | (?:gnu )?lgpl ?v?3(?: 0)?
 lgpl | 4 | lgpl | (?:gnu )?lgpl licen[cs]ed?
 lgpl | 4 | lgpl | under (?:the )?(?:gnu )?lgpl
-lgpl | 2 | gnu.org | gnu org (?:licenses|copyleft) lgpl
+lgpl | 2 | gnu | gnu org (?:licenses|copyleft) lgpl
 agpl | 3 | affero | (?:the )?(?:gnu )?affero general public licen[cs]e
 agpl-3.0 | 3 | affero | (?:gnu )?affero general public licen[cs]e (?:version |v )v?3(?: 0)?
 agpl-3.0 | 3 | agpl | (?:gnu )?agpl ?v?3(?: 0)?
 agpl | 4 | agpl | under (?:the )?(?:gnu )?agpl
-agpl | 2 | gnu.org | gnu org licenses agpl
+agpl | 2 | gnu | gnu org licenses agpl
 gfdl | 3 | documentation | (?:gnu )?free documentation licen[cs]e
 gfdl-1.2 | 3 | documentation | (?:gnu )?free documentation licen[cs]e (?:version |v )1 2
 gfdl-1.3 | 3 | documentation | (?:gnu )?free documentation licen[cs]e (?:version |v )1 3
 gfdl | 4 | gfdl | under (?:the )?(?:gnu )?gfdl
-gfdl | 2 | gnu.org | gnu org (?:licenses|copyleft) fdl
+gfdl | 2 | gnu | gnu org (?:licenses|copyleft) fdl
 mpl | 3 | mozilla | mozilla public licen[cs]e
 mpl-1.0 | 3 | mozilla | mozilla public licen[cs]e (?:version |v )v?1 0
 mpl-1.1 | 3 | mozilla | mozilla public licen[cs]e (?:version |v )v?1 1
 mpl-2.0 | 3 | mozilla | mozilla public licen[cs]e (?:version |v )v?2(?: 0)?
-mpl-2.0 | 2 | mozilla.org | mozilla org mpl 2 0
+mpl-2.0 | 2 | mozilla | mozilla org mpl 2 0
 mpl-2.0 | 4 | mpl | mpl ?v?2(?: 0)? licen[cs]ed?
-mpl | 2 | source code form | this source code form is subject to the terms of the mozilla public licen[cs]e
+mpl | 2 | mozilla | this source code form is subject to the terms of the mozilla public licen[cs]e
 epl | 3 | eclipse | eclipse public licen[cs]e
 epl-1.0 | 3 | eclipse | eclipse public licen[cs]e (?:version |v )?v?1(?: 0)?
 epl-2.0 | 3 | eclipse | eclipse public licen[cs]e (?:version |v )?v?2(?: 0)?
-epl | 2 | eclipse.org | eclipse org (?:legal )?epl
+epl | 2 | eclipse | eclipse org (?:legal )?epl
 edl-1.0 | 3 | eclipse | eclipse distribution licen[cs]e
-cddl | 3 | common development | common development and distribution licen[cs]e
-cddl-1.0 | 3 | common development | common development and distribution licen[cs]e (?:cddl )?(?:version |v )?v?1 0
-cddl-1.1 | 3 | common development | common development and distribution licen[cs]e (?:cddl )?(?:version |v )?v?1 1
-cpl-1.0 | 3 | common public | common public licen[cs]e(?: version)?(?: 1 0)?
-cpal-1.0 | 3 | common public attribution | common public attribution licen[cs]e
+cddl | 3 | development | common development and distribution licen[cs]e
+cddl-1.0 | 3 | development | common development and distribution licen[cs]e (?:cddl )?(?:version |v )?v?1 0
+cddl-1.1 | 3 | development | common development and distribution licen[cs]e (?:cddl )?(?:version |v )?v?1 1
+cpl-1.0 | 3 | common | common public licen[cs]e(?: version)?(?: 1 0)?
+cpal-1.0 | 3 | attribution | common public attribution licen[cs]e
 ipl-1.0 | 3 | ibm | ibm public licen[cs]e
 eupl | 3 | european | european union public licen[cs]e
 eupl-1.1 | 3 | european | european union public licen[cs]e (?:eupl )?(?:version |v )?v?1 1
@@ -136,36 +138,37 @@ artistic-1.0 | 3 | artistic | artistic licen[cs]e (?:version |v )?1 0
 artistic-2.0 | 3 | artistic | artistic licen[cs]e (?:version |v )?2(?: 0)?
 perl | 4 | perl | same terms as perl(?: itself)?
 bsl-1.0 | 3 | boost | boost software licen[cs]e(?: version)?(?: 1 0)?
-bsl-1.0 | 2 | boost.org | boost org license 1 0 txt
-busl-1.1 | 3 | business source | business source licen[cs]e(?: version)?(?: 1 1)?
+bsl-1.0 | 2 | boost | boost org license 1 0 txt
+busl-1.1 | 3 | business | business source licen[cs]e(?: version)?(?: 1 1)?
 zlib | 3 | zlib | (?:the )?zlib(?: libpng)? licen[cs]e
 zlib | 2 | warrant | this software is provided as is without any express or implied warranty
 libpng | 3 | libpng | libpng licen[cs]e
 unlicense | 3 | unlicense | (?:the )?unlicense
-unlicense | 2 | public domain | this is free and unencumbered software released into the public domain
-wtfpl | 3 | want to public | do what the fuck you want to public licen[cs]e
+unlicense | 2 | domain | this is free and unencumbered software released into the public domain
+wtfpl | 3 | fuck | do what the fuck you want to public licen[cs]e
 wtfpl | 4 | wtfpl | wtfpl(?: licen[cs]ed?)?
 cc0-1.0 | 3 | cc0 | cc0(?: 1 0)?(?: universal)?(?: public domain dedication)?
-cc0-1.0 | 3 | creative commons | creative commons zero(?: v?1 0)?(?: universal)?
+cc0-1.0 | 3 | commons | creative commons zero(?: v?1 0)?(?: universal)?
 cc0-1.0 | 2 | creativecommons | creativecommons org publicdomain zero
 cc-pdm | 2 | creativecommons | creativecommons org publicdomain mark
-public-domain | 4 | public domain | (?:released|placed|dedicated) (?:in|into|to) the public domain
-public-domain | 4 | public domain | in the public domain
-cc-by | 3 | creative commons | creative commons attribution(?: licen[cs]e)?
-cc-by-sa | 3 | creative commons | creative commons attribution share ?alike(?: licen[cs]e)?
-cc-by-nd | 3 | creative commons | creative commons attribution no ?derivatives(?: licen[cs]e)?
-cc-by-nc | 3 | creative commons | creative commons attribution non ?commercial(?: licen[cs]e)?
-cc-by-nc-sa | 3 | creative commons | creative commons attribution non ?commercial share ?alike(?: licen[cs]e)?
-cc-by-nc-nd | 3 | creative commons | creative commons attribution non ?commercial no ?derivatives(?: licen[cs]e)?
-cc | 4 | creative commons | (?:under (?:a |the )?)?creative commons licen[cs]e
-ofl | 3 | open font | (?:sil )?open font licen[cs]e
-ofl-1.1 | 3 | open font | (?:sil )?open font licen[cs]e (?:version |v )?1 1
+public-domain | 4 | domain | (?:released|placed|dedicated) (?:in|into|to) the public domain
+public-domain | 4 | domain | in the public domain
+cc-by | 3 | commons | creative commons attribution(?: licen[cs]e)?
+cc-by-sa | 3 | commons | creative commons attribution share ?alike(?: licen[cs]e)?
+cc-by-nd | 3 | commons | creative commons attribution no ?derivatives(?: licen[cs]e)?
+cc-by-nc | 3 | commons | creative commons attribution non ?commercial(?: licen[cs]e)?
+cc-by-nc-sa | 3 | commons | creative commons attribution non ?commercial share ?alike(?: licen[cs]e)?
+cc-by-nc-nd | 3 | commons | creative commons attribution non ?commercial no ?derivatives(?: licen[cs]e)?
+cc | 4 | commons | (?:under (?:a |the )?)?creative commons licen[cs]e
+ofl | 3 | font | (?:sil )?open font licen[cs]e
+ofl-1.1 | 3 | font | (?:sil )?open font licen[cs]e (?:version |v )?1 1
 odbl-1.0 | 3 | database | open (?:data commons open )?database licen[cs]e
-odc-by-1.0 | 3 | data commons | open data commons attribution licen[cs]e
-pddl-1.0 | 3 | data commons | open data commons public domain dedication and licen[cs]e
+odc-by-1.0 | 3 | commons | open data commons attribution licen[cs]e
+pddl-1.0 | 3 | commons | open data commons public domain dedication and licen[cs]e
 openssl | 3 | openssl | openssl licen[cs]e
 ssleay | 3 | ssleay | (?:original )?ssleay licen[cs]e
-psf-2.0 | 3 | python | (?:psf|python)(?: software foundation)? licen[cs]e
+psf-2.0 | 3 | python | python(?: software foundation)? licen[cs]e
+psf-2.0 | 3 | psf | psf(?: software foundation)? licen[cs]e
 php | 3 | php | (?:the )?php licen[cs]e
 php-3.01 | 3 | php | php licen[cs]e (?:version |v )?3 01
 ruby | 3 | ruby | ruby licen[cs]e
@@ -176,33 +179,33 @@ curl | 3 | curl | curl licen[cs]e
 ncsa | 3 | illinois | university of illinois(?: ncsa)? open source licen[cs]e
 w3c | 3 | w3c | w3c software(?: notice and)?(?: and document)? licen[cs]e
 zpl | 3 | zope | zope public licen[cs]e
-qpl-1.0 | 3 | q public | q public licen[cs]e
-osl-3.0 | 3 | open software | open software licen[cs]e(?: v?3(?: 0)?)?
-afl-3.0 | 3 | academic free | academic free licen[cs]e(?: v?3(?: 0)?)?
-ecl-2.0 | 3 | educational community | educational community licen[cs]e
+qpl-1.0 | 3 | public | q public licen[cs]e
+osl-3.0 | 3 | software | open software licen[cs]e(?: v?3(?: 0)?)?
+afl-3.0 | 3 | academic | academic free licen[cs]e(?: v?3(?: 0)?)?
+ecl-2.0 | 3 | educational | educational community licen[cs]e
 ms-pl | 3 | microsoft | microsoft public licen[cs]e
 ms-rl | 3 | microsoft | microsoft reciprocal licen[cs]e
-upl-1.0 | 3 | universal permissive | universal permissive licen[cs]e
-sspl-1.0 | 3 | server side | server side public licen[cs]e
+upl-1.0 | 3 | permissive | universal permissive licen[cs]e
+sspl-1.0 | 3 | server | server side public licen[cs]e
 elastic-2.0 | 3 | elastic | elastic licen[cs]e(?: v?2(?: 0)?)?
-commons-clause | 3 | commons clause | commons clause(?: licen[cs]e condition)?
-blueoak-1.0.0 | 3 | blue oak | blue oak model licen[cs]e
+commons-clause | 3 | clause | commons clause(?: licen[cs]e condition)?
+blueoak-1.0.0 | 3 | oak | blue oak model licen[cs]e
 mulan-psl | 3 | mulan | mulan (?:permissive software|psl)(?: v?[12])? licen[cs]e
 beerware | 3 | beer | beer ?ware licen[cs]e
 json | 3 | json | json licen[cs]e
-json | 2 | for good | the software shall be used for good not evil
-hpnd | 3 | historical permission | historical permission notice and disclaimer
+json | 2 | evil | the software shall be used for good not evil
+hpnd | 3 | historical | historical permission notice and disclaimer
 naist | 3 | naist | naist licen[cs]e
 sleepycat | 3 | sleepycat | sleepycat licen[cs]e
-sissl | 3 | sun industry | sun industry standards source licen[cs]e
-apsl | 3 | apple public | apple public source licen[cs]e
-rpl | 3 | reciprocal public | reciprocal public licen[cs]e
+sissl | 3 | industry | sun industry standards source licen[cs]e
+apsl | 3 | apple | apple public source licen[cs]e
+rpl | 3 | reciprocal | reciprocal public licen[cs]e
 nasa-1.3 | 3 | nasa | nasa open source agreement
 openrail | 3 | rail | (?:creativeml )?open ?rail(?: m)?(?: licen[cs]e)?
 llama | 3 | llama | llama(?: [23])?(?: community)? licen[cs]e
-proprietary | 4 | all rights reserved | all rights reserved
+proprietary | 4 | reserved | all rights reserved
 proprietary | 3 | proprietary | proprietary (?:and confidential )?licen[cs]e
-proprietary | 4 | written permission | without (?:the )?(?:prior )?written permission of
+proprietary | 4 | permission | without (?:the )?(?:prior )?written permission of
 shareware | 4 | shareware | shareware licen[cs]e
 copyleft | 4 | copyleft | copyleft licen[cs]e
 permissive | 4 | permissive | permissive (?:free software )?licen[cs]e
@@ -233,10 +236,10 @@ def rules() -> list[tuple[int, str, int, str, str]]:
         found.append((label, int(tier), keyword, _bounded(expression)))
     for e in CC_ELEMENTS:
         words = e.replace("-", " ")
-        found.append((f"cc-{e}", 3, "cc", _bounded(f"cc {words}")))
+        found.append((f"cc-{e}", 3, "cc", _bounded(rf"cc[\x20\-]{words}")))
         for v in CC_VERSIONS:
             major = v.replace(".0", "(?: 0)?").replace(".5", " 5")
-            found.append((f"cc-{e}-{v}", 3, "cc", _bounded(f"cc {words} {major}")))
+            found.append((f"cc-{e}-{v}", 3, "cc", _bounded(rf"cc[\x20\-]{words} {major}")))
             found.append((f"cc-{e}-{v}", 2, "creativecommons", _bounded(f"creativecommons org licenses {words} {v.replace('.', ' ')}")))
     for s in SPDX:
         exact = s.replace(".", r"\.").replace("-", r"\-")
