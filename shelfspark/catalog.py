@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfspark import oracle
 from shelfspark.operators import checks, incremental
 from shelfspark.operators.incremental import read_table
+from shelfspark.plans import build
 from shelfspark.plans import calendar as cal
 from shelfspark.plans import dims, enrich, extracts, facts, logs, marts, silver, targets
 from shelfspark.plans.marts import PURCHASE_OPERATIONS
@@ -330,6 +331,12 @@ def checkout_main_segment(w: Warehouse) -> DataFrame:
     return extracts.checkouts_of_main_segment(w.raw("vw_pdv"), w.raw("max_empresa"))
 
 
+@register("unit_pack_promotions", oracle.UNIT_PACK_PROMOTIONS)
+def unit_pack_promotions(w: Warehouse) -> DataFrame:
+    """Promotion items of unit packs; other packs stay in the source."""
+    return extracts.unit_packs(w.raw("mrl_promocaoitem"))
+
+
 @register("hourly_sales_preagg", oracle.HOURLY_SALES)
 def hourly_sales_preagg(w: Warehouse) -> DataFrame:
     """Sales lines summed per hour over ten keys, fact operations only."""
@@ -433,7 +440,7 @@ def days_since(w: Warehouse) -> DataFrame:
 @register("active_promotion", oracle.ACTIVE_PROMOTION)
 def active_promotion(w: Warehouse) -> DataFrame:
     """Promotion in force per product x store x segment (item dates override header, soonest end wins)."""
-    return dims.active_promotion(silver.promotion_items(w.raw("mrl_promocaoitem")),
+    return dims.active_promotion(silver.promotion_items(extracts.unit_packs(w.raw("mrl_promocaoitem"))),
                                  silver.promotions(w.raw("mrl_promocao")), _as_of(w))
 
 
@@ -446,13 +453,7 @@ def last_receipt_supplier(w: Warehouse) -> DataFrame:
 @register("product_store_snapshot", oracle.PRODUCT_STORE_SNAPSHOT)
 def product_store_snapshot(w: Warehouse) -> DataFrame:
     """Product x store snapshot joining stock, prices, promotion, supplier delivery and ABC."""
-    as_of = _as_of(w)
-    return dims.product_store_snapshot(
-        silver.product_store(w.raw("mrl_produtoempresa"), as_of), w.store_dim, silver.prices(w.raw("mrl_prodempseg")),
-        w.product_dim, dims.last_receipt_supplier(w.receipts_fact, PURCHASE_OPERATIONS),
-        marts.delivery_time(w.receipts_fact), marts.abc_curve(w.sales_fact, w.product_category),
-        dims.active_promotion(silver.promotion_items(w.raw("mrl_promocaoitem")),
-                              silver.promotions(w.raw("mrl_promocao")), as_of), as_of)
+    return build.product_store(w, marts.delivery_time(w.receipts_fact), marts.abc_curve(w.sales_fact, w.product_category))
 
 
 # ---------------------------------------------------------------- label backfill and code tables

@@ -28,10 +28,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.incremental import full_refresh, load_delete_insert, since_batch_start, table_exists
+from shelfspark.operators.incremental import (existing_table, full_refresh, load_delete_insert, since_batch_start,
+                                              table_exists)
 from shelfspark.plans import calendar as cal
-from shelfspark.plans import facts, marts, targets
+from shelfspark.plans import dims, enrich, extracts, facts, marts, silver, targets
 from shelfspark.plans.warehouse import Warehouse
+from shelfspark.session import checkpoint_dir
 from shelfspark.sources import seeds
 
 MONTH_COL = "mes_part"
@@ -76,8 +78,6 @@ def _writeback(w: Warehouse, out: str) -> DataFrame:
     Reads the stored adjustments (the raw table on the first run), applies the
     write-back with the stored allocation and materialises the result, so the
     table can then be overwritten in place."""
-    from shelfspark.operators.incremental import existing_table
-    from shelfspark.session import checkpoint_dir
     current = existing_table(w.spark, f"{out}/gold/meta_ajustes_loja")
     if current is None:
         current = w.raw("meta_ajustes_loja")
@@ -87,6 +87,33 @@ def _writeback(w: Warehouse, out: str) -> DataFrame:
     return new.checkpoint(eager=True)
 
 
+def product_store(w: Warehouse, delivery: DataFrame, abc: DataFrame) -> DataFrame:
+    """Product x store snapshot as of the newest sale, from the given delivery-time and ABC marts."""
+    as_of = w.sales_fact.agg(F.max("data_venda").alias("d")).first()["d"]
+    return dims.product_store_snapshot(
+        silver.product_store(w.raw("mrl_produtoempresa"), as_of), w.store_dim, silver.prices(w.raw("mrl_prodempseg")),
+        w.product_dim, dims.last_receipt_supplier(w.receipts_fact, marts.PURCHASE_OPERATIONS), delivery, abc,
+        dims.active_promotion(silver.promotion_items(extracts.unit_packs(w.raw("mrl_promocaoitem"))),
+                              silver.promotions(w.raw("mrl_promocao")), as_of), as_of)
+
+
+def _product_store(w: Warehouse, out: str) -> DataFrame:
+    """Reads the monthly marts as stored; before their first build they are computed."""
+    delivery = existing_table(w.spark, f"{out}/gold/mart_tempo_entrega_fornecedor")
+    abc = existing_table(w.spark, f"{out}/gold/mart_curva_abc")
+    return product_store(w, marts.delivery_time(w.receipts_fact, w.supplier_dim) if delivery is None else delivery,
+                         marts.abc_curve(w.sales_fact, w.product_category) if abc is None else abc)
+
+
+def _upserted(name: str, refresh: Callable, landed: str) -> Callable[[Warehouse, str], DataFrame]:
+    """A table that landed rows are merged into: read as stored (the raw one on the first run), then overwritten."""
+    def run(w: Warehouse, out: str) -> DataFrame:
+        current = existing_table(w.spark, f"{out}/gold/{name}")
+        checkpoint_dir(w.spark)
+        return refresh(w.raw(name) if current is None else current, w.raw(landed)).checkpoint(eager=True)
+    return run
+
+
 MODELS: list[Model] = [
     Model("fato_venda", lambda w, o: w.sales_fact, key=tuple(facts.SALES_KEY), date_col="data_venda",
           partition_from_key=True, source_date=("maxv_abcdistribbase", "datahora")),
@@ -107,6 +134,12 @@ MODELS: list[Model] = [
     Model("dim_empresa_info", lambda w, o: w.store_dim, wave=1),
     Model("dim_produto_info", lambda w, o: w.product_dim, wave=1),
     Model("dim_fornecedor_info", lambda w, o: w.supplier_dim, wave=1),
+    Model("cnpj_dados_receita", _upserted("cnpj_dados_receita", enrich.refresh_registry, "cnpj_respostas"), wave=1),
+    Model("indicadores_mercado_externo", _upserted("indicadores_mercado_externo", enrich.refresh_indicators, "indicadores_payload"),
+          wave=1),
+    Model("dim_fornecedor_tributario", lambda w, o: enrich.supplier_tax_dim(w.supplier_dim, _stored(w, o, "cnpj_dados_receita")),
+          wave=2),
+    Model("dim_produto_empresa", _product_store, wave=3),
     Model("mart_tempo_entrega_fornecedor", lambda w, o: marts.delivery_time(w.receipts_fact, w.supplier_dim),
           tags=("monthly",), wave=2),
     Model("mart_curva_abc", lambda w, o: marts.abc_curve(w.sales_fact, w.product_category), tags=("monthly",),
@@ -115,7 +148,7 @@ MODELS: list[Model] = [
     Model("mart_meta_comercial", _allocation, wave=3),
     Model("meta_ajustes_loja", _writeback, wave=4),
     Model("mart_meta_referencia_grupo", lambda w, o: targets.group_reference(
-        w.sales_fact, w.store_dim, w.raw("indicadores_mercado_externo")), wave=2),
+        w.sales_fact, w.store_dim, _stored(w, o, "indicadores_mercado_externo")), wave=2),
 ]
 
 
@@ -139,7 +172,7 @@ def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: se
         if m.source_date:
             raw_table, raw_col = m.source_date
             df = since_batch_start(df, w.raw(raw_table), m.date_col, F.to_date(raw_col), first_load)
-        rows = _month(df.drop("carregado_em"), m.date_col)
+        rows = _month(df, m.date_col)
         if m.name in refresh:
             full_refresh(spark, path, rows, MONTH_COL, m.window_only_source, FACT_SORT)
         else:

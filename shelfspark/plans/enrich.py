@@ -60,8 +60,8 @@ def registry_rows(answers: DataFrame) -> DataFrame:
 
 
 def refresh_registry(stored: DataFrame, answers: DataFrame) -> DataFrame:
-    rows = registry_rows(answers).withColumn("_o", F.lit(0))
-    return upsert(stored.select(*REGISTRY_COLUMNS), rows, ["cnpj"], [F.col("_o")]).drop("_o")
+    # registry_rows has one row per id already
+    return upsert(stored.select(*REGISTRY_COLUMNS), registry_rows(answers), ["cnpj"], [F.col("fonte_api")])
 
 
 def registry_silver(registry: DataFrame) -> DataFrame:
@@ -93,27 +93,27 @@ def _value(c) -> F.Column:
 
 
 def indicator_rows(payloads: DataFrame) -> DataFrame:
-    """Central-bank and statistics-office payloads to (month, indicator, value, source).
+    """Central-bank and statistics-office payloads to (load sequence, month, indicator, value, source).
 
     Central-bank rows are {data: dd/MM/yyyy, valor}; statistics-office rows nest
     results -> series -> a map period (YYYYMM) -> value, walked with
     ``explode``. Missing-value markers are skipped.
     """
-    bcb = (payloads.where(F.col("fonte") == "BCB").select(F.from_json("payload", BCB_SCHEMA).alias("p"))
-           .select(F.to_date(F.col("p.data"), "dd/MM/yyyy").alias("data_referencia"), F.lit(IPCA).alias("indicador"),
+    bcb = (payloads.where(F.col("fonte") == "BCB").select("seq", F.from_json("payload", BCB_SCHEMA).alias("p"))
+           .select("seq", F.to_date(F.col("p.data"), "dd/MM/yyyy").alias("data_referencia"), F.lit(IPCA).alias("indicador"),
                    F.col("p.valor").alias("v"), F.lit("BCB").alias("fonte")))
-    ibge = (payloads.where(F.col("fonte") == "IBGE").select(F.from_json("payload", IBGE_SCHEMA).alias("p"))
-            .select(F.explode("p.resultados").alias("r"))
-            .select(F.explode("r.series").alias("s"))
-            .select(F.explode("s.serie").alias("periodo", "v"))
-            .select(F.to_date(F.concat("periodo", F.lit("01")), "yyyyMMdd").alias("data_referencia"),
+    ibge = (payloads.where(F.col("fonte") == "IBGE").select("seq", F.from_json("payload", IBGE_SCHEMA).alias("p"))
+            .select("seq", F.explode("p.resultados").alias("r"))
+            .select("seq", F.explode("r.series").alias("s"))
+            .select("seq", F.explode("s.serie").alias("periodo", "v"))
+            .select("seq", F.to_date(F.concat("periodo", F.lit("01")), "yyyyMMdd").alias("data_referencia"),
                     F.lit(PMC).alias("indicador"), "v", F.lit("IBGE").alias("fonte")))
     both = bcb.unionByName(ibge)
     return both.where(~F.col("v").isin(MISSING_MARKERS) & F.col("v").isNotNull()).select(
-        "data_referencia", "indicador", _value(F.col("v")).alias("valor"), "fonte")
+        "seq", "data_referencia", "indicador", _value(F.col("v")).alias("valor"), "fonte")
 
 
 def refresh_indicators(stored: DataFrame, payloads: DataFrame) -> DataFrame:
-    rows = indicator_rows(payloads).withColumn("_o", F.lit(0))
-    return upsert(stored.select("data_referencia", "indicador", "valor", "fonte"), rows,
-                  ["data_referencia", "indicador"], [F.col("_o")]).drop("_o")
+    """Upsert by month and indicator; of several loads the last wins (the larger value if one load repeats itself)."""
+    return upsert(stored.select("data_referencia", "indicador", "valor", "fonte"), indicator_rows(payloads),
+                  ["data_referencia", "indicador"], [F.col("seq").desc(), F.col("valor").desc()]).drop("seq")

@@ -53,6 +53,11 @@ def items_in_header_window(items: DataFrame, headers: DataFrame, keys: list[str]
     return items.join(recent, keys, "left_semi")
 
 
+def unit_packs(items: DataFrame) -> DataFrame:
+    """Promotion items of unit packs only, as the extract takes them."""
+    return items.where(F.col("qtdembalagem") == 1)
+
+
 def checkouts_of_main_segment(checkouts: DataFrame, stores: DataFrame) -> DataFrame:
     """Checkouts whose segment is the store's main segment."""
     main = stores.select(F.col("nroempresa").alias("_e"), F.col("nrosegmentoprinc").cast("int").alias("_s"))

@@ -637,12 +637,19 @@ _IBGE_PERIOD = ("date_format(date_trunc('month', l_shipdate), 'yyyyMM')",
                 "strftime(date_trunc('month', l_shipdate), '%Y%m')")
 _IND_V = f"(month({_IND_MONTH}) * 7 + year({_IND_MONTH})) % 15"
 
+def _bcb_payload(seq: int, shift: str, where: str) -> Part:
+    """Central-bank answers of load ``seq``, a row per month."""
+    return _p("lineitem", [("seq", str(seq)), ("fonte", "'BCB'"), ("serie", "'1635'"),
+                           ("payload", _cat("'{\"data\": \"'", _BCB_DATE, "'\", \"valor\": \"'",
+                                            f"CAST(CAST({_IND_V} * 0.1 - 0.4 + {shift} AS DECIMAL(6,2)) AS STRING)", "'\"}'"))],
+              where, distinct=True)
+
+
 INDICATOR_PAYLOADS = StandIn("indicadores_payload", (
-    _p("lineitem", [("fonte", "'BCB'"), ("serie", "'1635'"),
-                    ("payload", _cat("'{\"data\": \"'", _BCB_DATE, "'\", \"valor\": \"'",
-                                     f"CAST(CAST({_IND_V} * 0.1 - 0.4 AS DECIMAL(6,2)) AS STRING)", "'\"}'"))],
-       "month(l_shipdate) <> 6", distinct=True),
-    _p("lineitem", [("fonte", "'IBGE'"), ("serie", "'8880'"),
+    _bcb_payload(1, "0", "month(l_shipdate) <> 6"),
+    # March is sent again, corrected, by a later load
+    _bcb_payload(2, "0.75", "month(l_shipdate) = 3"),
+    _p("lineitem", [("seq", "1"), ("fonte", "'IBGE'"), ("serie", "'8880'"),
                     ("payload", _cat("'{\"id\": \"7170\", \"resultados\": [{\"series\": [{\"serie\": {\"'",
                                      _IBGE_PERIOD, "'\": \"'",
                                      f"CASE WHEN month(l_shipdate) = 2 THEN '..' WHEN month(l_shipdate) = 3 THEN '-' "
@@ -700,9 +707,9 @@ PROMO_HEADERS = StandIn("mrl_promocao", (_p("lineitem", [
 ], distinct=True),))
 
 
-def _promo_item(promo: str, end_shift: str, where: str | None) -> Part:
+def _promo_item(promo: str, end_shift: str, where: str | None, pack: int = 1) -> Part:
     return _p("lineitem", [
-        ("seqproduto", "CAST(l_partkey AS INT)"), ("qtdembalagem", f"CAST(1 AS {QTY})"), ("seqpromocao", promo),
+        ("seqproduto", "CAST(l_partkey AS INT)"), ("qtdembalagem", f"CAST({pack} AS {QTY})"), ("seqpromocao", promo),
         ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"), ("nrosegmento", _PROMO_SEG), ("centralloja", "'L'"),
         ("status", "CASE WHEN l_partkey % 8 = 0 THEN 'I' ELSE 'A' END"),
         ("precopromocional", f"CAST(l_partkey % 100 + 0.49 AS {MONEY})"),
@@ -715,6 +722,7 @@ def _promo_item(promo: str, end_shift: str, where: str | None) -> Part:
 PROMO_ITEMS = StandIn("mrl_promocaoitem", (
     _promo_item(_PROMO, "CAST(l_partkey % 5 AS INT)", None),
     _promo_item(_PROMO2, "CAST(l_partkey % 4 AS INT)", "l_partkey % 5 = 0"),
+    _promo_item(_PROMO, "CAST(l_partkey % 5 AS INT)", "l_partkey % 2 = 0", pack=6),
 ))
 
 # Order-module code tables.
