@@ -504,8 +504,7 @@ def holidays(w: Warehouse) -> DataFrame:
 def labels_and_keys(w: Warehouse) -> DataFrame:
     """Person/company staging: 'id - name' labels, address with S/N default, taxpayer id
     assembly (9/12-digit root + check digits, NULL when a part is missing), flag decodes."""
-    return w.persons.select("pessoa_id", "nome_razao", "nome_razao_id_nome", "nome_fantasia", "status", "pessoa_tipo",
-                            "cidade", "uf", "endereco", "cnpj_cpf", "contribuinte_icms")
+    return _no_stamp(w.persons)
 
 
 @register("sales_net_cost", oracle.SALES_NET_COST)

@@ -139,10 +139,12 @@ def supplier_dim(family_suppliers: DataFrame, divisions: DataFrame, persons: Dat
              .join(p, F.col("ff.fornecedor_id") == F.col("p.pessoa_id"), "left"))
     return out.select(
         F.col("ff.fornecedor_id").alias("fornecedor_id"), "p.nome_razao", "p.nome_razao_id_nome", "p.nome_fantasia",
-        "p.status", "p.pessoa_tipo", "p.cidade", "p.uf", "p.endereco", "p.cnpj_cpf", "p.contribuinte_icms",
+        "p.status", "p.pessoa_tipo", "p.logradouro", "p.numero", "p.bairro", "p.cidade", "p.cep", "p.uf", "p.pais", "p.endereco",
+        "p.cnpj_cpf", "p.inscricao_rg", "p.email", "p.contribuinte_icms", "p.produtor_rural", "p.contribuinte_ipi", "p.cnae",
         F.col("ff.fornecedor_principal").alias("fornecedor_principal"),
         F.col("ff.indeniza_avaria").alias("indeniza_avaria"),
-        "fd.prazo_med_entrega", "fd.prazo_med_atraso", "fd.prazo_pagamento",
+        "fd.prazo_medio_visita_representante", "fd.prazo_med_entrega", "fd.prazo_med_atraso", "fd.prazo_pagamento",
+        "fd.condicao_pagamento_id", "fd.forma_pagamento_id",
         F.col("fd.divisao_id").alias("divisao_id"),
     )
 

@@ -21,13 +21,14 @@ IPCA = "IPCA_ALIMENTOS_BEBIDAS"
 PMC = "PMC_HIPER_SUPER_VAR_ANUAL"
 
 REGISTRY_SCHEMA = ("situacao_cadastral LONG, descricao_situacao_cadastral STRING, opcao_pelo_simples BOOLEAN, "
-                   "opcao_pelo_mei BOOLEAN, porte STRING, capital_social DECIMAL(18,2), "
+                   "opcao_pelo_mei BOOLEAN, porte STRING, descricao_porte STRING, data_opcao_pelo_simples STRING, "
+                   "data_opcao_pelo_mei STRING, capital_social DECIMAL(18,2), "
                    "data_inicio_atividade STRING, cnae_fiscal LONG, cnae_fiscal_descricao STRING")
 BCB_SCHEMA = "data STRING, valor STRING"
 IBGE_SCHEMA = "id STRING, resultados ARRAY<STRUCT<series: ARRAY<STRUCT<serie: MAP<STRING, STRING>>>>>"
 
 REGISTRY_COLUMNS = ["cnpj", "situacao_cadastral", "descricao_situacao_cadastral", "opcao_pelo_simples",
-                    "opcao_pelo_mei", "porte", "capital_social", "data_inicio_atividade", "cnae_fiscal",
+                    "opcao_pelo_mei", "data_opcao_pelo_simples", "data_opcao_pelo_mei", "porte", "descricao_porte", "capital_social", "data_inicio_atividade", "cnae_fiscal",
                     "cnae_fiscal_descricao", "fonte_api"]
 
 
@@ -51,7 +52,9 @@ def registry_rows(answers: DataFrame) -> DataFrame:
         p["descricao_situacao_cadastral"].alias("descricao_situacao_cadastral"),
         p["opcao_pelo_simples"].alias("opcao_pelo_simples"),
         p["opcao_pelo_mei"].alias("opcao_pelo_mei"),
-        p["porte"].alias("porte"),
+        F.to_date(p["data_opcao_pelo_simples"]).alias("data_opcao_pelo_simples"),
+        F.to_date(p["data_opcao_pelo_mei"]).alias("data_opcao_pelo_mei"),
+        p["porte"].alias("porte"), p["descricao_porte"].alias("descricao_porte"),
         p["capital_social"].alias("capital_social"),
         F.to_date(p["data_inicio_atividade"]).alias("data_inicio_atividade"),
         p["cnae_fiscal"].cast("string").alias("cnae_fiscal"),
@@ -72,7 +75,8 @@ def registry_silver(registry: DataFrame) -> DataFrame:
     return registry.select(
         "cnpj", F.upper("situacao_cadastral").alias("situacao_cadastral"),
         F.upper("descricao_situacao_cadastral").alias("descricao_situacao_cadastral"),
-        regime.alias("regime_tributario"), F.upper("porte").alias("porte"),
+        regime.alias("regime_tributario"), F.col("data_opcao_pelo_simples").cast("date").alias("data_opcao_pelo_simples"),
+        F.col("data_opcao_pelo_mei").cast("date").alias("data_opcao_pelo_mei"), F.upper("porte").alias("porte"),
         F.col("capital_social").cast("decimal(18,2)").alias("capital_social"),
         F.col("data_inicio_atividade").cast("date").alias("data_inicio_atividade"),
         "cnae_fiscal", F.upper("cnae_fiscal_descricao").alias("cnae_fiscal_descricao"),
@@ -84,8 +88,8 @@ def supplier_tax_dim(supplier_dimension: DataFrame, registry: DataFrame) -> Data
     sup = supplier_dimension.where(F.col("pessoa_tipo") == "JURÍDICA").select("fornecedor_id", "cnpj_cpf")
     r = registry_silver(registry)
     return sup.join(r, sup["cnpj_cpf"] == r["cnpj"]).select(
-        "fornecedor_id", "cnpj", "descricao_situacao_cadastral", "regime_tributario", "porte", "capital_social",
-        "data_inicio_atividade", "cnae_fiscal", "cnae_fiscal_descricao")
+        "fornecedor_id", "cnpj", "descricao_situacao_cadastral", "regime_tributario", "data_opcao_pelo_simples", "data_opcao_pelo_mei",
+        "porte", "capital_social", "data_inicio_atividade", "cnae_fiscal", "cnae_fiscal_descricao")
 
 
 def _value(c) -> F.Column:

@@ -417,7 +417,13 @@ def persons(src: DataFrame) -> DataFrame:
         F.concat_ws(" - ", up("logradouro"), F.coalesce(up("nrologradouro"), F.lit("S/N")), up("bairro"),
                     up("cep"), up("cidade"), up("uf"), up("pais")).alias("endereco"),
         F.concat(root, digits).alias("cnpj_cpf"),
+        up("inscricaorg").alias("inscricao_rg"),
+        up("email").alias("email"),
         yes_no(opt(src, "indcontribicms", "string")).alias("contribuinte_icms"),
+        yes_no(opt(src, "indprodrural", "string")).alias("produtor_rural"),
+        yes_no(opt(src, "indcontribipi", "string")).alias("contribuinte_ipi"),
+        up("cnae").alias("cnae"),
+        opt(src, "dtainclusao", "date").alias("data_inclusao"),
         _loaded(src),
     )
 
@@ -431,6 +437,8 @@ def supplier_divisions(src: DataFrame) -> DataFrame:
         opt(src, "pzomedentrega", MONEY).alias("prazo_med_entrega"),
         opt(src, "pzomedatraso", MONEY).alias("prazo_med_atraso"),
         opt(src, "pzopagamento", "string").alias("prazo_pagamento"),
+        opt(src, "nrocondpagdev", "int").alias("condicao_pagamento_id"),
+        opt(src, "nroformapagtodev", "int").alias("forma_pagamento_id"),
         F.when(st == "A", "ATIVO").when(st == "I", "INATIVO").otherwise("OUTRO").alias("status_fornecedor"),
         _loaded(src),
     )

@@ -454,17 +454,29 @@ PERSONS = StandIn("ge_pessoa", (_p("supplier", [
     ("nrocgccpf", "CAST(s_suppkey * 1000 + 7 AS STRING)"),
     ("digcgccpf", "CASE WHEN s_suppkey % 13 = 5 THEN NULL ELSE CAST(s_suppkey % 100 AS STRING) END"),
     ("indcontribicms", "CASE WHEN s_suppkey % 2 = 0 THEN 'S' ELSE 'N' END"),
+    ("inscricaorg", "CASE WHEN s_suppkey % 6 = 1 THEN NULL ELSE 'rg' || CAST(s_suppkey AS STRING) END"),
+    ("email", "'contato' || CAST(s_suppkey AS STRING) || '@exemplo.com'"),
+    ("indprodrural", "CASE s_suppkey % 3 WHEN 0 THEN 's' WHEN 1 THEN 'N' END"),
+    ("indcontribipi", "CASE WHEN s_suppkey % 5 = 0 THEN 'S' ELSE 'N' END"),
+    ("cnae", "CASE WHEN s_suppkey % 8 = 2 THEN NULL ELSE CAST(4600000 + s_suppkey AS STRING) END"),
+    ("dtainclusao", "DATE '1999-01-01' + CAST(s_suppkey AS INT)"),
 ]),))
 
+# Terms per division; suppliers without division 1 may have two others, loaded at different times.
+def _terms(division: int, loaded: str, where: str) -> Part:
+    return _p("supplier", [
+        ("statusgeral", "'A'" if division == 1 else "'I'"), ("nrodivisao", str(division)), ("seqfornecedor", "CAST(s_suppkey AS INT)"),
+        ("pzomedvisitarep", f"CAST(s_suppkey % 6 + {division} AS DECIMAL(18,2))"),
+        ("pzomedentrega", f"CAST(s_suppkey % {17 - 2 * division} + 5 AS DECIMAL(18,2))"),
+        ("pzomedatraso", f"CAST(s_suppkey % {5 - division} AS DECIMAL(18,2))"),
+        ("pzopagamento", f"'{division * 14}/60'"), ("nrocondpagdev", f"CAST(s_suppkey % 9 + {division} AS INT)"),
+        ("nroformapagtodev", f"CAST(s_suppkey % 4 * {division} AS INT)"), ("_loaded_at", loaded)], where)
+
+
 SUPPLIER_DIVISIONS = StandIn("maf_fornecdivisao", (
-    _p("supplier", [("statusgeral", "'A'"), ("nrodivisao", "1"), ("seqfornecedor", "CAST(s_suppkey AS INT)"),
-                    ("pzomedentrega", "CAST(s_suppkey % 15 + 5 AS DECIMAL(18,2))"),
-                    ("pzomedatraso", "CAST(s_suppkey % 4 AS DECIMAL(18,2))"),
-                    ("pzopagamento", "'30/60'")], "s_suppkey % 3 <> 0"),
-    _p("supplier", [("statusgeral", "'I'"), ("nrodivisao", "2"), ("seqfornecedor", "CAST(s_suppkey AS INT)"),
-                    ("pzomedentrega", "CAST(s_suppkey % 9 + 2 AS DECIMAL(18,2))"),
-                    ("pzomedatraso", "CAST(s_suppkey % 3 AS DECIMAL(18,2))"),
-                    ("pzopagamento", "'28'")], "s_suppkey % 5 <> 4"),
+    _terms(1, "CAST(TIMESTAMP '2001-01-01 00:00:00' AS TIMESTAMP)", "s_suppkey % 3 <> 0"),
+    _terms(2, "CAST(TIMESTAMP '2001-01-01 00:00:00' + (s_suppkey % 5) * INTERVAL 1 DAY AS TIMESTAMP)", "s_suppkey % 5 <> 4"),
+    _terms(3, "CAST(TIMESTAMP '2001-01-03 00:00:00' AS TIMESTAMP)", "s_suppkey % 2 = 0"),
 ))
 
 # Stock locations per store: 1 (shop) and 2 (warehouse); location 3 is unknown.
@@ -600,6 +612,9 @@ def _registry_payload(capital: str) -> str:
             "', \"opcao_pelo_simples\": ' || CASE s_suppkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN 'null' ELSE 'true' END || "
             "', \"opcao_pelo_mei\": ' || CASE WHEN s_suppkey % 4 = 3 THEN 'true' ELSE 'false' END || "
             "', \"porte\": \"' || CASE WHEN s_suppkey % 2 = 0 THEN 'demais' ELSE 'micro empresa' END || '\"' || "
+            "', \"descricao_porte\": ' || CASE WHEN s_suppkey % 5 = 1 THEN 'null' ELSE '\"porte da empresa\"' END || "
+            "', \"data_opcao_pelo_simples\": ' || CASE WHEN s_suppkey % 4 = 0 THEN '\"2008-07-01\"' ELSE 'null' END || "
+            "', \"data_opcao_pelo_mei\": ' || CASE WHEN s_suppkey % 4 = 3 THEN '\"2012-02-29\"' ELSE 'null' END || "
             f"', \"capital_social\": ' || CAST({capital} AS STRING) || "
             "', \"data_inicio_atividade\": \"' || CAST(DATE '1990-01-01' + CAST(s_suppkey * 37 AS INT) AS STRING) || '\"' || "
             "', \"cnae_fiscal\": ' || CAST(4711301 + s_suppkey % 3 AS STRING) || "
@@ -625,7 +640,8 @@ REGISTRY_ANSWERS = StandIn("cnpj_respostas", (
 REGISTRY_STORED = StandIn("cnpj_dados_receita", (_p("supplier", [
     ("cnpj", _CNPJ), ("situacao_cadastral", "'2'"), ("descricao_situacao_cadastral", "'antiga'"),
     ("opcao_pelo_simples", "CAST(NULL AS BOOLEAN)"), ("opcao_pelo_mei", "CAST(NULL AS BOOLEAN)"),
-    ("porte", "'demais'"), ("capital_social", "CAST(1 AS DECIMAL(18,2))"),
+    ("data_opcao_pelo_simples", "CAST(NULL AS DATE)"), ("data_opcao_pelo_mei", "DATE '2011-01-01'"),
+    ("porte", "'demais'"), ("descricao_porte", "CAST(NULL AS STRING)"), ("capital_social", "CAST(1 AS DECIMAL(18,2))"),
     ("data_inicio_atividade", "DATE '1980-01-01'"), ("cnae_fiscal", "'0000000'"),
     ("cnae_fiscal_descricao", "'antiga'"), ("fonte_api", "'brasilapi'"),
 ], "s_suppkey % 5 = 0"),))
