@@ -23,17 +23,6 @@ def test_cold_build_is_idempotent_and_guards_full_refresh(spark):
         build.build(spark, SF, out, select=["fato_pedido_compra"], full_refresh_models=["fato_pedido_compra"])
 
 
-def test_every_gold_model_is_built_and_upserts_repeat(spark):
-    out = os.path.join(tempfile.mkdtemp(prefix="shelf-build5-"), "wh")
-    build.build(spark, SF, out, exclude_tags=())
-    counts = {m.name: spark.read.parquet(f"{out}/gold/{m.name}").count() for m in build.MODELS}
-    assert {"dim_produto_empresa", "dim_fornecedor_tributario", "cnpj_dados_receita", "indicadores_mercado_externo"} <= set(counts)
-    assert all(counts.values()) and "carregado_em" in spark.read.parquet(f"{out}/gold/fato_venda").columns
-    again = ["cnpj_dados_receita", "indicadores_mercado_externo", "dim_fornecedor_tributario"]
-    build.build(spark, SF, out, select=again)
-    assert {n: spark.read.parquet(f"{out}/gold/{n}").count() for n in again} == {n: counts[n] for n in again}
-
-
 def test_marts_read_stored_history(spark):
     """A sale kept in the stored fact but absent from the current extract still counts."""
     from pyspark.sql import functions as F
@@ -53,6 +42,13 @@ def test_quality_run_after_build(spark):
     from shelfspark.plans import quality
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build3-"), "wh")
     build.build(spark, SF, out, exclude_tags=())
+    # every gold model is there, facts carry the load stamp, and merged tables stay as they are when merged again
+    counts = {m.name: spark.read.parquet(f"{out}/gold/{m.name}").count() for m in build.MODELS}
+    assert {"dim_produto_empresa", "dim_fornecedor_tributario", "cnpj_dados_receita", "indicadores_mercado_externo"} <= set(counts)
+    assert all(counts.values()) and "carregado_em" in spark.read.parquet(f"{out}/gold/fato_venda").columns
+    again = ["cnpj_dados_receita", "indicadores_mercado_externo", "dim_fornecedor_tributario"]
+    build.build(spark, SF, out, select=again)
+    assert {n: spark.read.parquet(f"{out}/gold/{n}").count() for n in again} == {n: counts[n] for n in again}
     res = {(r.tabela, r.teste, r.colunas): r.violacoes for r in quality.run(spark, SF, out).collect()}
     assert len(res) == len(quality.EXPECTATIONS) + 2
     assert res[("dim_empresa_info", "unique", "empresa_id")] == 0
