@@ -2,14 +2,16 @@
 
 Fitting uses bounded samples of labelled rows: ``EXAMPLES`` of each label are
 the examples, ``CALIBRATION`` further ones calibrate. Terms are words and word
-beginnings; those whose document counts differ between the labels (chi-square)
-form the vocabulary. Every document is then a query: its ``NEIGHBOURS`` nearest
-examples vote with their squared similarity, a logistic curve fitted on the
-calibration sample turns the vote into a probability, and the nearest examples'
-doc_ids are returned as evidence.
+beginnings, all of them: a term's weight is its TF-IDF among the examples times
+one plus the chi-square of its document counts by label, so no term is left out
+and those that tell the labels apart count more. Terms that no example holds
+have a document count of 0 and lengthen a query's vector. Every document is
+then a query: its ``NEIGHBOURS`` nearest examples vote with their squared
+similarity, a logistic curve fitted on the calibration sample turns the vote
+into a probability, and the nearest examples' doc_ids are returned as evidence.
 
 The index is inverted and in blocks: for every block of ``BLOCK`` examples and
-every term the postings and their largest weight. The largest weights bound
+every term in it the postings and their largest weight. The largest weights bound
 what any example of a block can reach; blocks are read in the order of their
 bounds until the next bound cannot beat the k-th best similarity found, so the
 neighbours are exactly those of a full comparison.
@@ -17,7 +19,6 @@ neighbours are exactly those of a full comparison.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
@@ -28,13 +29,13 @@ from shelfspark.llm.common import one_per, small_batches, stored
 
 EXAMPLES = 1000  # of each label, at most; different texts
 CALIBRATION = 3000  # at most
-VOCABULARY = 4096
-CHI_SQUARE = 25.3  # one chance in two million: among 100,000 terms about none passes by luck
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 4
 EVIDENCE = 3
 PREFIXES = (4, 5, 6)
-LEAST = min(PREFIXES)
+# Words whose terms a Python worker remembers at most.
+REMEMBERED = 200_000
 THRESHOLD = 0.3
 
 
@@ -53,103 +54,130 @@ def terms(text: str | None) -> dict[str, int]:
 
 
 class Index:
-    """Block-max inverted index over weighted term vectors of length one."""
+    """Block-max inverted index over weighted term vectors of length one; rows are dicts or ``(terms, counts)`` arrays."""
 
-    def __init__(self, vocabulary: dict[str, int], idf, rows: list[dict[int, float]], labels, ids, block: int = BLOCK):
+    def __init__(self, vocabulary: dict[str, int], idf, rows: list, labels, ids, block: int = BLOCK):
         import numpy as np
-        self.vocabulary, self.idf, self.block = vocabulary, np.asarray(idf, dtype=np.float64), block
+        self.vocabulary, self.idf = vocabulary, np.asarray(idf, dtype=np.float64)
         vectors = [self._unit(r) for r in rows]
         # examples that share their heaviest term share blocks, which keeps the bounds of other blocks low
         order = sorted(range(len(rows)), key=lambda i: (vectors[i][0][int(np.argmax(vectors[i][1]))] if len(vectors[i][0]) else -1, i))
         self.labels = np.array([labels[i] for i in order], dtype=np.float64)
         self.ids = np.array([-1 if ids[i] is None else ids[i] for i in order], dtype=np.int64)
         self.size, self.blocks = len(rows), -(-len(rows) // block)
-        n = len(vocabulary)
-        cell, place, weight = [], [], []
-        for at, i in enumerate(order):
-            t, w = vectors[i]
-            cell.append(at // block * n + t)
-            place.append(np.full(len(t), at, dtype=np.int64))
-            weight.append(w)
-        cell = np.concatenate(cell) if cell else np.empty(0, np.int64)
-        by = np.argsort(cell, kind="stable")
-        cell = cell[by]
-        self.place = (np.concatenate(place) if place else np.empty(0, np.int64))[by]
-        self.weight = (np.concatenate(weight) if weight else np.empty(0))[by]
-        self.start = np.searchsorted(cell, np.arange(self.blocks * n + 1))  # postings of (block, term)
-        self.largest = np.zeros(self.blocks * n)
-        if len(cell):
-            np.maximum.at(self.largest, cell, self.weight)
-        self.largest = self.largest.reshape(self.blocks, n)
-
-    def _unit(self, counts: dict[int, float]):
+        term = np.concatenate([vectors[i][0] for i in order]) if order else np.empty(0, np.int64)
+        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        by = np.argsort(term, kind="stable")
+        self.place = place[by]
+        self.weight = (np.concatenate([vectors[i][1] for i in order]) if order else np.empty(0))[by]
+        # cells, one for each block that holds a term: only those that exist, so the index is as large as the examples
+        cell = term[by] * max(self.blocks, 1) + self.place // block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.start = np.append(first, len(cell))  # postings of a cell
+        self.held = cell[first] % max(self.blocks, 1)  # block of a cell
+        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.cells = np.searchsorted(cell[first] // max(self.blocks, 1), np.arange(len(self.idf) + 1))  # cells of a term
+
+    def _unit(self, counts, rest: float = 0.0):
+        """Terms and weights; ``rest`` is the squared length of the terms that are not in the vocabulary."""
         import numpy as np
-        t = np.array(sorted(counts), dtype=np.int64)
-        w = (1 + np.log([counts[k] for k in t.tolist()])) * self.idf[t] if len(t) else np.empty(0)
-        length = float(np.sqrt((w * w).sum()))
+        if isinstance(counts, dict):
+            t = np.array(sorted(counts), dtype=np.int64)
+            counts = np.array([counts[k] for k in t.tolist()], dtype=np.float64)
+        else:
+            t, counts = counts
+        w = (1 + np.log(counts)) * self.idf[t]
+        length = float(np.sqrt((w * w).sum() + rest))
         return t, w / length if length else w
 
-    def query(self, counts: dict[int, float], k: int = NEIGHBOURS):
+    def query(self, counts: dict[int, float], k: int = NEIGHBOURS, rest: float = 0.0):
         """``(similarities, places)`` of the k nearest examples with a similarity above 0, nearest first."""
         import numpy as np
-        t, w = self._unit(counts)
+        t, w = self._unit(counts, rest)
         if not len(t) or not self.size:
             return np.empty(0), np.empty(0, np.int64)
-        n = self.largest.shape[1]
-        bound = self.largest[:, t] @ w
-        order = np.argsort(-bound, kind="stable")
-        best, where, read, step = np.empty(0), np.empty(0, np.int64), 0, 4
-        while read < self.blocks:
-            top = bound[order[read]]
-            if top <= 0 or len(best) >= k and top < best[-1] - 1e-12:
-                break
-            chosen = order[read:read + step]
-            read, step = read + len(chosen), step * 2
-            cells = (chosen[:, None] * n + t[None, :]).ravel()
-            first, count = self.start[cells], self.start[cells + 1] - self.start[cells]
-            total = int(count.sum())
-            if not total:
-                continue
-            at = np.arange(total) + np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count)
-            part = self.weight[at] * np.repeat(np.tile(w, len(chosen)), count)
-            hit, inverse = np.unique(self.place[at], return_inverse=True)
-            best = np.concatenate([best, np.bincount(inverse, weights=part)])
+        cells, times = _ranges(self.cells, t)
+        wide = np.repeat(w, times)
+        held = self.held[cells]
+        bound = np.bincount(held, weights=self.largest[cells] * wide, minlength=self.blocks)
+        best, where, unread = np.empty(0), np.empty(0, np.int64), bound > 0
+        while unread.any():
+            # the blocks with the largest bounds first, then every block whose bound the k-th best does not exceed
+            chosen = unread.copy()
+            if not len(best):
+                top = np.argsort(-np.where(unread, bound, -1.0), kind="stable")[:FIRST_BLOCKS]
+                chosen[:] = False
+                chosen[top] = unread[top]
+            elif len(best) >= k:
+                chosen &= bound >= best[-1] - 1e-12
+                if not chosen.any():
+                    break
+            unread &= ~chosen
+            on = chosen[held]
+            at, count = _ranges(self.start, cells[on])
+            sums = np.bincount(self.place[at], weights=self.weight[at] * np.repeat(wide[on], count), minlength=self.size)
+            hit = np.flatnonzero(sums)
+            best = np.concatenate([best, sums[hit]])
             where = np.concatenate([where, hit])
+            if len(best) > 4 * k:
+                near = best >= np.partition(best, -k)[-k] - 1e-11
+                best, where = best[near], where[near]
             keep = np.lexsort((where, -np.round(best, 12)))[:k]
             best, where = best[keep], where[keep]
         return best, where
 
 
+def _ranges(starts, which):
+    """``(positions, sizes)`` of the stretches from ``starts[i]`` to ``starts[i + 1]``."""
+    import numpy as np
+    first = starts[which]
+    size = starts[which + 1] - first
+    return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size), size
+
+
 class Scorer:
     """Index and calibration; ``score`` gives (probability, nearest similarity, evidence doc_ids)."""
 
-    def __init__(self, index: Index | None, prior: float):
-        self.index, self.prior, self.curve = index, prior, None
-        # first letters of the vocabulary's terms: most words are told apart by them alone
-        self.starts = {t[2:2 + LEAST] for t in index.vocabulary} if index else set()
-
-    def counts(self, text: str | None) -> dict[int, float]:
+    def __init__(self, index: Index | None, prior: float, unseen: float = 0.0):
+        self.index, self.prior, self.unseen, self.curve = index, prior, unseen, None
+        self.known: dict[str, tuple] = {}
+        self.sent = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "known": {}, "sent": None}
+
+    def _terms(self, word: str) -> tuple:
+        """Numbers of a word's terms, and the names of those that no example holds."""
+        names = ("w:" + word, *("p:" + word[:k] for k in PREFIXES if len(word) > k))
+        at = [self.index.vocabulary.get(name) for name in names]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.known[word] = found = (tuple(i for i in at if i is not None), tuple(x for x, i in zip(names, at) if i is None))
+        return found
+
+    def counts(self, text: str | None) -> tuple[dict[int, float], float]:
+        """Counts of the index's terms, and the squared length of all others."""
+        import math
         import re
         from collections import Counter
-        vocabulary, starts, out = self.index.vocabulary, self.starts, {}
+        known, out, others = self.known, {}, {}
         for w, n in Counter(re.findall(r"\w+", (text or "").lower())).items():
-            if w[:LEAST] in starts:
-                for name in ("w:" + w, *("p:" + w[:k] for k in PREFIXES if len(w) > k)):
-                    t = vocabulary.get(name)
-                    if t is not None:
-                        out[t] = out.get(t, 0) + n
-        return out
+            own, new = known.get(w) or self._terms(w)
+            for t in own:
+                out[t] = out.get(t, 0) + n
+            for t in new:
+                others[t] = others.get(t, 0) + n
+        return out, sum(((1 + math.log(n)) * self.unseen)**2 for n in others.values())
 
     def features(self, text: str | None):
         """Inputs of the calibration curve, with the neighbours they come from."""
         import numpy as np
-        counts = self.counts(text)
-        near, where = self.index.query(counts)
+        counts, rest = self.counts(text)
+        near, where = self.index.query(counts, rest=rest)
         if not len(near):
             return np.array([1.0, 0.0, 0.0, 0.0]), near, where
         vote = float((near**2 * self.index.labels[where]).sum() / (near**2).sum())
-        weight = float(np.log1p(sum((1 + np.log(n)) * self.index.idf[t] for t, n in counts.items())))
-        return np.array([1.0, 1.0, vote - 0.5, (vote - 0.5) * weight]), near, where
+        return np.array([1.0, 1.0, vote - 0.5, (vote - 0.5) * float(near[0])]), near, where
 
     def fit_curve(self, inputs: list, labels: list) -> None:
         """Logistic curve over ``features`` by Newton steps, with a small ridge."""
@@ -178,18 +206,42 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
 
-def _term_rows(sample: DataFrame) -> DataFrame:
+def _term_rows(examples: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
-            found = [terms(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            found = [terms(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([list(f) for f in found], pa.list_(pa.string())),
+                [b.column(0), b.column(1), pa.array([list(f) for f in found], pa.list_(pa.string())),
                  pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                ["doc_id", "part", "label", "text", "terms", "counts"])
+                ["doc_id", "label", "terms", "counts"])
+
+    return examples.select("doc_id", "label", "text").mapInArrow(
+        run, "doc_id long, label int, terms array<string>, counts array<int>")
+
+
+def _vectors(ex: DataFrame, names) -> DataFrame:
+    """``doc_id, label, at, n``: every example's terms by number, ascending, and their counts."""
+    shared = ex.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator) -> Iterator:
+        import pickle
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+        number = {t: i for i, t in enumerate(pickle.loads(zlib.decompress(shared.value)))}
+        for b in batches:
+            at, n = [], []
+            for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                t = np.array([number[x] for x in t], dtype=np.int32)
+                by = np.argsort(t)
+                at.append(t[by])
+                n.append(np.array(c, dtype=np.int32)[by])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))],
+                                             ["doc_id", "label", "at", "n"])
 
-    return sample.select("doc_id", "part", "label", "text").mapInArrow(
-        run, "doc_id long, part string, label int, text string, terms array<string>, counts array<int>")
+    return ex.mapInArrow(run, "doc_id long, label int, at array<int>, n array<int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibration: int = CALIBRATION) -> Scorer:
@@ -200,6 +252,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
     several labels of one doc_id the largest counts, of several rows one text.
     Without labels of both kinds every text gets the smoothed rate of label 1.
     """
+    import math
+    import pickle
+    import zlib
+
+    import numpy as np
     spark = docs.sparkSession
     small_batches(spark)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()) \
@@ -220,9 +277,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
     sample = stored(chosen.unionByName(rest), "toxic-sample")  # 2 * examples + calibration rows at most
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id") \
                 .groupBy("doc_id", "part", "label").agg(F.min("text").alias("text"))
-    rows = stored(_term_rows(texts), "toxic-terms")
+    rows = stored(texts, "toxic-texts")
 
     ex = one_per(rows.where("part = 'example'"), ["label", "text"], ["doc_id"])  # a copied text is one example
+    ex = stored(_term_rows(ex), "toxic-terms")
     size = {r[0]: r[1] for r in ex.groupBy("label").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
     if not pos or not neg:
@@ -230,36 +288,36 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibratio
     df = ex.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(pos + neg)
-    chi = (n * F.pow(a * (neg - b) - b * (pos - a), 2)) / (
-        (a + b) * (n - a - b) * float(pos) * float(neg))
-    picked = df.where((a + b >= 3) & (a + b < n)).withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE) \
-               .orderBy(F.desc("chi"), "term").limit(VOCABULARY).select("term", (F.col("a") + F.col("b")).alias("df")).collect()
-    if not picked:
-        return Scorer(None, prior)
-    vocabulary = {r[0]: i for i, r in enumerate(picked)}
-    idf = [math.log((1 + n) / (1 + r[1])) + 1 for r in picked]
-    pairs = ex.select("doc_id", "label", F.explode(F.arrays_zip("terms", "counts")).alias("t")) \
-              .join(F.broadcast(spark.createDataFrame(list(vocabulary.items()), "term string, at int")),
-                    F.col("t.terms") == F.col("term")) \
-              .groupBy("doc_id", "label").agg(F.sort_array(F.collect_list(F.struct("at", "t.counts"))).alias("v")) \
-              .select("doc_id", "label", F.col("v.at").alias("at"), F.col("v.counts").alias("n")).orderBy("doc_id")
-    known = pairs.toArrow()  # at most 2 * examples rows of VOCABULARY pairs of small numbers
-    vectors = [dict(zip(t.as_py(), c.as_py())) for t, c in zip(known["at"], known["n"])]
-    scorer = Scorer(Index(vocabulary, idf, vectors, known["label"].to_pylist(), known["doc_id"].to_pylist()), prior)
-    del known, vectors
+    chi = F.when(a + b < n, (n * F.pow(a * (neg - b) - b * (pos - a), 2)) / ((a + b) * (n - a - b) * float(pos) * float(neg)))
+    idf = F.log((1 + n) / (1 + a + b)) + 1
+    # every term of the examples: bounded by their number and length
+    every = df.select("term", (idf * (1 + F.coalesce(chi, F.lit(0.0)))).alias("weight")).orderBy("term").toArrow()
+    names = every["term"].to_pylist()
+    known = _vectors(ex, zlib.compress(pickle.dumps(names), 1)).toArrow().sort_by("doc_id")  # at most 2 * examples rows
+    vectors = [(t.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(np.float64)) for t, c in zip(known["at"], known["n"])]
+    vocabulary = {t: i for i, t in enumerate(names)}
+    index = Index(vocabulary, every["weight"].to_numpy(), vectors, known["label"].to_pylist(), known["doc_id"].to_pylist())
+    scorer = Scorer(index, prior, math.log(1 + n) + 1)
+    del known, vectors, every, names
     inputs = _features(rows.where("part = 'calibration'"), scorer).collect()  # at most `calibration` rows
+    inputs.sort(key=lambda r: r["doc_id"])
     scorer.fit_curve([list(r["x"]) for r in inputs], [r["label"] for r in inputs])
     return scorer
 
 
 def _shared(spark, scorer: Scorer):
-    """Loader of the scorer for Python workers: loaded once per task. Its size is bounded by the samples and the vocabulary."""
-    shared, held = spark.sparkContext.broadcast(cloudpickle.dumps(scorer)), []
+    """Loader of the scorer for Python workers: loaded once per task. Its size is bounded by the examples' texts."""
+    import zlib
+    if scorer.sent is None:  # once: only the curve is added later
+        scorer.sent = spark.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(scorer), 1))
+    shared, curve, held = scorer.sent, scorer.curve, []
 
     def load() -> Scorer:
         import pickle
+        import zlib
         if not held:
-            held.append(pickle.loads(shared.value))
+            held.append(pickle.loads(zlib.decompress(shared.value)))
+            held[0].curve = curve
         return held[0]
 
     return load
@@ -275,7 +333,7 @@ def _features(rows: DataFrame, scorer: Scorer) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.float64()))],
                                              ["doc_id", "label", "x"])
 
-    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>").orderBy("doc_id")
+    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>")
 
 
 RESULT = "score double, similarity double, evidence array<long>"

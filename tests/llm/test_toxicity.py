@@ -78,3 +78,40 @@ def test_empty_table(spark):
     docs, labels = corpus(50)
     none = spark.createDataFrame([], DOCS)
     assert T.acceptable(none, spark.createDataFrame(labels, LABELS)).count() == 0
+
+
+def test_every_term_counts(spark):
+    """Neighbours are those of the cosine over all terms, rare and unseen ones too."""
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(300)]
+    docs = [(i, " ".join([f"only{i}x"] + [rng.choice(words) for _ in range(20)] + (["vileword"] if i % 3 == 0 else []))) for i in range(400)]
+    labels = [(i, int(i % 3 == 0)) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    scorer = T.fit(df, spark.createDataFrame(labels, LABELS))
+    texts, examples = dict(docs), scorer.index.ids.tolist()
+    assert set(scorer.index.vocabulary) == {t for i in examples for t in T.terms(texts[i])}  # no term is left out
+    held, n = {}, len(examples)
+    for i in examples:
+        for t in T.terms(texts[i]):
+            held.setdefault(t, []).append(i % 3 == 0)
+    pos = sum(i % 3 == 0 for i in examples)
+
+    def weight(t):
+        a, m = sum(held.get(t, [])), len(held.get(t, []))
+        chi = n * (a * (n - pos) - (m - a) * pos)**2 / (m * (n - m) * pos * (n - pos)) if 0 < m < n else 0
+        return (np.log((1 + n) / (1 + m)) + 1) * (1 + chi)
+
+    weights = {t: weight(t) for i in range(400) for t in T.terms(texts[i])}
+
+    def vector(text):
+        v = {t: (1 + np.log(c)) * weights.get(t, np.log(1 + n) + 1) for t, c in T.terms(text).items()}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = {i: vector(texts[i]) for i in examples}
+    for text in [texts[i] for i in range(60)] + ["word1 neverseen", f"only{examples[0]}x", "neverseen"]:
+        q = vector(text)
+        full = sorted((s for s in (sum(x * v.get(t, 0) for t, x in q.items()) for v in vectors.values()) if s > 0), reverse=True)
+        _, near, _ = scorer.features(text)
+        assert np.allclose(near, full[:T.NEIGHBOURS])
+    assert scorer.score(f"only{examples[0]}x")[2][0] == examples[0]
