@@ -17,6 +17,7 @@ from shelfspark.llm.common import stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+MAYBE_GAP = GAP[:-1] + "*"
 
 # Phrases of the contract and their labels (fixed values).
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -29,7 +30,7 @@ FIRST_LOOK = ("licen", "gpl", "copyright", "copyleft", "domain", "permission", "
 CONFIDENCE = {1: 0.99, 2: 0.95, 3: 0.85, 4: 0.6}
 
 # label | tier | keyword | expression over lower-cased text. A blank in an expression stands for any
-# separators between words; expressions match at word boundaries.
+# separators between words and `` ?`` for any or none; expressions match at word boundaries.
 RULES = r"""
 mit | 3 | mit | (?:the )?mit licen[cs]e
 mit | 3 | mit | licen[cs]ed under (?:the )?(?:terms of (?:the )?)?mit
@@ -225,7 +226,8 @@ w3c wtfpl x11 zlib zpl-2.1""".split()
 
 
 def _bounded(expression: str) -> str:
-    return f"(?<!{WORD})(?:{expression.replace(' ', GAP)})(?!{WORD})"
+    spaced = expression.replace(" ?", MAYBE_GAP).replace(" ", GAP)  # a question mark behind GAP would make it reluctant
+    return f"(?<!{WORD})(?:{spaced})(?!{WORD})"
 
 
 def rules() -> list[tuple[int, str, int, str, str]]:

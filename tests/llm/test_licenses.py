@@ -99,3 +99,29 @@ def test_containment(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+SPELLINGS = [  # rules with an optional blank: fused and separated spelling, label
+    ("gplv2 only", "gpl v2 only", "gpl-2.0"), ("gpl2", "GPL 2", "gpl-2.0"), ("GPLv3", "gpl, v3", "gpl-3.0"),
+    ("gplv2 or later", "gpl v2 or any later", "gpl-2.0-or-later"), ("gpl3 or later", "gpl 3 or later", "gpl-3.0-or-later"),
+    ("LGPLv2.1", "lgpl v2.1", "lgpl-2.1"), ("lgpl3", "lgpl 3.0", "lgpl-3.0"), ("AGPLv3", "agpl v3", "agpl-3.0"),
+    ("mplv2 license", "mpl v2.0 license", "mpl-2.0"),
+    ("creative commons attribution-sharealike license", "creative commons attribution share-alike", "cc-by-sa"),
+    ("Creative Commons Attribution-NoDerivatives", "creative commons attribution no derivatives", "cc-by-nd"),
+    ("creative commons attribution-noncommercial license", "creative commons attribution non-commercial", "cc-by-nc"),
+    ("creative commons attribution-noncommercial-sharealike", "creative commons attribution non-commercial share alike", "cc-by-nc-sa"),
+    ("creative commons attribution-noncommercial-noderivatives", "creative commons attribution non commercial no derivatives", "cc-by-nc-nd"),
+    ("beerware license", "beer-ware license", "beerware"), ("openrail-m license", "open rail m license", "openrail")]
+
+
+def test_optional_blanks(spark):
+    written = [line.split(" | ", 3) for line in licenses.RULES.strip().splitlines() if " ?" in line]
+    assert {w[0] for w in written} == {s[2] for s in SPELLINGS}
+    for label, _, _, expression in written:  # every such rule matches with and without the blank
+        bounded = re.compile(licenses._bounded(expression))
+        for side in (0, 1):
+            assert any(bounded.search(lower(s[side])) for s in SPELLINGS if s[2] == label), (label, expression, side)
+    texts = [s[side] for s in SPELLINGS for side in (0, 1)]
+    got = licenses.scan(spark.createDataFrame([(i, f"see the {t} here", 1) for i, t in enumerate(texts)], SCHEMA)).collect()
+    for r in got:
+        assert r.labels == SPELLINGS[r.doc_id // 2][2], (texts[r.doc_id], r.labels)
