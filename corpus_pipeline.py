@@ -31,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item stay."""
-    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), decontaminate.AGREE)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,11 @@ two substitutions holds a seed that none of them touches (tests/llm checks
 every case). Seeds of the benchmark and of the documents are joined, and around
 every hit the aligned tokens are compared: a document overlaps an item when
 some window of WINDOW aligned tokens agrees in at least 80 %, that is in 11.
-Items with fewer tokens than a window must occur whole, those with fewer than
-``MIN_TOKENS`` are not searched.
+Items with fewer tokens than a window must occur whole: those of ``TOLERANT`` and
+more tokens may differ in the share that ``short_agree`` leaves (by masks of their
+own length), shorter ones are searched as they are, and an item of a single token
+is only found in a document that is nothing else. Scripts without spaces between
+words are tokens by character.
 
 Of the document seeds only those reach the join whose bit is set in a map of
 the benchmark seeds. The map has a fixed size (``MAP_BITS``), whatever the
@@ -28,20 +31,24 @@ from shelfspark.llm.common import row_key, small_batches, stored
 MASKS = ("11101011", "11001111")
 WINDOW = 13
 AGREE = 0.8
-MIN_TOKENS = 6
+# Items with fewer tokens must be the whole document, those below TOLERANT match exactly.
+MIN_TOKENS = 2
+TOLERANT = 6
+# Thai to Burmese and Khmer, kana, Han and its extensions.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 MAP_BITS = 26
 # Seeds of one hash are dealt to so many tasks; the benchmark's side is repeated for each.
 SPREAD = 8
 
 
 def tokens(text: str | None):
-    """64-bit hashes of the lower-cased words of a text."""
+    """64-bit hashes of the lower-cased words of a text, of unspaced scripts the characters."""
     import re
 
     import numpy as np
     import xxhash
     h = xxhash.xxh3_64_intdigest
-    return np.array([h(w) for w in re.findall(r"\w+", (text or "").lower())], dtype=np.uint64)
+    return np.array([h(w) for w in re.findall(rf"[^\W{UNSPACED}]+|(?=\w)[{UNSPACED}]", (text or "").lower())], dtype=np.uint64)
 
 
 def seeds(words, window: int = WINDOW, masks: tuple[str, ...] = MASKS):
@@ -62,9 +69,30 @@ def seeds(words, window: int = WINDOW, masks: tuple[str, ...] = MASKS):
     return np.concatenate(hashes), np.concatenate(at)
 
 
-def whole(words, length: int):
-    """Hash of all tokens of every stretch of ``length`` tokens, for items shorter than a window."""
-    return seeds(words, masks=("1" * length,))
+def short_masks(length: int, agree: float) -> tuple[str, ...]:
+    """Masks of an item shorter than a window: however the tolerated substitutions fall, one is untouched.
+
+    The item is cut into two parts more than substitutions, and every mask holds two of them.
+    """
+    from itertools import combinations
+    wrong = length - least(length, agree)
+    if not wrong:
+        return ("1" * length,)
+    cuts = [length * i // (wrong + 2) for i in range(wrong + 3)]
+    parts = [range(a, b) for a, b in zip(cuts, cuts[1:])]
+    return tuple("".join("1" if any(i in p for p in two) else "0" for i in range(length)) for two in combinations(parts, 2))
+
+
+def least(size: int, agree: float) -> int:
+    """Equal tokens that ``size`` aligned ones need."""
+    return size if size < TOLERANT else -int(-agree * size // 1)
+
+
+def whole(words, length: int, agree: float):
+    """Seeds of every stretch of ``length`` tokens, for items shorter than a window."""
+    if length < MIN_TOKENS and len(words) != length:
+        return seeds(words[:0])
+    return seeds(words, masks=short_masks(length, agree))
 
 
 def _mixed(x):
@@ -78,7 +106,7 @@ def _bit(hashes, bits: int):
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _item_rows(benchmark: DataFrame) -> DataFrame:
+def _item_rows(benchmark: DataFrame, short_agree: float) -> DataFrame:
     """Per item (benchmark row): tokens and seeds."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -87,9 +115,9 @@ def _item_rows(benchmark: DataFrame) -> DataFrame:
             out = []
             for item, item_id, text in zip(*(c.to_pylist() for c in b.columns)):
                 words = tokens(text)
-                if len(words) < MIN_TOKENS:
+                if not len(words):
                     continue
-                h, at = seeds(words) if len(words) >= WINDOW else whole(words, len(words))
+                h, at = seeds(words) if len(words) >= WINDOW else whole(words, len(words), short_agree)
                 out.append((item, item_id, words.view(np.int64).tolist(), h.view(np.int64).tolist(), at.tolist()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
@@ -103,7 +131,7 @@ def _item_rows(benchmark: DataFrame) -> DataFrame:
 HIT = "doc long, key string, doc_id long, segment int, first long, words array<long>, hashes array<long>, places array<long>"
 
 
-def _hits(docs: DataFrame, seed_map, lengths: list[int], bits: int) -> DataFrame:
+def _hits(docs: DataFrame, seed_map, lengths: list[int], bits: int, short_agree: float) -> DataFrame:
     """Stretches of documents around seeds whose bit is set in the map, with these seeds."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -116,7 +144,7 @@ def _hits(docs: DataFrame, seed_map, lengths: list[int], bits: int) -> DataFrame
 
         def stretches(doc, key, doc_id, text):
             words = tokens(text)
-            found = [seeds(words), *(whole(words, n) for n in lengths)]
+            found = [seeds(words), *(whole(words, n, short_agree) for n in lengths)]
             h, at = (np.concatenate(x) for x in zip(*found))
             b = _bit(h, bits)
             on = (known[b >> 3] >> (b & 7).astype(np.uint8) & 1).astype(bool)
@@ -142,7 +170,7 @@ def _hits(docs: DataFrame, seed_map, lengths: list[int], bits: int) -> DataFrame
     return docs.select(F.monotonically_increasing_id().alias("doc"), "key", F.col("doc_id").cast("long"), "text").mapInArrow(run, HIT)
 
 
-def _verified(rows: DataFrame) -> DataFrame:
+def _verified(rows: DataFrame, short_agree: float) -> DataFrame:
     """Best window of every aligned (document stretch, item) candidate that agrees enough."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -158,8 +186,7 @@ def _verified(rows: DataFrame) -> DataFrame:
                 same = np.array(own[lo:hi]) == np.array(words[lo + shift - first:hi + shift - first])
                 total = np.concatenate(([0], np.cumsum(same)))
                 sums = total[size:] - total[:-size]
-                least = size if len(own) < WINDOW else -int(-AGREE * size // 1)
-                good = np.flatnonzero(sums >= least)
+                good = np.flatnonzero(sums >= least(size, AGREE if len(own) >= WINDOW else short_agree))
                 if len(good):
                     covered = np.zeros(hi - lo, dtype=bool)
                     for g in good.tolist():
@@ -175,7 +202,8 @@ def _verified(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, bits: int = MAP_BITS, keyed: bool = False) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, bits: int = MAP_BITS, keyed: bool = False,
+             short_agree: float = 1.0) -> DataFrame:
     """A row per overlapping document row and benchmark item.
 
     doc_id, item_id, start and stop (document tokens, from 0, stop excluded),
@@ -184,12 +212,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bits: int = MAP_BITS, keyed:
     first. Null and empty texts, on either side, overlap nothing; null ids are
     returned as null; repeated document rows give repeated results; extra
     columns are ignored; an empty table on either side gives an empty result.
+    ``short_agree`` is the share of equal tokens that items of TOLERANT to
+    WINDOW - 1 tokens need.
     With ``keyed`` the rows have the name of the document row (``row_key``) too.
     """
     import numpy as np
     spark = docs.sparkSession
     small_batches(spark)
-    items = stored(_item_rows(benchmark), "seeds")
+    items = stored(_item_rows(benchmark, short_agree), "seeds")
     h = F.col("h")
     index = items.select("item", F.explode(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("at"))).alias("s")) \
                  .select("item", "s.h", "s.at")
@@ -202,7 +232,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bits: int = MAP_BITS, keyed:
     lengths = [r[0] for r in items.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().collect()]
 
     rows = docs.withColumn("key", row_key()) if keyed else docs.withColumn("key", F.lit(None).cast("string"))
-    hits = _hits(rows, table.view(np.uint8), sorted(lengths), bits)
+    hits = _hits(rows, table.view(np.uint8), sorted(lengths), bits, short_agree)
     hits = stored(hits.withColumn("row", F.monotonically_increasing_id()), "seed-hits")
     probes = hits.select("row", F.explode(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("at"))).alias("s")) \
                  .select("row", "s.h", F.col("s.at").alias("place"), F.pmod("row", F.lit(SPREAD)).alias("deal"))
@@ -212,14 +242,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bits: int = MAP_BITS, keyed:
     near = pairs.join(hits.select("row", "doc", "key", "doc_id", "first", "words"), "row") \
                 .withColumn("deal", F.pmod("row", F.lit(SPREAD))) \
                 .join(items.select("item", "item_id", F.col("words").alias("own"), deals), ["item", "deal"])
-    checked = _verified(near.select("doc", "key", "doc_id", "item_id", "item", "first", "shift", "words", "own"))
+    checked = _verified(near.select("doc", "key", "doc_id", "item_id", "item", "first", "shift", "words", "own"), short_agree)
     place = F.struct(-F.col("same"), "start", "stop", "overlap", "same", "item_tokens", "key", "doc_id", "item_id")
     return checked.groupBy("doc", "item").agg(F.min(place).alias("p")).select(
         *(["p.key"] if keyed else []), "p.doc_id", "p.item_id", "p.start", "p.stop", "p.overlap", "p.same", "p.item_tokens")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, short_agree: float = 1.0) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with all columns; repeated rows included."""
     tagged = docs.withColumn("__key", row_key())
-    found = overlaps(docs, benchmark, keyed=True).select(F.col("key").alias("__key")).distinct()
+    found = overlaps(docs, benchmark, keyed=True, short_agree=short_agree).select(F.col("key").alias("__key")).distinct()
     return tagged.join(found, "__key", "left_anti").select(*docs.columns)

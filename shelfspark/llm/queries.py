@@ -44,7 +44,8 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that overlaps a benchmark item, with the item and the overlap, by spaced seeds."""
-    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"),
+                                  short_agree=decontaminate.AGREE)
 
 
 def tokenizer_path() -> str:

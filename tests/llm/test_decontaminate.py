@@ -86,3 +86,24 @@ def test_empty_tables(spark, case):
     assert D.overlaps(none, spark.createDataFrame(items, ITEMS)).count() == 0
     assert D.overlaps(spark.createDataFrame(docs, DOCS), no_items).count() == 0
     assert D.clean(spark.createDataFrame(docs, DOCS), no_items).count() == len(docs)
+
+
+def test_short_masks_hit_every_tolerated_substitution():
+    for n in range(1, D.WINDOW):
+        wrong = n - D.least(n, D.AGREE)
+        assert wrong == (0 if n < D.TOLERANT else int(n * 0.2 + 1e-9))
+        for bad in itertools.combinations(range(n), wrong):
+            assert any(not any(m[i] == "1" for i in bad) for m in D.short_masks(n, D.AGREE)), (n, bad)
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    ten = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    items = [(1, "What is 7 times 8?", 1), (2, "six words make a short item", 1), (3, ten, 1), (4, "日本の首都はどこですか", 1), (5, "yes", 1), (6, "名前?", 1)]
+    docs = [(1, "So: what is 7 times 8? Fifty-six.", "x"), (2, "what is 7 times 9", "x"),  # below 6 tokens exact
+            (3, "x six words make one short item x", "x"), (4, "x six words make one long item x", "x"),  # 1 of 6 may differ
+            (5, "x " + ten.replace("beta", "b").replace("theta", "t"), "x"), (6, ten.replace("beta", "b").replace("theta", "t").replace("zeta", "z"), "x"),
+            (7, "問題。日本の首都はどこですか。答え", "x"), (8, "問題。日本の通貨は何ですか。", "x"), (9, "Yes!", "x"), (10, "yes indeed", "x"), (11, "お名前は", "x")]
+    df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    got = D.overlaps(df, bench, short_agree=D.AGREE).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (3, 2), (5, 3), (7, 4), (9, 5), (11, 6)}
+    assert {r.doc_id for r in D.clean(df, bench, D.AGREE).collect()} == {2, 4, 6, 8, 10}
