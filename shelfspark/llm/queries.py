@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, exact_dedup, html_text, licenses, sharding, simhash, toxicity, url_filters, warc
+from shelfspark.llm import (bpe, decontaminate, exact_dedup, html_text, licenses, packing, sharding, simhash, toxicity, url_filters,
+                            warc)
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +102,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, bits=3)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+def word_tokenizer_path() -> str:
+    """The 49k vocabulary with word ends of the installed tokenizer files."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 4,096 ids, by best fit planned over the lengths' histogram."""
+    return packing.packed(read(spark, sf_dir, "documents"), word_tokenizer_path())
