@@ -81,6 +81,15 @@ class Codec:
             return self.fast.encode(text, allowed_special="all")
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def encode_plain(self, text: str) -> list[int]:
+        """Ids with the strings of added tokens taken as ordinary text."""
+        if self.fast is not None and len(text) <= LONG_WINDOW:
+            return self.fast.encode_ordinary(text)
+        self.library.encode_special_tokens = True
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        self.library.encode_special_tokens = False
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 

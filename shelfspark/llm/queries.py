@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import (bpe, decontaminate, exact_dedup, html_text, licenses, packing, sharding, simhash, toxicity, url_filters,
-                            warc)
+from shelfspark.llm import (bpe, decontaminate, exact_dedup, html_text, licenses, packing, sharding, simhash, token_alignment, toxicity,
+                            url_filters, warc)
 from shelfspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def piece_model_path() -> str:
+    """The 32k sentencepiece model of the installed tokenizer files."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment measures of every document between the 50k byte-level and the 32k piece vocabulary."""
+    return token_alignment.alignment(read(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
 def word_tokenizer_path() -> str:
     """The 49k vocabulary with word ends of the installed tokenizer files."""
     import public_tokenizers
