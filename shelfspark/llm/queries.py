@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import (bpe, decontaminate, exact_dedup, html_text, licenses, packing, sharding, simhash, token_alignment, toxicity,
+from shelfspark.llm import (bpe, decontaminate, exact_dedup, html_text, licenses, packing, phrases, sharding, simhash, token_alignment, toxicity,
                             url_filters, warc)
 from shelfspark.llm.common import read
 
@@ -104,6 +104,44 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 collocations of two to five words in at least 100 places."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrase_mining"] = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, words FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[ 	]+'), w -> w <> '') AS words
+    FROM documents)),
+spans AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+  FROM pieces, range(1, 6) AS s(k), LATERAL (SELECT unnest(range(1, len(words) - k + 2)) AS i)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM spans GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k >= 2 AND a >= 100),
+inner_ AS (
+  SELECT DISTINCT b.lang, array_to_string(b.words[i:i + k - 1], ' ') AS phrase, b.a
+  FROM cand AS b, range(2, 5) AS s(k), LATERAL (SELECT unnest(range(1, len(b.words) - k + 2)) AS i) WHERE k < len(b.words)),
+kept AS (SELECT * FROM cand AS c WHERE NOT EXISTS (
+  SELECT 1 FROM inner_ AS i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 100 * c.a)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, s.cut, x.a AS l, y.a AS r, t.n,
+         ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM kept AS c JOIN range(1, 5) AS s(cut) ON s.cut < c.k
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:s.cut], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[s.cut + 1:], ' ')
+  JOIN total AS t ON t.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
 def piece_model_path() -> str:
     """The 32k sentencepiece model of the installed tokenizer files."""
     import public_tokenizers
