@@ -116,7 +116,8 @@ WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang,
            list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')), '[ 	]+'), w -> w <> '') AS words
+-
+]')), '[ 	]+'), lambda w: w <> '') AS words
     FROM documents)),
 spans AS (
   SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
@@ -125,8 +126,8 @@ f AS (SELECT lang, k, phrase, count(*) AS a FROM spans GROUP BY ALL),
 total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
 cand AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k >= 2 AND a >= 100),
 inner_ AS (
-  SELECT DISTINCT b.lang, array_to_string(b.words[i:i + k - 1], ' ') AS phrase, b.a
-  FROM cand AS b, range(2, 5) AS s(k), LATERAL (SELECT unnest(range(1, len(b.words) - k + 2)) AS i) WHERE k < len(b.words)),
+  SELECT DISTINCT b.lang, array_to_string(b.words[i:i + m - 1], ' ') AS phrase, b.a
+  FROM cand AS b, range(2, 5) AS s(m), LATERAL (SELECT unnest(range(1, len(b.words) - m + 2)) AS i) WHERE m < len(b.words)),
 kept AS (SELECT * FROM cand AS c WHERE NOT EXISTS (
   SELECT 1 FROM inner_ AS i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 100 * c.a)),
 cuts AS (
