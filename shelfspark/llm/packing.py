@@ -31,6 +31,9 @@ LONGEST_REMEMBERED = 40
 # The pre-tokenizer's fixed pattern: none of its matches holds white space, so words can be encoded one by one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BLANKS = str.maketrans("\n\r\t", "   ")
+# Words of these characters, lower-cased, are as the file's normalizer leaves them; its pre-tokenizer parts them like PLAIN_PARTS.
+PLAIN = r"[!-~À-ÖØ-öø-ÿŒœ]+"
+PLAIN_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^a-zß-öø-ÿœ0-9]+"
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -39,8 +42,11 @@ class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers.
 
     Where the file splits at white space whatever stands around it, a text's
-    ids are those of its words, and the ids of words are remembered. Other
-    files encode whole texts.
+    ids are those of its words, and the ids of words are remembered. Words of
+    plain letters are merged by tiktoken, which is given the vocabulary as ranks
+    where ids follow the merges' order (a blank stands for the mark of a word's
+    end and merges first); all others by the tokenizers library. Other files
+    encode whole texts.
     """
 
     def __init__(self, path: str):
@@ -61,6 +67,45 @@ class Encoder:
             and not any(t.get(k) for t in spec.get("added_tokens") or [] for k in ("lstrip", "rstrip", "single_word"))
             and not any(c.isspace() for t in spec.get("added_tokens") or [] for c in t["content"]))
         self.known: dict[str, bytes] = {}
+        self.fast = self._ranked(spec["model"]) if self.by_word else None
+
+    @staticmethod
+    def _ranked(model: dict):
+        import re
+
+        import tiktoken
+
+        from shelfspark.llm.bpe import _byte_letters
+        vocab, mark = model["vocab"], model.get("end_of_word_suffix")
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [vocab["".join(m)] for m in merges]
+        if not mark or made != sorted(made) or made[0] < 512:
+            return None
+        letters, ranks = _byte_letters(), {}
+        for token, i in vocab.items():
+            ends = token.endswith(mark)
+            raw = bytes(letters[c] for c in (token.removesuffix(mark) if ends else token)) + b" " * ends
+            if raw != b" ":  # a blank alone is never a token of a word
+                ranks[raw] = i
+        ranks[b" "] = max(vocab.values()) + 1
+        merge = tiktoken.Encoding("words", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        plain, parts = re.compile(PLAIN), re.compile(PLAIN_PARTS)
+
+        def encode(word: str) -> list[int] | None:
+            """Ids of a word, or None where it is not plain."""
+            if not plain.fullmatch(word) or "<|" in word:
+                return None
+            return merge(" ".join(parts.findall(word.lower())) + " ")
+
+        return encode
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        import numpy as np
+        if self.fast is None:
+            return self._encode(words)
+        found = [self.fast(w) for w in words]
+        other = iter(self._encode([w for w, f in zip(words, found) if f is None]))
+        return [next(other) if f is None else np.array(f, dtype="<u4").tobytes() for f in found]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -73,7 +118,7 @@ class Encoder:
             self.known.clear()
         words = [[w for w in t.translate(BLANKS).split(" ") if w] for t in texts]
         new = list({w for ws in words for w in ws} - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
+        self.known.update(zip(new, self._words(new)))
         out = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
         for w in new:
             if len(w) > LONGEST_REMEMBERED:

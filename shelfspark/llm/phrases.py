@@ -1,18 +1,22 @@
 """Phrase collocation mining by Toivonen's method.
 
-A sample of the documents proposes frequent phrases, level by level and with a
-lowered threshold. One full pass then counts, exactly, every proposed phrase
-and every phrase of the negative border: those whose first and last words,
-each one word less, are proposed while the phrase itself is not (for single
-words: all of them). Border phrases that turn out frequent are failures of the
-sample; each round of failures joins the proposals, and a further pass counts
-the phrases that became border by it, until no failure is left. As every part
-of a frequent phrase is frequent, nothing frequent is missed, whatever the
-sample held.
-
-Proposals are kept as a map of ``2**MAP_BITS`` bits, one per hash, whatever
-their number: two phrases that share a bit only make a pass count more phrases,
-and counts are always by the phrases themselves.
+A sample proposes frequent phrases, level by level and with a lowered
+threshold. It is made of stretches of at most ``STRETCH`` words, one in
+``SAMPLE``, so that a phrase that one document repeats is met like any other.
+One full pass then counts every proposed phrase and every phrase of the
+negative border: those whose first and last words, each one word less, are
+proposed while the phrase itself is not (for single words: all of them).
+Border phrases that turn out frequent are failures of the sample; each round of
+failures joins the proposals, and a further pass counts them and the phrases
+that became border by them, until no failure is left. As every part of a
+frequent phrase is frequent, nothing frequent is missed, whatever the sample
+held.
+
+Proposed phrases are counted as they are. Border phrases are counted by their
+64-bit hash, which can only count too many: one that reaches the threshold is
+counted as it is in the next pass. Proposals are kept as a map of
+``2**MAP_BITS`` bits, one per hash, whatever their number: two phrases that
+share a bit only make a pass count more phrases.
 
 A frequent phrase is scored at its weakest cut into two parts, and dropped if a
 phrase one word longer that holds it is as frequent (one much longer implies
@@ -31,9 +35,10 @@ from shelfspark.llm.common import small_batches, stored
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-# One document in SAMPLE is in the sample; a phrase is proposed at LOWERED of its expected count there.
+# One stretch of words in SAMPLE is in the sample; a phrase is proposed at LOWERED of its expected count there.
 SAMPLE = 8
-LOWERED = 0.4
+LOWERED = 0.25
+STRETCH = 40
 MAP_BITS = 26
 # Word occurrences that are counted together in a Python worker, and words it remembers at most.
 TOGETHER = 1_000_000
@@ -71,11 +76,7 @@ def numbers(text: bytes, words: Words) -> list[int]:
     return out
 
 
-def _mixed(x):
-    import numpy as np
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+ODD = 0x9E3779B97F4A7C15
 
 
 def _held(bits, hashes):
@@ -83,67 +84,72 @@ def _held(bits, hashes):
     import numpy as np
     if bits is None:
         return np.ones(len(hashes), dtype=bool)
-    at = (hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    at = ((hashes ^ (hashes >> np.uint64(32))) * np.uint64(ODD) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def occurrences(at, seed: int, hashes, proposed, counted, levels) -> Iterator[tuple]:
-    """``(length, first places, counts, hashes)`` of the different candidates of each length in ``levels``.
+def candidates(at, seed: int, hashes, proposed, counted=None, longest: int = LONGEST) -> Iterator[tuple]:
+    """Per length: ``(length, places, hashes, held, before, counted before)`` of the candidates.
 
-    ``at`` holds word numbers, 0 between pieces. A phrase is a candidate if its
-    first and its last words, each one word less, are candidates that the map
-    ``proposed`` holds; with a map ``counted``, candidates by that one are
-    left out, as an earlier pass has counted them.
+    ``at`` holds word numbers, 0 after every piece. A phrase is a candidate if
+    its first and its last words, each one word less, are candidates that the
+    map ``proposed`` holds (``held`` tells this of the phrase itself).
+    ``before`` tells which are candidates by the smaller map ``counted`` too,
+    and ``counted before`` which of these that map holds.
     """
     import numpy as np
     word = hashes[at]
-    h = _mixed(word ^ np.uint64(seed))
-    on = at > 0
-    old = on if counted is not None else None
-    code = at
-    for length in range(1, max(levels) + 1):
-        if length > 1:
-            # a place is a candidate if the phrases from it and from the next place pass
-            passed = on & _held(proposed, h)
-            on = passed.copy()
-            on[:-1] &= passed[1:]
-            on[-1:] = False
-            if old is not None:
-                before = old & _held(counted, h)
-                old = before.copy()
-                old[:-1] &= before[1:]
-                old[-1:] = False
-            last = np.zeros_like(word)
-            last[:len(word) - length + 1] = word[length - 1:]
-            h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + last)
-        places = np.flatnonzero(on)
-        if not len(places):
+    places = np.flatnonzero(at)
+    h = word[places] + np.uint64(seed)
+    before = np.ones(len(places), dtype=bool) if counted is not None else np.zeros(len(places), dtype=bool)
+    passed, old = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    for length in range(1, longest + 1):
+        held = _held(proposed, h)
+        was = before & _held(counted, h)
+        yield length, places, h, held, before, was
+        if length == longest:
             return
-        if length == 1:
-            key = at[places]
-        else:  # phrases are told apart by their number one word shorter and their last word
-            key = code[places] << np.int64(32) | at[places + length - 1]
-        if length in levels and old is None and length == max(levels):
-            _, first, count = np.unique(key, return_index=True, return_counts=True)
-        else:
-            _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            code = np.zeros(len(at), dtype=np.int64)
-            code[places] = inverse
-        if length in levels:
-            first = places[first]
-            if old is not None:
-                new = ~old[first]
-                first, count = first[new], count[new]
-            yield length, first, count, h[first]
-
-
-COUNTED = "lang string, words int, phrase string, hash long, proposed boolean, n long"
-
-
-def counts(docs: DataFrame, proposed=None, counted=None, levels: tuple[int, ...] = tuple(range(1, LONGEST + 1))) -> DataFrame:
-    """``lang, words, phrase, hash, proposed, n`` of all candidates in ``lang, text``, and each language's word occurrences (0 words).
-
-    ``proposed`` tells whether the map holds the phrase itself.
+        passed[:] = False
+        passed[places[held]] = True
+        old[:] = False
+        old[places[was]] = True
+        on = held & passed[places + 1]  # a 0 follows every piece, so there is a next place
+        places, before = places[on], was[on] & old[places[on] + 1]
+        h = h[on] * np.uint64(ODD) + word[places + length]
+
+
+def _same(at, places, length: int, h):
+    """``(first places, counts)`` of the different phrases at ``places``, by hash; equal hashes are compared word by word."""
+    import numpy as np
+    _, first, inverse, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    own, other = places, places[first[inverse]]
+    if all((at[own + k] == at[other + k]).all() for k in range(length)):
+        return places[first], n
+    _, first, n = np.unique(at[places[:, None] + np.arange(length)], axis=0, return_index=True, return_counts=True)
+    return places[first], n
+
+
+def _added(hashes: list, n: list):
+    """Different hashes and the sums of their counts."""
+    import numpy as np
+    hashes, n = np.concatenate(hashes), np.concatenate(n)
+    if not len(hashes):
+        return hashes, n
+    by = np.argsort(hashes, kind="stable")
+    hashes, n = hashes[by], n[by]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[first], np.add.reduceat(n, first)
+
+
+COUNTED = "hash long, lang string, words int, phrase string, n long"
+
+
+def counts(docs: DataFrame, proposed=None, counted=None, only: int | None = None) -> DataFrame:
+    """``hash, lang, words, phrase, n`` of the candidates in ``lang, text`` that a pass with the map ``counted`` has not counted.
+
+    Phrases that the map ``proposed`` holds come with lang, words and phrase,
+    border phrases by hash alone. The first pass also gives each language's
+    word occurrences (0 words). ``only`` a length: all its candidates by hash.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -154,80 +160,133 @@ def counts(docs: DataFrame, proposed=None, counted=None, levels: tuple[int, ...]
         import pyarrow as pa
         import xxhash
         new, old = shared.value
-        words, held, size = Words(), {}, 0
+        types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64())
+        names = ["hash", "lang", "words", "phrase", "n"]
+        words, texts, size = Words(), {}, 0
+        border: list = []
+        border_n: list = []
+        waiting = 0
+
+        def rows(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        def hashed():
+            h, n = _added(border, border_n)
+            border.clear()
+            border_n.clear()
+            for i in range(0, len(h), 100_000):
+                k = len(h[i:i + 100_000])
+                yield rows(h[i:i + k].view(np.int64), [None] * k, [None] * k, [None] * k, n[i:i + k])
 
         def flush():
+            nonlocal waiting
             hashes = np.array(words.hashes, dtype=np.uint64)
-            for lang, at in held.items():
+            for lang, at in texts.items():
                 at = np.array(at, dtype=np.int64)
-                if not len(at):
-                    continue
-                seed = xxhash.xxh3_64_intdigest(lang.encode())
-                if 1 in levels:
-                    total = int((at > 0).sum())
-                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([0], pa.int64()),
-                                                      pa.array([True]), pa.array([total], pa.int64())], names)
-                for length, first, n, h in occurrences(at, seed, hashes, new, old, levels):
-                    numbers_of = at[first[:, None] + np.arange(length)].tolist()
-                    phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in numbers_of], pa.binary()).cast(pa.string())
-                    k = len(first)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * k, pa.string()), pa.array(np.full(k, length, dtype=np.int32)), phrases,
-                         pa.array(h.view(np.int64)), pa.array(_held(new, h) if new is not None else np.zeros(k, dtype=bool)), pa.array(n)], names)
-            held.clear()
+                if old is None and only is None:
+                    yield rows([0], [lang], [0], [""], [int((at > 0).sum())])
+                for length, places, h, held, before, was in candidates(at, xxhash.xxh3_64_intdigest(lang.encode()), hashes, new, old, only or LONGEST):
+                    if only is not None:
+                        rest = np.full(len(h), length == only)
+                    else:
+                        own = held & ~was
+                        first, n = _same(at, places[own], length, h[own])
+                        k = len(first)
+                        phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in at[first[:, None] + np.arange(length)].tolist()], pa.binary())
+                        yield rows([0] * k, [lang] * k, [length] * k, phrases.cast(pa.string()), n)
+                        rest = ~held & ~before
+                    h, n = np.unique(h[rest], return_counts=True)
+                    border.append(h)
+                    border_n.append(n)
+                    waiting += len(h)
+            texts.clear()
             if len(words) > REMEMBERED:
                 words.clear()
                 words.names, words.hashes = [b""], [0]
 
-        names = ["lang", "words", "phrase", "hash", "proposed", "n"]
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = numbers(text, words)
-                held.setdefault(lang, []).extend(found)
-                size += len(found)
+                if found:
+                    texts.setdefault(lang, []).extend(found)
+                    size += len(found)
                 if size >= TOGETHER:
                     yield from flush()
                     size = 0
+                    if waiting >= 4 * TOGETHER:
+                        yield from hashed()
+                        waiting = 0
         yield from flush()
+        if border:
+            yield from hashed()
 
     found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, COUNTED)
-    return found.groupBy("lang", "words", "phrase", "hash", "proposed").agg(F.sum("n").alias("n"))
+    return found.groupBy("hash", "lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
-def proposals(phrases: DataFrame, known=None):
+def proposals(hashes: DataFrame, known=None):
     """Map with the bits of ``hash`` set, besides those of the map ``known``."""
     import numpy as np
     bits = np.zeros(2**(MAP_BITS - 3), dtype=np.uint8) if known is None else known.copy()
-    at = F.shiftrightunsigned("hash", 64 - MAP_BITS)
+    spark = hashes.sparkSession
+    small_batches(spark)
+
+    def slots(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            h = b.column(0).to_numpy().view(np.uint64)
+            at = ((h ^ (h >> np.uint64(32))) * np.uint64(ODD) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["slot", "bit"])
+
     # 64 bits a row: 2**(MAP_BITS - 6) rows at most, whatever the number of phrases
-    rows = phrases.select(F.shiftright(at, 6).alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - MAP_BITS}) & 63 as int))").alias("bit")) \
-                  .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    rows = hashes.select("hash").mapInArrow(slots, "slot long, bit long").groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     bits.view("<u8")[rows["slot"].to_numpy()] |= rows["bits"].to_numpy().view(np.uint64)
     return bits
 
 
+def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``lang, text`` of every ``sample``-th stretch of words, by a hash of doc_id and the stretch's place."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import xxhash
+        for b in batches:
+            texts = []
+            for doc_id, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                draw, kept = xxhash.xxh3_64_intdigest(str(doc_id)), []
+                for piece in text.translate(ENDS).split(b"\n"):
+                    words = piece.split()
+                    for i in range(0, len(words), STRETCH):
+                        draw = (draw * 6364136223846793005 + 1442695040888963407) & (2**64 - 1)
+                        if (draw >> 33) % sample == 0:
+                            kept.append(b" ".join(words[i:i + STRETCH]))
+                texts.append(b"\n".join(kept))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["lang", "text"])
+
+    return docs.select("lang", "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, text string")
+
+
 def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE, lowered: float = LOWERED) -> DataFrame:
     """``lang, words, phrase, n`` of all phrases of 1 to LONGEST words in at least ``min_count`` places, and totals (0 words)."""
-    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
+    part = stored(sampled(docs, sample), "phrase-sample")
     least = max(2, -int(-min_count * lowered // sample))
     bits = None
-    for levels in ((1, 2), *((k,) for k in range(3, LONGEST))):
-        found = counts(part, bits, None, levels).where((F.col("n") >= least) & (F.col("words") > 0))
-        bits = proposals(found, bits)
-    latest = stored(counts(docs, bits).where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases")
-    tables = [latest]
+    for length in range(1, LONGEST + 1):
+        bits = proposals(counts(part, bits, only=length).where(F.col("n") >= least), bits)
+    counted, tables = None, []
     while True:
-        failed = latest.where((F.col("words").between(1, LONGEST - 1)) & ~F.col("proposed"))
+        found = counts(docs, bits, counted).where((F.col("n") >= min_count) | (F.col("words") == 0))
+        tables.append(stored(found, "phrases"))
+        failed = tables[-1].where("phrase IS NULL")
         if failed.isEmpty():
             break
-        wider = proposals(failed, bits)
-        latest = stored(counts(docs, wider, bits, tuple(range(2, LONGEST + 1))).where(F.col("n") >= min_count), "phrases")
-        tables.append(latest)
-        bits = wider
+        bits, counted = proposals(failed, bits), bits
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
-    return out.select("lang", "words", "phrase", "n")
+    return out.where("phrase IS NOT NULL").select("lang", "words", "phrase", "n")
 
 
 def scored(found: DataFrame) -> DataFrame:

@@ -8,10 +8,6 @@ linked is a sum of copies over texts. The measures of a text over its links'
 counts come from joining its different pairs with the counted ones, and reach
 the documents by a digest of the text.
 
-Both tokenizers split where a blank follows a non-blank, whatever stands
-around it (checked on the files), so a text is the sequence of its blank-led
-units, and a task remembers the alignment of units it has met.
-
 Pairs that many texts hold would meet in one task of a join. Pairs in at least
 ``floor`` documents are joined by broadcast instead: ``floor`` is the smallest
 power of two that at most ``HOT_PAIRS`` pairs reach. All others are joined by
@@ -29,9 +25,8 @@ from shelfspark.llm import bpe
 from shelfspark.llm.common import small_batches, stored
 
 HOT_PAIRS = 200_000
-# Units a Python worker remembers at most; longer units are not remembered.
-REMEMBERED = 150_000
-LONGEST_REMEMBERED = 32
+# Links of a text that are made one by one; the repeated ids of a larger group are counted first.
+MADE = 4_000_000
 BLANK = "▁"
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -41,99 +36,62 @@ class Aligner:
     """Aligns blank + text by a byte-level BPE file (A) with text by a sentencepiece model (B, which adds the blank)."""
 
     def __init__(self, path_a: str, path_b: str):
-        import re
-
+        import numpy as np
         import sentencepiece
         a = bpe.codec(path_a)
         self.encode_a, self.bytes_a = a.encode_plain, a.bytes_of
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)]
-        # units can be aligned one by one if no piece of B runs over a non-blank and a blank
-        self.by_unit = a.fast is not None and not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in names)
-        self.known: dict[str, tuple] = {}
-
-    def _aligned(self, texts: list[str]) -> list[tuple | None]:
-        """Of each text, which follows a blank: (ids of A, ids of B, groups, digest text, pairs, links), or None where bytes differ."""
-        out = []
-        for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1)):
-            ids_a = self.encode_a(" " + text)
-            raw = (" " + text).encode()
-            parts_a, parts_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            out.append(self._groups(ids_a, ids_b, parts_a, parts_b) if b"".join(parts_a) == raw == b"".join(parts_b) else None)
-        return out
-
-    def _groups(self, ids_a, ids_b, parts_a, parts_b) -> tuple:
-        from collections import Counter
-        links: Counter = Counter()
-        said, j, end_b, groups = [], 0, 0, 0
-        end_a, first_a, first_b = 0, 0, 0
-        for i, part in enumerate(parts_a):
-            end_a += len(part)
-            while end_b < end_a:
-                end_b += len(parts_b[j])
-                j += 1
-            if end_a == end_b:
-                own, other = ids_a[first_a:i + 1], ids_b[first_b:j]
-                groups += 1
-                said.append(",".join(map(str, own)) + "|" + ",".join(map(str, other)))
-                if len(own) == 1 == len(other):
-                    links[own[0] << 32 | other[0]] += 1
-                else:
-                    n_b = Counter(other)
-                    for x, n in Counter(own).items():
-                        for y, m in n_b.items():
-                            links[x << 32 | y] += n * m
-                first_a, first_b = i + 1, j
-        return len(ids_a), len(ids_b), groups, ";".join(said), list(links), list(links.values())
-
-    def _units(self, text: str) -> list[str]:
-        """The text without its leading blank, cut before every blank that follows a non-blank; units lack that blank."""
-        pieces = text.split(" ")
-        if all(pieces) and not any(p[-1].isspace() for p in pieces):
-            return pieces
-        units: list[str] = []
-        open_ = False  # the last unit ends in white space, or is empty
-        for p in pieces:
-            if open_:
-                units[-1] += " " + p
-            else:
-                units.append(p)
-            open_ = not p or p[-1].isspace()
-        return units
-
-    def measured(self, texts: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, groups, digest text, pairs, links) of each text; pairs are ``a << 32 | b``, ascending, each once."""
+        self.size_a, self.size_b = (np.array([len(x) for x in part], dtype=np.int64) for part in (self.bytes_a, self.bytes_b))
+        # an id as it is written in a list of groups, by whether it is a group's last of its tokenizer
+        self.said = [f"{i}{end}" for ends in (",|", ",;") for i in range(max(len(self.bytes_a), len(names))) for end in ends]
+
+    def measured(self, text: str) -> tuple | None:
+        """(n_a, n_b, groups, their text, pairs, links), or None where bytes differ; pairs are ``a << 32 | b``, ascending, each once."""
         import numpy as np
-        if not self.by_unit:
-            return [f and (*f[:4], *_summed(np.array(f[4], dtype=np.int64), np.array(f[5], dtype=np.int64))) for f in self._aligned(texts)]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        units = [self._units(t) for t in texts]
-        new = list({u for us in units for u in us} - self.known.keys())
-        for u, found in zip(new, self._aligned(new)):
-            self.known[u] = found and (*found[:4], np.array(found[4], dtype=np.int64), np.array(found[5], dtype=np.int64))
-        out: list[tuple | None] = []
-        for text, us in zip(texts, units):
-            held = list(map(self.known.__getitem__, us))
-            if None in held:  # some unit's bytes differ: the whole text decides
-                f = self._aligned([text])[0]
-                out.append(f and (*f[:4], *_summed(np.array(f[4], dtype=np.int64), np.array(f[5], dtype=np.int64))))
-                continue
-            n_a, n_b, groups, said, pairs, links = zip(*held)
-            out.append((sum(n_a), sum(n_b), sum(groups), ";".join(said), *_summed(np.concatenate(pairs), np.concatenate(links))))
-        for u in new:
-            if len(u) > LONGEST_REMEMBERED:
-                del self.known[u]
-        return out
+        ids_a, ids_b = self.encode_a(" " + text), self.b.encode(text)
+        raw = (" " + text).encode()
+        if not b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b)):
+            return None
+        a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        near = np.searchsorted(end_b, end_a)
+        last_a, last_b = end_b[near] == end_a, np.zeros(len(b), dtype=bool)
+        last_b[near[last_a]] = True
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b  # group of each token
+        n_a, n_b = np.bincount(of_a), np.bincount(of_b)
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        words = np.empty(len(a) + len(b), dtype=np.int64)
+        words[np.arange(len(a)) + first_b[of_a]] = a * 2 + last_a
+        words[np.arange(len(b)) + (first_a + n_a)[of_b]] = len(self.said) // 2 + b * 2 + last_b
+        said = "".join(map(self.said.__getitem__, words.tolist()))[:-1]
+        total = int((n_a * n_b).sum())
+        if total > MADE:  # some group is large: count its repeated ids first
+            a, of_a, weight_a = _repeated(a, of_a)
+            b, of_b, weight_b = _repeated(b, of_b)
+            n_b = np.bincount(of_b)
+            first_b = np.cumsum(n_b) - n_b
+        else:
+            weight_a = weight_b = None
+        times = n_b[of_a]
+        own = np.repeat(np.arange(len(a)), times)
+        other = np.arange(len(own)) + np.repeat(first_b[of_a] - (np.cumsum(times) - times), times)
+        links = np.ones(len(own), dtype=np.int64) if weight_a is None else weight_a[own] * weight_b[other]
+        return len(ids_a), len(ids_b), len(n_a), said, *_summed(a[own] << 32 | b[other], links)
+
+
+def _repeated(ids, group):
+    """Different ids of each group, by group, and how often each occurs."""
+    import numpy as np
+    key, n = np.unique(group << 32 | ids, return_counts=True)
+    return key & 0xFFFFFFFF, key >> 32, n
 
 
 def _summed(pairs, links):
     """Different pairs, ascending, and the links of each."""
     import numpy as np
-    if not len(pairs):
-        return pairs, links
-    by = np.argsort(pairs, kind="stable")
+    by = np.argsort(pairs)
     pairs, links = pairs[by], links[by]
     first = np.flatnonzero(np.diff(pairs, prepend=-1))
     return pairs[first], np.add.reduceat(links, first)
@@ -166,7 +124,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         made = aligner(path_a, path_b)
         for b in batches:
             out = []
-            for key, copies, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), made.measured(b.column(2).to_pylist())):
+            for key, copies, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                found = made.measured(text)
                 if found:
                     n_a, n_b, groups, said, pairs, links = found
                     out.append((key, copies, n_a, n_b, groups, int(links.sum()), hashlib.sha256(said.encode()).hexdigest(),

@@ -37,6 +37,19 @@ def test_every_character_beside_blanks(made):
         assert np.frombuffer(made.packed([text])[0], dtype="<u4").tolist() == library(made, text)
 
 
+def test_plain_words_are_merged_as_the_library_does(made):
+    assert made.fast is not None
+    rng = random.Random(4)
+    letters = "etaoinshrdlu'.-é" * 3 + "bcfgkmpvwyzqxjßàöüçñœŒÀÉ0123456789!?\"#$%&()*+,/:;<=>@[]^_`{|}~ABCDEFGHIJ"
+    vocabulary = [t.removesuffix("</w>") for t in made.library.get_vocab()]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(60_000)]
+    words += [a + b for a, b in zip(vocabulary, reversed(vocabulary))]
+    plain = [w for w in words if made.fast(w) is not None]
+    assert len(plain) > 80_000
+    for w, e in zip(plain, made.library.encode_batch(plain, add_special_tokens=False)):
+        assert made.fast(w) == e.ids, w
+
+
 def one_by_one(lengths, size):
     spaces = []
     for x in sorted(lengths, reverse=True):

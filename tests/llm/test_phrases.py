@@ -68,6 +68,13 @@ def test_scores_beyond_64_bits(spark):
     assert row.score == 1000 * (big - 1) * (big * 1000) // (big * big) and row.a == big - 1
 
 
+def test_words_of_one_hash_are_told_apart(spark, monkeypatch):
+    import numpy as np
+    at = np.array([1, 2, 0, 3, 4, 0, 1, 2, 0])
+    first, n = P._same(at, np.array([0, 3, 6]), 2, np.array([7, 7, 7], dtype=np.uint64))
+    assert sorted(zip(first.tolist(), n.tolist())) == [(0, 2), (3, 1)]
+
+
 def test_full_map_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(P, "MAP_BITS", 8)  # nearly all bits are set
     rows = corpus(120)

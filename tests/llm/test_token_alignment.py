@@ -1,4 +1,4 @@
-"""Token alignment: units against whole texts, the query against brute force over all pairs."""
+"""Token alignment: a text, and the query, against brute force over all pairs."""
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -47,19 +47,19 @@ def said(groups):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(PIECES), min_size=1, max_size=40), min_size=1, max_size=3))
-def test_units_are_aligned_as_the_whole_text(tools, lists):
-    made = T.aligner(tokenizer_path(), piece_model_path())
-    assert made.by_unit
-    texts = ["".join(p) for p in lists]
-    for text, got in zip(texts, made.measured(texts)):
-        want = brute(tools, text)
-        if want is None:
-            assert got is None
-            continue
-        links = Counter(x << 32 | y for xs, ys in want[2] for x in xs for y in ys)
-        assert got[:4] == (len(want[0]), len(want[1]), len(want[2]), said(want[2]))
-        assert dict(zip(got[4].tolist(), got[5].tolist())) == links
+@given(st.lists(st.sampled_from(PIECES), min_size=1, max_size=60), st.sampled_from([0, 10**6]))
+def test_a_text(tools, parts, made_one_by_one):
+    text, before = "".join(parts), T.MADE
+    T.MADE = made_one_by_one
+    got = T.aligner(tokenizer_path(), piece_model_path()).measured(text)
+    T.MADE = before
+    want = brute(tools, text)
+    if want is None:
+        assert got is None
+        return
+    links = Counter(x << 32 | y for xs, ys in want[2] for x in xs for y in ys)
+    assert got[:4] == (len(want[0]), len(want[1]), len(want[2]), said(want[2]))
+    assert dict(zip(got[4].tolist(), got[5].tolist())) == links
 
 
 @pytest.mark.parametrize("hot", [0, 5, 10**6])  # all pairs by shuffle, some or all by broadcast
