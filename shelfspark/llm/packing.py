@@ -16,6 +16,7 @@ tasks before.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -30,7 +31,6 @@ REMEMBERED = 400_000
 LONGEST_REMEMBERED = 40
 # The pre-tokenizer's fixed pattern: none of its matches holds white space, so words can be encoded one by one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-BLANKS = str.maketrans("\n\r\t", "   ")
 # Words of these characters, lower-cased, are as the file's normalizer leaves them; its pre-tokenizer parts them like PLAIN_PARTS.
 PLAIN = r"[!-~À-ÖØ-öø-ÿŒœ]+"
 PLAIN_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^a-zß-öø-ÿœ0-9]+"
@@ -100,12 +100,11 @@ class Encoder:
         return encode
 
     def _words(self, words: list[str]) -> list[bytes]:
-        import numpy as np
         if self.fast is None:
             return self._encode(words)
         found = [self.fast(w) for w in words]
         other = iter(self._encode([w for w, f in zip(words, found) if f is None]))
-        return [next(other) if f is None else np.array(f, dtype="<u4").tobytes() for f in found]
+        return [next(other) if f is None else struct.pack(f"<{len(f)}I", *f) for f in found]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -116,8 +115,8 @@ class Encoder:
             return self._encode(texts)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        words = [[w for w in t.translate(BLANKS).split(" ") if w] for t in texts]
-        new = list({w for ws in words for w in ws} - self.known.keys())
+        words = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
+        new = list(set().union(*words) - self.known.keys())
         self.known.update(zip(new, self._words(new)))
         out = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
         for w in new:
