@@ -1,22 +1,22 @@
 """Phrase collocation mining by Toivonen's method.
 
 A sample proposes frequent phrases, level by level and with a lowered
-threshold. It is made of stretches of at most ``STRETCH`` words, one in
-``SAMPLE``, so that a phrase that one document repeats is met like any other.
+threshold. It takes one in ``SAMPLE`` short stretches of words, so that a
+phrase that one document repeats is met like any other.
 One full pass then counts every proposed phrase and every phrase of the
 negative border: those whose first and last words, each one word less, are
 proposed while the phrase itself is not (for single words: all of them).
-Border phrases that turn out frequent are failures of the sample; each round of
-failures joins the proposals, and a further pass counts them and the phrases
-that became border by them, until no failure is left. As every part of a
-frequent phrase is frequent, nothing frequent is missed, whatever the sample
-held.
-
-Proposed phrases are counted as they are. Border phrases are counted by their
-64-bit hash, which can only count too many: one that reaches the threshold is
-counted as it is in the next pass. Proposals are kept as a map of
-``2**MAP_BITS`` bits, one per hash, whatever their number: two phrases that
-share a bit only make a pass count more phrases.
+Border phrases that turn out frequent are failures of the sample. A frequent
+phrase that the pass did not count has a smallest part that is not proposed;
+that part is a border phrase and frequent, so a failure. One expansion pass
+over all phrases around the failures therefore closes the search, whatever the
+sample held; without failures it is not needed.
+
+Proposed phrases and those of the expansion are counted as they are. Border
+phrases are counted by their 64-bit hash, which can only count too many: one
+that reaches the threshold is counted as it is in the expansion. Proposals and
+failures are kept as maps of ``2**MAP_BITS`` bits, one per hash, whatever their
+number: two phrases that share a bit only make a pass count more phrases.
 
 A frequent phrase is scored at its weakest cut into two parts, and dropped if a
 phrase one word longer that holds it is as frequent (one much longer implies
@@ -38,7 +38,7 @@ TOP = 2000
 # One stretch of words in SAMPLE is in the sample; a phrase is proposed at LOWERED of its expected count there.
 SAMPLE = 8
 LOWERED = 0.25
-STRETCH = 40
+STRETCH = 8
 MAP_BITS = 26
 # Word occurrences that are counted together in a Python worker, and words it remembers at most.
 TOGETHER = 1_000_000
@@ -88,36 +88,50 @@ def _held(bits, hashes):
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def candidates(at, seed: int, hashes, proposed, counted=None, longest: int = LONGEST) -> Iterator[tuple]:
-    """Per length: ``(length, places, hashes, held, before, counted before)`` of the candidates.
+def candidates(at, seed: int, hashes, proposed, longest: int = LONGEST) -> Iterator[tuple]:
+    """Per length: ``(length, places, hashes, held)`` of the candidates.
 
     ``at`` holds word numbers, 0 after every piece. A phrase is a candidate if
     its first and its last words, each one word less, are candidates that the
     map ``proposed`` holds (``held`` tells this of the phrase itself).
-    ``before`` tells which are candidates by the smaller map ``counted`` too,
-    and ``counted before`` which of these that map holds.
     """
     import numpy as np
     word = hashes[at]
     places = np.flatnonzero(at)
     h = word[places] + np.uint64(seed)
-    before = np.ones(len(places), dtype=bool) if counted is not None else np.zeros(len(places), dtype=bool)
-    passed, old = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    passed = np.zeros(len(at), dtype=bool)
     for length in range(1, longest + 1):
         held = _held(proposed, h)
-        was = before & _held(counted, h)
-        yield length, places, h, held, before, was
+        yield length, places, h, held
         if length == longest:
             return
         passed[:] = False
         passed[places[held]] = True
-        old[:] = False
-        old[places[was]] = True
         on = held & passed[places + 1]  # a 0 follows every piece, so there is a next place
-        places, before = places[on], was[on] & old[places[on] + 1]
+        places = places[on]
         h = h[on] * np.uint64(ODD) + word[places + length]
 
 
+def around(at, seed: int, hashes, proposed, failed) -> Iterator[tuple]:
+    """Per length: ``(length, places, hashes)`` of the phrases that hold a border phrase of the map ``failed``."""
+    import numpy as np
+    word = hashes[at]
+    holds = np.zeros(len(at), dtype=bool)
+    inside = at > 0  # a phrase of this length stands here
+    for length, places, h, held in candidates(at, seed, hashes, proposed):
+        if length > 1:
+            inside[:-1] &= inside[1:]
+            holds[:-1] |= holds[1:]
+            holds &= inside
+        border = np.flatnonzero(~held)
+        holds[places[border[_held(failed, h[border])]]] = True
+        found = np.flatnonzero(holds)
+        own = word[found] + np.uint64(seed)
+        for k in range(1, length):
+            own = own * np.uint64(ODD) + word[found + k]
+        yield length, found, own
+
+
 def _same(at, places, length: int, h):
     """``(first places, counts)`` of the different phrases at ``places``, by hash; equal hashes are compared word by word."""
     import numpy as np
@@ -144,22 +158,24 @@ def _added(hashes: list, n: list):
 COUNTED = "hash long, lang string, words int, phrase string, n long"
 
 
-def counts(docs: DataFrame, proposed=None, counted=None, only: int | None = None) -> DataFrame:
-    """``hash, lang, words, phrase, n`` of the candidates in ``lang, text`` that a pass with the map ``counted`` has not counted.
+def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None) -> DataFrame:
+    """``hash, lang, words, phrase, n`` of the phrases of ``lang, text`` that a pass counts.
 
-    Phrases that the map ``proposed`` holds come with lang, words and phrase,
-    border phrases by hash alone. The first pass also gives each language's
-    word occurrences (0 words). ``only`` a length: all its candidates by hash.
+    Without ``failed``, these are the candidates by the map ``proposed``: those
+    that it holds with lang, words and phrase, border phrases by hash alone,
+    and each language's word occurrences (0 words). With the map ``failed``:
+    all phrases around its border phrases. ``only`` a length: all its
+    candidates by hash.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((proposed, counted))  # two maps of fixed size at most
+    shared = spark.sparkContext.broadcast((proposed, failed))  # two maps of fixed size at most
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import xxhash
-        new, old = shared.value
+        bits, new = shared.value
         types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64())
         names = ["hash", "lang", "words", "phrase", "n"]
         words, texts, size = Words(), {}, 0
@@ -178,24 +194,30 @@ def counts(docs: DataFrame, proposed=None, counted=None, only: int | None = None
                 k = len(h[i:i + 100_000])
                 yield rows(h[i:i + k].view(np.int64), [None] * k, [None] * k, [None] * k, n[i:i + k])
 
+        def written(lang, at, length, places, h):
+            first, n = _same(at, places, length, h)
+            k = len(first)
+            phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in at[first[:, None] + np.arange(length)].tolist()], pa.binary())
+            return rows([0] * k, [lang] * k, [length] * k, phrases.cast(pa.string()), n)
+
         def flush():
             nonlocal waiting
             hashes = np.array(words.hashes, dtype=np.uint64)
             for lang, at in texts.items():
-                at = np.array(at, dtype=np.int64)
-                if old is None and only is None:
+                at, seed = np.array(at, dtype=np.int64), xxhash.xxh3_64_intdigest(lang.encode())
+                if new is not None:
+                    for found in around(at, seed, hashes, bits, new):
+                        yield written(lang, at, *found)
+                    continue
+                if only is None:
                     yield rows([0], [lang], [0], [""], [int((at > 0).sum())])
-                for length, places, h, held, before, was in candidates(at, xxhash.xxh3_64_intdigest(lang.encode()), hashes, new, old, only or LONGEST):
-                    if only is not None:
-                        rest = np.full(len(h), length == only)
-                    else:
-                        own = held & ~was
-                        first, n = _same(at, places[own], length, h[own])
-                        k = len(first)
-                        phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in at[first[:, None] + np.arange(length)].tolist()], pa.binary())
-                        yield rows([0] * k, [lang] * k, [length] * k, phrases.cast(pa.string()), n)
-                        rest = ~held & ~before
-                    h, n = np.unique(h[rest], return_counts=True)
+                for length, places, h, held in candidates(at, seed, hashes, bits, only or LONGEST):
+                    if only is None:
+                        yield written(lang, at, length, places[held], h[held])
+                        h = h[~held]
+                    elif length < only:
+                        continue
+                    h, n = np.unique(h, return_counts=True)
                     border.append(h)
                     border_n.append(n)
                     waiting += len(h)
@@ -261,7 +283,7 @@ def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                     for i in range(0, len(words), STRETCH):
                         draw = (draw * 6364136223846793005 + 1442695040888963407) & (2**64 - 1)
                         if (draw >> 33) % sample == 0:
-                            kept.append(b" ".join(words[i:i + STRETCH]))
+                            kept.append(b" ".join(words[i:i + STRETCH + LONGEST - 1]))  # phrases may run over its end
                 texts.append(b"\n".join(kept))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["lang", "text"])
 
@@ -275,18 +297,13 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE,
     bits = None
     for length in range(1, LONGEST + 1):
         bits = proposals(counts(part, bits, only=length).where(F.col("n") >= least), bits)
-    counted, tables = None, []
-    while True:
-        found = counts(docs, bits, counted).where((F.col("n") >= min_count) | (F.col("words") == 0))
-        tables.append(stored(found, "phrases"))
-        failed = tables[-1].where("phrase IS NULL")
-        if failed.isEmpty():
-            break
-        bits, counted = proposals(failed, bits), bits
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out.where("phrase IS NOT NULL").select("lang", "words", "phrase", "n")
+    found = stored(counts(docs, bits).where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases")
+    failed, whole = found.where("phrase IS NULL"), found.where("phrase IS NOT NULL")
+    if not failed.isEmpty():
+        # closed by this pass: the smallest part of a frequent phrase that is not proposed is a border phrase, so a failure
+        more = counts(docs, bits, proposals(failed)).where(F.col("n") >= min_count)
+        whole = whole.unionByName(more)
+    return whole.select("lang", "words", "phrase", "n")
 
 
 def scored(found: DataFrame) -> DataFrame:
