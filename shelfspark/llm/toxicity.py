@@ -1,20 +1,23 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 Fitting uses bounded samples of labelled rows: ``EXAMPLES`` of each label are
-the examples, ``CALIBRATION`` further ones calibrate. Terms are words and word
-beginnings, all of them: a term's weight is its TF-IDF among the examples times
-one plus the chi-square of its document counts by label, so no term is left out
-and those that tell the labels apart count more. Terms that no example holds
-have a document count of 0 and lengthen a query's vector. Every document is
+the examples, ``CALIBRATION`` further ones calibrate. Terms are words, all of
+them: a term's weight is its TF-IDF among the examples times one plus the
+chi-square of its document counts by label, so no term is left out and those
+that tell the labels apart count more. Terms that no example holds have a
+document count of 0 and lengthen a query's vector. Every document is
 then a query: its ``NEIGHBOURS`` nearest examples vote with their squared
 similarity, a logistic curve fitted on the calibration sample turns the vote
 into a probability, and the nearest examples' doc_ids are returned as evidence.
 
 The index is inverted and in blocks: for every block of ``BLOCK`` examples and
-every term in it the postings and their largest weight. The largest weights bound
-what any example of a block can reach; blocks are read in the order of their
-bounds until the next bound cannot beat the k-th best similarity found, so the
-neighbours are exactly those of a full comparison.
+every term in it the postings and their largest weight. The ``DENSE`` most
+frequent terms are kept as rows over all examples, and their part of every
+similarity is one product. The largest of these parts in a block and the
+largest weights of its other terms bound what any example of the block can
+reach; blocks are read in the order of their bounds until the next bound cannot
+beat the k-th best similarity found, so the neighbours are exactly those of a
+full comparison.
 """
 
 from __future__ import annotations
@@ -33,24 +36,18 @@ NEIGHBOURS = 15
 BLOCK = 64
 FIRST_BLOCKS = 4
 EVIDENCE = 3
-PREFIXES = (4, 5, 6)
-# Words whose terms a Python worker remembers at most.
-REMEMBERED = 200_000
+# Terms kept as rows over all examples at most, of single precision: 16 MB with all examples.
+DENSE = 2048
+# What single precision may lose of a similarity.
+SLACK = 1e-5
 THRESHOLD = 0.3
 
 
 def terms(text: str | None) -> dict[str, int]:
-    """Counts of a text's words (``w:``) and of the beginnings of its longer words (``p:``)."""
+    """Counts of a text's words, lower-cased."""
     import re
     from collections import Counter
-    words = Counter(re.findall(r"\w+", (text or "").lower()))
-    out: Counter = Counter()
-    for w, n in words.items():
-        out["w:" + w] += n
-        for k in PREFIXES:
-            if len(w) > k:
-                out["p:" + w[:k]] += n
-    return out
+    return Counter(re.findall(r"\w+", (text or "").lower()))
 
 
 class Index:
@@ -70,6 +67,17 @@ class Index:
         by = np.argsort(term, kind="stable")
         self.place = place[by]
         self.weight = (np.concatenate([vectors[i][1] for i in order]) if order else np.empty(0))[by]
+        often = np.bincount(term, minlength=len(self.idf))
+        common = np.argsort(-often, kind="stable")[:DENSE]
+        common = common[often[common] > block]
+        self.row = np.full(len(self.idf), -1, dtype=np.int64)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.size), dtype=np.float32)
+        on = self.row[term[by]] >= 0
+        self.dense[self.row[term[by][on]], self.place[on]] = self.weight[on]
+        by, self.place, self.weight = by[~on], self.place[~on], self.weight[~on]
+        self.edges = np.arange(0, self.size, block)
+        self.block = block
         # cells, one for each block that holds a term: only those that exist, so the index is as large as the examples
         cell = term[by] * max(self.blocks, 1) + self.place // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
@@ -96,10 +104,12 @@ class Index:
         t, w = self._unit(counts, rest)
         if not len(t) or not self.size:
             return np.empty(0), np.empty(0, np.int64)
-        cells, times = _ranges(self.cells, t)
-        wide = np.repeat(w, times)
+        row = self.row[t]
+        part = (w[row >= 0].astype(np.float32) @ self.dense[row[row >= 0]]).astype(np.float64)
+        cells, times = _ranges(self.cells, t[row < 0])
+        wide = np.repeat(w[row < 0], times)
         held = self.held[cells]
-        bound = np.bincount(held, weights=self.largest[cells] * wide, minlength=self.blocks)
+        bound = np.bincount(held, weights=self.largest[cells] * wide, minlength=self.blocks) + np.maximum.reduceat(part, self.edges)
         best, where, unread = np.empty(0), np.empty(0, np.int64), bound > 0
         while unread.any():
             # the blocks with the largest bounds first, then every block whose bound the k-th best does not exceed
@@ -109,20 +119,20 @@ class Index:
                 chosen[:] = False
                 chosen[top] = unread[top]
             elif len(best) >= k:
-                chosen &= bound >= best[-1] - 1e-12
+                chosen &= bound >= best[-1] - SLACK
                 if not chosen.any():
                     break
             unread &= ~chosen
             on = chosen[held]
             at, count = _ranges(self.start, cells[on])
-            sums = np.bincount(self.place[at], weights=self.weight[at] * np.repeat(wide[on], count), minlength=self.size)
-            hit = np.flatnonzero(sums)
+            sums = part + np.bincount(self.place[at], weights=self.weight[at] * np.repeat(wide[on], count), minlength=self.size)
+            hit = np.flatnonzero(np.repeat(chosen, self.block)[:self.size] & (sums > 0))
             best = np.concatenate([best, sums[hit]])
             where = np.concatenate([where, hit])
             if len(best) > 4 * k:
-                near = best >= np.partition(best, -k)[-k] - 1e-11
+                near = best >= np.partition(best, -k)[-k] - SLACK
                 best, where = best[near], where[near]
-            keep = np.lexsort((where, -np.round(best, 12)))[:k]
+            keep = np.lexsort((where, -np.round(best, 6)))[:k]
             best, where = best[keep], where[keep]
         return best, where
 
@@ -140,34 +150,19 @@ class Scorer:
 
     def __init__(self, index: Index | None, prior: float, unseen: float = 0.0):
         self.index, self.prior, self.unseen, self.curve = index, prior, unseen, None
-        self.known: dict[str, tuple] = {}
         self.sent = None
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}, "sent": None}
-
-    def _terms(self, word: str) -> tuple:
-        """Numbers of a word's terms, and the names of those that no example holds."""
-        names = ("w:" + word, *("p:" + word[:k] for k in PREFIXES if len(word) > k))
-        at = [self.index.vocabulary.get(name) for name in names]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = found = (tuple(i for i in at if i is not None), tuple(x for x, i in zip(names, at) if i is None))
-        return found
-
-    def counts(self, text: str | None) -> tuple[dict[int, float], float]:
-        """Counts of the index's terms, and the squared length of all others."""
-        import math
-        import re
-        from collections import Counter
-        known, out, others = self.known, {}, {}
-        for w, n in Counter(re.findall(r"\w+", (text or "").lower())).items():
-            own, new = known.get(w) or self._terms(w)
-            for t in own:
-                out[t] = out.get(t, 0) + n
-            for t in new:
-                others[t] = others.get(t, 0) + n
-        return out, sum(((1 + math.log(n)) * self.unseen)**2 for n in others.values())
+        return {**self.__dict__, "sent": None}
+
+    def counts(self, text: str | None) -> tuple:
+        """Numbers and counts of the index's terms, and the squared length of all others."""
+        import numpy as np
+        found = terms(text)
+        number = self.index.vocabulary.get
+        at = np.array([number(w, -1) for w in found], dtype=np.int64)
+        n = np.array(list(found.values()), dtype=np.float64)
+        return (at[at >= 0], n[at >= 0]), float((((1 + np.log(n[at < 0])) * self.unseen)**2).sum())
 
     def features(self, text: str | None):
         """Inputs of the calibration curve, with the neighbours they come from."""
@@ -343,7 +338,10 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """``docs`` with ``toxicity`` (score, similarity of the nearest example, evidence doc_ids).
 
     Null and empty texts have no neighbours and get the rate of such texts in
-    the calibration sample. Every row is returned, with all its columns.
+    the calibration sample. Of equally near examples the one that comes first in
+    the index counts. Every row is returned, repeated rows too, with all its
+    columns but one named ``toxicity``, which is replaced; an empty table gives
+    an empty result.
     """
     small_batches(docs.sparkSession)
     load = _shared(docs.sparkSession, scorer)
@@ -357,7 +355,12 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def acceptable(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all columns.
+
+    Columns of any name come back as they are, repeated rows and null doc_ids
+    too; equal texts are kept or go together; null and empty texts score as in
+    ``scored``; an empty table gives an empty result.
+    """
     columns = docs.columns
     renamed = docs.toDF(*[f"__{i}" for i in range(len(columns))]).withColumn("text", F.col(f"__{columns.index('text')}"))
     kept = scored(renamed, fit(docs, labels)).where(F.col("toxicity.score") < threshold)

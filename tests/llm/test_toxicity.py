@@ -3,27 +3,31 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from shelfspark.llm import toxicity as T
 
 DOCS, LABELS = "doc_id long, text string, toxicity string", "doc_id long, toxic int"
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("dense", [0, 20, 2048])
+def test_block_max_search_is_exact(monkeypatch, dense):
     rng = random.Random(2)
     vocabulary = {f"w:{i}": i for i in range(80)}
     idf = [1 + rng.random() * 4 for _ in vocabulary]
     rows = [{rng.randrange(80): rng.randrange(1, 4) for _ in range(rng.randrange(0, 12))} for _ in range(700)]
+    monkeypatch.setattr(T, "DENSE", dense)
     index = T.Index(vocabulary, idf, rows, [rng.random() < 0.3 for _ in rows], list(range(700)), block=16)
-    dense = np.zeros((700, 80))
+    assert len(index.dense) == min(dense, (np.bincount([t for r in rows for t in r], minlength=80) > 16).sum())
+    full_rows = np.zeros((700, 80))
     for at, i in enumerate(index.ids.tolist()):
         t, w = index._unit(rows[i])
-        dense[at, t] = w
+        full_rows[at, t] = w
     for _ in range(200):
         q = {rng.randrange(80): rng.randrange(1, 3) for _ in range(rng.randrange(0, 10))}
         near, where = index.query(q, 15)
         t, w = index._unit(q)
-        full = dense[:, t] @ w if len(t) else np.zeros(700)
+        full = full_rows[:, t] @ w if len(t) else np.zeros(700)
         best = np.sort(full[full > 0])[::-1][:15]
         assert np.allclose(near, best) and np.allclose(full[where], near)
 
@@ -59,6 +63,7 @@ def test_scores_of_held_out_rows(spark):
     by_text = {}
     for r in got:
         assert by_text.setdefault(r.text, r.score) == r.score
+    assert T.scored(df, scorer).columns == df.columns  # a column of that name is replaced
     kept = T.acceptable(df, spark.createDataFrame(noisy, LABELS))
     assert kept.columns == df.columns
     low = sorted(((r.doc_id, r.text) for r in got if r.score < T.THRESHOLD), key=str)
