@@ -339,8 +339,14 @@ def unit_pack_promotions(w: Warehouse) -> DataFrame:
 
 @register("hourly_sales_preagg", oracle.HOURLY_SALES)
 def hourly_sales_preagg(w: Warehouse) -> DataFrame:
-    """Sales lines summed per hour over ten keys, fact operations only."""
-    return extracts.hourly_sales(w.raw("vendas_linhas"))
+    """Sales lines with their joins, summed per hour over ten keys, with the net cost of goods sold."""
+    return extracts.hourly_sales(_sales_lines(w))
+
+
+def _sales_lines(w: Warehouse) -> DataFrame:
+    raw = w.raw
+    return extracts.sales_lines(raw("vendas_linhas"), raw("custo_dia"), raw("nf_produto"), raw("map_famdivisao"), raw("map_famembalagem"),
+                                raw("max_empresa"), raw("max_divisao"), raw("map_prodacresccustorelac"))
 
 
 @register("receipt_costs_net_of_returns", oracle.RECEIPT_COSTS)
@@ -509,8 +515,8 @@ def labels_and_keys(w: Warehouse) -> DataFrame:
 
 @register("sales_net_cost", oracle.SALES_NET_COST)
 def sales_net_cost(w: Warehouse) -> DataFrame:
-    """Net cost of goods sold per day x store x product from the day-cost components of each line."""
-    return extracts.sales_net_cost(w.raw("custo_venda_linhas"))
+    """Net cost of goods sold per day x store x product from the day costs joined to each line."""
+    return extracts.sales_net_cost(_sales_lines(w))
 
 
 @register("schema_append", oracle.SCHEMA_APPEND)

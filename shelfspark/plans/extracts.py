@@ -65,10 +65,10 @@ def checkouts_of_main_segment(checkouts: DataFrame, stores: DataFrame) -> DataFr
                           "left_semi")
 
 
-def hourly_sales(lines: DataFrame) -> DataFrame:
-    """Sales lines pre-aggregated to the hour over the ten grouping keys of the extract.
+def hourly_sales(joined: DataFrame) -> DataFrame:
+    """Joined ``sales_lines`` pre-aggregated to the hour over the ten grouping keys of the extract.
 
-    Only the fact's operation codes are kept. The discount is net of the
+    The discount is net of the
     discount on returned items. A promotional value above zero is net of the
     line's discount; a line without one counts its value less the returned
     value when the product is in a promotion, else nothing.
@@ -78,14 +78,13 @@ def hourly_sales(lines: DataFrame) -> DataFrame:
     discount = F.when(promoted > 0, F.coalesce(F.col("vlrdescitem"), F.lit(0))).otherwise(0)
     in_promotion = F.coalesce(F.col("seqpromoc"), F.lit(0)) != 0
     fallback = F.when(in_promotion, F.round("vlritem", 2) - F.col("vlrdevolitem")).otherwise(0)
-    return (lines.where(F.col("codgeraloper").isin(SALES_OPERATIONS))
-            .groupBy(hour.alias("datahora"), "nroempresa", "nrodocto", "seriedocto", "checkout", "nroformapagto",
+    return (joined.groupBy(hour.alias("datahora"), "nroempresa", "nrodocto", "seriedocto", "checkout", "nroformapagto",
                      "nrosegmento", "codgeraloper", "seqproduto", "seqoperador")
             .agg(F.sum("qtditem").alias("qtditem"), F.sum("qtddevolitem").alias("qtddevolitem"),
                  F.sum("vlritem").alias("vlritem"), F.sum("vlrdevolitem").alias("vlrdevolitem"),
                  F.sum(F.col("vlrdescitem") - F.col("vlrdescdevolitem")).cast(MONEY).alias("vlrdescitem"),
                  F.sum(F.coalesce(promoted - discount, fallback)).cast(MONEY).alias("vlrvendapromoc"),
-                 F.count(F.lit(1)).alias("qtdlinhas")))
+                 F.sum(net_cogs()).cast(MONEY).alias("vlrctoliqvda"), F.count(F.lit(1)).alias("qtdlinhas")))
 
 
 NO_ADVANCE = (23, 24, 27)  # fixed: fiscal calculation types without advance ICMS
@@ -184,50 +183,72 @@ def receipt_costs(lines: DataFrame) -> DataFrame:
     return out.withColumn("prazomediopag", F.round(ratio, 6)).drop("_vp", "_v")
 
 
-def _d(c) -> Column:
-    return F.col(c).cast("double")
+def sales_lines(lines: DataFrame, day_costs: DataFrame, products: DataFrame, family_divisions: DataFrame, packs: DataFrame,
+                stores: DataFrame, divisions: DataFrame, surcharges: DataFrame) -> DataFrame:
+    """Sales lines joined to product, family division, unit pack, store, division, cost product, day cost and surcharge.
+
+    The day cost is that of the line's cost product on the day, in the store
+    that the line's store takes its costs from. Lines without a match fall out,
+    save for the surcharge of the product on the day, which may be missing.
+    Master tables come first, so only what stays is joined to the day costs.
+    """
+    own = products.select("seqproduto", "seqfamilia", "propqtdprodutobase",
+                          F.coalesce("seqprodutobase", "seqprodutobaseantigo").alias("seqprodutobase"))
+    single = packs.where("qtdembalagem = 1").select("seqfamilia")
+    store = stores.select("nroempresa", F.coalesce("nroempcustoabc", "nroempresa").alias("nroempcusto"),
+                          F.col("nrodivisao").alias("nrodivisaoempresa"))
+    division = divisions.select(F.col("nrodivisao").alias("nrodivisaoempresa"), "utilacresccustprodrelac")
+    costed = products.select(F.col("seqproduto").alias("seqprodutocusto"))
+    costs = (day_costs.withColumnRenamed("seqproduto", "seqprodutocusto").withColumnRenamed("nroempresa", "nroempcusto")
+                      .withColumnRenamed("dtaentradasaida", "dtavda"))
+    dated = surcharges.withColumnRenamed("dtamovimentacao", "dtavda")
+    return (lines.where(F.col("codgeraloper").isin(SALES_OPERATIONS)).join(own, "seqproduto")
+                 .join(family_divisions.select("seqfamilia", "nrodivisao"), ["seqfamilia", "nrodivisao"])
+                 .join(single, "seqfamilia").join(store, "nroempresa").join(division, "nrodivisaoempresa")
+                 .join(costed, "seqprodutocusto").join(costs, ["seqprodutocusto", "nroempcusto", "dtavda"])
+                 .join(dated, ["seqproduto", "dtavda"], "left"))
 
 
-def _div0(num: Column, den: Column) -> Column:
-    """The ERP's safe divide, assumed to give 0 when the divisor is 0 or NULL."""
-    return F.when(den.isNull() | (den == 0), F.lit(0.0)).otherwise(num / den)
+def _quotient(num: Column, den: Column) -> Column:
+    """Quotient rounded half up to 10 places; 0 for a divisor of 0 or NULL, as the ERP's safe divide is assumed to give."""
+    exact = num.cast("decimal(20,10)") / den.cast("decimal(12,3)")
+    return F.when(den.isNull() | (den == 0), F.lit(0)).otherwise(exact).cast("decimal(22,10)")
 
 
-def net_cogs(lines: DataFrame) -> Column:
-    """Net cost of goods sold of a sales line (double).
+def net_cogs() -> Column:
+    """Net cost of goods sold of a joined sales line, in decimals: the sum does not depend on the order of tasks.
 
     Unit day cost net of the accord discount per unit, plus IPI, ICMS-ST and
     invoice / off-invoice expenses, minus the ICMS, PIS, COFINS and IPI credits
-    and the off-invoice discount; times the surcharge factor and the
-    base-product ratio (1 when missing); minus the allowance per unit (when an
-    allowance quantity exists) plus the accrued allowance per unit (for lines
-    that accrue it); all times the net quantity. Computed in double precision.
+    and the off-invoice discount; times the surcharge factor (where the division
+    uses it and the product has a base product: the recorded one, else the
+    function's, else 1) and the base-product ratio (1 when missing); minus the
+    allowance per unit (when an allowance quantity exists) plus the accrued
+    allowance per unit (for lines that accrue it); all times the net quantity.
+    Quotients have 10 places, the cost of a unit 12.
     """
-    net_qty = _d("qtditem") - _d("qtddevolitem")
-    ratio = F.coalesce(_d("propqtdprodutobase"), F.lit(1.0))
-    accord = _div0(_div0(_d("vlrdescacordoverbapdv"), net_qty), _d("qtdembalitem"))
-    unit = ((_d("cmdiavlrnf") - accord) + _d("cmdiaipi") - _d("cmdiacredicms")
-            - F.coalesce(_d("cmdiacredpis"), F.lit(0.0)) - F.coalesce(_d("cmdiacredcofins"), F.lit(0.0))
-            - F.coalesce(_d("cmdiacredipi"), F.lit(0.0)) + _d("cmdiaicmsst") + _d("cmdiadespnf")
-            + _d("cmdiadespforanf") - _d("cmdiadctoforanf"))
-    qtdvda = F.coalesce(_d("qtdvda"), F.lit(0.0))
-    allowance = F.when(_d("qtdverbavda") == 0, F.lit(0.0)).otherwise(
-        _d("vlrverbavda") * ratio / F.when(qtdvda == 0, _d("qtdverbavda")).otherwise(qtdvda))
-    accr = F.coalesce(_d("vlrverbavdaacr"), F.lit(0.0))
-    accrued = F.when(F.col("acmcompravenda") == "N", F.lit(0.0)).otherwise(
-        F.when(accr == 0, F.lit(0.0)).otherwise(accr * ratio / F.when(qtdvda == 0, F.lit(1.0)).otherwise(qtdvda)))
-    return (unit * _d("fatoracrescimo") * ratio - allowance + accrued) * net_qty
-
-
-def round_cents(x: Column) -> Column:
-    """Round a double to cents, half away from zero, on its binary value."""
-    return F.signum(x) * F.floor(F.abs(x) * 100 + 0.5) / 100
-
-
-def sales_net_cost(lines: DataFrame) -> DataFrame:
-    """Net cost of goods sold (rounded to cents) and net quantity per day x store x product."""
-    return (lines.withColumn("_cogs", net_cogs(lines))
-                 .groupBy(F.col("dtavda").alias("data_venda"), F.col("nroempresa").alias("empresa_id"),
-                          F.col("seqproduto").alias("produto_id"))
-                 .agg(round_cents(F.sum("_cogs")).alias("vlrctoliqvda"),
-                      F.sum(F.col("qtditem") - F.col("qtddevolitem")).cast("decimal(28,3)").alias("qtd_liquida")))
+    v, nothing = F.col, F.lit(0)
+    net_qty = v("qtditem") - v("qtddevolitem")
+    ratio = F.coalesce("propqtdprodutobase", F.lit(1)).cast("decimal(5,4)")
+    factor = F.when((v("utilacresccustprodrelac") == "S") & v("seqprodutobase").isNotNull(),
+                    F.coalesce("percacresccustorelacvig", "acresccustorelac", F.lit(1))).otherwise(1).cast("decimal(6,4)")
+    accord = _quotient(_quotient(v("vlrdescacordoverbapdv"), net_qty), v("qtdembalitem"))
+    credits = sum((F.coalesce(c, nothing) for c in ("cmdiacredpis", "cmdiacredcofins", "cmdiacredipi")), v("cmdiacredicms"))
+    unit = (v("cmdiavlrnf") - accord + v("cmdiaipi") - credits + v("cmdiaicmsst") + v("cmdiadespnf")
+            + v("cmdiadespforanf") - v("cmdiadctoforanf"))
+    sold = F.coalesce("qtdvda", nothing)
+    allowance = F.when(v("qtdverbavda") == 0, nothing).otherwise(
+        _quotient(v("vlrverbavda") * ratio, F.when(sold == 0, v("qtdverbavda")).otherwise(sold)))
+    accrual = F.coalesce("vlrverbavdaacr", nothing)
+    accrued = F.when(v("acmcompravenda") == "N", nothing).otherwise(
+        _quotient(accrual * ratio, F.when(sold == 0, F.lit(1)).otherwise(sold)))
+    each = unit.cast("decimal(20,10)") * factor * ratio - allowance.cast("decimal(20,10)") + accrued.cast("decimal(20,10)")
+    return each.cast("decimal(24,12)") * net_qty.cast("decimal(13,3)")
+
+
+def sales_net_cost(joined: DataFrame) -> DataFrame:
+    """Net cost of goods sold and net quantity per day x store x product, of joined ``sales_lines``."""
+    return (joined.groupBy(F.col("dtavda").alias("data_venda"), F.col("nroempresa").alias("empresa_id"),
+                           F.col("seqproduto").alias("produto_id"))
+                  .agg(F.sum(net_cogs()).cast(MONEY).alias("vlrctoliqvda"),
+                       F.sum(F.col("qtditem") - F.col("qtddevolitem")).cast("decimal(28,3)").alias("qtd_liquida")))

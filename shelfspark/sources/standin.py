@@ -88,13 +88,54 @@ SALES = StandIn("maxv_abcdistribbase", (_p("lineitem", [
     ("vlrctoliqvda", f"CAST(ROUND({_PRICE} * (0.70 - {_TAX}), 2) AS {MONEY})"),
 ]),))
 
+# A product may take its cost from another one, a store from another store (as max_empresa says).
+_COST_PRODUCT = "(CASE WHEN l_partkey % 6 = 0 THEN l_partkey + 1 ELSE l_partkey END)"
+_COST_STORE = "(CASE WHEN l_orderkey % 10 % 4 = 1 THEN l_orderkey % 10 ELSE l_orderkey % 10 + 1 END)"
+
 # Sales lines before the hourly aggregation: with the discount on returned items
 # and the promotion the product is in (NULL or 0: none).
 SALES_RAW = StandIn("vendas_linhas", (Part("lineitem", tuple(
     (a, f"CASE WHEN l_discount < 0.02 THEN CAST(0 AS {MONEY}) WHEN l_discount >= 0.08 THEN CAST(ROUND({_PRICE} * (1 - {_DISC}), 2) AS {MONEY}) END")
     if a == "vlrvendapromoc" else (a, e) for a, e in SALES.parts[0].columns) + (
     ("vlrdescdevolitem", f"CASE WHEN l_returnflag = 'R' THEN CAST(ROUND({_PRICE} * {_DISC}, 2) AS {MONEY}) ELSE CAST(0 AS {MONEY}) END"),
-    ("seqpromoc", "CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 5 < 3 THEN 0 ELSE CAST(l_suppkey AS INT) END"))),))
+    ("seqpromoc", "CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 5 < 3 THEN 0 ELSE CAST(l_suppkey AS INT) END"),
+    ("dtavda", "CAST(l_shipdate AS DATE)"),
+    ("nrodivisao", "CAST(l_orderkey % 3 + 1 AS INT)"),
+    ("seqprodutocusto", f"CAST({_COST_PRODUCT} AS INT)"),
+    ("qtdembalitem", f"CAST(CASE WHEN l_linenumber % 3 = 0 THEN 6 ELSE 1 END AS {QTY})"),
+    ("vlrdescacordoverbapdv", f"CAST(ROUND({_PRICE} * {_DISC} * 0.1, 2) AS {MONEY})"),
+    ("acmcompravenda", "CASE WHEN l_suppkey % 2 = 0 THEN 'S' ELSE 'N' END"),
+    # what the source's function returns where no surcharge is recorded
+    ("acresccustorelac", "CASE WHEN l_suppkey % 3 = 0 THEN CAST(1.01 AS DECIMAL(6,4)) END"))),))
+
+# Day cost of the cost product in the cost store; line 6 of an order has none of its own.
+_CP, _CS = _COST_PRODUCT, _COST_STORE
+SALES_DAY_COSTS = StandIn("custo_dia", (_p("lineitem", [
+    ("seqproduto", f"CAST({_CP} AS INT)"),
+    ("nroempresa", f"CAST({_CS} AS INT)"),
+    ("dtaentradasaida", "CAST(l_shipdate AS DATE)"),
+    ("cmdiavlrnf", f"CAST({_CP} * 37 % 9000 * 0.01 + {_CS} AS DECIMAL(18,4))"),
+    ("cmdiaipi", f"CAST({_CP} % 90 * 0.0125 AS DECIMAL(18,4))"),
+    ("cmdiacredicms", f"CAST({_CP} % 70 * 0.0311 AS DECIMAL(18,4))"),
+    ("cmdiacredpis", f"CASE WHEN {_CP} % 8 = 0 THEN NULL ELSE CAST({_CP} % 60 * 0.0165 AS DECIMAL(18,4)) END"),
+    ("cmdiacredcofins", f"CAST({_CP} % 60 * 0.076 AS DECIMAL(18,4))"),
+    ("cmdiacredipi", f"CASE WHEN {_CS} % 2 = 0 THEN CAST(0.0333 AS DECIMAL(18,4)) END"),
+    ("cmdiaicmsst", f"CAST({_CP} % 55 * 0.0217 AS DECIMAL(18,4))"),
+    ("cmdiadespnf", "CAST(0.05 AS DECIMAL(18,4))"),
+    ("cmdiadespforanf", "CAST(0.02 AS DECIMAL(18,4))"),
+    ("cmdiadctoforanf", f"CAST({_CP} % 40 * 0.0103 AS DECIMAL(18,4))"),
+    ("qtdverbavda", f"CAST(CASE WHEN {_CP} % 4 = 0 THEN 10 ELSE 0 END AS {QTY})"),
+    ("vlrverbavda", f"CAST({_CP} % 50 AS {MONEY})"),
+    ("qtdvda", f"CASE WHEN {_CP} % 16 = 8 THEN NULL ELSE CAST(CASE WHEN {_CP} % 8 = 0 THEN 0 ELSE {_CP} % 40 + 5 END AS {QTY}) END"),
+    ("vlrverbavdaacr", f"CASE WHEN {_CP} % 3 = 0 THEN NULL ELSE CAST({_CP} % 20 AS {MONEY}) END"),
+], where="l_linenumber <> 6", distinct=True),))
+
+# Cost surcharge of related products, per product and day.
+COST_SURCHARGES = StandIn("map_prodacresccustorelac", (_p("lineitem", [
+    ("seqproduto", "CAST(l_partkey AS INT)"),
+    ("dtamovimentacao", "CAST(l_shipdate AS DATE)"),
+    ("percacresccustorelacvig", "CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE CAST(1.02 + l_partkey % 5 * 0.01 AS DECIMAL(6,4)) END"),
+], where="l_partkey % 4 = 0 AND l_linenumber < 4", distinct=True),))
 
 # A re-sent sales window with corrected discounts and one new column.
 SALES_CORRECTED = StandIn("maxv_abcdistribbase_corrigida", (Part(
@@ -103,35 +144,6 @@ SALES_CORRECTED = StandIn("maxv_abcdistribbase_corrigida", (Part(
           for a, e in SALES.parts[0].columns)
     + (("vlrembalagem", f"CAST(l_linenumber AS {MONEY})"),)),),)
 
-# Sales lines with the day-cost components of the cost-of-goods rule (A11).
-_UC = f"CAST({_UNIT_CENTS} AS DECIMAL(18,0)) * 0.01"
-SALES_COST_LINES = StandIn("custo_venda_linhas", (_p("lineitem", [
-    ("dtavda", "CAST(l_shipdate AS DATE)"),
-    ("nroempresa", "CAST(l_orderkey % 10 + 1 AS INT)"),
-    ("seqproduto", "CAST(l_partkey AS INT)"),
-    ("qtditem", f"CASE WHEN l_returnflag = 'R' THEN CAST(0 AS {QTY}) ELSE {_QTY} END"),
-    ("qtddevolitem", f"CASE WHEN l_returnflag = 'R' THEN {_QTY} WHEN l_linenumber = 2 THEN {_QTY} ELSE CAST(0 AS {QTY}) END"),
-    ("qtdembalitem", f"CAST(CASE WHEN l_linenumber % 3 = 0 THEN 6 ELSE 1 END AS {QTY})"),
-    ("vlrdescacordoverbapdv", f"CAST(ROUND({_PRICE} * {_DISC} * 0.1, 2) AS {MONEY})"),
-    ("cmdiavlrnf", f"CAST(ROUND({_UC} * 0.6, 4) AS DECIMAL(18,4))"),
-    ("cmdiaipi", f"CAST(ROUND({_UC} * {_TAX} * 0.2, 4) AS DECIMAL(18,4))"),
-    ("cmdiacredicms", f"CAST(ROUND({_UC} * 0.07, 4) AS DECIMAL(18,4))"),
-    ("cmdiacredpis", f"CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(ROUND({_UC} * 0.0165, 4) AS DECIMAL(18,4)) END"),
-    ("cmdiacredcofins", f"CAST(ROUND({_UC} * 0.076, 4) AS DECIMAL(18,4))"),
-    ("cmdiacredipi", "CAST(NULL AS DECIMAL(18,4))"),
-    ("cmdiaicmsst", f"CAST(ROUND({_UC} * {_TAX}, 4) AS DECIMAL(18,4))"),
-    ("cmdiadespnf", "CAST(0.05 AS DECIMAL(18,4))"),
-    ("cmdiadespforanf", "CAST(0.02 AS DECIMAL(18,4))"),
-    ("cmdiadctoforanf", f"CAST(ROUND({_UC} * {_DISC}, 4) AS DECIMAL(18,4))"),
-    ("fatoracrescimo", "CAST(CASE WHEN l_suppkey % 5 = 0 THEN 1.02 ELSE 1.00 END AS DECIMAL(6,4))"),
-    ("propqtdprodutobase", "CASE WHEN l_partkey % 7 = 0 THEN CAST(0.5 AS DECIMAL(9,4)) END"),
-    ("qtdverbavda", f"CAST(CASE WHEN l_partkey % 4 = 0 THEN 10 ELSE 0 END AS {QTY})"),
-    ("vlrverbavda", f"CAST(l_partkey % 50 AS {MONEY})"),
-    ("qtdvda", f"CAST(CASE WHEN l_partkey % 8 = 0 THEN 0 ELSE l_partkey % 40 + 5 END AS {QTY})"),
-    ("acmcompravenda", "CASE WHEN l_suppkey % 2 = 0 THEN 'S' ELSE 'N' END"),
-    ("vlrverbavdaacr", f"CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE CAST(l_suppkey % 20 AS {MONEY}) END"),
-]),))
-
 _RECEIPT_OP = ("CASE l_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 11 WHEN 2 THEN 105 WHEN 3 THEN 107 "
                "WHEN 4 THEN 200 WHEN 5 THEN 205 ELSE 999 END")
 
@@ -209,6 +221,8 @@ RECEIPT_PRODUCTS = StandIn("nf_produto", (_p("part", [
     ("seqproduto", "CAST(p_partkey AS INT)"), ("seqfamilia", "CAST(p_partkey - p_partkey % 3 AS INT)"),
     ("seqprodutobase", "CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey + 1 AS INT) END"),
     ("percacresccustorelacvig", "CASE WHEN p_partkey % 8 = 0 THEN CAST(1.02 AS DECIMAL(6,4)) END"),
+    ("seqprodutobaseantigo", "CASE WHEN p_partkey % 10 = 0 THEN CAST(p_partkey + 2 AS INT) END"),
+    ("propqtdprodutobase", "CASE WHEN p_partkey % 7 = 0 THEN CAST(0.5 AS DECIMAL(9,4)) END"),
 ]),))
 FAMILY_DIVISIONS = StandIn("map_famdivisao", tuple(
     _p("part", [("seqfamilia", "CAST(p_partkey AS INT)"), ("nrodivisao", str(d))], None if d < 3 else "p_size > 10") for d in (1, 2, 3)))
@@ -325,6 +339,7 @@ STORES = StandIn("max_empresa", (_p("orders", [
     ("status", f"CASE WHEN {_K} = 8 THEN 'I' ELSE 'A' END"),
     ("nroempresa", f"CAST({_K} + 1 AS INT)"),
     ("nrodivisao", "1"),
+    ("nroempcustoabc", f"CASE WHEN {_K} % 4 = 1 THEN CAST({_K} AS INT) END"),
     ("nrocgc", f"CAST(12345678 + {_K} AS STRING)"),
     ("digcgc", f"CAST({_K} * 7 % 100 AS DECIMAL(18,0))"),
     ("nrosegmentoprinc", f"CAST({_K} % 2 + 1 AS DECIMAL(18,0))"),
@@ -753,7 +768,7 @@ ORDER_ORIGINS = StandIn("madv_origempedido", (_p("customer", [
     ("origempedido", "substr(c_mktsegment, 1, 2)"), ("descorigempedido", "lower(c_mktsegment)"),
 ], distinct=True),))
 
-ALL = {t.name: t for t in [SALES, SALES_CORRECTED, SALES_COST_LINES, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
+ALL = {t.name: t for t in [SALES, SALES_CORRECTED, SALES_DAY_COSTS, COST_SURCHARGES, RECEIPTS, RECEIPT_LINES, STOCK_LEDGER, STOCK_DAILY, ORDER_HEADERS,
                            ORDER_ITEMS, STORES, CHECKOUTS, SEGMENTS, PRODUCTS, FAMILIES, BRANDS,
                            CATEGORIES, BARCODES, FAMILY_SUPPLIERS, PERSONS, SUPPLIER_DIVISIONS,
                            LOCATIONS, TARGET_PARAMS, STORE_ADJUSTMENTS, INDICATORS, EVENT_SALES, RUN_LOG, REGISTRY_ANSWERS, REGISTRY_STORED,
