@@ -6,15 +6,11 @@ row whose key appears in the batch is removed and the whole batch is added
 with SQL equality). New batch columns are added to the table with NULL for
 old rows (``unionByName(allowMissingColumns=True)``).
 
-``load_delete_insert`` applies it to a month-partitioned parquet table and
-rewrites only the partitions that change. When the key holds the partition
-column those are the batch's months; otherwise a corrected row may live in
-another month, so the months holding matching keys are found first with a
-key-only semi join. New partition contents are staged under the shared
-checkpoint folder (never overwriting a path the plan reads) and then swapped
-in with dynamic partition overwrite; a month left empty is removed. Rows with a
-NULL partition value form a partition like any other. Applying
-the same batch again gives the same table, so a failed run can be retried.
+``load_delete_insert`` applies it to a month-partitioned table of commit
+records (``publish.py``): only the files that hold one of the batch's keys are
+rewritten, and the change becomes visible by one record. Rows with a NULL
+partition value form a partition like any other. Applying the same batch again
+gives the same table, so a failed run can be retried.
 """
 
 from __future__ import annotations
@@ -26,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators import publish
 from shelfspark.session import scratch_path
 
 
@@ -58,27 +55,23 @@ def since_batch_start(stg: DataFrame, raw_batch: DataFrame, stg_date: str, raw_d
     return stg.where(F.col(stg_date) >= F.lit(lo))
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-# Fixed value: the folder name of a NULL partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
 def remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = publish.file_system(spark, path)
     fs.delete(p, True)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    """Whether there is a table: a commit, or plain files. A first write that stopped half-way is none."""
+    if publish.is_published(spark, path):
+        return publish.newest(spark, path) is not None
+    fs, p = publish.file_system(spark, path)
     return fs.exists(p)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    commit = publish.newest(spark, path)
+    if commit is not None:
+        return publish.read(spark, path, commit)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -107,50 +100,23 @@ def full_refresh(spark: SparkSession, path: str, df: DataFrame, partition_col: s
     """Rebuild a table from scratch; refused for facts whose source only holds a window."""
     if window_only_source and table_exists(spark, path):
         raise ValueError(f"{path}: the source holds only a rolling window; a full rebuild would drop history")
-    laid_out(df, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    publish.overwrite(laid_out(df, partition_col, sort_cols), path, partition_col)
 
 
 def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
                        partition_col: str, partition_from_key: bool = False,
-                       sort_cols: Sequence[str] = ()) -> None:
-    """Merge ``batch`` into the parquet table at ``path`` (partitioned by ``partition_col``).
+                       sort_cols: Sequence[str] = (), batches: dict[str, int] | None = None) -> None:
+    """Merge ``batch`` into the table at ``path`` (partitioned by ``partition_col``).
 
     ``partition_from_key`` declares that the partition value is a function of
     the key (e.g. the month of a date in the key), so a key never moves
-    between partitions and only the batch's own partitions are touched.
+    between partitions and only the batch's own partitions are looked at.
+    ``batches`` names streams and the numbers of their batches in this merge.
     """
     # the batch is used several times below: evaluate it once
     arrived = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
     batch.write.parquet(arrived)
-    batch = spark.read.schema(batch.schema).parquet(arrived)
-    target = existing_table(spark, path)
-    if target is None:
-        laid_out(batch, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        remove(spark, arrived)
-        return
-    batch_parts = batch.select(partition_col).distinct()
-    if partition_from_key or partition_col in key:
-        affected = batch_parts
-    else:
-        holding = target.join(batch.select(*key).distinct(), list(key), "left_semi").select(partition_col)
-        affected = holding.union(batch_parts).distinct()
-    # one value per month, NULL among them: bounded by the calendar, safe to bring to the driver
-    months = [r[0] for r in affected.collect()]
-    if not months:
-        remove(spark, arrived)
-        return
-    col = F.col(partition_col)
-    touched = col.isin([m for m in months if m is not None])
-    current = target.where(touched | col.isNull() if None in months else touched)
-    new_content = delete_insert(current, batch, key)
-    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    new_content.write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    (laid_out(staged, partition_col, sort_cols).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    for m in months:
-        if m not in present:  # every row of that month moved or was deleted
-            remove(spark, f"{path.rstrip('/')}/{partition_col}={NULL_PARTITION if m is None else m}")
-    remove(spark, stage)
+    stored = spark.read.schema(batch.schema).parquet(arrived)
+    publish.merge(path, stored, key, lambda df: laid_out(df, partition_col, sort_cols), partition_col,
+                  partition_from_key or partition_col in key, batches)
     remove(spark, arrived)

@@ -28,7 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.incremental import (existing_table, full_refresh, load_delete_insert, since_batch_start,
+from shelfspark.operators import publish
+from shelfspark.operators.incremental import (existing_table, full_refresh, load_delete_insert, read_table, since_batch_start,
                                               table_exists)
 from shelfspark.plans import calendar as cal
 from shelfspark.plans import dims, enrich, extracts, facts, marts, silver, targets
@@ -58,7 +59,7 @@ def _month(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def _stored(w: Warehouse, out: str, name: str) -> DataFrame:
-    return w.spark.read.parquet(f"{out}/gold/{name}")
+    return read_table(w.spark, f"{out}/gold/{name}")
 
 
 def _allocation(w: Warehouse, out: str) -> DataFrame:
@@ -106,11 +107,10 @@ def _product_store(w: Warehouse, out: str) -> DataFrame:
 
 
 def _upserted(name: str, refresh: Callable, landed: str) -> Callable[[Warehouse, str], DataFrame]:
-    """A table that landed rows are merged into: read as stored (the raw one on the first run), then overwritten."""
+    """A table that landed rows are merged into: read as stored (the raw one on the first run), then replaced by one commit."""
     def run(w: Warehouse, out: str) -> DataFrame:
         current = existing_table(w.spark, f"{out}/gold/{name}")
-        checkpoint_dir(w.spark)
-        return refresh(w.raw(name) if current is None else current, w.raw(landed)).checkpoint(eager=True)
+        return refresh(w.raw(name) if current is None else current, w.raw(landed))
     return run
 
 
@@ -179,7 +179,7 @@ def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: se
             load_delete_insert(spark, path, rows, list(m.key), MONTH_COL, partition_from_key=m.partition_from_key,
                                sort_cols=FACT_SORT)
     else:
-        df.write.mode("overwrite").parquet(path)
+        publish.overwrite(df, path)
     return m.name
 
 

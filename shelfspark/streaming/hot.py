@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.operators import publish
 from shelfspark.operators.incremental import load_delete_insert
 from shelfspark.plans import facts, silver
 
@@ -52,14 +53,21 @@ def latest_run_per_key(fact_rows: DataFrame, key: list[str]) -> DataFrame:
     return latest.unionByName(fact_rows.where(~whole)).drop("lote")
 
 
-def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key: list[str]):
-    """``foreachBatch`` function: one delete+insert per micro-batch, newest run per key."""
+def merge_runs(target_path: str, to_fact: Callable[[DataFrame], DataFrame], key: list[str], stream: str):
+    """``foreachBatch`` function: one delete+insert per micro-batch, newest run per key.
+
+    ``stream`` names the query. The table's commit records hold the number of
+    its last merged batch, so a batch replayed after a crash is left out.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # a micro-batch of empty files changes nothing
             return
+        last = publish.newest(batch.sparkSession, target_path)
+        if last is not None and last.batches.get(stream, -1) >= batch_id:
+            return
         rows = latest_run_per_key(to_fact(batch), key)
         load_delete_insert(batch.sparkSession, target_path, rows, key, PARTITION_COL, partition_from_key=True,
-                           sort_cols=("empresa_id", "produto_id"))
+                           sort_cols=("empresa_id", "produto_id"), batches={stream: batch_id})
     return apply
 
 
@@ -78,7 +86,7 @@ def run_hot_path(spark: SparkSession, landing_dir: str, target_path: str, checkp
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(landing_dir)
     query = (stream.writeStream
-                   .foreachBatch(merge_runs(target_path, sales_batch_to_fact, facts.SALES_KEY))
+                   .foreachBatch(merge_runs(target_path, sales_batch_to_fact, facts.SALES_KEY, checkpoint))
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True)
                    .start())

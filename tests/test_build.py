@@ -3,6 +3,7 @@ import tempfile
 
 import pytest
 
+from shelfspark.operators.incremental import read_table
 from shelfspark.plans import build
 
 SF = "/root/testdata/sf0.001"
@@ -12,10 +13,10 @@ def test_cold_build_is_idempotent_and_guards_full_refresh(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build-"), "wh")
     names = build.build(spark, SF, out)
     assert "fato_venda" in names and "mart_curva_abc" not in names   # monthly models skipped
-    counts = {n: spark.read.parquet(f"{out}/gold/{n}").count() for n in names}
+    counts = {n: read_table(spark, f"{out}/gold/{n}").count() for n in names}
     build.build(spark, SF, out, select=["fato_venda", "fato_pedido_compra", "fato_estoque_movimento"])
     for n in ["fato_venda", "fato_pedido_compra", "fato_estoque_movimento"]:
-        assert spark.read.parquet(f"{out}/gold/{n}").count() == counts[n]
+        assert read_table(spark, f"{out}/gold/{n}").count() == counts[n]
     # the allocation read the stored shares; monthly marts build when selected
     assert counts["mart_meta_comercial"] > 0
     assert build.build(spark, SF, out, select=["mart_curva_abc"]) == ["mart_curva_abc"]
@@ -29,7 +30,7 @@ def test_marts_read_stored_history(spark):
     from shelfspark.plans.warehouse import Warehouse
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build2-"), "wh")
     build.build(spark, SF, out, select=["fato_venda"])
-    stored = spark.read.parquet(f"{out}/gold/fato_venda")
+    stored = read_table(spark, f"{out}/gold/fato_venda")
     w = Warehouse(spark, SF, stored=out)
     assert w.sales_fact.count() == stored.count()
     # drop the newest month from the extract: the stored-backed view still sees it
@@ -43,12 +44,12 @@ def test_quality_run_after_build(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build3-"), "wh")
     build.build(spark, SF, out, exclude_tags=())
     # every gold model is there, facts carry the load stamp, and merged tables stay as they are when merged again
-    counts = {m.name: spark.read.parquet(f"{out}/gold/{m.name}").count() for m in build.MODELS}
+    counts = {m.name: read_table(spark, f"{out}/gold/{m.name}").count() for m in build.MODELS}
     assert {"dim_produto_empresa", "dim_fornecedor_tributario", "cnpj_dados_receita", "indicadores_mercado_externo"} <= set(counts)
-    assert all(counts.values()) and "carregado_em" in spark.read.parquet(f"{out}/gold/fato_venda").columns
+    assert all(counts.values()) and "carregado_em" in read_table(spark, f"{out}/gold/fato_venda").columns
     again = ["cnpj_dados_receita", "indicadores_mercado_externo", "dim_fornecedor_tributario"]
     build.build(spark, SF, out, select=again)
-    assert {n: spark.read.parquet(f"{out}/gold/{n}").count() for n in again} == {n: counts[n] for n in again}
+    assert {n: read_table(spark, f"{out}/gold/{n}").count() for n in again} == {n: counts[n] for n in again}
     res = {(r.tabela, r.teste, r.colunas): r.violacoes for r in quality.run(spark, SF, out).collect()}
     assert len(res) == len(quality.EXPECTATIONS) + 2
     assert res[("dim_empresa_info", "unique", "empresa_id")] == 0
@@ -68,25 +69,25 @@ def test_parallel_build_matches_serial(spark):
     names = build.build(spark, SF, a)
     assert sorted(build.build(spark, SF, b, parallelism=4)) == sorted(names)
     for n in ["fato_venda", "dim_produto_info", "mart_meta_comercial", "mart_meta_referencia_grupo"]:
-        x, y = spark.read.parquet(f"{a}/gold/{n}"), spark.read.parquet(f"{b}/gold/{n}")
+        x, y = read_table(spark, f"{a}/gold/{n}"), read_table(spark, f"{b}/gold/{n}")
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
 
 
 def test_writeback_step_persists_and_is_stable(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build5-"), "wh")
     build.build(spark, SF, out)
-    first = spark.read.parquet(f"{out}/gold/meta_ajustes_loja")
+    first = read_table(spark, f"{out}/gold/meta_ajustes_loja")
     n, ids = first.count(), {r.id for r in first.select("id").collect()}
     assert first.where("meta_padrao_sem_ajuste IS NOT NULL").count() > 0
     build.build(spark, SF, out, select=["meta_ajustes_loja"])   # re-run: rows updated, none inserted again
-    again = spark.read.parquet(f"{out}/gold/meta_ajustes_loja")
+    again = read_table(spark, f"{out}/gold/meta_ajustes_loja")
     assert again.count() == n and {r.id for r in again.select("id").collect()} == ids
 
 
 def test_full_build_twice(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="shelf-build6-"), "wh")
     build.build(spark, SF, out)
-    before = spark.read.parquet(f"{out}/gold/dim_empresa_info").count()
+    before = read_table(spark, f"{out}/gold/dim_empresa_info").count()
     build.build(spark, SF, out)     # dimensions rebuilt from the sources, marts read the stored ones
-    assert spark.read.parquet(f"{out}/gold/dim_empresa_info").count() == before
-    assert spark.read.parquet(f"{out}/gold/mart_meta_comercial").count() > 0
+    assert read_table(spark, f"{out}/gold/dim_empresa_info").count() == before
+    assert read_table(spark, f"{out}/gold/mart_meta_comercial").count() > 0
