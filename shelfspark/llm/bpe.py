@@ -199,6 +199,17 @@ def round_trip(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
                                               pa.array(ids, pa.string()), pa.array(text, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    def split(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            for row, doc_id, text in zip(*(c.to_pylist() for c in b.columns)):
+                at = range(0, len(text), leaf)
+                for few in (at[i:i + 64] for i in range(0, len(at), 64)):
+                    n = len(few)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row] * n, pa.int64()), pa.array([doc_id] * n, pa.int64()), pa.array([i // leaf for i in few], pa.int32()),
+                         pa.array([text[i:i + leaf] for i in few], pa.string())], ["row", "doc_id", "leaf", "piece"])
+
     def encode(batches: Iterator) -> Iterator:
         import array
 
@@ -221,8 +232,7 @@ def round_trip(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
     short = rows.where(length <= leaf).mapInArrow(direct, RESULT)
     cut = rows.where(length > leaf).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    leaves = cut.select("row", "doc_id", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / leaf).cast("int"))).alias("leaf"), "text") \
-                .select("row", "doc_id", "leaf", F.expr(f"substring(text, leaf * {leaf} + 1, {leaf})").alias("piece"))
+    leaves = cut.mapInArrow(split, "row long, doc_id long, leaf int, piece string")
     encoded = leaves.repartition("row", "leaf").mapInArrow(encode, "row long, doc_id long, leaf int, ids binary")
     long = encoded.groupBy("row").applyInArrow(join, RESULT)
     return short.unionByName(long)

@@ -2,7 +2,9 @@
 
 Every element subtree of a page is hashed. Spark counts on how many different
 pages of a host each hash occurs; subtrees that recur on many of them are the
-site's template and are deleted from every page. What remains is the article:
+site's template and are deleted from every page: outside an article those on
+``MIN_PAGES`` pages, inside one those that half of the host's articles share as
+well, since articles quote each other. What remains is the article:
 elements that are never part of one (menus, forms, scripts, adverts, reader
 comments ...) go by their name, role or class, and the text of the article
 element (or main, or body) is returned in blocks.
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm.common import small_batches, stored
 
-# A template occurs on at least so many different pages of its host, and on this share of them.
+# A template occurs on at least so many different pages of its host; inside articles also in this share of them.
 MIN_PAGES = 10
 SHARE = 0.5
 # 8 bytes each: 16 MB in every executor at most.
@@ -47,6 +49,9 @@ NAMES = frozenset(
     "notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb "
     "breadcrumbs masthead comment comments disqus respond share sharing social related recommended promo promotion "
     "pagination pager footer".split())
+# Words that may stand beside these in a compound name.
+NEUTRAL = frozenset("list box block area wrap wrapper container section widget item items bar form link links post posts button buttons "
+                    "top bottom left right site page inner outer main text label header body unit slot side".split())
 
 
 def _patterns():
@@ -66,7 +71,7 @@ def _never(tag: str, attributes: str, in_article: bool, find) -> bool:
         return False
     for name, *values in find.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id") and any(w in NAMES for w in re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and any(_named(re.findall(r"[a-z]+", w)) for w in value.split()):
             return True
         if name == "role" and value in ROLES or name == "hidden" and value != "until-found":
             return True
@@ -75,6 +80,11 @@ def _never(tag: str, attributes: str, in_article: bool, find) -> bool:
     return False
 
 
+def _named(words: list[str]) -> bool:
+    """Whether a class or id is one of NAMES, or made of such and neutral words only."""
+    return any(w in NAMES for w in words) and all(w in NAMES or w in NEUTRAL for w in words)
+
+
 class _Open:
     __slots__ = ("tag", "parts", "block", "dropped", "article", "main", "text")
 
@@ -267,7 +277,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
     once per different article: copies of an article make no template of it.
     """
     seen = stored(_subtrees(pages), "subtrees")
-    found = _recurring(seen, "page", "outside", min_pages, share).unionByName(
+    found = _recurring(seen, "page", "outside", min_pages, 0.0).unionByName(
         _recurring(seen, "article", "inside", min_pages, share)).distinct()
     return seen, stored(found, "templates")
 

@@ -1,11 +1,15 @@
 """URL filters: hand-written rules first, association rules mined from their verdicts for the rest.
 
-URLs that a base rule decides are labelled by it. Their tokens (parts of host,
-path and query) and the label are transactions of Spark's FP-growth; rules
+URLs that a base rule decides are labelled by it. All words of their host, path,
+query and fragment, and the label, are transactions of Spark's FP-growth; rules
 that conclude a label are pruned by confidence and support, and dropped where
-a shorter rule with the same conclusion is at least as sure. The others' URLs
+a shorter rule with the same conclusion is at least as sure. Words that stand
+in the same labelled URLs tell the same, so they are mined as one; words of all
+labelled URLs tell nothing. Both lose no rule. The others' URLs
 look rules up in an inverted index that files each rule under its rarest
-token, and the surest rule that matches decides. DataFrame functions only.
+token, and the surest rule that matches decides: of equally sure rules the one
+with more support, then with more words, then one that blocks, then the last
+in the order of its words. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -20,8 +24,6 @@ from shelfspark.llm.common import stored
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.8
-# Tokens of a mined rule at most: shorter rules are the more general ones.
-MAX_TOKENS = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,22 +55,37 @@ def host_and_path(url):
 
 
 def tokens(url, host, path):
-    """Sorted tokens of a URL, at most nine: domain parts, path parts, form of the last part, first query key, fragment."""
-    labels, parts = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda p: p != "")
-    size, depth = F.size(labels), F.size(parts)
-    last = F.element_at(parts, -1)
-    query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^#?]*\?([^=&#]*)", 1)
-    shape = F.when(F.regexp_like(last, F.lit(r"^[0-9]+")), F.concat(F.lit("#"), F.substring(last, 1, 1))).otherwise(F.lit("text"))
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(
-        F.when(host != "", F.concat(F.lit("tld:"), F.element_at(labels, -1))),
-        F.when(size >= 2, F.concat(F.lit("site:"), F.array_join(F.slice(labels, -F.least(size, F.lit(3)), F.least(size, F.lit(3))), "."))),
-        F.when(size >= 3, F.concat(F.lit("first:"), F.element_at(labels, 1))),
-        F.when(depth >= 1, F.concat(F.lit("dir:"), F.element_at(parts, 1))),
-        F.when(depth >= 1, F.concat(F.lit("last:"), shape)),
-        F.when(depth >= 1, F.concat(F.lit("ext:"), F.regexp_extract(last, r"\.([A-Za-z0-9]{1,5})$", 1))),
-        F.concat(F.lit("depth:"), F.least(depth, F.lit(4)).cast("string")),
-        F.when(query != "", F.concat(F.lit("query:"), query)),
-        F.when(F.contains(F.coalesce(url, F.lit("")), F.lit("#")), F.lit("fragment")))))).alias("tokens")
+    """Sorted different tokens of a URL: the words of host labels, path parts, query keys and values, and fragment, by where they stand."""
+    whole = F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER)
+    query = F.regexp_extract(whole, r"(?s)^[^#?]*\?([^#]*)", 1)
+    pairs = F.split(query, "&")
+    places = (("host", host), ("path", F.translate(path, UPPER, LOWER)), ("fragment", F.regexp_extract(whole, r"(?s)^[^#]*#(.*)", 1)),
+              ("key", F.array_join(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)), "&")),
+              ("value", F.array_join(F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), F.regexp_replace(p, r"^[^=]*=", "")).otherwise("")), "&")))
+
+    def words_of(name, text):
+        return F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.concat(F.lit(name + ":"), w))
+
+    words = [words_of(name, text) for name, text in places]
+    return F.array_sort(F.array_distinct(F.concat(*words))).alias("tokens")
+
+
+def told(rows: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """``row, verdict, tokens`` of all rows, with the tokens that can be in a rule only.
+
+    These are in at least ``min_support`` of the labelled rows, and not in all;
+    tokens of the same labelled rows are named by the first of them.
+    """
+    each = rows.select("row", "verdict", F.explode("tokens").alias("token"))
+    labelled = rows.where("verdict IS NOT NULL").count()
+    seen = each.where("verdict IS NOT NULL").groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("a"), F.sum(F.shiftright(F.xxhash64("row", F.lit(1)), 24)).alias("b"))
+    useful = seen.where((F.col("n") >= min_support * labelled) & (F.col("n") < labelled))  # average words / min_support tokens at most
+    same = useful.groupBy("n", "a", "b").agg(F.min("token").alias("name"))
+    named = stored(useful.join(same, ["n", "a", "b"]).select("token", "name"), "url-tokens")
+    found = each.join(named, "token").groupBy("row").agg(F.array_sort(F.collect_set("name")).alias("tokens"))
+    return rows.select("row", "verdict").join(found, "row", "left") \
+               .select("row", "verdict", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
 
 
 def judged(pages: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
@@ -82,17 +99,16 @@ def judged(pages: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
                        tokens(F.col("url"), F.col("host"), F.col("path")), rule.alias("rule"), verdict.alias("verdict"))
 
 
-def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-          max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``id, tokens, rarest, verdict, confidence, support`` of the rules mined from ``tokens, verdict`` rows.
 
-    Their number is bounded by the tokens that reach the support (at most nine
-    in a URL, so 9 / min_support) and max_tokens, not by the table.
+    Their number is bounded by the tokens that reach the support (a URL's
+    words / min_support) and not by the table.
     """
     items = F.concat("tokens", F.array(F.concat(F.lit("label:"), F.col("verdict"))))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
     goal = F.element_at("consequent", 1)
-    found = model.associationRules.where(goal.startswith("label:") & (F.size("antecedent") <= max_tokens)) \
+    found = model.associationRules.where(goal.startswith("label:")) \
         .where(~F.exists("antecedent", lambda t: t.startswith("label:"))) \
         .select(F.array_sort("antecedent").alias("tokens"), F.substring(goal, 7, 100).alias("verdict"),
                 F.round("confidence", 9).alias("confidence"), F.round("support", 9).alias("support"))
@@ -132,10 +148,10 @@ def verdicts(pages: DataFrame, base: tuple[Rule, ...] = BASE, default: str = "al
     extra columns are ignored; an empty table gives an empty result.
     """
     rows = stored(judged(pages, base), "url-rows")
-    labelled, open_rows = rows.where("verdict IS NOT NULL"), rows.where("verdict IS NULL")
-    if labelled.isEmpty():
+    if rows.where("verdict IS NOT NULL").isEmpty():
         return rows.select("page_id", "host", "path", "rule", F.lit(default).alias("verdict"),
                            F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("because"))
-    found = matched(open_rows, mined(labelled, min_support, min_confidence))
+    useful = stored(told(rows, min_support), "url-words")
+    found = matched(useful.where("verdict IS NULL"), mined(useful.where("verdict IS NOT NULL"), min_support, min_confidence))
     return rows.join(found, "row", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", "mined", F.lit(default)).alias("verdict"), "confidence", "because")

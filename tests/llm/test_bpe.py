@@ -65,5 +65,20 @@ def test_query_rows(spark, codec):
     assert got == sorted(want, key=str)
 
 
+def test_time_grows_with_the_length_of_a_text(spark):
+    """Leaves are cut in one pass: a text of eight times the length takes no more than about eight times as long."""
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "some words, " * (n // 12))], "doc_id long, text string")
+        start = time.perf_counter()
+        bpe.round_trip(df, tokenizer_path()).collect()
+        return time.perf_counter() - start
+
+    seconds(100_000)
+    short = max(seconds(1_000_000), 1.0)
+    assert seconds(8_000_000) < 16 * short
+
+
 def test_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), tokenizer_path()).count() == 0

@@ -45,13 +45,25 @@ def test_base_rules(spark):
 def test_mined_rules_match_brute_force(spark):
     urls = [f"http://{'abc'[i % 3]}.example.{'org' if i % 4 else 'net'}/{'es' if i % 5 == 0 else 'en'}/{i % 7}" for i in range(400)]
     urls += [f"http://shop.com/{'de' if i % 2 else 'fr'}/{i}.html?id=1" for i in range(100)]
-    rows = U.judged(spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], SCHEMA)).collect()
+    urls += [f"http://q.com/de/{'-'.join(w)}" for w in itertools.product(("red", "blue"), ("big", "small"), ("old", "new")) for _ in range(9)]
+    urls += ["http://long.net/" + "-".join(f"w{i}" for i in range(20_000)), "http://x.net/red-big/old?a=b&c=d-e#top"]
+    judged = U.judged(spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], SCHEMA)).cache()
+    raw = {r.row: r for r in judged.collect()}
+    assert any({"path:red", "path:big", "key:a", "value:b", "key:c", "value:d", "value:e", "fragment:top", "host:x"} <= set(r.tokens) for r in raw.values())
+    rows = U.told(judged, 0.05).collect()
+    n = sum(r.verdict is not None for r in rows)
+    where = {}
+    for r in raw.values():
+        for t in r.tokens if r.verdict else ():
+            where.setdefault(t, set()).add(r.row)
+    useful = {t: min(u for u, x in where.items() if x == w) for t, w in where.items() if 0.05 * n <= len(w) < n}
+    assert {r.row: r.tokens for r in rows} == {k: sorted({useful[t] for t in r.tokens if t in useful}) for k, r in raw.items()}
     labelled = [(set(r.tokens), r.verdict) for r in rows if r.verdict]
     found = {}
     counts = Counter()
     both = Counter()
     for t, v in labelled:
-        for n in range(1, U.MAX_TOKENS + 1):
+        for n in range(1, len(t) + 1):
             for c in itertools.combinations(sorted(t), n):
                 counts[c] += 1
                 both[c, v] += 1
