@@ -27,7 +27,7 @@ from shelfspark.llm.common import small_batches, stored
 SIZE = 4096
 END = 1
 # Words whose ids a Python worker remembers at most; longer words are not remembered.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 40
 # The pre-tokenizer's fixed pattern: none of its matches holds white space, so words can be encoded one by one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -93,6 +93,8 @@ class Encoder:
 
         def encode(word: str) -> list[int] | None:
             """Ids of a word, or None where it is not plain."""
+            if word.isascii() and word.isalpha():  # one part
+                return merge(word.lower() + " ")
             if not plain.fullmatch(word) or "<|" in word:
                 return None
             return merge(" ".join(parts.findall(word.lower())) + " ")
