@@ -23,7 +23,10 @@ CONTRACT = {
     "op7_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     "op8_url_filters": ["page_id", "host", "path", "rule", "verdict"],
     "op9_feistel_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
-    "op10_simhash": ["doc_id", "fingerprint", "component_id"]}
+    "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_phrase_mining": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]}
 
 
 def test_registered():
@@ -35,7 +38,8 @@ def test_registered():
 def test_query_rows_and_columns(spark, name):
     df = E.queries()[name](spark, SF)
     assert df.columns[: len(CONTRACT[name])] == CONTRACT[name]
-    if name != "op4_decontamination":
+    # a row per overlap, phrase or piece; all others a row per document or page
+    if name not in ("op4_decontamination", "op11_phrase_mining", "op13_best_fit_packing"):
         table = "pages" if CONTRACT[name][0] == "page_id" else "documents"
         assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
         assert df.select(CONTRACT[name][0]).distinct().count() == df.count()
