@@ -459,7 +459,38 @@ def last_receipt_supplier(w: Warehouse) -> DataFrame:
 @register("product_store_snapshot", oracle.PRODUCT_STORE_SNAPSHOT)
 def product_store_snapshot(w: Warehouse) -> DataFrame:
     """Product x store snapshot joining stock, prices, promotion, supplier delivery and ABC."""
-    return build.product_store(w, marts.delivery_time(w.receipts_fact), marts.abc_curve(w.sales_fact, w.product_category))
+    return build.product_store(w, marts.delivery_time(w.receipts_fact),
+                               marts.abc_curve(w.sales_fact, w.product_category)).drop("carregado_em")
+
+
+@register("price_staging", oracle.PRICE_STAGING)
+def price_staging(w: Warehouse) -> DataFrame:
+    """Prices per product x pack x segment x store: in force, promotional and scheduled."""
+    return silver.prices(w.raw("mrl_prodempseg")).drop("carregado_em")
+
+
+@register("promotion_staging", oracle.PROMOTION_STAGING)
+def promotion_staging(w: Warehouse) -> DataFrame:
+    """Promotion headers with their flags, leaflet and audit columns."""
+    return silver.promotions(w.raw("mrl_promocao")).drop("carregado_em")
+
+
+@register("promotion_item_staging", oracle.PROMOTION_ITEM_STAGING)
+def promotion_item_staging(w: Warehouse) -> DataFrame:
+    """Promotion items of unit packs with prices, own dates and sales during the promotion."""
+    return silver.promotion_items(extracts.unit_packs(w.raw("mrl_promocaoitem"))).drop("carregado_em")
+
+
+@register("order_header_staging", oracle.ORDER_HEADER_STAGING)
+def order_header_staging(w: Warehouse) -> DataFrame:
+    """Purchase-order headers, all codes decoded."""
+    return w.order_headers.drop("carregado_em")
+
+
+@register("order_item_staging", oracle.ORDER_ITEM_STAGING)
+def order_item_staging(w: Warehouse) -> DataFrame:
+    """Purchase-order items, all codes decoded."""
+    return w.order_items.drop("carregado_em")
 
 
 # ---------------------------------------------------------------- label backfill and code tables

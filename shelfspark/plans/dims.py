@@ -187,13 +187,13 @@ def product_store_snapshot(product_store: DataFrame, store_dimension: DataFrame,
     keeps the snapshot's grain (one row per product x store)."""
     today = F.lit(as_of).cast("date")
     e = store_dimension.select("empresa_id", "status_empresa", F.col("segmento_principal").alias("_seg"))
-    pr = prices.where(F.col("qtd_embalagem") == 1).withColumnRenamed("segmento_id", "_seg")
+    pr = prices.where(F.col("qtd_embalagem") == 1).drop("carregado_em").withColumnRenamed("segmento_id", "_seg")
     fp = product_dimension.select("produto_id", "fornecedor_principal_id").distinct()
     te = delivery.select(F.col("fornecedor_id").alias("fornecedor_ultima_entrada_id"), "empresa_id",
                          "media_tempo_entrega", "desvio_padrao_tempo_entrega")
     a = abc.select("produto_id", "empresa_id", "curva_abc_valor_empresa", "curva_abc_valor_categoria",
                    "curva_abc_valor_rede")
-    pv = promo.withColumnRenamed("segmento_id", "_seg")
+    pv = promo.withColumnsRenamed({"segmento_id": "_seg", "promocao_id": "_running"})
     out = (product_store.join(fp, "produto_id", "left")
            .join(last_supplier, ["produto_id", "empresa_id"], "left")
            .join(te, ["fornecedor_ultima_entrada_id", "empresa_id"], "left")
@@ -206,14 +206,23 @@ def product_store_snapshot(product_store: DataFrame, store_dimension: DataFrame,
         "produto_id", "empresa_id", "status_empresa", "fornecedor_principal_id", "fornecedor_ultima_entrada_id",
         "media_tempo_entrega", "desvio_padrao_tempo_entrega", "curva_abc_valor_empresa",
         "curva_abc_valor_categoria", "curva_abc_valor_rede", "status_compra", "status_venda", "gera_ruptura",
-        F.when(F.col("promocao_id").isNull(), "NÃO").otherwise("SIM").alias("ind_em_promoc"),
-        F.col("promocao_id").alias("promocao_vigente_id"), F.col("preco_promocional").alias("preco_promoc_vigente"),
+        F.when(F.col("_running").isNull(), "NÃO").otherwise("SIM").alias("ind_em_promoc"),
+        F.col("_running").alias("promocao_vigente_id"), F.col("preco_promocional").alias("preco_promoc_vigente"),
         F.col("perc_desconto").alias("perc_desconto_promoc"), "dta_inicio_promoc", "dta_fim_promoc",
         days_left.alias("dias_restantes_promoc"),
         (F.col("preco_valido_normal") - F.col("preco_promocional")).alias("desconto_absoluto"),
-        F.when(F.col("promocao_id").isNotNull() & (days_left <= 3), "SIM").otherwise("NÃO")
+        F.when(F.col("_running").isNotNull() & (days_left <= 3), "SIM").otherwise("NÃO")
          .alias("ind_promoc_encerrando_3dias"),
-        "estoque_loja", "estoque_empresa", "media_venda_diaria", "dias_estoque", "preco_base_normal",
-        "preco_valido_normal", "margem_lucro", "ind_revisao_preco", "ultimo_custo_liquido", "dta_ultima_venda",
-        "dias_sem_compra", "dias_sem_venda", "dias_sem_venda_desde_ultima_entrada",
+        "local_entrada_id", "local_saida_id", "estoque_loja", "estoque_deposito", "estoque_troca",
+        "estoque_almoxarifado", "estoque_outro", "estoque_empresa", "qtd_pedido_compra_pendente",
+        "qtd_pedido_expedicao_pendente", "qtd_recebimento_transito", "media_venda_diaria",
+        "media_venda_diaria_fora_promo", "dias_estoque", "preco_base_normal", "preco_ger_normal",
+        "preco_valido_normal", "preco_ger_promoc", "preco_valido_promoc", "margem_lucro", "custo_liq_precificacao",
+        "motivo_preco_valido", "dta_geracao_preco", "dta_validacao_preco", "dta_hora_alteracao_preco",
+        "dta_hora_alt_status_venda", "preco_ger_programado", "dta_preco_programado", "ind_revisao_preco",
+        "promocao_id", "ultimo_custo_liquido", "ultimo_valor_nf", "dta_ultima_movimentacao",
+        "dta_ultima_movimentacao_entrada", "dta_ultima_movimentacao_saida", "dta_ultima_entrada",
+        "qtd_ultima_entrada", "dta_ultima_compra", "qtd_ultima_compra", "dias_sem_compra", "dta_ultima_venda",
+        "qtd_ultima_venda", "dias_sem_venda", "dias_sem_venda_desde_ultima_entrada", "qtd_ultimo_inventario",
+        "carregado_em",
     )

@@ -184,6 +184,7 @@ def _label(c, mapping, humanize: bool):
 def order_headers(src: DataFrame, humanize: bool = True) -> DataFrame:
     """Purchase-order headers. ``humanize=False`` keeps the raw upper-cased codes,
     which is what rows loaded before the code labels existed hold."""
+    up = lambda c: F.upper(opt(src, c, "string"))
     return src.select(
         F.col("nropedidosuprim").cast("bigint").alias("pedido_id"),
         F.col("nroempresa").cast("int").alias("empresa_id"),
@@ -193,21 +194,42 @@ def order_headers(src: DataFrame, humanize: bool = True) -> DataFrame:
         _label(F.col("tippedidosuprim"), PURCHASE_ORDER_TYPES, humanize).alias("tip_pedido_suprim"),
         _label(F.col("situacaoped"), PURCHASE_ORDER_STATES, humanize).alias("situacao_ped"),
         F.col("dtaemissao").cast("date").alias("dta_emissao"),
+        opt(src, "dtaemissaooriginal", "date").alias("dta_emissao_original"),
         opt(src, "dtarecebto", "date").alias("dta_recebto"),
+        opt(src, "dtarecebtooriginal", "date").alias("dta_recebto_original"),
         opt(src, "dtalimiterecebto", "date").alias("dta_limite_recebto"),
+        opt(src, "dtahorinclusao", "timestamp_ntz").alias("dta_hor_inclusao"),
         opt(src, "dtaaprovacao", "date").alias("dta_aprovacao"),
-        F.upper(opt(src, "observacao", "string")).alias("observacao"),
+        up("usuaprovacao").alias("usu_aprovacao"),
+        opt(src, "justificativaaprovacao", "string").alias("justificativa_aprovacao"),
+        up("pzopagamento").alias("pzo_pagamento"),
+        up("condicaofrete").alias("condicao_frete"),
+        opt(src, "txvendor", NUM).alias("tx_vendor"),
+        up("nropedfornecedor").alias("nro_ped_fornecedor"),
+        up("observacao").alias("observacao"),
+        *[opt(src, f"qtdtot{state}", QTY).alias(f"qtd_tot_{state}")
+          for state in ("solicitada", "recebida", "cancelada", "transito", "aprovada")],
         opt(src, "vlrtotpedido", MONEY).alias("vlr_tot_pedido"),
+        opt(src, "vlrtotcancelado", MONEY).alias("vlr_tot_cancelado"),
+        opt(src, "vlrtotrecebido", MONEY).alias("vlr_tot_recebido"),
+        opt(src, "codgeraloper", "int").alias("cod_geral_oper"),
         opt(src, "seqtransportador", "int").alias("transportador_id"),
-        F.upper(opt(src, "motivopendencia", "string")).alias("motivo_pendencia"),
+        up("motivopendencia").alias("motivo_pendencia"),
+        opt(src, "codigopendencia", "int").alias("codigo_pendencia"),
         opt(src, "diasprorrogacao", "int").alias("dias_prorrogacao"),
         opt(src, "nropedsuprimorig", "bigint").alias("nro_ped_suprim_orig"),
         opt(src, "nroempresaorig", "int").alias("empresa_orig_id"),
+        _label(opt(src, "centrallojaorig", "string"), STORE_OR_HQ, humanize).alias("central_loja_orig"),
+        up("tipopedvenda").alias("tipo_ped_venda"),
+        up("indtransfempsec").alias("ind_transf_emp_sec"),
+        opt(src, "nrorequisicao", "bigint").alias("nro_requisicao"),
         _loaded(src),
     )
 
 
 def order_items(src: DataFrame, humanize: bool = True) -> DataFrame:
+    """Purchase-order items still to be received, or received."""
+    up = lambda c: F.upper(opt(src, c, "string"))
     return src.select(
         F.col("nropedidosuprim").cast("bigint").alias("pedido_id"),
         F.col("nroempresa").cast("int").alias("empresa_id"),
@@ -216,15 +238,24 @@ def order_items(src: DataFrame, humanize: bool = True) -> DataFrame:
         F.col("seqitem").cast("int").alias("item_seq"),
         opt(src, "qtdsolicitada", QTY).alias("qtd_solicitada"),
         opt(src, "qtdsolicitadaoriginal", QTY).alias("qtd_solicitada_original"),
+        opt(src, "qtdembalagem", QTY).alias("qtd_embalagem"),
         opt(src, "qtdaprovada", QTY).alias("qtd_aprovada"),
         opt(src, "qtdtotrecebida", QTY).alias("qtd_tot_recebida"),
         opt(src, "qtdtotcancelada", QTY).alias("qtd_tot_cancelada"),
         opt(src, "qtdtottransito", QTY).alias("qtd_tot_transito"),
         _label(F.col("statusitem"), ITEM_STATES, humanize).alias("status_item"),
+        opt(src, "dtaaprovacao", "date").alias("dta_aprovacao"),
         opt(src, "dtarecebtoitem", "date").alias("dta_recebto_item"),
         opt(src, "vlrunitario", MONEY).alias("vlr_unitario"),
         opt(src, "vlrembitem", MONEY).alias("vlr_emb_item"),
-        F.upper(opt(src, "motivopendencia", "string")).alias("motivo_pendencia"),
+        opt(src, "vlrembipi", MONEY).alias("vlr_emb_ipi"),
+        opt(src, "vlrembicmsst", MONEY).alias("vlr_emb_icmsst"),
+        opt(src, "vlrembverbacompra", MONEY).alias("vlr_emb_verba_compra"),
+        opt(src, "estoque", QTY).alias("estoque"),
+        up("observacaoitem").alias("observacao_item"),
+        up("motivopendencia").alias("motivo_pendencia"),
+        opt(src, "dtaalteracao", "date").alias("dta_alteracao"),
+        up("usualteracao").alias("usu_alteracao"),
         _loaded(src),
     )
 
@@ -453,10 +484,15 @@ def _status(c):
     return decode(c, ACTIVE_INACTIVE, default="NÃO INFORMADO")
 
 
+def _yes_no_unknown(c):
+    return decode(c, {"S": YES, "N": NO}, default="NÃO INFORMADO")
+
+
 def product_store(src: DataFrame, as_of) -> DataFrame:
-    """Stock and movement dates per product x store, with days of stock and days since.
+    """Stock, pending orders, sales means, costs and last movements per product x store,
+    with days of stock and days since.
 
-    ``as_of`` stands for the current date of the run.
+    ``as_of`` stands for the current date of the run. A mean of zero or NULL has no days of stock.
     """
     today = F.lit(as_of).cast("date")
     mean = opt(src, "medvdiageral", QTY)
@@ -466,19 +502,27 @@ def product_store(src: DataFrame, as_of) -> DataFrame:
         F.col("seqproduto").cast("int").alias("produto_id"),
         F.col("nroempresa").cast("int").alias("empresa_id"),
         _status(opt(src, "statuscompra", "string")).alias("status_compra"),
-        F.when(F.upper(opt(src, "indgeraruptura", "string")) == "S", YES)
-         .when(F.upper(opt(src, "indgeraruptura", "string")) == "N", NO).otherwise("NÃO INFORMADO").alias("gera_ruptura"),
         opt(src, "locentrada", "int").alias("local_entrada_id"),
         opt(src, "locsaida", "int").alias("local_saida_id"),
-        opt(src, "estqloja", QTY).alias("estoque_loja"),
-        opt(src, "estqdeposito", QTY).alias("estoque_deposito"),
-        opt(src, "estqempresa", QTY).alias("estoque_empresa"),
+        *[opt(src, f"estq{place}", QTY).alias(f"estoque_{place}")
+          for place in ("loja", "deposito", "troca", "almoxarifado", "outro", "empresa")],
+        opt(src, "qtdpendpedcompra_depreciada", QTY).alias("qtd_pedido_compra_pendente"),
+        opt(src, "qtdpendpedexped_depreciada", QTY).alias("qtd_pedido_expedicao_pendente"),
+        opt(src, "qtdpedrectransito_depreciada", QTY).alias("qtd_recebimento_transito"),
         mean.alias("media_venda_diaria"),
+        opt(src, "medvdiaforapromoc", QTY).alias("media_venda_diaria_fora_promo"),
         F.when(mean.isNull() | (mean == 0), F.lit(None))
          .otherwise(F.round(opt(src, "estqloja", QTY) / mean, 1)).cast("decimal(18,1)").alias("dias_estoque"),
         opt(src, "cmultcusliquidoemp", MONEY).alias("ultimo_custo_liquido"),
+        opt(src, "cmultvlrnf", MONEY).alias("ultimo_valor_nf"),
+        _yes_no_unknown(opt(src, "indgeraruptura", "string")).alias("gera_ruptura"),
+        opt(src, "dtaultmovtacao", "date").alias("dta_ultima_movimentacao"),
         last_in.alias("dta_ultima_movimentacao_entrada"),
+        opt(src, "dtaultmovsaida", "date").alias("dta_ultima_movimentacao_saida"),
+        opt(src, "dtaultentrada", "date").alias("dta_ultima_entrada"),
+        opt(src, "qtdultentrada", QTY).alias("qtd_ultima_entrada"),
         opt(src, "dtaultcompra", "date").alias("dta_ultima_compra"),
+        opt(src, "qtdultcompra", QTY).alias("qtd_ultima_compra"),
         F.datediff(today, opt(src, "dtaultcompra", "date")).alias("dias_sem_compra"),
         last_sale.alias("dta_ultima_venda"),
         opt(src, "qtdultvenda", QTY).alias("qtd_ultima_venda"),
@@ -486,42 +530,85 @@ def product_store(src: DataFrame, as_of) -> DataFrame:
         F.when(last_sale.isNull() & last_in.isNull(), F.lit(None))
          .otherwise(F.datediff(today, F.greatest(F.coalesce(last_sale, floor), F.coalesce(last_in, floor))))
          .alias("dias_sem_venda_desde_ultima_entrada"),
+        opt(src, "dtaultinvfisico", "date").alias("dta_ultimo_inventario"),
+        opt(src, "qtdultimoinventario", QTY).alias("qtd_ultimo_inventario"),
         _loaded(src),
     )
 
 
 def prices(src: DataFrame) -> DataFrame:
-    rev = F.upper(opt(src, "indrevisaopreco", "string"))
+    """Prices per product x pack x segment x store: in force, promotional and scheduled, with their reasons and dates."""
+    up = lambda c: F.upper(opt(src, c, "string"))
     return src.select(
         F.col("seqproduto").cast("int").alias("produto_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
         F.col("nrosegmento").cast("int").alias("segmento_id"), F.col("qtdembalagem").cast(QTY).alias("qtd_embalagem"),
         _status(opt(src, "statusvenda", "string")).alias("status_venda"),
         opt(src, "precobasenormal", MONEY).alias("preco_base_normal"),
+        opt(src, "precogernormal", MONEY).alias("preco_ger_normal"),
         opt(src, "precovalidnormal", MONEY).alias("preco_valido_normal"),
+        opt(src, "precogerpromoc", MONEY).alias("preco_ger_promoc"),
+        opt(src, "precovalidpromoc", MONEY).alias("preco_valido_promoc"),
+        opt(src, "precoemitidopromoc", MONEY).alias("preco_emitido_promoc"),
         opt(src, "margemlucroprodempseg", MONEY).alias("margem_lucro"),
-        F.when(rev == "S", YES).when(rev == "N", NO).otherwise("NÃO INFORMADO").alias("ind_revisao_preco"),
+        opt(src, "vlrcustoliqdiaprecif", MONEY).alias("custo_liq_precificacao"),
+        up("motivoprecobase").alias("motivo_preco_base"),
+        up("motivoprecogerado").alias("motivo_preco_gerado"),
+        up("motivoprecovalido").alias("motivo_preco_valido"),
+        opt(src, "dtageracaopreco", "date").alias("dta_geracao_preco"),
+        opt(src, "dtavalidacaopreco", "date").alias("dta_validacao_preco"),
+        opt(src, "dtaalteracao", "date").alias("dta_alteracao"),
+        opt(src, "datahoraalteracao", "timestamp_ntz").alias("dta_hora_alteracao_preco"),
+        opt(src, "dtahoraltstatusvda", "timestamp_ntz").alias("dta_hora_alt_status_venda"),
+        opt(src, "precogernormalprog", MONEY).alias("preco_ger_programado"),
+        opt(src, "dtageracaoprecoprog", "date").alias("dta_preco_programado"),
+        _yes_no_unknown(opt(src, "indrevisaopreco", "string")).alias("ind_revisao_preco"),
+        opt(src, "seqpromocao", "int").alias("promocao_id"),
+        _loaded(src),
     )
 
 
 def promotions(src: DataFrame) -> DataFrame:
+    """Promotion headers per store and segment."""
+    up = lambda c: F.upper(opt(src, c, "string"))
     return src.select(
         F.col("seqpromocao").cast("int").alias("promocao_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
-        F.col("nrosegmento").cast("int").alias("segmento_id"), F.upper("centralloja").alias("central_loja"),
-        F.upper(opt(src, "promocao", "string")).alias("promocao"),
+        F.col("nrosegmento").cast("int").alias("segmento_id"), opt(src, "nrodivisao", "int").alias("divisao_id"),
+        F.upper("centralloja").alias("central_loja"), up("promocao").alias("promocao"),
+        up("tipopromoc").alias("tipo_promoc"),
         F.col("dtainicio").cast("date").alias("dta_inicio"), F.col("dtafim").cast("date").alias("dta_fim"),
+        _yes_no_unknown(opt(src, "indprevalecepreco", "string")).alias("ind_prevalece_preco"),
+        _yes_no_unknown(opt(src, "indsegmentoprinc", "string")).alias("ind_segmento_princ"),
+        opt(src, "seqencarte", "int").alias("encarte_id"),
+        opt(src, "dtageracaopromoc", "date").alias("dta_geracao"),
+        opt(src, "dtahorainclusao", "timestamp_ntz").alias("dta_hora_inclusao"),
+        opt(src, "dtahoraalteracao", "timestamp_ntz").alias("dta_hora_alteracao"),
+        up("usuinclusao").alias("usuario_inclusao"), up("usualteracao").alias("usuario_alteracao"),
+        _loaded(src),
     )
 
 
 def promotion_items(src: DataFrame) -> DataFrame:
+    """Promotion items; their own dates, if any, override the header's."""
     return src.select(
         F.col("seqproduto").cast("int").alias("produto_id"), F.col("qtdembalagem").cast(QTY).alias("qtd_embalagem"),
         F.col("seqpromocao").cast("int").alias("promocao_id"), F.col("nroempresa").cast("int").alias("empresa_id"),
         F.col("nrosegmento").cast("int").alias("segmento_id"), F.upper("centralloja").alias("central_loja"),
-        _status(F.col("status")).alias("status"),
         opt(src, "precopromocional", MONEY).alias("preco_promocional"),
+        opt(src, "precosugerido", MONEY).alias("preco_sugerido"),
+        _status(F.col("status")).alias("status"),
         opt(src, "percdescpromoc", MONEY).alias("perc_desconto"),
         opt(src, "dtainicioprom", "date").alias("dta_inicio_item"),
         opt(src, "dtafimprom", "date").alias("dta_fim_item"),
+        opt(src, "qtdprevistavda", QTY).alias("qtd_prevista_venda"),
+        opt(src, "qtdtotalvda", QTY).alias("qtd_total_vendida"),
+        opt(src, "vlrtotalvda", MONEY).alias("vlr_total_vendido"),
+        opt(src, "qtdmediavdapromoc", QTY).alias("media_venda_promoc"),
+        opt(src, "nroacordo", "int").alias("acordo_id"),
+        opt(src, "dtainclusao", "date").alias("dta_inclusao"),
+        opt(src, "dtageracao", "date").alias("dta_geracao"),
+        opt(src, "dtahoraalteracao", "timestamp_ntz").alias("dta_hora_alteracao"),
+        F.upper(opt(src, "usualteracao", "string")).alias("usuario_alteracao"),
+        _loaded(src),
     )
 
 

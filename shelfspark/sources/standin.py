@@ -301,6 +301,28 @@ ORDER_HEADERS = StandIn("msu_pedidosuprim", (_p("orders", [
     ("nropedsuprimorig", "CAST(NULL AS BIGINT)"),
     ("nroempresaorig", "CAST(NULL AS INT)"),
     ("vlrtotpedido", f"CAST(o_totalprice AS {MONEY})"),
+    ("dtaemissaooriginal", "CASE WHEN o_custkey % 6 = 0 THEN CAST(o_orderdate AS DATE) - 2 ELSE CAST(o_orderdate AS DATE) END"),
+    ("dtarecebtooriginal", "CAST(o_orderdate AS DATE) + 8"),
+    ("dtahorinclusao", "o_orderdate + (o_orderkey % 24) * INTERVAL 1 HOUR"),
+    ("usuaprovacao", "CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE 'gerente ' || CAST(o_custkey % 4 AS STRING) END"),
+    ("justificativaaprovacao", "CASE WHEN o_custkey % 4 = 1 THEN 'Acima da cota' END"),
+    ("pzopagamento", "CAST(o_custkey % 3 * 14 + 14 AS STRING) || ' dias'"),
+    ("condicaofrete", "CASE WHEN o_custkey % 2 = 0 THEN 'c' ELSE 'f' END"),
+    ("txvendor", "CASE WHEN o_custkey % 5 = 0 THEN CAST(1.25 AS DECIMAL(18,6)) END"),
+    ("nropedfornecedor", "CASE WHEN o_custkey % 9 <> 0 THEN 'pf-' || CAST(o_orderkey AS STRING) END"),
+    ("qtdtotsolicitada", f"CAST(o_custkey % 70 + 5 AS {QTY})"),
+    ("qtdtotrecebida", f"CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey % 70 + 5 AS {QTY}) ELSE CAST(0 AS {QTY}) END"),
+    ("qtdtotcancelada", f"CAST(o_custkey % 2 AS {QTY})"),
+    ("qtdtottransito", f"CASE WHEN o_orderstatus = 'P' THEN CAST(o_custkey % 7 AS {QTY}) ELSE CAST(0 AS {QTY}) END"),
+    ("qtdtotaprovada", f"CAST(o_custkey % 70 + 4 AS {QTY})"),
+    ("vlrtotcancelado", f"CASE WHEN o_custkey % 2 = 1 THEN CAST(o_totalprice AS {MONEY}) END"),
+    ("vlrtotrecebido", f"CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS {MONEY}) ELSE CAST(0 AS {MONEY}) END"),
+    ("codgeraloper", "CAST(o_custkey % 3 + 1 AS INT)"),
+    ("codigopendencia", "CASE WHEN o_orderstatus = 'P' THEN CAST(o_custkey % 8 AS INT) END"),
+    ("centrallojaorig", "CASE o_custkey % 4 WHEN 0 THEN 'l' WHEN 1 THEN 'M' WHEN 2 THEN 'w' END"),
+    ("tipopedvenda", "lower(substr(o_orderpriority, 3, 4))"),
+    ("indtransfempsec", "CASE WHEN o_custkey % 5 = 2 THEN 's' ELSE 'N' END"),
+    ("nrorequisicao", "CASE WHEN o_custkey % 6 = 1 THEN o_orderkey + 1000000 END"),
 ]),))
 
 ORDER_ITEMS = StandIn("msu_psitemreceber", (_p("lineitem", [
@@ -320,6 +342,15 @@ ORDER_ITEMS = StandIn("msu_psitemreceber", (_p("lineitem", [
     ("dtarecebtoitem", "CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(l_shipdate AS DATE) END"),
     ("vlrunitario", _UNIT),
     ("vlrembitem", _UNIT),
+    ("qtdembalagem", f"CAST(CASE WHEN l_partkey % 4 = 0 THEN 12 ELSE 1 END AS {QTY})"),
+    ("dtaaprovacao", "CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) - 5 END"),
+    ("vlrembipi", f"CAST(ROUND({_UNIT} * {_TAX}, 2) AS {MONEY})"),
+    ("vlrembicmsst", f"CASE WHEN l_partkey % 3 = 0 THEN CAST(ROUND({_UNIT} * {_DISC}, 2) AS {MONEY}) END"),
+    ("vlrembverbacompra", f"CAST(l_partkey % 5 AS {MONEY})"),
+    ("estoque", f"CAST(l_partkey % 80 AS {QTY})"),
+    ("observacaoitem", "CASE WHEN l_suppkey % 4 = 0 THEN 'entrega ' || lower(l_linestatus) END"),
+    ("dtaalteracao", "CAST(l_shipdate AS DATE) + 3"),
+    ("usualteracao", "CASE WHEN l_suppkey % 3 <> 0 THEN 'comprador ' || CAST(l_suppkey % 3 AS STRING) END"),
 ]),))
 
 # ---------------------------------------------------------------------------
@@ -710,6 +741,21 @@ PRODUCT_STORE = StandIn("mrl_produtoempresa", (_p("lineitem", _PS_KEY + [
     ("dtaultcompra", "CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE DATE '2000-06-01' + CAST(l_partkey % 400 AS INT) END"),
     ("dtaultvenda", "CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE DATE '2001-03-01' + CAST(l_partkey % 240 AS INT) END"),
     ("qtdultvenda", f"CAST(l_partkey % 5 + 1 AS {QTY})"),
+    ("estqtroca", f"CAST(l_partkey % 3 AS {QTY})"),
+    ("estqalmoxarifado", f"CASE WHEN l_partkey % 14 = 0 THEN NULL ELSE CAST(l_partkey % 6 AS {QTY}) END"),
+    ("estqoutro", f"CAST(l_partkey % 2 AS {QTY})"),
+    ("qtdpendpedcompra_depreciada", f"CASE WHEN l_partkey % 4 = 2 THEN CAST(l_partkey % 20 AS {QTY}) END"),
+    ("qtdpendpedexped_depreciada", f"CAST(l_partkey % 8 AS {QTY})"),
+    ("qtdpedrectransito_depreciada", f"CAST(l_partkey % 9 AS {QTY})"),
+    ("medvdiaforapromoc", f"CASE WHEN l_partkey % 11 > 1 THEN CAST((l_partkey % 7 + 1) * 0.5 AS {QTY}) END"),
+    ("cmultvlrnf", f"CAST(l_partkey % 95 + 0.75 AS {MONEY})"),
+    ("dtaultmovtacao", "DATE '2001-02-01' + CAST(l_partkey % 260 AS INT)"),
+    ("dtaultmovsaida", "CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE DATE '2001-03-02' + CAST(l_partkey % 240 AS INT) END"),
+    ("dtaultentrada", "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE DATE '2001-01-02' + CAST(l_partkey % 288 AS INT) END"),
+    ("qtdultentrada", f"CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE CAST(l_partkey % 36 AS {QTY}) END"),
+    ("qtdultcompra", f"CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE CAST(l_partkey % 48 AS {QTY}) END"),
+    ("dtaultinvfisico", "CASE WHEN l_partkey % 7 <> 0 THEN DATE '2001-01-31' + CAST(l_partkey % 3 * 90 AS INT) END"),
+    ("qtdultimoinventario", f"CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_partkey % 50 + 1 AS {QTY}) END"),
 ], distinct=True),))
 
 
@@ -721,6 +767,22 @@ def _price_part(segment: int, pack: int) -> Part:
         ("precovalidnormal", f"CAST(l_partkey % 100 + {segment} + {pack} + 0.99 AS {MONEY})"),
         ("margemlucroprodempseg", f"CAST(l_partkey % 30 AS {MONEY})"),
         ("indrevisaopreco", "CASE WHEN l_partkey % 3 = 0 THEN 'S' ELSE 'N' END"),
+        ("precogernormal", f"CAST(l_partkey % 100 + {segment} + {pack} + 0.49 AS {MONEY})"),
+        ("precogerpromoc", f"CASE WHEN l_partkey % 4 = 0 THEN CAST(l_partkey % 100 + 0.59 AS {MONEY}) END"),
+        ("precovalidpromoc", f"CASE WHEN l_partkey % 4 = 0 THEN CAST(l_partkey % 100 + 0.49 AS {MONEY}) END"),
+        ("precoemitidopromoc", f"CASE WHEN l_partkey % 8 = 0 THEN CAST(l_partkey % 100 + 0.39 AS {MONEY}) END"),
+        ("vlrcustoliqdiaprecif", f"CAST(l_partkey % 60 + 0.25 AS {MONEY})"),
+        ("motivoprecobase", "CASE WHEN l_partkey % 5 <> 0 THEN 'custo ' || CAST(l_partkey % 5 AS STRING) END"),
+        ("motivoprecogerado", "'margem'"),
+        ("motivoprecovalido", "CASE WHEN l_partkey % 2 = 0 THEN 'concorrente' ELSE 'Tabela' END"),
+        ("dtageracaopreco", "DATE '2001-05-01' + CAST(l_partkey % 150 AS INT)"),
+        ("dtavalidacaopreco", "CASE WHEN l_partkey % 9 <> 0 THEN DATE '2001-05-02' + CAST(l_partkey % 150 AS INT) END"),
+        ("dtaalteracao", "DATE '2001-06-01' + CAST(l_partkey % 100 AS INT)"),
+        ("datahoraalteracao", "TIMESTAMP '2001-06-01 00:00:00' + (l_partkey % 500) * INTERVAL 1 HOUR"),
+        ("dtahoraltstatusvda", "CASE WHEN l_partkey % 10 = 0 THEN TIMESTAMP '2001-07-01 00:00:00' + (l_partkey % 24) * INTERVAL 1 HOUR END"),
+        ("precogernormalprog", f"CASE WHEN l_partkey % 12 = 0 THEN CAST(l_partkey % 100 + 2.99 AS {MONEY}) END"),
+        ("dtageracaoprecoprog", "CASE WHEN l_partkey % 12 = 0 THEN DATE '2001-12-01' END"),
+        ("seqpromocao", "CASE WHEN l_partkey % 4 = 0 THEN CAST(l_partkey % 40 AS INT) END"),
     ], distinct=True)
 
 
@@ -735,6 +797,16 @@ PROMO_HEADERS = StandIn("mrl_promocao", (_p("lineitem", [
     ("centralloja", "'L'"), ("promocao", "'promo ' || CAST(l_partkey % 40 AS STRING)"),
     ("dtainicio", "DATE '2001-10-01' + CAST(l_partkey % 40 % 5 AS INT)"),
     ("dtafim", "DATE '2001-11-01' + CAST(l_partkey % 40 % 7 * 2 AS INT)"),
+    ("nrodivisao", "CAST(l_partkey % 40 % 3 + 1 AS INT)"),
+    ("tipopromoc", "CASE WHEN l_partkey % 40 % 2 = 0 THEN 'r' ELSE 'N' END"),
+    ("indprevalecepreco", "CASE l_partkey % 40 % 3 WHEN 0 THEN 's' WHEN 1 THEN 'N' END"),
+    ("indsegmentoprinc", "CASE WHEN l_partkey % 40 % 4 = 0 THEN 'S' ELSE 'n' END"),
+    ("seqencarte", "CASE WHEN l_partkey % 40 % 5 = 0 THEN CAST(l_partkey % 40 + 100 AS INT) END"),
+    ("dtageracaopromoc", "DATE '2001-09-20' + CAST(l_partkey % 40 % 5 AS INT)"),
+    ("dtahorainclusao", "TIMESTAMP '2001-09-18 00:00:00' + (l_partkey % 40) * INTERVAL 1 HOUR"),
+    ("dtahoraalteracao", "CASE WHEN l_partkey % 40 % 6 = 0 THEN TIMESTAMP '2001-09-25 00:00:00' + (l_partkey % 40) * INTERVAL 1 HOUR END"),
+    ("usuinclusao", "'usuario ' || CAST(l_partkey % 40 % 4 AS STRING)"),
+    ("usualteracao", "CASE WHEN l_partkey % 40 % 6 = 0 THEN 'revisor' END"),
 ], distinct=True),))
 
 
@@ -747,6 +819,16 @@ def _promo_item(promo: str, end_shift: str, where: str | None, pack: int = 1) ->
         ("percdescpromoc", f"CAST(l_partkey % 25 AS {MONEY})"),
         ("dtainicioprom", "CASE WHEN l_partkey % 3 = 0 THEN DATE '2001-10-20' END"),
         ("dtafimprom", f"CASE WHEN l_partkey % 3 = 0 THEN DATE '2001-11-04' + {end_shift} END"),
+        ("precosugerido", f"CASE WHEN l_partkey % 6 <> 0 THEN CAST(l_partkey % 100 + 0.99 AS {MONEY}) END"),
+        ("qtdprevistavda", f"CAST(l_partkey % 200 AS {QTY})"),
+        ("qtdtotalvda", f"CAST(l_partkey % 180 AS {QTY})"),
+        ("vlrtotalvda", f"CAST(l_partkey % 180 * 3.5 AS {MONEY})"),
+        ("qtdmediavdapromoc", f"CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_partkey % 180 * 0.125 AS {QTY}) END"),
+        ("nroacordo", "CASE WHEN l_partkey % 10 = 3 THEN CAST(l_partkey % 500 AS INT) END"),
+        ("dtainclusao", "DATE '2001-09-15' + CAST(l_partkey % 10 AS INT)"),
+        ("dtageracao", "DATE '2001-09-16' + CAST(l_partkey % 10 AS INT)"),
+        ("dtahoraalteracao", "CASE WHEN l_partkey % 5 = 1 THEN TIMESTAMP '2001-10-02 00:00:00' + (l_partkey % 48) * INTERVAL 1 HOUR END"),
+        ("usualteracao", "CASE WHEN l_partkey % 5 = 1 THEN 'revisor ' || CAST(l_partkey % 3 AS STRING) END"),
     ], where, distinct=True)
 
 
