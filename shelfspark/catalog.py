@@ -519,7 +519,8 @@ def order_code_tables(w: Warehouse) -> DataFrame:
              ("origem", "madv_origempedido", "origempedido", "descorigempedido")]
     out = None
     for tabela, raw, code, desc in parts:
-        df = silver.code_table(w.raw(raw), code, desc, "codigo", "descricao").withColumn("tabela", F.lit(tabela))
+        df = (silver.code_table(w.raw(raw), code, desc, "codigo", "descricao").drop("carregado_em")
+                    .withColumn("tabela", F.lit(tabela)))
         out = df if out is None else out.unionByName(df)
     return out
 

@@ -21,6 +21,7 @@ concurrently from a small thread pool.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -33,7 +34,7 @@ from shelfspark.operators.incremental import (existing_table, full_refresh, load
                                               table_exists)
 from shelfspark.plans import calendar as cal
 from shelfspark.plans import dims, enrich, extracts, facts, marts, silver, targets
-from shelfspark.plans.warehouse import Warehouse
+from shelfspark.plans.warehouse import UNSTAMPED, Warehouse
 from shelfspark.session import checkpoint_dir
 from shelfspark.sources import seeds
 
@@ -159,13 +160,16 @@ def selected(select: Iterable[str] | None, exclude_tags: Iterable[str]) -> list[
             if (names is not None and m.name in names) or (names is None and not (skip & set(m.tags)))]
 
 
-def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: set[str]) -> str:
+def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: set[str],
+               run_ts: dt.datetime | None = None) -> str:
     # facts come from the current extract; every later model reads the stored facts
     if m.key:
-        w = Warehouse(spark, sf_dir)
+        w = Warehouse(spark, sf_dir, run_ts=run_ts)
     else:  # dimensions are built from the sources; later waves read the stored dimensions
-        w = Warehouse(spark, sf_dir, stored=out, stored_dims=m.wave >= 2)
+        w = Warehouse(spark, sf_dir, stored=out, stored_dims=m.wave >= 2, run_ts=run_ts)
     df = m.build(w, out)
+    if run_ts is not None and m.name not in UNSTAMPED and not m.key:
+        df = df.withColumn("carregado_em", F.lit(run_ts).cast("timestamp_ntz"))
     path = f"{out}/gold/{m.name}"
     if m.key:
         first_load = not exists(spark, out, m.name)
@@ -185,12 +189,14 @@ def _build_one(spark: SparkSession, sf_dir: str, out: str, m: Model, refresh: se
 
 def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | None = None,
           exclude_tags: Iterable[str] = ("monthly",), full_refresh_models: Iterable[str] = (),
-          parallelism: int = 1) -> list[str]:
+          parallelism: int = 1, run_ts: dt.datetime | None = None) -> list[str]:
     """Build the selected models into ``out``; returns the names written.
 
     Models run wave by wave (facts, dimensions, marts, allocation); inside a
     wave up to ``parallelism`` models are submitted as concurrent Spark jobs
     from a thread pool (the reference builds four models at a time).
+    ``run_ts`` is the load time that every row written by the run carries in
+    ``carregado_em``; without it the column is NULL in facts and absent elsewhere.
     """
     refresh = set(full_refresh_models)
     models = selected(select, exclude_tags)
@@ -199,9 +205,9 @@ def build(spark: SparkSession, sf_dir: str, out: str, select: Iterable[str] | No
         batch = [m for m in models if m.wave == wave]
         if parallelism > 1 and len(batch) > 1:
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                done += list(pool.map(lambda m: _build_one(spark, sf_dir, out, m, refresh), batch))
+                done += list(pool.map(lambda m: _build_one(spark, sf_dir, out, m, refresh, run_ts), batch))
         else:
-            done += [_build_one(spark, sf_dir, out, m, refresh) for m in batch]
+            done += [_build_one(spark, sf_dir, out, m, refresh, run_ts) for m in batch]
     return done
 
 

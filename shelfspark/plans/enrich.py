@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.functions.columns import opt
 from shelfspark.operators.dedup import first_per_key
 from shelfspark.operators.incremental import upsert
 
@@ -74,13 +75,13 @@ def registry_silver(registry: DataFrame) -> DataFrame:
                .when(simples.eqNullSafe(False), "REGIME NORMAL (REAL/PRESUMIDO)").otherwise("NÃO INFORMADO"))
     return registry.select(
         "cnpj", F.upper("situacao_cadastral").alias("situacao_cadastral"),
-        F.upper("descricao_situacao_cadastral").alias("descricao_situacao_cadastral"),
+        F.upper("descricao_situacao_cadastral").alias("descricao_situacao_cadastral"), "opcao_pelo_simples", "opcao_pelo_mei",
         regime.alias("regime_tributario"), F.col("data_opcao_pelo_simples").cast("date").alias("data_opcao_pelo_simples"),
         F.col("data_opcao_pelo_mei").cast("date").alias("data_opcao_pelo_mei"), F.upper("porte").alias("porte"),
         F.col("capital_social").cast("decimal(18,2)").alias("capital_social"),
         F.col("data_inicio_atividade").cast("date").alias("data_inicio_atividade"),
         "cnae_fiscal", F.upper("cnae_fiscal_descricao").alias("cnae_fiscal_descricao"),
-        F.upper("fonte_api").alias("fonte_api"))
+        F.upper("fonte_api").alias("fonte_api"), opt(registry, "_loaded_at", "timestamp_ntz").alias("carregado_em"))
 
 
 def supplier_tax_dim(supplier_dimension: DataFrame, registry: DataFrame) -> DataFrame:

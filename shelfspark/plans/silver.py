@@ -330,7 +330,7 @@ def segments(src: DataFrame) -> DataFrame:
         F.col("nrosegmento").cast("int").alias("segmento_id"),
         F.upper(F.col("descsegmento")).alias("segmento"),
         id_label(F.col("nrosegmento"), F.col("descsegmento"), 3).alias("segmento_id_nome"),
-        F.when(F.upper(F.col("status")) == "A", "ATIVO").otherwise("INATIVO").alias("status_segmento"),
+        F.when(F.upper(F.col("status")) == "A", "ATIVO").otherwise("INATIVO").alias("status"),
         _loaded(src),
     )
 
@@ -615,4 +615,4 @@ def promotion_items(src: DataFrame) -> DataFrame:
 def code_table(src: DataFrame, code_col: str, desc_col: str, id_name: str, label_name: str) -> DataFrame:
     """Small code -> description tables of the order module."""
     return src.select(F.col(code_col).cast("string").alias(id_name),
-                      F.upper(F.col(desc_col).cast("string")).alias(label_name))
+                      F.upper(F.col(desc_col).cast("string")).alias(label_name), _loaded(src))

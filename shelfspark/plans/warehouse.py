@@ -9,13 +9,18 @@ extracts instead.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.plans import dims, facts, silver
+from shelfspark.plans import dims, extracts, facts, silver
 from shelfspark.sources import seeds, standin
 
+# Planning tables, API answers and logs: written by their own jobs, not by an extract.
+UNSTAMPED = {"meta_parametros", "meta_ajustes_loja", "indicadores_mercado_externo", "indicadores_payload",
+             "cnpj_respostas"}
+
 
 class Warehouse:
     """Lazy plans for one data folder.
@@ -25,10 +30,15 @@ class Warehouse:
     (with their ``mes_part`` partition column) instead of being recomputed
     from the current extract; with ``stored_dims`` the store dimension is
     read from its stored table too (for models built after the dimensions).
+
+    ``run_ts`` is the load time of the run: extracted tables that carry none
+    of their own are stamped with it.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None, stored_dims: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: str | None = None, stored_dims: bool = False,
+                 run_ts: dt.datetime | None = None):
         self.spark = spark
+        self.run_ts = run_ts
         self.sf_dir = sf_dir
         self.stored = stored
         self.stored_dims = stored_dims
@@ -41,7 +51,10 @@ class Warehouse:
         return existing_table(self.spark, f"{self.stored}/gold/{name}")
 
     def raw(self, name: str) -> DataFrame:
-        return standin.spark_table(self.spark, self.sf_dir, name)
+        table = standin.spark_table(self.spark, self.sf_dir, name)
+        if self.run_ts is None or name in UNSTAMPED or "_loaded_at" in table.columns:
+            return table
+        return extracts.stamp(table, self.run_ts)
 
     def driver(self, name: str) -> DataFrame:
         return standin.driver_table(self.spark, self.sf_dir, name)
