@@ -13,7 +13,7 @@ over all phrases around the failures therefore closes the search, whatever the
 sample held; without failures it is not needed.
 
 Proposed phrases and those of the expansion are counted as they are. Border
-phrases are counted by their 64-bit hash, which can only count too many: one
+phrases are counted by a hash of 48 bits, which can only count too many: one
 that reaches the threshold is counted as it is in the expansion. Proposals and
 failures are kept as maps of ``2**MAP_BITS`` bits, one per hash, whatever their
 number: two phrases that share a bit only make a pass count more phrases.
@@ -40,6 +40,8 @@ SAMPLE = 8
 LOWERED = 0.25
 STRETCH = 8
 MAP_BITS = 26
+# Bits of a phrase's hash that are kept: fewer bytes are shuffled, and phrases that share them are only counted once more.
+HASH_BITS = 48
 # Word occurrences that are counted together in a Python worker, and words it remembers at most.
 TOGETHER = 1_000_000
 REMEMBERED = 500_000
@@ -77,6 +79,14 @@ def numbers(text: bytes, words: Words) -> list[int]:
 
 
 ODD = 0x9E3779B97F4A7C15
+KEPT = 2**HASH_BITS - 1
+
+
+def _slots(hashes):
+    """Places of hashes in a map, by their kept bits."""
+    import numpy as np
+    kept = hashes & np.uint64(KEPT)
+    return ((kept ^ (kept >> np.uint64(32))) * np.uint64(ODD) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
 def _held(bits, hashes):
@@ -84,7 +94,7 @@ def _held(bits, hashes):
     import numpy as np
     if bits is None:
         return np.ones(len(hashes), dtype=bool)
-    at = ((hashes ^ (hashes >> np.uint64(32))) * np.uint64(ODD) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    at = _slots(hashes)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -155,7 +165,8 @@ def _added(hashes: list, n: list):
     return hashes[first], np.add.reduceat(n, first)
 
 
-COUNTED = "hash long, lang string, words int, phrase string, n long"
+# Border phrases have no id: their rows are short.
+COUNTED = "hash long, id struct<lang string, words int, phrase string>, n long"
 
 
 def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None) -> DataFrame:
@@ -176,29 +187,29 @@ def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None)
         import pyarrow as pa
         import xxhash
         bits, new = shared.value
-        types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64())
-        names = ["hash", "lang", "words", "phrase", "n"]
+        ids = [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string())]
         words, texts, size = Words(), {}, 0
         border: list = []
         border_n: list = []
         waiting = 0
 
-        def rows(*columns):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        def rows(h, n, *columns):
+            fields = [pa.array(c, t) for c, (_, t) in zip(columns, ids)]
+            own = pa.StructArray.from_arrays(fields, [name for name, _ in ids]) if fields else pa.nulls(len(n), pa.struct(ids))
+            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), own, pa.array(n, pa.int64())], ["hash", "id", "n"])
 
         def hashed():
             h, n = _added(border, border_n)
             border.clear()
             border_n.clear()
             for i in range(0, len(h), 100_000):
-                k = len(h[i:i + 100_000])
-                yield rows(h[i:i + k].view(np.int64), [None] * k, [None] * k, [None] * k, n[i:i + k])
+                yield rows(h[i:i + 100_000].view(np.int64), n[i:i + 100_000])
 
         def written(lang, at, length, places, h):
             first, n = _same(at, places, length, h)
             k = len(first)
             phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in at[first[:, None] + np.arange(length)].tolist()], pa.binary())
-            return rows([0] * k, [lang] * k, [length] * k, phrases.cast(pa.string()), n)
+            return rows([0] * k, n, [lang] * k, [length] * k, phrases.cast(pa.string()))
 
         def flush():
             nonlocal waiting
@@ -210,14 +221,14 @@ def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None)
                         yield written(lang, at, *found)
                     continue
                 if only is None:
-                    yield rows([0], [lang], [0], [""], [int((at > 0).sum())])
+                    yield rows([0], [int((at > 0).sum())], [lang], [0], [""])
                 for length, places, h, held in candidates(at, seed, hashes, bits, only or LONGEST):
                     if only is None:
                         yield written(lang, at, length, places[held], h[held])
                         h = h[~held]
                     elif length < only:
                         continue
-                    h, n = np.unique(h, return_counts=True)
+                    h, n = np.unique(h & np.uint64(KEPT), return_counts=True)
                     border.append(h)
                     border_n.append(n)
                     waiting += len(h)
@@ -243,7 +254,7 @@ def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None)
             yield from hashed()
 
     found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, COUNTED)
-    return found.groupBy("hash", "lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return found.groupBy("hash", "id").agg(F.sum("n").alias("n")).select("hash", "id.lang", "id.words", "id.phrase", "n")
 
 
 def proposals(hashes: DataFrame, known=None):
@@ -257,8 +268,7 @@ def proposals(hashes: DataFrame, known=None):
         import numpy as np
         import pyarrow as pa
         for b in batches:
-            h = b.column(0).to_numpy().view(np.uint64)
-            at = ((h ^ (h >> np.uint64(32))) * np.uint64(ODD) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            at = _slots(b.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["slot", "bit"])
 
     # 64 bits a row: 2**(MAP_BITS - 6) rows at most, whatever the number of phrases
