@@ -13,7 +13,7 @@ over all phrases around the failures therefore closes the search, whatever the
 sample held; without failures it is not needed.
 
 Proposed phrases and those of the expansion are counted as they are. Border
-phrases are counted by a hash of 48 bits, which can only count too many: one
+phrases are counted by a hash of 40 bits, which can only count too many: one
 that reaches the threshold is counted as it is in the expansion. Proposals and
 failures are kept as maps of ``2**MAP_BITS`` bits, one per hash, whatever their
 number: two phrases that share a bit only make a pass count more phrases.
@@ -40,8 +40,9 @@ SAMPLE = 8
 LOWERED = 0.25
 STRETCH = 8
 MAP_BITS = 26
-# Bits of a phrase's hash that are kept: fewer bytes are shuffled, and phrases that share them are only counted once more.
-HASH_BITS = 48
+# Bits kept of the hash by which a border phrase is counted: fewer bytes are shuffled. Phrases that share them may reach the
+# threshold together and are then counted once more, as they are; results do not depend on it.
+HASH_BITS = 40
 # Word occurrences that are counted together in a Python worker, and words it remembers at most.
 TOGETHER = 1_000_000
 REMEMBERED = 500_000
