@@ -316,6 +316,22 @@ def range_extract(w: Warehouse) -> DataFrame:
     return extracts.range_extract(src, "datahora", as_of - _dt.timedelta(days=60), as_of - _dt.timedelta(days=30))
 
 
+@register("range_backfill", oracle.RANGE_BACKFILL)
+def range_backfill(w: Warehouse) -> DataFrame:
+    """Stored sales lines after a backfill of corrected lines has replaced one date range, run twice."""
+    path = scratch_path(w.spark, f"backfill-{_uuid.uuid4().hex}/linhas")
+    month = F.date_format("datahora", "yyyyMM").cast("int")
+    lines = w.raw("maxv_abcdistribbase")
+    as_of = _max_date(lines, "datahora")
+    start, end = as_of - _dt.timedelta(days=60), as_of - _dt.timedelta(days=30)
+    order = ("datahora", "nroempresa")
+    incremental.full_refresh(w.spark, path, lines.withColumn("mes_part", month), "mes_part", False, order)
+    fresh = extracts.range_extract(w.raw("maxv_abcdistribbase_corrigida"), "datahora", start, end).withColumn("mes_part", month)
+    for _ in range(2):
+        incremental.load_range(w.spark, path, fresh, "datahora", start, end, "mes_part", order)
+    return read_table(w.spark, path).drop("mes_part")
+
+
 @register("item_by_header_window", oracle.ITEM_BY_HEADER)
 def item_by_header_window(w: Warehouse) -> DataFrame:
     """Purchase-order items whose header was issued in the last 180 days (semi join)."""

@@ -11,6 +11,9 @@ records (``publish.py``): only the files that hold one of the batch's keys are
 rewritten, and the change becomes visible by one record. Rows with a NULL
 partition value form a partition like any other. Applying the same batch again
 gives the same table, so a failed run can be retried.
+
+``load_range`` is the sink of a backfill: the batch replaces exactly the rows
+of its date range, whatever their keys.
 """
 
 from __future__ import annotations
@@ -120,3 +123,20 @@ def load_delete_insert(spark: SparkSession, path: str, batch: DataFrame, key: Se
     publish.merge(path, stored, key, lambda df: laid_out(df, partition_col, sort_cols), partition_col,
                   partition_from_key or partition_col in key, batches)
     remove(spark, arrived)
+
+
+def load_range(spark: SparkSession, path: str, batch: DataFrame, date_col: str, start, end, partition_col: str,
+               sort_cols: Sequence[str] = (), batches: dict[str, int] | None = None) -> None:
+    """Replace the rows of the table at ``path`` with ``date_col BETWEEN start AND end`` by ``batch``.
+
+    Lines that the source no longer has in the range go, unlike in a keyed
+    merge, and a second run of the same backfill changes nothing. The range is
+    that of ``extracts.range_extract``: with a date ``end`` and a timestamp
+    column, times after midnight of the last day are outside and stay.
+    """
+    # the batch is used several times below: evaluate it once
+    arrived = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+    batch.write.parquet(arrived)
+    stored = spark.read.schema(batch.schema).parquet(arrived)
+    publish.replace_range(path, stored, date_col, start, end, lambda df: laid_out(df, partition_col, sort_cols), partition_col, batches)
+    remove(spark, arrived)

@@ -170,15 +170,47 @@ def merge(path: str, batch: DataFrame, key: Sequence[str], laid_out: Callable[[D
             months = [r[0] for r in batch.select(partition_col).distinct().collect()]  # bounded by the calendar
             inside = F.col(partition_col).isin([m for m in months if m is not None])
             held = held.where(inside | F.col(partition_col).isNull() if None in months else inside)
-        hit = held.select(*key, "__file").join(keys, key, "left_semi").select("__file").distinct().collect()  # files of the table
-        known = set(base.files)
-        touched = {f if f in known else unquote(f) for f in (f"{LOAD}=" + r[0].rsplit(f"/{LOAD}=", 1)[1] for r in hit)}
+        touched = _files(base, held.select(*key, "__file").join(keys, key, "left_semi").select("__file"))
+    return _rewritten(path, base, touched, lambda rows: rows.join(keys, key, "left_anti"), batch, laid_out, partition_col, batches)
+
+
+def replace_range(path: str, batch: DataFrame, column: str, start, end, laid_out: Callable[[DataFrame], DataFrame],
+                  partition_col: str, batches: dict[str, int] | None = None) -> Commit:
+    """Put ``batch`` (read several times) in the place of all rows with ``column BETWEEN start AND end``.
+
+    Rows outside the range and rows without a value stay, and so do the files
+    that hold no row of the range (file statistics prune the scan that finds
+    them). An empty batch empties the range. A batch row outside the range, or
+    without a value, is refused: another backfill could never replace it.
+    """
+    spark = batch.sparkSession
+    inside = F.coalesce(F.col(column).between(F.lit(start), F.lit(end)), F.lit(False))
+    if not batch.where(~inside).isEmpty():
+        raise ValueError(f"{path}: rows of the batch lie outside {column} {start} .. {end}")
+    base = newest(spark, path)
+    if base is None or not base.files:
+        return commit(spark, path, base, write_files(laid_out(batch), path, partition_col), batch.schema, batches)
+    held = scan(spark, path, base).where(F.col(column).between(F.lit(start), F.lit(end)))
+    touched = _files(base, held.select(F.col("_metadata.file_path").alias("__file")))
+    return _rewritten(path, base, touched, lambda rows: rows.where(~inside), batch, laid_out, partition_col, batches)
+
+
+def _files(base: Commit, names: DataFrame) -> set[str]:
+    """The files of ``base`` whose paths are in the only column of ``names``."""
+    known = set(base.files)
+    found = (f"{LOAD}=" + r[0].rsplit(f"/{LOAD}=", 1)[1] for r in names.distinct().collect())  # files of the table
+    return {f if f in known else unquote(f) for f in found}
+
+
+def _rewritten(path: str, base: Commit, touched: set[str], kept: Callable[[DataFrame], DataFrame], batch: DataFrame,
+               laid_out: Callable[[DataFrame], DataFrame], partition_col: str, batches: dict[str, int] | None) -> Commit:
+    """Commit of ``batch`` with what ``kept`` leaves of the ``touched`` files; the other files stay as they are."""
+    spark = batch.sparkSession
+    content = batch
     if touched:
         names = [n for n in base.schema.names if n != LOAD]
-        rest = scan(spark, path, base, sorted(touched)).select(*names).join(keys, key, "left_anti")
+        rest = kept(scan(spark, path, base, sorted(touched)).select(*names))
         content = rest.unionByName(batch, allowMissingColumns=True)
-    else:
-        content = batch
     files = write_files(laid_out(content), path, partition_col)
     whole = spark.createDataFrame([], base.schema).unionByName(spark.createDataFrame([], batch.schema), allowMissingColumns=True).schema
     return commit(spark, path, base, [f for f in base.files if f not in touched] + files, whole, batches)

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators.running_total import running_sum
 from shelfspark.plans.dims import active_stores
 from shelfspark.session import checkpoint_dir
 
@@ -184,7 +185,8 @@ def writeback(alloc: DataFrame, params: DataFrame, adjustments_raw: DataFrame) -
     Existing (month, store) rows get their calculated columns updated (manual
     adjustment columns are never touched); stores without a row are inserted
     with zero adjustments and ids continuing after the current maximum, in
-    (month, store) order.
+    (month, store) order. The positions are running sums over ranges, so no task
+    holds all new rows.
     """
     totals = alloc.groupBy("mes", "empresa_id").agg(F.sum("meta_padrao_valor").alias("tp"),
                                                     F.sum("meta_desafio_valor").alias("td"))
@@ -207,8 +209,9 @@ def writeback(alloc: DataFrame, params: DataFrame, adjustments_raw: DataFrame) -
                          .cast("decimal(28,2)").alias("meta_desafio_sem_ajuste")))
     max_id = adjustments_raw.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).first()[0]
     new = calc.join(adjustments_raw.select("mes", "empresa_id"), ["mes", "empresa_id"], "left_anti")
-    # new rows are at most months x stores: numbering them in one window is cheap
-    inserted = (new.select((F.lit(max_id) + F.row_number().over(Window.orderBy("mes", "empresa_id"))).alias("id"),
+    checkpoint_dir(adjustments_raw.sparkSession)
+    numbered = running_sum(new.withColumn("_um", F.lit(1)).checkpoint(eager=True), [], [F.col("mes"), F.col("empresa_id")], "_um", "_posicao")
+    inserted = (numbered.select((F.lit(max_id) + F.col("_posicao")).alias("id"),
                            "mes", "empresa_id",
                            F.lit(0).cast("decimal(18,2)").alias("ajuste_padrao_valor"),
                            F.lit(0).cast("decimal(18,2)").alias("ajuste_desafio_valor"),

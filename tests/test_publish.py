@@ -106,3 +106,61 @@ def test_new_columns_and_replayed_batches(spark):
     apply = hot.merge_runs(path, lambda b: b, ["k"], "s")
     apply(spark.createDataFrame([(9, 202401, "replayed", 1)], SCHEMA + ", lote int"), 3)
     assert publish.newest(spark, path).number == number  # recognised: nothing written
+
+
+DATED = "d date, m int, v string"
+
+
+def dated(spark, rows):
+    import datetime as dt
+    return spark.createDataFrame([(d and dt.date.fromisoformat(d), m, v) for d, m, v in rows], DATED)
+
+
+def test_a_backfill_replaces_exactly_its_range(spark):
+    import datetime as dt
+
+    from shelfspark.operators.incremental import load_range
+    path = os.path.join(tempfile.mkdtemp(prefix="shelf-pub-"), "lines")
+    day = dt.date
+    publish.overwrite(dated(spark, [("2024-01-31", 202401, "a"), ("2024-02-01", 202402, "b"), ("2024-02-02", 202402, "gone"),
+                                    ("2024-02-03", 202402, "c"), (None, None, "undated")]).repartition("m"), path, "m")
+    before = publish.newest(spark, path)
+    fresh = dated(spark, [("2024-02-01", 202402, "b2"), ("2024-02-01", 202402, "b2")])  # repeated lines stay repeated
+    for _ in range(2):
+        load_range(spark, path, fresh, "d", day(2024, 2, 1), day(2024, 2, 2), "m")
+        found = sorted(((str(r.d), r.v) for r in read_table(spark, path).collect()))
+        assert found == [("2024-01-31", "a"), ("2024-02-01", "b2"), ("2024-02-01", "b2"), ("2024-02-03", "c"), ("None", "undated")]
+    after = publish.newest(spark, path)
+    untouched = {f for f in before.files if "m=202402" not in f}
+    assert untouched and untouched <= set(after.files)  # files without a row of the range keep their names
+    load_range(spark, path, dated(spark, []), "d", day(2024, 2, 1), day(2024, 2, 2), "m")  # the source has none any more
+    assert sorted(r.v for r in read_table(spark, path).collect()) == ["a", "c", "undated"]
+
+
+@pytest.mark.parametrize("stray", ["2024-02-03", None])
+def test_a_backfill_row_outside_the_range_is_refused(spark, stray):
+    import datetime as dt
+
+    from shelfspark.operators.incremental import load_range
+    path = os.path.join(tempfile.mkdtemp(prefix="shelf-pub-"), "lines")
+    publish.overwrite(dated(spark, [("2024-02-01", 202402, "a")]), path, "m")
+    with pytest.raises(ValueError):
+        load_range(spark, path, dated(spark, [(stray, 202402, "x")]), "d", dt.date(2024, 2, 1), dt.date(2024, 2, 2), "m")
+    assert [r.v for r in read_table(spark, path).collect()] == ["a"]
+
+
+def test_a_backfill_stopped_before_its_record_changes_nothing(spark, monkeypatch):
+    import datetime as dt
+
+    from shelfspark.operators.incremental import load_range
+    path = os.path.join(tempfile.mkdtemp(prefix="shelf-pub-"), "lines")
+    publish.overwrite(dated(spark, [("2024-02-01", 202402, "a")]), path, "m")
+
+    def stop(*a, **b):
+        raise Stopped
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "commit", stop)
+        with pytest.raises(Stopped):
+            load_range(spark, path, dated(spark, [("2024-02-01", 202402, "x")]), "d", dt.date(2024, 2, 1), dt.date(2024, 2, 2), "m")
+    assert [r.v for r in read_table(spark, path).collect()] == ["a"]
