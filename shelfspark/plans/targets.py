@@ -114,8 +114,9 @@ def shares(sales: DataFrame, product_category: DataFrame, store_dimension: DataF
 
     A month of history counts for the target months one to three years later,
     at every depth that reaches back so far. The cells store x category of each
-    (target month, depth) are laid out once; every total, mean and
-    normalisation is a window over them.
+    (target month, depth) are laid out once. Totals and means per period, store
+    and category are aggregates (combined before their shuffle) joined back to
+    the cells: no task holds all cells of a period.
     """
     checkpoint_dir(sales.sparkSession)
     stores = active_stores(store_dimension).select("empresa_id").checkpoint(eager=True)
@@ -133,21 +134,26 @@ def shares(sales: DataFrame, product_category: DataFrame, store_dimension: DataF
     every = stores.select("empresa_id", F.inline(F.array(*_plan(first_month))))
     cells = every.join(known, period).join(counted, [*period, "empresa_id", *category], "left")
 
-    of_store = Window.partitionBy(*period, "empresa_id")
-    of_period = Window.partitionBy(*period)
-    of_category = Window.partitionBy(*period, *category)
-    sums = cells.select(*period, "empresa_id", *category, "valor", F.sum("valor").over(of_store).alias("da_loja"),
-                        F.row_number().over(of_store.orderBy(*category)).alias("n"))
+    cells = cells.checkpoint(eager=True)
     equal = F.lit(1).cast("decimal(1,0)") / F.lit(n_stores or 1).cast("decimal(10,0)")
-    weights = sums.select(
-        *period, "empresa_id", *category, "n",
-        F.coalesce(_share(F.col("da_loja"), F.sum("valor").over(of_period)), equal.cast(SHARE)).alias("loja"),
-        F.when(F.col("da_loja") > 0, _share(F.col("valor"), F.col("da_loja"))).alias("propria"))
-    filled = weights.withColumn("parte", F.coalesce("propria", F.avg("propria").over(of_category).cast(SHARE), F.lit(0).cast(SHARE)))
-    filled = filled.withColumn("lojas", F.sum(F.when(F.col("n") == 1, F.col("loja"))).over(of_period)).where(F.col("parte") > 0)
-    return filled.select(*period, "empresa_id", *category,
-                         _normalised(F.col("loja"), F.col("lojas")).alias("participacao_loja_normalizada"),
-                         _normalised(F.col("parte"), F.sum("parte").over(of_store)).alias("participacao_categoria_normalizada"))
+    of_store = cells.groupBy(*period, "empresa_id").agg(F.sum("valor").alias("da_loja"))
+    of_period = of_store.groupBy(*period).agg(F.sum("da_loja").alias("do_periodo"))
+    weights = of_store.join(of_period, period).select(
+        *period, "empresa_id", "da_loja", F.coalesce(_share(F.col("da_loja"), F.col("do_periodo")), equal.cast(SHARE)).alias("loja"))
+    stores_sum = weights.groupBy(*period).agg(F.sum("loja").alias("lojas"))
+    store_shares = weights.join(stores_sum, period).select(
+        *period, "empresa_id", "da_loja", _normalised(F.col("loja"), F.col("lojas")).alias("participacao_loja_normalizada"))
+    own = cells.join(store_shares, [*period, "empresa_id"]).withColumn(
+        "propria", F.when(F.col("da_loja") > 0, _share(F.col("valor"), F.col("da_loja"))))
+    mean = own.groupBy(*period, *category).agg(F.avg("propria").cast(SHARE).alias("media"))
+    # a cell without category has no own share and no mean, so the join need not find it
+    filled = (own.join(mean, [*period, *category], "left")
+                 .withColumn("parte", F.coalesce("propria", "media", F.lit(0).cast(SHARE))).where(F.col("parte") > 0)
+                 .select(*period, "empresa_id", *category, "participacao_loja_normalizada", "parte"))
+    parts_sum = filled.groupBy(*period, "empresa_id").agg(F.sum("parte").alias("partes"))
+    return filled.join(parts_sum, [*period, "empresa_id"]).select(
+        *period, "empresa_id", *category, "participacao_loja_normalizada",
+        _normalised(F.col("parte"), F.col("partes")).alias("participacao_categoria_normalizada"))
 
 
 def _plan(first_month) -> list:
