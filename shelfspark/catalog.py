@@ -49,8 +49,9 @@ def abc_full(w: Warehouse) -> DataFrame:
 
 @register("abc_missing_products", oracle.ABC_MISSING_PRODUCTS)
 def abc_missing_products(w: Warehouse) -> DataFrame:
-    """ABC mart when odd products are missing from the dimension: their NULL category is a group of its own."""
-    return marts.abc_curve(w.sales_fact, w.product_category.where("produto_id % 2 = 0"))
+    """ABC mart when the product master lacks some of the products sold: their NULL category is a group of its own."""
+    entered = dims.product_dim(silver.products(w.raw("map_produto_incompleto")), w.families, w.brands, w.categories)
+    return marts.abc_curve(w.sales_fact, entered)
 
 
 @register("delivery_time", oracle.DELIVERY)
@@ -268,9 +269,8 @@ def dq_reconcile_exact(w: Warehouse) -> DataFrame:
 
 @register("dq_zero_sum_part", oracle.DQ_ZERO_SUM_PART)
 def dq_zero_sum_part(w: Warehouse) -> DataFrame:
-    """The zero-sum check over all stores but the fifth, whose months do not cancel out."""
-    return checks.sums_to_zero(targets.store_adjustments(w.raw("meta_ajustes_loja")).where("empresa_id <> 5"), ["mes"],
-                               "ajuste_padrao_valor")
+    """The zero-sum check over adjustments whose months do not cancel out."""
+    return checks.sums_to_zero(targets.store_adjustments(w.raw("meta_ajustes_abertos")), ["mes"], "ajuste_padrao_valor")
 
 
 @register("abc_grain_product", oracle.ABC_GRAIN_PRODUCT)
