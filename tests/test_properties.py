@@ -65,3 +65,18 @@ def test_label_backfill_is_idempotent(spark):
     twice = facts.label_backfill(once)
     assert once.count() > 0
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_label_backfill_joins_items_and_headers_once(spark):
+    plan = E.queries()["label_backfill"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
+def test_label_backfill_of_some_rows_only(spark):
+    from pyspark.sql import functions as F
+    from shelfspark.plans import facts
+    rows = spark.createDataFrame([(1, "F", "l", "x", "A"), (2, "F", None, "x", "a")],
+                                 "k int, situacao_ped string, central_loja string, tip_pedido_suprim string, status_item string")
+    some = {r.k: r for r in facts.label_backfill(rows, F.col("k") == 2).collect()}
+    every = {r.k: r for r in facts.label_backfill(rows).collect()}
+    assert some[1] == rows.where("k = 1").first() and some[1] != every[1] and some[2] == every[2]
