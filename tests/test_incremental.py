@@ -86,3 +86,15 @@ def test_since_batch_start_only_on_later_loads(spark):
     assert since_batch_start(stg, raw, "d", F.col("rd"), first_load=True).count() == 3
     later = since_batch_start(stg, raw, "d", F.col("rd"), first_load=False)
     assert [r.k for r in later.collect()] == [2]          # NULL dates are dropped on later loads
+
+
+def test_rows_without_a_month_are_spread_over_write_tasks(spark):
+    from shelfspark.operators.incremental import laid_out
+    rows = spark.range(4000).selectExpr("cast(null as int) AS k", "cast(null as int) AS m", "cast(id as string) AS v")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [n for n in laid_out(rows, "m", ["k"]).rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert sum(sizes) == 4000 and max(sizes) < 2000
