@@ -33,3 +33,10 @@ def test_standin_same_in_both_engines(spark, duck, name):
     assert df.columns == ocols
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+@pytest.mark.parametrize("name", sorted(n for n, t in standin.ALL.items() if any(p.by for p in t.parts)))
+def test_only_the_keys_of_a_distinct_are_shuffled(spark, name):
+    plan = standin.spark_table(spark, SF, name)._jdf.queryExecution().executedPlan().toString()
+    grouped = [line.split("keys=[")[1].split("]")[0] for line in plan.splitlines() if "HashAggregate(keys=[" in line]
+    assert grouped and all(len(g.split(",")) <= 3 for g in grouped)
