@@ -36,3 +36,15 @@ def test_joins_and_net_cost(spark):
     # product 10: 3 x 10 x 1.02; product 11: 2 x 10 x 1.10 x 0.5 sold, 1 x 20 x 0.5 returned
     assert got == {10: (D("30.60"), D(3)), 11: (D("1.00"), D(1))}
     assert joined.count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_per_product_move_the_joined_lines_no_further(spark):
+    from shelfspark import catalog
+    for name in ("sales_net_cost", "hourly_sales_preagg"):
+        top = _plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001")).split("HashAggregate(keys=[")
+        # the final and the partial sum follow each other without an exchange
+        assert "Exchange" not in top[1]
