@@ -10,13 +10,15 @@ Border phrases that turn out frequent are failures of the sample. A frequent
 phrase that the pass did not count has a smallest part that is not proposed;
 that part is a border phrase and frequent, so a failure. One expansion pass
 over all phrases around the failures therefore closes the search, whatever the
-sample held; without failures it is not needed.
+sample held.
 
-Proposed phrases and those of the expansion are counted as they are. Border
-phrases are counted by a hash of 40 bits, which can only count too many: one
-that reaches the threshold is counted as it is in the expansion. Proposals and
-failures are kept as maps of ``2**MAP_BITS`` bits, one per hash, whatever their
+The full pass counts by a hash of 40 bits, which can only count too many. Its
+phrases that reach the threshold are counted as they are by the expansion pass,
+so only those travel as text. Proposals and the phrases that reached the
+threshold are kept as maps of ``2**MAP_BITS`` bits, one per hash, whatever their
 number: two phrases that share a bit only make a pass count more phrases.
+Both passes send many phrases in a row: hashes in order, as steps from one to
+the next, and texts joined.
 
 A frequent phrase is scored at its weakest cut into two parts, and dropped if a
 phrase one word longer that holds it is as frequent (one much longer implies
@@ -40,13 +42,15 @@ SAMPLE = 8
 LOWERED = 0.25
 STRETCH = 8
 MAP_BITS = 26
-# Bits kept of the hash by which a border phrase is counted: fewer bytes are shuffled. Phrases that share them may reach the
+# Bits kept of the hash by which a phrase is counted: fewer bytes are shuffled. Phrases that share them may reach the
 # threshold together and are then counted once more, as they are; results do not depend on it.
 HASH_BITS = 40
+# Leading bits of a hash that all hashes of a row have in common.
+ROW_BITS = 12
 # Word occurrences that are counted together in a Python worker, and words it remembers at most.
 TOGETHER = 1_000_000
 REMEMBERED = 500_000
-# Phrases of a language are first ranked in so many shares.
+# Phrases of a language are counted as text and first ranked in so many shares.
 SHARES = 64
 # The contract's characters that end a piece (fixed values), as line feeds; tabs and blanks part words.
 ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
@@ -123,8 +127,8 @@ def candidates(at, seed: int, hashes, proposed, longest: int = LONGEST) -> Itera
         h = h[on] * np.uint64(ODD) + word[places + length]
 
 
-def around(at, seed: int, hashes, proposed, failed) -> Iterator[tuple]:
-    """Per length: ``(length, places, hashes)`` of the phrases that hold a border phrase of the map ``failed``."""
+def around(at, seed: int, hashes, proposed, often) -> Iterator[tuple]:
+    """Per length: ``(length, places, hashes)`` of the candidates of the map ``often`` and the phrases that hold its border phrases."""
     import numpy as np
     word = hashes[at]
     holds = np.zeros(len(at), dtype=bool)
@@ -134,9 +138,11 @@ def around(at, seed: int, hashes, proposed, failed) -> Iterator[tuple]:
             inside[:-1] &= inside[1:]
             holds[:-1] |= holds[1:]
             holds &= inside
-        border = np.flatnonzero(~held)
-        holds[places[border[_held(failed, h[border])]]] = True
-        found = np.flatnonzero(holds)
+        reached = _held(often, h)
+        holds[places[reached & ~held]] = True
+        counted = holds.copy()
+        counted[places[reached]] = True
+        found = np.flatnonzero(counted)
         own = word[found] + np.uint64(seed)
         for k in range(1, length):
             own = own * np.uint64(ODD) + word[found + k]
@@ -166,96 +172,205 @@ def _added(hashes: list, n: list):
     return hashes[first], np.add.reduceat(n, first)
 
 
-# Border phrases have no id: their rows are short.
-COUNTED = "hash long, id struct<lang string, words int, phrase string>, n long"
+def _short(numbers, first) -> list[bytes]:
+    """Numbers as bytes, a value for each run that starts at ``first``: as few bytes a number as the run's largest needs."""
+    import numpy as np
+    wide = [max(1, int(m).bit_length() + 7 >> 3) for m in np.maximum.reduceat(numbers, first)]
+    whole = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return [whole[i:end, :w].tobytes() for i, end, w in zip(first, [*first[1:], len(numbers)], wide)]
+
+
+def _long(short: bytes, size: int):
+    """The ``size`` numbers of a value of ``_short``."""
+    import numpy as np
+    out = np.zeros((size, 8), dtype=np.uint8)
+    out[:, :len(short) // size] = np.frombuffer(short, dtype=np.uint8).reshape(size, -1)
+    return out.view("<u8").ravel()
 
 
-def counts(docs: DataFrame, proposed=None, failed=None, only: int | None = None) -> DataFrame:
-    """``hash, lang, words, phrase, n`` of the phrases of ``lang, text`` that a pass counts.
+def _packed(hashes, n) -> list[tuple]:
+    """``(share, size, steps, times)`` of different hashes in ascending order: a row for all with the same first ROW_BITS bits.
 
-    Without ``failed``, these are the candidates by the map ``proposed``: those
-    that it holds with lang, words and phrase, border phrases by hash alone,
-    and each language's word occurrences (0 words). With the map ``failed``:
-    all phrases around its border phrases. ``only`` a length: all its
-    candidates by hash.
+    Steps lead from one hash of the row to the next, times are the counts.
     """
+    import numpy as np
+    below = HASH_BITS - ROW_BITS
+    share = (hashes >> np.uint64(below)).astype(np.int64)
+    first = np.flatnonzero(np.diff(share, prepend=-1))
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    steps[first] = hashes[first] & np.uint64(2**below - 1)
+    size, at = np.diff(first, append=len(hashes)), first.tolist()
+    return list(zip(share[first].tolist(), size.tolist(), _short(steps, at), _short(n.astype(np.uint64), at)))
+
+
+def _unpacked(share: int, size: int, steps: bytes, times: bytes) -> tuple:
+    """The hashes and counts of a row of ``_packed``."""
+    import numpy as np
+    return np.cumsum(_long(steps, size)) + np.uint64(share << HASH_BITS - ROW_BITS), _long(times, size).astype(np.int64)
+
+
+def _together(batches: Iterator, words: Words) -> Iterator[dict]:
+    """Word numbers by language, of about TOGETHER words at a time."""
+    texts, size = {}, 0
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = numbers(text, words)
+            if found:
+                texts.setdefault(lang, []).extend(found)
+                size += len(found)
+            if size >= TOGETHER:
+                yield texts
+                texts, size = {}, 0
+                if len(words) > REMEMBERED:
+                    words.clear()
+                    words.names, words.hashes = [b""], [0]
+    if texts:
+        yield texts
+
+
+def hash_counts(docs: DataFrame, proposed=None, only: int | None = None, least: int = 1) -> DataFrame:
+    """``hash, n`` of the candidates by the map ``proposed`` of ``lang, text``, in at least ``least`` places; ``only`` a length."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((proposed, failed))  # two maps of fixed size at most
+    shared = spark.sparkContext.broadcast(proposed)  # a map of fixed size at most
 
-    def run(batches: Iterator) -> Iterator:
+    def sent(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import xxhash
-        bits, new = shared.value
-        ids = [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string())]
-        words, texts, size = Words(), {}, 0
-        border: list = []
-        border_n: list = []
+        bits, words = shared.value, Words()
+        found: list = []
+        found_n: list = []
         waiting = 0
 
-        def rows(h, n, *columns):
-            fields = [pa.array(c, t) for c, (_, t) in zip(columns, ids)]
-            own = pa.StructArray.from_arrays(fields, [name for name, _ in ids]) if fields else pa.nulls(len(n), pa.struct(ids))
-            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), own, pa.array(n, pa.int64())], ["hash", "id", "n"])
-
-        def hashed():
-            h, n = _added(border, border_n)
-            border.clear()
-            border_n.clear()
-            for i in range(0, len(h), 100_000):
-                yield rows(h[i:i + 100_000].view(np.int64), n[i:i + 100_000])
-
-        def written(lang, at, length, places, h):
-            first, n = _same(at, places, length, h)
-            k = len(first)
-            phrases = pa.array([b" ".join([words.names[i] for i in p]) for p in at[first[:, None] + np.arange(length)].tolist()], pa.binary())
-            return rows([0] * k, n, [lang] * k, [length] * k, phrases.cast(pa.string()))
-
-        def flush():
-            nonlocal waiting
+        def rows():
+            packed = _packed(*_added(found, found_n)) if waiting else []
+            found.clear()
+            found_n.clear()
+            for i in range(0, len(packed), 500):
+                columns = zip(zip(*packed[i:i + 500]), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["share", "size", "steps", "times"])
+
+        for texts in _together(batches, words):
             hashes = np.array(words.hashes, dtype=np.uint64)
             for lang, at in texts.items():
                 at, seed = np.array(at, dtype=np.int64), xxhash.xxh3_64_intdigest(lang.encode())
-                if new is not None:
-                    for found in around(at, seed, hashes, bits, new):
-                        yield written(lang, at, *found)
-                    continue
-                if only is None:
-                    yield rows([0], [int((at > 0).sum())], [lang], [0], [""])
-                for length, places, h, held in candidates(at, seed, hashes, bits, only or LONGEST):
-                    if only is None:
-                        yield written(lang, at, length, places[held], h[held])
-                        h = h[~held]
-                    elif length < only:
+                for length, _, h, _ in candidates(at, seed, hashes, bits, only or LONGEST):
+                    if length < (only or 1):
                         continue
                     h, n = np.unique(h & np.uint64(KEPT), return_counts=True)
-                    border.append(h)
-                    border_n.append(n)
+                    found.append(h)
+                    found_n.append(n)
                     waiting += len(h)
-            texts.clear()
-            if len(words) > REMEMBERED:
-                words.clear()
-                words.names, words.hashes = [b""], [0]
+            if waiting >= 4 * TOGETHER:
+                yield from rows()
+                waiting = 0
+        yield from rows()
+
+    def summed(batches: Iterator) -> Iterator:
+        """Sums of a partition's shares, which come one after the other."""
+        import numpy as np
+        import pyarrow as pa
+        share, hashes, n, waiting = None, [], [], 0
+        ready: list = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if row[0] != share:
+                    if hashes:
+                        ready.append(_added(hashes, n))
+                    share, hashes, n, waiting = row[0], [], [], 0
+                h, k = _unpacked(*row)
+                hashes.append(h)
+                n.append(k)
+                waiting += len(h)
+                if waiting >= TOGETHER:
+                    h, k = _added(hashes, n)
+                    hashes, n, waiting = [h], [k], 0
+            if ready:
+                yield rows(pa, np, ready)
+                ready.clear()
+        if hashes:
+            yield rows(pa, np, [_added(hashes, n)])
+
+    def rows(pa, np, ready):
+        h, n = (np.concatenate(x) for x in zip(*ready))
+        return pa.RecordBatch.from_arrays([pa.array(h[n >= least].view(np.int64)), pa.array(n[n >= least])], ["hash", "n"])
+
+    shares = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(sent, "share int, size int, steps binary, times binary")
+    return shares.repartition("share").sortWithinPartitions("share").mapInArrow(summed, "hash long, n long")
+
+
+def phrase_counts(docs: DataFrame, proposed, often, least: int = 1) -> DataFrame:
+    """``lang, words, phrase, n`` of ``lang, text``: the phrases ``around`` the maps in at least ``least`` places, and totals (0 words)."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast((proposed, often))  # two maps of fixed size
+
+    def sent(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+        (bits, reached), words = shared.value, Words()
+        known: dict = {}
+
+        def rows():
+            shares: dict = {}
+            for (lang, length), own in known.items():
+                for phrase in sorted(own):
+                    shares.setdefault((lang, length, xxhash.xxh3_64_intdigest(phrase) % SHARES), []).append((phrase, own[phrase]))
+            known.clear()
+            packed = []
+            for key, some in shares.items():
+                phrases, n = zip(*some)
+                packed.append((*key, len(n), b"\n".join(phrases), _short(np.array(n, dtype=np.uint64), [0])[0]))
+            for i in range(0, len(packed), 500):
+                columns = zip(zip(*packed[i:i + 500]), (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["lang", "words", "share", "size", "phrases", "times"])
+
+        for texts in _together(batches, words):
+            hashes = np.array(words.hashes, dtype=np.uint64)
+            for lang, at in texts.items():
+                at, seed = np.array(at, dtype=np.int64), xxhash.xxh3_64_intdigest(lang.encode())
+                total = known.setdefault((lang, 0), {})
+                total[b""] = total.get(b"", 0) + int((at > 0).sum())
+                for length, places, h in around(at, seed, hashes, bits, reached):
+                    first, n = _same(at, places, length, h)
+                    own = known.setdefault((lang, length), {})
+                    for p, k in zip(at[first[:, None] + np.arange(length)].tolist(), n.tolist()):
+                        phrase = b" ".join([words.names[i] for i in p])
+                        own[phrase] = own.get(phrase, 0) + k
+            if sum(map(len, known.values())) >= REMEMBERED:
+                yield from rows()
+        yield from rows()
+
+    def summed(batches: Iterator) -> Iterator:
+        """Sums of a partition's shares, which come one after the other."""
+        import pyarrow as pa
+        share, own = None, {}
+
+        def rows():
+            lang, length, _ = share
+            some = [(p, k) for p, k in own.items() if k >= least or length == 0]
+            for i in range(0, len(some), 100_000):
+                phrases, n = zip(*some[i:i + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([length] * len(n), pa.int32()),
+                                                  pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "words", "phrase", "n"])
 
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = numbers(text, words)
-                if found:
-                    texts.setdefault(lang, []).extend(found)
-                    size += len(found)
-                if size >= TOGETHER:
-                    yield from flush()
-                    size = 0
-                    if waiting >= 4 * TOGETHER:
-                        yield from hashed()
-                        waiting = 0
-        yield from flush()
-        if border:
-            yield from hashed()
-
-    found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, COUNTED)
-    return found.groupBy("hash", "id").agg(F.sum("n").alias("n")).select("hash", "id.lang", "id.words", "id.phrase", "n")
+            for lang, length, at, size, phrases, times in zip(*(c.to_pylist() for c in b.columns)):
+                if (lang, length, at) != share:
+                    if own:
+                        yield from rows()
+                    share, own = (lang, length, at), {}
+                for phrase, k in zip(phrases.split(b"\n"), _long(times, size).tolist()):  # a phrase holds no line feed
+                    own[phrase] = own.get(phrase, 0) + k
+        if own:
+            yield from rows()
+
+    shares = docs.select("lang", F.col("text").cast("binary").alias("text")) \
+                 .mapInArrow(sent, "lang string, words int, share int, size int, phrases binary, times binary")
+    keys = ["lang", "words", "share"]
+    return shares.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(summed, "lang string, words int, phrase string, n long")
 
 
 def proposals(hashes: DataFrame, known=None):
@@ -307,14 +422,9 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE,
     least = max(2, -int(-min_count * lowered // sample))
     bits = None
     for length in range(1, LONGEST + 1):
-        bits = proposals(counts(part, bits, only=length).where(F.col("n") >= least), bits)
-    found = stored(counts(docs, bits).where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases")
-    failed, whole = found.where("phrase IS NULL"), found.where("phrase IS NOT NULL")
-    if not failed.isEmpty():
-        # closed by this pass: the smallest part of a frequent phrase that is not proposed is a border phrase, so a failure
-        more = counts(docs, bits, proposals(failed)).where(F.col("n") >= min_count)
-        whole = whole.unionByName(more)
-    return whole.select("lang", "words", "phrase", "n")
+        bits = proposals(hash_counts(part, bits, length, least), bits)
+    # closed by the second pass: the smallest part of a frequent phrase that is not proposed is a border phrase, so a failure
+    return phrase_counts(docs, bits, proposals(hash_counts(docs, bits, least=min_count)), min_count)
 
 
 def scored(found: DataFrame) -> DataFrame:
@@ -333,7 +443,7 @@ def scored(found: DataFrame) -> DataFrame:
                        F.array_join(F.slice("parts", F.col("k") + 1, F.col("words") - F.col("k")), " ").alias("rest"))
     both = cuts.join(known.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"]) \
                .join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"]) \
-               .join(total, "lang")
+               .join(F.broadcast(total), "lang")  # dealt by lang, a language's cuts would meet in one task
     # decimals of 38 digits: whole numbers are exact far beyond 64 bits
     score = F.expr("(cast(1000 * a as decimal(19, 0)) * cast(n as decimal(19, 0))) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
     weakest = both.withColumn("score", score).groupBy("lang", "phrase").agg(

@@ -84,3 +84,63 @@ def test_full_map_changes_nothing(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert P.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plan_nodes(df):
+    """Nodes of the plan that was run."""
+    def walk(node):
+        yield node
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            yield from walk(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            yield from walk(node.plan())
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    df.collect()
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_counted_hashes_are_short(spark):
+    n = 300_000
+    text = " ".join(f"w{i}" for i in range(n))
+    got = P.hash_counts(spark.createDataFrame([("en", text)], "lang string, text string").coalesce(1), only=1)
+    written = [m.get().value() for node in plan_nodes(got) if (m := node.metrics().get("shuffleBytesWritten")).isDefined()]
+    assert got.count() == n and 0 < sum(written) < 7 * n  # a row for each of them takes over 11 bytes
+
+
+def test_packed_hashes_come_back():
+    import numpy as np
+    for h in ([0], [2**40 - 1], [0, 1, 2**28 - 1, 2**28, 2**40 - 1], list(range(0, 2**40, 2**24 + 1))):
+        h, n = np.array(h, dtype=np.uint64), np.arange(1, len(h) + 1) ** 3
+        back = [P._unpacked(*row) for row in P._packed(h, n)]
+        assert (np.concatenate([x for x, _ in back]) == h).all() and (np.concatenate([x for _, x in back]) == n).all()
+
+
+def test_only_phrases_that_reach_the_threshold_travel_as_text(spark):
+    rows = [("en", "a b c")] * 5 + [("en", f"x{i} y{i}") for i in range(50)] + [("de", "a b")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    all_of_them = P.proposals(P.hash_counts(df))
+    often = P.proposals(P.hash_counts(df, all_of_them, least=5))
+    got = sorted(map(tuple, P.phrase_counts(df, all_of_them, often).collect()))  # without a threshold: all that was sent
+    assert got == sorted([("en", 0, "", 115), ("de", 0, "", 2), *[("en", len(p.split()), p, 5) for p in ("a", "b", "c", "a b", "b c", "a b c")]])
+
+
+def test_words_and_rows_that_a_task_lets_go(spark, monkeypatch):
+    monkeypatch.setattr(P, "TOGETHER", 50)
+    monkeypatch.setattr(P, "REMEMBERED", 20)
+    rows = corpus(120)
+    got = P.collocations(spark.createDataFrame(rows, SCHEMA).coalesce(1), min_count=10, sample=2)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 10, 2000)
+
+
+def test_totals_are_not_dealt_by_language(spark):
+    found = spark.createDataFrame([("en", 0, "", 9), ("en", 1, "x", 3), ("en", 1, "y", 3), ("en", 2, "x y", 3)], "lang string, words int, phrase string, n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = [x.nodeName() for x in plan_nodes(P.scored(found))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert names.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in names
