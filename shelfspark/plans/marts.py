@@ -112,6 +112,10 @@ def _curves_of(names: list[str]) -> list:
     return [c for s in names for c in _curve(f"acum_{s}", f"total_{s}", s)]
 
 
+def _class_columns(names: list[str]) -> list[str]:
+    return [c for s in names for c in (f"pct_acum_{s}", f"curva_abc_{s}")]
+
+
 def _curve(acum: str, total: str, name: str):
     return [share_pct(F.col(acum), F.col(total)).alias(f"pct_acum_{name}"),
             abc_class(F.col(acum), F.col(total)).alias(f"curva_abc_{name}")]
@@ -149,13 +153,15 @@ def abc_curve(sales: DataFrame, product_category: DataFrame) -> DataFrame:
     enriched = per_store.join(product_category.select("produto_id", "familia_id", "categoria_id"), "produto_id", "left") \
                         .checkpoint(eager=True)
     curves = running_curves(_scoped(enriched, STORE).unionByName(_scoped(network, NETWORK))).checkpoint(eager=True)
-    net = network.join(_wide(curves, ["produto_id"], NETWORK), "produto_id")
-    store = _wide(curves, ["empresa_id", "produto_id"], STORE).withColumnRenamed("empresa_id", "_e").withColumnRenamed("produto_id", "_p")
+    # the classes travel, not the sums they follow from
+    net = network.join(_wide(curves, ["produto_id"], NETWORK).select("produto_id", *_curves_of(NETWORK)), "produto_id")
+    store = _wide(curves, ["empresa_id", "produto_id"], STORE).select(
+        F.col("empresa_id").alias("_e"), F.col("produto_id").alias("_p"), *_curves_of(STORE))
     same = enriched["empresa_id"].eqNullSafe(store["_e"]) & enriched["produto_id"].eqNullSafe(store["_p"])
     out = with_period(enriched.join(store, same).drop("_e", "_p").join(net, "produto_id"), period)
     return out.select("empresa_id", "produto_id", "familia_id", "categoria_id",
                       *_amounts("receita_liq", "quantidade_liq", "receita_liq_rede", "quantidade_liq_rede"),
-                      *_curves_of(STORE), *_curves_of(NETWORK), "periodo_inicio", "periodo_fim")
+                      *_class_columns(STORE), *_class_columns(NETWORK), "periodo_inicio", "periodo_fim")
 
 
 def delivery_time(receipts: DataFrame, supplier_dimension: DataFrame | None = None) -> DataFrame:
