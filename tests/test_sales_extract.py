@@ -48,3 +48,24 @@ def test_sums_per_product_move_the_joined_lines_no_further(spark):
         top = _plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001")).split("HashAggregate(keys=[")
         # the final and the partial sum follow each other without an exchange
         assert "Exchange" not in top[1]
+
+
+def test_catalogue_tables_of_sales_stay_off_the_driver(spark):
+    from shelfspark import session
+    session.apply_conf(spark)
+    n = 200_000  # a few MB each, but ten times that as tables of the driver
+    products = spark.range(n).selectExpr("CAST(id AS INT) AS seqproduto", "CAST(id AS INT) AS seqfamilia", "CAST(1 AS DECIMAL(9,4)) AS propqtdprodutobase",
+                                         "CAST(id AS INT) AS seqprodutobase", "CAST(id AS INT) AS seqprodutobaseantigo")
+    of_family = lambda col: spark.range(n).selectExpr("CAST(id AS INT) AS seqfamilia", col)
+    costs = spark.range(n).selectExpr("CAST(id AS INT) AS seqproduto", "7 AS nroempresa", f"DATE '{DAY}' AS dtaentradasaida", "id AS cmdiavlrnf")
+    surcharges = spark.range(n).selectExpr("CAST(id AS INT) AS seqproduto", f"DATE '{DAY}' AS dtamovimentacao", "id AS percacresccustorelacvig")
+    stores = spark.createDataFrame([(1, 7, 1), (2, 7, None)], "nroempresa int, nroempcustoabc int, nrodivisao int")
+    divisions = spark.createDataFrame([(1, "S")], "nrodivisao int, utilacresccustprodrelac string")
+    lines = spark.createDataFrame([(1, 1, 800, 10, 11), (2, 1, 800, 10, 11), (1, 1, 800, 10, n)],
+                                  "nroempresa int, nrodivisao int, codgeraloper int, seqproduto int, seqprodutocusto int")
+    joined = extracts.sales_lines(lines.selectExpr("*", f"DATE '{DAY}' AS dtavda"), costs, products, of_family("1 AS nrodivisao"),
+                                  of_family("1 AS qtdembalagem"), stores, divisions, surcharges)
+    tables = _plan(joined).split("BroadcastExchange")[1:]  # what each holds, down to its first shuffle
+    assert tables and not any("Range (0, 200000" in t.split("Exchange hashpartitioning")[0] for t in tables)
+    assert [(r.seqproduto, r.cmdiavlrnf, r.percacresccustorelacvig) for r in joined.collect()] == [(10, 11, 10)]
+    session.apply_conf(spark)
